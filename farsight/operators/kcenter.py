@@ -79,7 +79,7 @@ def _matrix(pdf: pd.DataFrame, coords) -> np.ndarray:
 
 
 def _fft_group_fn(K: int, coords, keys: tuple[str, ...]):
-    def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", kind="mergesort").reset_index(drop=True)
         idx = farthest_first(_matrix(pdf, coords), K)
         out = pdf.iloc[idx].copy()

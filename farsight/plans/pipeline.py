@@ -30,7 +30,7 @@ def outlier_pipeline(points: DataFrame, K: int, L: int, M: int) -> DataFrame:
     radius = kcenter.kcenter_radius(pts, centers)
     D = radius.scalar()
     summary = outliers.approx_outliers(pts, D, M)
-    return summary.select(F.round(D, 6).alias("radius"), *summary.columns)
+    return summary.select(D.alias("radius"), *summary.columns)
 
 
 def k_sweep(points: DataFrame, Ks, L: int, M: int) -> DataFrame:
@@ -46,8 +46,11 @@ def k_sweep(points: DataFrame, Ks, L: int, M: int) -> DataFrame:
     # all centers of all K as one bounded array (sum(Ks) structs)
     all_c = centers.agg(F.array_sort(F.collect_list(F.struct("k", "it", "x", "y"))).alias("c")).scalar()
     with_c = pts.select("x", "y", all_c.alias("_c"))
+    def of_k(k):
+        return lambda c: c["k"] == F.lit(k)
+
     dcols = [
-        F.array_min(F.transform(F.filter("_c", lambda c, k=k: c["k"] == k),
+        F.array_min(F.transform(F.filter("_c", of_k(k)),
                                 lambda c: dist2d(F.col("x"), F.col("y"), c["x"], c["y"]))).alias(f"d{k}")
         for k in Ks
     ]
