@@ -163,3 +163,88 @@ ALL_QUERIES: dict[str, Query] = {}
 ALL_QUERIES.update(POINT_QUERIES)
 ALL_SQL: dict[str, str] = {}
 ALL_SQL.update(POINT_SQL)
+
+
+# ------------------------------------------------------------------ items
+
+from farsight.functions.params import reservoir_size, sticky_r  # noqa: E402
+from farsight.operators import items as itemops, sampling  # noqa: E402
+from farsight.sources import stream_items  # noqa: E402
+
+PHI, EPS, DELTA = 0.05, 0.01, 0.1
+STICKY_SEED, RES_SEED = 42, 43
+RES_M = reservoir_size(PHI)          # 20
+RES_N = 5000
+CUT_N, CUT_BATCH = 361, 360
+
+
+def _i(spark, sf):
+    return stream_items(spark, sf)
+
+
+ITEM_QUERIES: dict[str, Query] = {
+    "item_histogram": lambda s, d: itemops.item_histogram(_i(s, d)),
+    "stream_stats": lambda s, d: itemops.stream_stats(_i(s, d)),
+    "frequent_exact": lambda s, d: itemops.frequent_exact(_i(s, d), PHI),
+    "stream_cutoff": lambda s, d: itemops.stream_cutoff(_i(s, d), CUT_N, CUT_BATCH),
+    "sticky_rate": lambda s, d: sampling.sticky_rate(_i(s, d), PHI, EPS, DELTA),
+    "sticky_table": lambda s, d: sampling.sticky_table(_i(s, d), PHI, EPS, DELTA, seed=STICKY_SEED),
+    "frequent_sticky": lambda s, d: sampling.frequent_sticky(_i(s, d), PHI, EPS, DELTA, seed=STICKY_SEED),
+    "sticky_vs_exact": lambda s, d: sampling.sticky_vs_exact(_i(s, d), PHI, EPS, DELTA, seed=STICKY_SEED),
+    "frequent_common": lambda s, d: sampling.frequent_common(_i(s, d), PHI, EPS, DELTA, seed=STICKY_SEED),
+    "frequent_summary": lambda s, d: sampling.frequent_summary(_i(s, d), PHI, EPS, DELTA, seed=STICKY_SEED),
+    "reservoir_sample": lambda s, d: sampling.reservoir_sample(_i(s, d), RES_M, RES_SEED),
+    "reservoir_first_n": lambda s, d: sampling.reservoir_first_n(_i(s, d), RES_M, RES_N, RES_SEED),
+    "reservoir_vs_exact": lambda s, d: sampling.reservoir_vs_exact(_i(s, d), PHI, seed=RES_SEED),
+}
+
+_R = sticky_r(PHI, EPS, DELTA)
+_NSQL = "(SELECT count(*) FROM it)"
+_T = f"CAST(floor(least(1.0, {S.dbl(_R)} / {_NSQL}) * {S.TWO60}) AS BIGINT)"
+_WITH_IT = f"WITH it AS ({S.ITEMS})"
+_STICKY = f"""{_WITH_IT},
+hits AS (SELECT item, min(pos) AS fp FROM it WHERE {S.draw(STICKY_SEED, 'pos')} <= {_T} GROUP BY item),
+st AS (SELECT it.item, hits.fp, CAST(count(*) AS BIGINT) AS est FROM it JOIN hits USING (item)
+       WHERE it.pos >= hits.fp GROUP BY it.item, hits.fp),
+hist AS (SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item),
+truth AS (SELECT item, cnt FROM hist WHERE cnt > {S.dbl(PHI)} * {_NSQL}),
+est AS (SELECT item, est FROM st WHERE est >= {S.dbl(PHI - EPS)} * {_NSQL})"""
+
+
+def _reservoir_sql(m: int, where: str = "") -> str:
+    slot = f"CASE WHEN pos < {m} THEN pos ELSE {S.draw(RES_SEED, 'pos')} % (pos + 1) END"
+    return f"""SELECT slot, arg_max(item, pos) AS item, max(pos) AS pos
+FROM (SELECT pos, item, {slot} AS slot FROM it {where}) WHERE slot < {m} GROUP BY slot"""
+
+
+ITEM_SQL: dict[str, str] = {
+    "item_histogram": f"{_WITH_IT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item",
+    "stream_stats": f"""{_WITH_IT} SELECT CAST(count(*) AS BIGINT) AS n_items,
+        CAST(count(DISTINCT item) AS BIGINT) AS n_distinct, max(item) AS max_item FROM it""",
+    "frequent_exact": f"""{_WITH_IT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item
+        HAVING count(*) > {S.dbl(PHI)} * {_NSQL}""",
+    "stream_cutoff": f"""{_WITH_IT} SELECT pos, item, pos // {CUT_BATCH} AS batch FROM it
+        WHERE pos // {CUT_BATCH} <= {(CUT_N - 1) // CUT_BATCH}""",
+    "sticky_rate": f"""{_WITH_IT} SELECT {S.dbl(_R)} AS r, CAST(count(*) AS BIGINT) AS n,
+        least(1.0, {S.dbl(_R)} / count(*)) AS rate, {_T} AS threshold FROM it""",
+    "sticky_table": f"{_STICKY} SELECT item, fp, est FROM st",
+    "frequent_sticky": f"{_STICKY} SELECT item, est FROM est",
+    "sticky_vs_exact": f"""{_STICKY} SELECT e.item, e.est,
+        CASE WHEN t.item IS NOT NULL THEN '+' ELSE '-' END AS mark FROM est e LEFT JOIN truth t USING (item)""",
+    "frequent_common": f"{_STICKY} SELECT item FROM est INTERSECT SELECT item FROM truth",
+    "frequent_summary": f"""{_STICKY} SELECT CAST(count(*) AS BIGINT) AS hist_size,
+        CAST(count(CASE WHEN h.cnt > {S.dbl(PHI)} * {_NSQL} THEN 1 END) AS BIGINT) AS n_true,
+        CAST(count(s.est) AS BIGINT) AS table_size,
+        CAST(count(CASE WHEN s.est >= {S.dbl(PHI - EPS)} * {_NSQL} THEN 1 END) AS BIGINT) AS n_estimated,
+        CAST(count(CASE WHEN h.cnt > {S.dbl(PHI)} * {_NSQL}
+                         AND s.est >= {S.dbl(PHI - EPS)} * {_NSQL} THEN 1 END) AS BIGINT) AS n_common
+        FROM hist h LEFT JOIN st s USING (item)""",
+    "reservoir_sample": f"{_WITH_IT} {_reservoir_sql(RES_M)}",
+    "reservoir_first_n": f"{_WITH_IT} {_reservoir_sql(RES_M, f'WHERE pos < {RES_N}')}",
+    "reservoir_vs_exact": f"""{_STICKY}, res AS ({_reservoir_sql(RES_M)})
+        SELECT DISTINCT r.item, CASE WHEN t.item IS NOT NULL THEN '+' ELSE '-' END AS mark
+        FROM res r LEFT JOIN truth t USING (item)""",
+}
+
+ALL_QUERIES.update(ITEM_QUERIES)
+ALL_SQL.update(ITEM_SQL)
