@@ -248,3 +248,58 @@ ITEM_SQL: dict[str, str] = {
 
 ALL_QUERIES.update(ITEM_QUERIES)
 ALL_SQL.update(ITEM_SQL)
+
+
+# -------------------------------------------------------------- streaming
+
+from farsight.streaming.items import run_item_stream  # noqa: E402
+
+STREAM_N, STREAM_BATCH = 5000, 360
+_RUNS: dict = {}
+
+
+def _stream_run(spark, sf):
+    """One replayed stream per (session, scale) shared by the stream_* views."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        _RUNS[key] = run_item_stream(spark, _i(spark, sf), STREAM_N, STREAM_BATCH,
+                                     PHI, EPS, DELTA, m=RES_M,
+                                     sticky_seed=STICKY_SEED, res_seed=RES_SEED)
+    return _RUNS[key]
+
+
+STREAM_QUERIES: dict[str, Query] = {
+    "stream_histogram": lambda s, d: _stream_run(s, d).histogram(),
+    "stream_distinct": lambda s, d: _stream_run(s, d).stats(),
+    "stream_frequent_exact": lambda s, d: _stream_run(s, d).frequent_exact(),
+    "stream_reservoir": lambda s, d: _stream_run(s, d).reservoir(),
+    "stream_sticky": lambda s, d: _stream_run(s, d).sticky(),
+    "stream_frequent_sticky": lambda s, d: _stream_run(s, d).frequent_sticky(),
+    "stream_consumed": lambda s, d: _stream_run(s, d).consumed(),
+}
+
+_LAST = (STREAM_N - 1) // STREAM_BATCH
+_CUT = f"""WITH it AS (SELECT * FROM ({S.ITEMS}) WHERE pos // {STREAM_BATCH} <= {_LAST})"""
+_ST_T = f"CAST(floor(least(1.0, {S.dbl(_R)} / {STREAM_N}) * {S.TWO60}) AS BIGINT)"
+_ST_STICKY = f"""{_CUT},
+hits AS (SELECT item, min(pos) AS fp FROM it WHERE {S.draw(STICKY_SEED, 'pos')} <= {_ST_T} GROUP BY item),
+st AS (SELECT it.item, hits.fp, CAST(count(*) AS BIGINT) AS est FROM it JOIN hits USING (item)
+       WHERE it.pos >= hits.fp GROUP BY it.item, hits.fp)"""
+
+STREAM_SQL: dict[str, str] = {
+    "stream_histogram": f"{_CUT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item",
+    "stream_distinct": f"""{_CUT} SELECT CAST(count(*) AS BIGINT) AS n_items,
+        CAST(count(DISTINCT item) AS BIGINT) AS n_distinct, max(item) AS max_item FROM it""",
+    "stream_frequent_exact": f"""{_CUT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item
+        HAVING count(*) > {float(PHI) * STREAM_N!r}::DOUBLE""",
+    "stream_reservoir": f"{_CUT} {_reservoir_sql(RES_M, f'WHERE pos < {STREAM_N}')}",
+    "stream_sticky": f"{_ST_STICKY} SELECT item, fp, est FROM st",
+    "stream_frequent_sticky": f"""{_ST_STICKY} SELECT item, est FROM st
+        WHERE est >= {(float(PHI) - float(EPS)) * STREAM_N!r}::DOUBLE""",
+    "stream_consumed": f"""{_CUT} SELECT CAST(b AS INTEGER) AS batch_id, size,
+        CAST(sum(size) OVER (ORDER BY b) AS BIGINT) AS cum
+        FROM (SELECT pos // {STREAM_BATCH} AS b, CAST(count(*) AS BIGINT) AS size FROM it GROUP BY 1)""",
+}
+
+ALL_QUERIES.update(STREAM_QUERIES)
+ALL_SQL.update(STREAM_SQL)
