@@ -13,7 +13,7 @@ batch size and the running length touch the driver:
   consumed up to and including the one that reaches ``n`` items, later
   batches are ignored and the query is stopped.
 * **histogram** (ST3): the batch's item counts (partial aggregation) are
-  appended under ``hist/batch_id=<id>``; the histogram is their sum, read as
+  appended under ``hist/mb=<micro-batch id>``; the histogram is their sum, read as
   an ordinary aggregation.  Ingest cost is O(batch), nothing is rewritten.
 * **distinct / max / length** (ST4): derived from the same log.
 * **reservoir** (ST6): state is the m-row slot table; each batch adds only
@@ -50,7 +50,7 @@ class ItemStreamRun:
     epsilon: float
     delta: float
     batches: int = 0
-    last_batch: int = -1
+    last_batch: int = -1     # last micro-batch that consumed items
     length: int = 0
     extra: dict = field(default_factory=dict)
 
@@ -60,7 +60,7 @@ class ItemStreamRun:
 
     def histogram(self) -> DataFrame:
         """``item, cnt`` over all consumed batches."""
-        h = self._read("hist").where(F.col("batch_id") <= self.last_batch)
+        h = self._read("hist").where(F.col("mb") <= self.last_batch)
         return h.groupBy("item").agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
     def stats(self) -> DataFrame:
@@ -74,11 +74,11 @@ class ItemStreamRun:
         return self.histogram().where(F.col("cnt") > F.lit(float(self.phi) * self.n))
 
     def reservoir(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/res/batch_id={self.last_batch}") \
+        return self.spark.read.parquet(f"{self.base}/res/mb={self.last_batch}") \
             .select("slot", "item", "pos")
 
     def sticky(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/sticky/batch_id={self.last_batch}") \
+        return self.spark.read.parquet(f"{self.base}/sticky/mb={self.last_batch}") \
             .select("item", "fp", "est")
 
     def frequent_sticky(self) -> DataFrame:
@@ -98,47 +98,62 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
                    sticky_seed, res_seed):
     spark = run.spark
     base = run.base
-
+    # driver caches of the meta log (rebuilt from it after a restart)
     cums: dict[int, int] = {}
+    state_mb: dict[int, int] = {}
+
+    def _from_meta(mb: int) -> tuple[int, int]:
+        meta = spark.read.parquet(f"{base}/meta").where(F.col("mb") < mb)
+        row = meta.agg(F.max("cum").alias("c"), F.max("mb").alias("m")).collect()[0]
+        return int(row["c"] or 0), (-1 if row["m"] is None else int(row["m"]))
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        # running length: cached on the driver, rebuilt from the meta log
-        # after a restart
-        prev_cum = 0
-        if batch_id > 0:
-            if batch_id - 1 in cums:
-                prev_cum = cums[batch_id - 1]
-            else:
-                meta = spark.read.parquet(f"{base}/meta").where(F.col("batch_id") < batch_id)
-                row = meta.agg(F.max("cum").alias("c")).collect()[0]
-                prev_cum = int(row["c"] or 0)
+    def handle(batch: DataFrame, mb: int) -> None:
+        if mb - 1 in cums or mb == 0:
+            prev_cum, prev_mb = cums.get(mb - 1, 0), state_mb.get(mb - 1, -1)
+        else:
+            prev_cum, prev_mb = _from_meta(mb)
         if prev_cum >= run.n:
-            cums[batch_id] = prev_cum
+            cums[mb], state_mb[mb] = prev_cum, prev_mb
             done.set()
             return
-        batch = batch.select("pos", "item").persist()
-        size = batch.count()
-        cum = prev_cum + size
+        # original batches in this micro-batch (a handful of rows) -> cut-off
+        if "batch" in batch.columns:
+            sizes = sorted((int(r[0]), int(r[1])) for r in
+                           batch.groupBy("batch").count().collect())
+        else:
+            batch = batch.withColumn("batch", F.lit(mb).cast("bigint"))
+            sizes = [(mb, batch.count())]
+        meta_rows, cum = [], prev_cum
+        for b, size in sizes:
+            if cum >= run.n:
+                break
+            cum += size
+            meta_rows.append((b, size, cum, True, mb))
+        if not meta_rows:
+            cums[mb], state_mb[mb] = prev_cum, prev_mb
+            return
+        last_b = meta_rows[-1][0]
+        rows = batch.where(F.col("batch") <= last_b).select("pos", "item").persist()
 
         # histogram delta
-        _write(batch.groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")),
-               f"{base}/hist/batch_id={batch_id}")
+        _write(rows.groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")),
+               f"{base}/hist/mb={mb}")
 
         # reservoir over the first n positions
-        cand = (batch.where(F.col("pos") < run.n)
+        cand = (rows.where(F.col("pos") < run.n)
                 .select("pos", "item", reservoir_slot(run.m, res_seed).alias("slot"))
                 .where(F.col("slot") < run.m))
-        if batch_id > 0:
-            prev_res = spark.read.parquet(f"{base}/res/batch_id={batch_id - 1}").select("pos", "item", "slot")
+        if prev_mb >= 0:
+            prev_res = spark.read.parquet(f"{base}/res/mb={prev_mb}").select("pos", "item", "slot")
             cand = prev_res.unionByName(cand)
         res = cand.groupBy("slot").agg(F.max_by("item", "pos").alias("item"), F.max("pos").alias("pos"))
-        _write(res, f"{base}/res/batch_id={batch_id}")
+        _write(res, f"{base}/res/mb={mb}")
 
         # sticky sampling
         u = draw(sticky_seed, F.col("pos"))
-        new_hits = batch.where(u <= F.lit(T)).groupBy("item").agg(F.min("pos").alias("hit"))
-        if batch_id > 0:
-            prev = spark.read.parquet(f"{base}/sticky/batch_id={batch_id - 1}").select("item", "fp", "est")
+        new_hits = rows.where(u <= F.lit(T)).groupBy("item").agg(F.min("pos").alias("hit"))
+        if prev_mb >= 0:
+            prev = spark.read.parquet(f"{base}/sticky/mb={prev_mb}").select("item", "fp", "est")
         else:
             prev = spark.createDataFrame([], "item int, fp long, est long")
         # S stays small (~r rows); broadcast only while measured below the bound
@@ -147,17 +162,17 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
         keyed = (new_hits.join(prev_b, "item", "full")
                  .select("item", F.coalesce("fp", "hit").alias("fp"),
                          F.coalesce("est", F.lit(0)).alias("est0")))
-        add = (batch.join(keyed.select("item", "fp"), "item")
+        add = (rows.join(keyed.select("item", "fp"), "item")
                .where(F.col("pos") >= F.col("fp"))
                .groupBy("item").agg(F.count(F.lit(1)).alias("add")))
         S = (keyed.join(add, "item", "left")
              .select("item", "fp", (F.col("est0") + F.coalesce("add", F.lit(0))).cast("bigint").alias("est")))
-        _write(S, f"{base}/sticky/batch_id={batch_id}")
+        _write(S, f"{base}/sticky/mb={mb}")
 
-        _write(spark.createDataFrame([(size, cum, True)], "size long, cum long, consumed boolean"),
-               f"{base}/meta/batch_id={batch_id}")
-        batch.unpersist()
-        cums[batch_id] = cum
+        _write(spark.createDataFrame(meta_rows, "batch_id long, size long, cum long, consumed boolean, mb long"),
+               f"{base}/meta/part={mb}")
+        rows.unpersist()
+        cums[mb], state_mb[mb] = cum, mb
         if cum >= run.n:
             done.set()
 
@@ -168,7 +183,7 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
                     phi: float, epsilon: float, delta: float, m: int | None = None,
                     sticky_seed=STICKY_SEED, res_seed=RESERVOIR_SEED,
                     stream: DataFrame | None = None, processing_time: str | None = None,
-                    timeout_s: float = 3600) -> ItemStreamRun:
+                    files_per_trigger: int = 16, timeout_s: float = 3600) -> ItemStreamRun:
     """Replay ``items`` as a file stream of ``batch_size``-item batches (or
     consume the given streaming DataFrame ``stream``) and maintain the
     histogram, reservoir and sticky state until the batch holding item n.
@@ -182,7 +197,7 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     run = ItemStreamRun(spark, base, int(n), m, phi, epsilon, delta)
     if stream is None:
         run.batches = write_item_batches(items, batch_size, f"{base}/src")
-        stream = item_stream(spark, f"{base}/src")
+        stream = item_stream(spark, f"{base}/src", files_per_trigger)
     T = threshold_for(sticky_r(phi, epsilon, delta) / int(n))
     done = threading.Event()
     w = (stream.writeStream
@@ -200,7 +215,7 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     if q.exception() is not None:
         raise RuntimeError(f"item stream failed: {q.exception()}")
     meta = spark.read.parquet(f"{base}/meta").where(F.col("consumed"))
-    row = meta.agg(F.max("batch_id").alias("b"), F.max("cum").alias("c")).collect()[0]
+    row = meta.agg(F.max("mb").alias("b"), F.max("cum").alias("c")).collect()[0]
     run.last_batch = int(row["b"]) if row["b"] is not None else -1
     run.length = int(row["c"] or 0)
     return run

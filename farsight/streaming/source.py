@@ -4,8 +4,8 @@ The reference consumes a socket of integers in 10 ms micro-batches.  Here a
 stream is any streaming DataFrame with ``pos BIGINT, item INT`` (``pos`` is
 the arrival position).  For tests and the registered queries the stream is a
 Parquet file stream: the item table is written as one file per fixed-size
-batch and replayed with ``maxFilesPerTrigger=1``, so each micro-batch is one
-original batch.  File modification times are set in batch order (through the
+batch and replayed a few files per trigger.  Rows keep their original ``batch`` id, so
+the cut-off is applied per original batch whatever the micro-batch size.  File modification times are set in batch order (through the
 Hadoop FileSystem API, so this also works on a cluster file system) because
 the file source releases files oldest first.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ITEM_SCHEMA = "pos BIGINT, item INT"
+ITEM_SCHEMA = "pos BIGINT, item INT, batch BIGINT"
 
 
 def write_item_batches(items: DataFrame, batch_size: int, path: str) -> int:
@@ -25,10 +25,10 @@ def write_item_batches(items: DataFrame, batch_size: int, path: str) -> int:
     task (hash partitioning on the batch id)."""
     spark = items.sparkSession
     b = F.floor(F.col("pos") / F.lit(int(batch_size))).cast("bigint")
-    (items.select("pos", "item", b.alias("batch"))
-     .repartition("batch")
-     .sortWithinPartitions("batch", "pos")
-     .write.mode("overwrite").partitionBy("batch").parquet(path))
+    (items.select("pos", "item", b.alias("batch"), b.alias("b"))
+     .repartition("b")
+     .sortWithinPartitions("b", "pos")
+     .write.mode("overwrite").partitionBy("b").parquet(path))
     return _order_mtimes(spark, path)
 
 
@@ -40,7 +40,7 @@ def _order_mtimes(spark: SparkSession, path: str) -> int:
     files = []
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if not (st.isDirectory() and name.startswith("batch=")):
+        if not (st.isDirectory() and name.startswith("b=")):
             continue
         b = int(name.split("=", 1)[1])
         for f in fs.listStatus(st.getPath()):
@@ -53,9 +53,9 @@ def _order_mtimes(spark: SparkSession, path: str) -> int:
     return len(files)
 
 
-def item_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Streaming DataFrame over the batch files, one file per trigger."""
+def item_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+    """Streaming DataFrame over the batch files (oldest first)."""
     return (spark.readStream.schema(ITEM_SCHEMA)
-            .option("maxFilesPerTrigger", 1)
+            .option("maxFilesPerTrigger", int(files_per_trigger))
             .option("recursiveFileLookup", "true")
             .parquet(path))
