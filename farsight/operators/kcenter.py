@@ -28,6 +28,8 @@ Modes:
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -38,6 +40,16 @@ from farsight.functions.geometry import dist2d, dist_nd
 
 # Largest single FFT group (round 2) before the distributed traversal is used.
 MAX_GROUP_ROWS = 5_000_000
+# Most centers turned into one literal expression (bounded by K).
+MAX_LITERAL_CENTERS = 4096
+
+# The group function runs in Python workers: ship this module's code by
+# value so executors need no installed copy of the package.
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
 
 
 # --------------------------------------------------------------------------
@@ -148,9 +160,53 @@ def _dist_expr(coords):
     return lambda c: dist2d(F.col(x), F.col(y), c[x], c[y])
 
 
+def collect_centers(centers: DataFrame, coords=("x", "y"),
+                    max_centers: int = MAX_LITERAL_CENTERS) -> list:
+    """The centers as driver rows ordered by ``it``.  Their number is bounded
+    by K (checked), so this is a parameter-sized transfer."""
+    rows = centers.select("it", *_coord_cols(coords)).orderBy("it").limit(max_centers + 1).collect()
+    if len(rows) > max_centers:
+        raise ValueError(f"more than {max_centers} centers; use the subquery form")
+    return rows
+
+
+def _dlit(v) -> str:
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
+def _dist_sql(r, coords) -> str:
+    x, y = coords
+    cx, cy = _dlit(r[x]), _dlit(r[y])
+    return f"sqrt(({x} - {cx}) * ({x} - {cx}) + ({y} - {cy}) * ({y} - {cy}))"
+
+
+def closest_center_expr(rows, coords=("x", "y")) -> Column:
+    """struct(d, cid) of the closest literal center: ``least`` over
+    per-center structs (ties -> smaller ``it``), fully code-generated.
+    Built as one SQL expression string (one call instead of ~15 per center)."""
+    terms = [f"named_struct('d', {_dist_sql(r, coords)}, 'cid', {int(r['it'])})" for r in rows]
+    return F.expr(terms[0] if len(terms) == 1 else f"least({', '.join(terms)})")
+
+
+def min_distance_expr(rows, coords=("x", "y")) -> Column:
+    terms = [_dist_sql(r, coords) for r in rows]
+    return F.expr(terms[0] if len(terms) == 1 else f"least({', '.join(terms)})")
+
+
 def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) -> DataFrame:
     """Each point with its closest center: ``id, cid, d`` (``cid`` is the
-    center's ``it``; ties go to the earlier center)."""
+    center's ``it``; ties go to the earlier center).
+
+    2-D: the K centers (a parameter-bounded set) become literals of one
+    code-generated ``least`` expression.  n-D: they reach the points as a
+    scalar subquery array and a higher-order ``transform``."""
+    if not isinstance(coords, str):
+        rows = collect_centers(centers, coords)
+        if not rows:
+            return points.select("id", F.lit(None).cast("int").alias("cid"),
+                                 F.lit(None).cast("double").alias("d")).where(F.lit(False))
+        best = closest_center_expr(rows, coords)
+        return points.select("id", best["cid"].alias("cid"), best["d"].alias("d"))
     dist = _dist_expr(coords)
     with_c = points.select("id", *_coord_cols(coords), centers_column(centers, coords).alias("_c"))
     best = F.array_min(F.transform(F.col("_c"), lambda c: F.struct(dist(c).alias("d"), c["it"].alias("cid"))))
@@ -160,6 +216,10 @@ def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) ->
 def kcenter_radius(points: DataFrame, centers: DataFrame, coords=("x", "y")) -> DataFrame:
     """Round 3: one row ``radius`` = max over points of the distance to the
     closest center (partial max per task, one tiny final merge)."""
+    if not isinstance(coords, str):
+        rows = collect_centers(centers, coords)
+        d = min_distance_expr(rows, coords) if rows else F.lit(None).cast("double")
+        return points.agg(F.max(d).alias("radius"))
     return kcenter_assign(points, centers, coords).agg(F.max("d").alias("radius"))
 
 
@@ -190,8 +250,11 @@ def kcenter_global(points: DataFrame, K: int, coords=("x", "y")) -> DataFrame:
     chosen = [first[0]]
     dist = _dist_expr(coords)
     while len(chosen) < int(K):
-        lit_centers = F.array(*[_center_literal(r, cc) for r in chosen])
-        d = F.array_min(F.transform(lit_centers, dist))
+        if isinstance(coords, str):
+            lit_centers = F.array(*[_center_literal(r, cc) for r in chosen])
+            d = F.array_min(F.transform(lit_centers, dist))
+        else:
+            d = min_distance_expr(chosen, coords)
         best = pts.select(F.struct(d.alias("d"), (-F.col("id")).alias("nid"),
                                    "id", *cc).alias("s")).agg(F.max("s").alias("s")).collect()[0]["s"]
         if best is None or best["d"] == 0.0:

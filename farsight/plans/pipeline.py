@@ -2,8 +2,9 @@
 
 ``outlier_pipeline`` (C6): D := radius of the MapReduce k-center clustering,
 then approximate (M, D)-outliers with that D.  D is a true data dependency of
-the grid; it enters the grid plan as a scalar subquery, so the whole pipeline
-is one lazy DataFrame and Spark runs the radius job first.
+the grid: one job computes it (MR-FFT rounds 1-3, a single double reaches the
+driver) and the grid plan takes it as a literal, so the FFT rounds run exactly
+once however often the grid plan refers to D.
 
 ``k_sweep`` (C7): the same for several K in one plan.  Farthest-first is
 greedy, so the centers for K are a prefix of those for any larger K: round 1
@@ -26,11 +27,18 @@ def outlier_pipeline(points: DataFrame, K: int, L: int, M: int) -> DataFrame:
     """One row: ``radius, sure_outliers, uncertain_points, inlier_points,
     non_empty_cells, sure_cells, uncertain_cells``."""
     pts = points.select("id", "x", "y")
-    centers = kcenter.mr_fft_centers(pts, K, L)
-    radius = kcenter.kcenter_radius(pts, centers)
-    D = radius.scalar()
+    D = mr_radius(pts, K, L)
     summary = outliers.approx_outliers(pts, D, M)
-    return summary.select(D.alias("radius"), *summary.columns)
+    return summary.select(F.lit(D).alias("radius"), *summary.columns)
+
+
+def mr_radius(points: DataFrame, K: int, L: int) -> float:
+    """Radius of the MapReduce k-center clustering (one Spark job)."""
+    centers = kcenter.mr_fft_centers(points, K, L)
+    row = kcenter.kcenter_radius(points, centers).collect()[0]
+    if row["radius"] is None:
+        raise ValueError("empty point set")
+    return float(row["radius"])
 
 
 def k_sweep(points: DataFrame, Ks, L: int, M: int) -> DataFrame:
