@@ -165,6 +165,7 @@ def collect_centers(centers: DataFrame, coords=("x", "y"),
     """The centers as driver rows ordered by ``it``.  Their number is bounded
     by K (checked), so this is a parameter-sized transfer."""
     rows = centers.select("it", *_coord_cols(coords)).orderBy("it").limit(max_centers + 1).collect()
+    rows = sorted(rows, key=lambda r: r["it"])
     if len(rows) > max_centers:
         raise ValueError(f"more than {max_centers} centers; use the subquery form")
     return rows
@@ -193,24 +194,48 @@ def min_distance_expr(rows, coords=("x", "y")) -> Column:
     return F.expr(terms[0] if len(terms) == 1 else f"least({', '.join(terms)})")
 
 
+def _nd_closest_udf(rows, coords: str):
+    """Arrow-batched closest-center search for ``ARRAY<DOUBLE>`` points.
+
+    Spark's array lambdas are interpreted, so for n-D points the K
+    distances per row are computed in numpy over whole Arrow batches
+    (left-to-right sums of squared differences, as everywhere else).  The
+    K centers (parameter-bounded) travel inside the function."""
+    C = np.stack([np.asarray(r[coords], dtype=np.float64) for r in rows])
+    cids = np.asarray([int(r["it"]) for r in rows], dtype=np.int32)
+
+    @F.pandas_udf("struct<d double, cid int>")
+    def closest(v: pd.Series) -> pd.DataFrame:
+        X = np.stack(v.to_numpy()).astype(np.float64) if len(v) else np.zeros((0, C.shape[1]))
+        best_d = np.full(X.shape[0], np.inf)
+        best_c = np.zeros(X.shape[0], dtype=np.int32)
+        for k in range(C.shape[0]):
+            d = _dist_to(X, C[k])
+            better = d < best_d
+            best_d = np.where(better, d, best_d)
+            best_c = np.where(better, cids[k], best_c)
+        return pd.DataFrame({"d": best_d, "cid": best_c})
+
+    return closest(F.col(coords))
+
+
 def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) -> DataFrame:
     """Each point with its closest center: ``id, cid, d`` (``cid`` is the
     center's ``it``; ties go to the earlier center).
 
-    2-D: the K centers (a parameter-bounded set) become literals of one
-    code-generated ``least`` expression.  n-D: they reach the points as a
-    scalar subquery array and a higher-order ``transform``."""
-    if not isinstance(coords, str):
-        rows = collect_centers(centers, coords)
-        if not rows:
-            return points.select("id", F.lit(None).cast("int").alias("cid"),
-                                 F.lit(None).cast("double").alias("d")).where(F.lit(False))
-        best = closest_center_expr(rows, coords)
-        return points.select("id", best["cid"].alias("cid"), best["d"].alias("d"))
-    dist = _dist_expr(coords)
-    with_c = points.select("id", *_coord_cols(coords), centers_column(centers, coords).alias("_c"))
-    best = F.array_min(F.transform(F.col("_c"), lambda c: F.struct(dist(c).alias("d"), c["it"].alias("cid"))))
-    return with_c.select("id", best["cid"].alias("cid"), best["d"].alias("d"))
+    The K centers (a parameter-bounded set, count checked) are collected
+    once.  2-D: they become literals of one code-generated ``least``
+    expression.  n-D: an Arrow-batched numpy kernel."""
+    rows = collect_centers(centers, coords)
+    if not rows:
+        return points.select("id", F.lit(None).cast("int").alias("cid"),
+                             F.lit(None).cast("double").alias("d")).where(F.lit(False))
+    if isinstance(coords, str):
+        best = _nd_closest_udf(rows, coords)
+        return points.select("id", best.alias("b")).select("id", F.col("b.cid").alias("cid"),
+                                                            F.col("b.d").alias("d"))
+    best = closest_center_expr(rows, coords)
+    return points.select("id", best["cid"].alias("cid"), best["d"].alias("d"))
 
 
 def kcenter_radius(points: DataFrame, centers: DataFrame, coords=("x", "y")) -> DataFrame:

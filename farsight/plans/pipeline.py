@@ -9,9 +9,11 @@ once however often the grid plan refers to D.
 ``k_sweep`` (C7): the same for several K in one plan.  Farthest-first is
 greedy, so the centers for K are a prefix of those for any larger K: round 1
 runs once with max(K) and each K keeps the coreset rows with ``it <= K``.
-Round 2 runs one FFT group per K (each bounded by L*K rows); the radii and
-cell sides reach the points as one small scalar array; cells, region counts
-and classes are grouped by (k, cell).
+Round 2 runs one FFT group per K (each bounded by L*K rows); the sum(Ks)
+centers are collected (parameter-bounded) and one scan computes every K's
+radius with code-generated ``least`` expressions; the per-K cell sides are
+then literals, and cells, region counts and classes are grouped by
+(k, cell).
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farsight.functions.geometry import dist2d
+from farsight.functions.geometry import omega_for
 from farsight.operators import kcenter, outliers
 
 
@@ -50,29 +52,20 @@ def k_sweep(points: DataFrame, Ks, L: int, M: int) -> DataFrame:
     per_k = (core.select("*", F.explode(F.array(*[F.lit(k) for k in Ks])).alias("k"))
              .where(F.col("it") <= F.col("k")))
     centers = kcenter.fft_groups(per_k.select("k", "id", "x", "y"), max(Ks), ["k"])
-    centers = centers.where(F.col("it") <= F.col("k"))
-    # all centers of all K as one bounded array (sum(Ks) structs)
-    all_c = centers.agg(F.array_sort(F.collect_list(F.struct("k", "it", "x", "y"))).alias("c")).scalar()
-    with_c = pts.select("x", "y", all_c.alias("_c"))
-    def of_k(k):
-        return lambda c: c["k"] == F.lit(k)
-
-    dcols = [
-        F.array_min(F.transform(F.filter("_c", of_k(k)),
-                                lambda c: dist2d(F.col("x"), F.col("y"), c["x"], c["y"]))).alias(f"d{k}")
-        for k in Ks
-    ]
-    radii_row = with_c.select(*dcols).agg(*[F.max(f"d{k}").alias(f"r{k}") for k in Ks])
-    radii = radii_row.select(F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.col(f"r{k}").alias("radius")) for k in Ks])).alias("s")
-    ).select("s.k", "s.radius")
-    omegas = radii.agg(F.collect_list(F.struct(
-        "k", "radius", (F.col("radius") / (F.lit(2.0) * F.sqrt(F.lit(2.0)))).alias("omega"))).alias("o")).scalar()
-    per_point = (pts.select("x", "y", omegas.alias("_o"))
-                 .select("x", "y", F.explode("_o").alias("o")))
-    cells = (per_point.select(F.col("o.k").alias("k"), F.col("o.radius").alias("radius"),
-                              F.floor(F.col("x") / F.col("o.omega")).cast("bigint").alias("cx"),
-                              F.floor(F.col("y") / F.col("o.omega")).cast("bigint").alias("cy"))
+    # sum(Ks) centers in all: a parameter-bounded transfer
+    by_k: dict[int, list] = {k: [] for k in Ks}
+    for r in centers.where(F.col("it") <= F.col("k")).select("k", "it", "x", "y").collect():
+        by_k[int(r["k"])].append(r)
+    # one scan: every K's radius as its own code-generated least(...)
+    radii_row = pts.agg(*[F.max(kcenter.min_distance_expr(sorted(by_k[k], key=lambda r: r["it"])))
+                          .alias(f"r{k}") for k in Ks]).collect()[0]
+    grid = [(k, float(radii_row[f"r{k}"])) for k in Ks]
+    params = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(D).alias("radius"),
+                                F.lit(omega_for(D)).alias("omega")) for k, D in grid])
+    cells = (pts.select("x", "y", F.explode(params).alias("o"))
+             .select(F.col("o.k").alias("k"), F.col("o.radius").alias("radius"),
+                     F.floor(F.col("x") / F.col("o.omega")).cast("bigint").alias("cx"),
+                     F.floor(F.col("y") / F.col("o.omega")).cast("bigint").alias("cy"))
              .groupBy("k", "radius", "cx", "cy").agg(F.count(F.lit(1)).alias("n")))
     # radius is a function of k: carrying it as a key avoids a join back
     regions = outliers.region_counts_from_cells(cells, keys=("k", "radius"))
