@@ -183,7 +183,7 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
                     phi: float, epsilon: float, delta: float, m: int | None = None,
                     sticky_seed=STICKY_SEED, res_seed=RESERVOIR_SEED,
                     stream: DataFrame | None = None, processing_time: str | None = None,
-                    files_per_trigger: int = 16, timeout_s: float = 3600) -> ItemStreamRun:
+                    files_per_trigger: int = 4, files: int = 16, timeout_s: float = 3600) -> ItemStreamRun:
     """Replay ``items`` as a file stream of ``batch_size``-item batches (or
     consume the given streaming DataFrame ``stream``) and maintain the
     histogram, reservoir and sticky state until the batch holding item n.
@@ -196,7 +196,7 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     m = reservoir_size(phi) if m is None else int(m)
     run = ItemStreamRun(spark, base, int(n), m, phi, epsilon, delta)
     if stream is None:
-        run.batches = write_item_batches(items, batch_size, f"{base}/src")
+        run.batches = write_item_batches(items, batch_size, f"{base}/src", files)
         stream = item_stream(spark, f"{base}/src", files_per_trigger)
     T = threshold_for(sticky_r(phi, epsilon, delta) / int(n))
     done = threading.Event()

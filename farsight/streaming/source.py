@@ -3,9 +3,10 @@
 The reference consumes a socket of integers in 10 ms micro-batches.  Here a
 stream is any streaming DataFrame with ``pos BIGINT, item INT`` (``pos`` is
 the arrival position).  For tests and the registered queries the stream is a
-Parquet file stream: the item table is written as one file per fixed-size
-batch and replayed a few files per trigger.  Rows keep their original ``batch`` id, so
-the cut-off is applied per original batch whatever the micro-batch size.  File modification times are set in batch order (through the
+Parquet file stream: the item table is written, tagged with fixed-size batch
+ids, as a few files holding whole batches in order, and replayed a few files
+per trigger.  The cut-off is applied per original batch whatever the
+micro-batch size.  File modification times are set in batch order (through the
 Hadoop FileSystem API, so this also works on a cluster file system) because
 the file source releases files oldest first.
 """
@@ -18,17 +19,18 @@ from pyspark.sql import functions as F
 ITEM_SCHEMA = "pos BIGINT, item INT, batch BIGINT"
 
 
-def write_item_batches(items: DataFrame, batch_size: int, path: str) -> int:
-    """Write ``items`` as one Parquet file per batch of ``batch_size``
-    consecutive positions under ``path/batch=<b>/``; returns the number of
-    batch files.  One distributed write; the rows of a batch land in one
-    task (hash partitioning on the batch id)."""
+def write_item_batches(items: DataFrame, batch_size: int, path: str, files: int = 16) -> int:
+    """Write ``items`` with their batch id (``pos div batch_size``) as at most
+    ``files`` Parquet files.  Range partitioning on the batch id keeps every
+    batch whole inside one file and the files in batch order (the file
+    source releases files by modification time, which is set to match).
+    One distributed write; returns the number of files."""
     spark = items.sparkSession
     b = F.floor(F.col("pos") / F.lit(int(batch_size))).cast("bigint")
-    (items.select("pos", "item", b.alias("batch"), b.alias("b"))
-     .repartition("b")
-     .sortWithinPartitions("b", "pos")
-     .write.mode("overwrite").partitionBy("b").parquet(path))
+    (items.select("pos", "item", b.alias("batch"))
+     .repartitionByRange(int(files), "batch")
+     .sortWithinPartitions("pos")
+     .write.mode("overwrite").parquet(path))
     return _order_mtimes(spark, path)
 
 
@@ -40,12 +42,8 @@ def _order_mtimes(spark: SparkSession, path: str) -> int:
     files = []
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if not (st.isDirectory() and name.startswith("b=")):
-            continue
-        b = int(name.split("=", 1)[1])
-        for f in fs.listStatus(st.getPath()):
-            if f.getPath().getName().endswith(".parquet"):
-                files.append((b, f.getPath()))
+        if name.startswith("part-") and name.endswith(".parquet"):
+            files.append((int(name.split("-")[1]), st.getPath()))
     files.sort(key=lambda t: t[0])
     base = 1_000_000_000_000  # ms since epoch, 2001
     for i, (_, p) in enumerate(files):
