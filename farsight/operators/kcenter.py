@@ -42,6 +42,9 @@ from farsight.functions.geometry import dist2d, dist_nd
 MAX_GROUP_ROWS = 5_000_000
 # Most centers turned into one literal expression (bounded by K).
 MAX_LITERAL_CENTERS = 4096
+# Points one round-1 FFT task holds in memory when L is chosen automatically
+# (2-D: ~24 bytes per point plus two distance arrays).
+MAX_POINTS_PER_BUCKET = 20_000_000
 
 # The group function runs in Python workers: ship this module's code by
 # value so executors need no installed copy of the package.
@@ -122,25 +125,39 @@ def fft_groups(points: DataFrame, K: int, by: list[str], coords=("x", "y")) -> D
 # MapReduce FFT
 # --------------------------------------------------------------------------
 
-def with_bucket(points: DataFrame, L: int) -> DataFrame:
+def choose_buckets(points: DataFrame, max_points: int = MAX_POINTS_PER_BUCKET) -> int:
+    """L such that a hash bucket holds about ``max_points`` points at most
+    (one count job)."""
+    n = points.count()
+    return max(1, -(-n // int(max_points)))
+
+
+def with_bucket(points: DataFrame, L: int | None) -> DataFrame:
+    if L is None:
+        L = choose_buckets(points)
     return points.withColumn("pid", bucket_of(F.col("id"), int(L)))
 
 
-def mr_fft_coreset(points: DataFrame, K: int, L: int, coords=("x", "y")) -> DataFrame:
-    """Round 1: ``pid, it, id, <coords>`` -- up to K centers per bucket."""
+def mr_fft_coreset(points: DataFrame, K: int, L: int | None, coords=("x", "y")) -> DataFrame:
+    """Round 1: ``pid, it, id, <coords>`` -- up to K centers per bucket.
+    ``L=None`` picks the bucket count from the data size."""
     return fft_groups(with_bucket(points, L), K, ["pid"], coords)
 
 
-def mr_fft_centers_from_coreset(coreset: DataFrame, K: int, L: int, coords=("x", "y"),
+def mr_fft_centers_from_coreset(coreset: DataFrame, K: int, L: int | None, coords=("x", "y"),
                                 max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Round 2: ``it, id, <coords>``.  The coreset holds at most L*K rows."""
     pts = coreset.select("id", *_coord_cols(coords))
+    if L is None:
+        L = coreset.agg(F.countDistinct("pid")).collect()[0][0] if "pid" in coreset.columns else 1
     if int(L) * int(K) > max_group_rows:
         return kcenter_global(pts, K, coords)
     return fft_groups(pts, K, [], coords)
 
 
-def mr_fft_centers(points: DataFrame, K: int, L: int, coords=("x", "y")) -> DataFrame:
+def mr_fft_centers(points: DataFrame, K: int, L: int | None, coords=("x", "y")) -> DataFrame:
+    if L is None:
+        L = choose_buckets(points)
     return mr_fft_centers_from_coreset(mr_fft_coreset(points, K, L, coords), K, L, coords)
 
 

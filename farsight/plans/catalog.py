@@ -303,3 +303,44 @@ STREAM_SQL: dict[str, str] = {
 
 ALL_QUERIES.update(STREAM_QUERIES)
 ALL_SQL.update(STREAM_SQL)
+
+
+# ------------------------------------------------------------ text sources
+
+from farsight.session import scratch_path  # noqa: E402
+from farsight.sources import read_items_text, read_points_text  # noqa: E402
+
+
+def _csv_point_scan(spark, sf):
+    """Points written as the reference's header-less CSV and scanned back
+    (FAILFAST parse) -> ``n_points, n_distinct, min_x, max_x, min_y, max_y``."""
+    path = scratch_path(spark, "points-csv")
+    points2d(spark, sf).select("x", "y").write.mode("overwrite").option("header", "false").csv(path)
+    p = read_points_text(spark, path)
+    per_xy = p.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
+    return per_xy.agg(F.sum("c").cast("bigint").alias("n_points"),
+                      F.count(F.lit(1)).cast("bigint").alias("n_distinct"),
+                      F.min("x").alias("min_x"), F.max("x").alias("max_x"),
+                      F.min("y").alias("min_y"), F.max("y").alias("max_y"))
+
+
+def _text_item_histogram(spark, sf):
+    """Items written one integer per line and scanned back -> histogram."""
+    path = scratch_path(spark, "items-text")
+    stream_items(spark, sf).select(F.col("item").cast("string")).write.mode("overwrite").text(path)
+    return itemops.item_histogram(read_items_text(spark, path))
+
+
+TEXT_QUERIES: dict[str, Query] = {
+    "csv_point_scan": _csv_point_scan,
+    "text_item_histogram": _text_item_histogram,
+}
+TEXT_SQL: dict[str, str] = {
+    "csv_point_scan": f"""WITH p AS ({S.POINTS2D})
+        SELECT CAST(count(*) AS BIGINT) AS n_points,
+               (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT x, y FROM p)) AS n_distinct,
+               min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y FROM p""",
+    "text_item_histogram": ITEM_SQL["item_histogram"],
+}
+ALL_QUERIES.update(TEXT_QUERIES)
+ALL_SQL.update(TEXT_SQL)

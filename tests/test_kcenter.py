@@ -89,3 +89,11 @@ def test_assign_consistent_with_radius(spark):
     assert assign.d.max() == kcenter.kcenter_radius(p, cen).collect()[0]["radius"]
     ids = {r["id"] for r in cen.collect()}
     assert kcenter.non_center_points(p, cen).count() == p.count() - len(ids)
+
+
+def test_auto_bucket_count(spark):
+    p = points2d(spark, SF001)
+    assert kcenter.choose_buckets(p, 300) == 4
+    auto = [r["id"] for r in kcenter.mr_fft_centers(p, 5, None).orderBy("it").collect()]
+    one = [r["id"] for r in kcenter.mr_fft_centers(p, 5, 1).orderBy("it").collect()]
+    assert auto == one          # 1,000 points fit one bucket
