@@ -252,7 +252,7 @@ ALL_SQL.update(ITEM_SQL)
 
 # -------------------------------------------------------------- streaming
 
-from farsight.streaming.items import run_item_stream  # noqa: E402
+from farsight.streaming.items import run_item_stream, run_state_histogram  # noqa: E402
 
 STREAM_N, STREAM_BATCH = 5000, 360
 _RUNS: dict = {}
@@ -276,6 +276,7 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_sticky": lambda s, d: _stream_run(s, d).sticky(),
     "stream_frequent_sticky": lambda s, d: _stream_run(s, d).frequent_sticky(),
     "stream_consumed": lambda s, d: _stream_run(s, d).consumed(),
+    "stream_histogram_state": lambda s, d: run_state_histogram(s, _i(s, d), STREAM_N, STREAM_BATCH),
 }
 
 _LAST = (STREAM_N - 1) // STREAM_BATCH
@@ -288,6 +289,7 @@ st AS (SELECT it.item, hits.fp, CAST(count(*) AS BIGINT) AS est FROM it JOIN hit
 
 STREAM_SQL: dict[str, str] = {
     "stream_histogram": f"{_CUT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item",
+    "stream_histogram_state": f"{_CUT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item",
     "stream_distinct": f"""{_CUT} SELECT CAST(count(*) AS BIGINT) AS n_items,
         CAST(count(DISTINCT item) AS BIGINT) AS n_distinct, max(item) AS max_item FROM it""",
     "stream_frequent_exact": f"""{_CUT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item

@@ -219,3 +219,38 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     run.last_batch = int(row["b"]) if row["b"] is not None else -1
     run.length = int(row["c"] or 0)
     return run
+
+
+def run_state_histogram(spark: SparkSession, items: DataFrame, n: int, batch_size: int,
+                        files_per_trigger: int = 4, files: int = 16,
+                        timeout_s: float = 3600) -> DataFrame:
+    """Exact histogram kept in the streaming state store.
+
+    A native streaming aggregation (``groupBy(item).count()``, update mode)
+    holds one row per distinct item in the state store; each micro-batch's
+    changed rows are written under its batch id (idempotent upserts) and the
+    answer is the latest count per item.  The cut-off is a stateless filter
+    on the fixed-size original batch id (whole batches up to the one holding
+    item n), so no running length is needed.  Returns ``item, cnt``."""
+    base = scratch_path(spark, "state-histogram")
+    write_item_batches(items, batch_size, f"{base}/src", files)
+    last = (int(n) - 1) // int(batch_size)
+    counts = (item_stream(spark, f"{base}/src", files_per_trigger)
+              .where(F.col("batch") <= last)
+              .groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
+
+    def upsert(df: DataFrame, mb: int) -> None:
+        df.withColumn("mb", F.lit(mb).cast("bigint")) \
+          .write.mode("overwrite").parquet(f"{base}/updates/mb={mb}")
+
+    q = (counts.writeStream.outputMode("update")
+         .foreachBatch(upsert)
+         .option("checkpointLocation", f"{base}/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(f"state histogram failed: {q.exception()}")
+    upd = spark.read.parquet(f"{base}/updates").select("item", "cnt", "mb")
+    return upd.groupBy("item").agg(F.max_by("cnt", "mb").alias("cnt"))
