@@ -1,9 +1,17 @@
 """Repeatable pseudo-random draws.
 
-A draw is a pure function of (seed, key): the first 15 hex digits of
-``md5('<seed>:<key>')`` read as an integer, uniform on [0, 2^60).  Because it
+A draw is a pure function of (seed, key), uniform on [0, 2^60).  Because it
 is a column expression, a retried task or a re-run micro-batch draws the same
-numbers (no driver-side RNG state), and the SQL oracle can reproduce it.
+numbers (no driver-side RNG state).
+
+Two hash families, chosen by the session setting ``farsight.draw.hash``:
+
+* ``md5`` (default): the first 15 hex digits of ``md5('<seed>:<key>')``.
+  The SQL oracle and plain Python reproduce it bit for bit.
+* ``xxhash64``: Spark's native 64-bit hash of (seed, key), low 60 bits.
+  No string building or hex parsing, roughly an order of magnitude cheaper
+  per row; use it for production-size runs where no external engine has to
+  reproduce the draws.
 """
 
 from __future__ import annotations
@@ -16,7 +24,22 @@ from pyspark.sql import functions as F
 TWO_POW_60 = 1 << 60
 
 
-def draw(seed, key: Column) -> Column:
+HASH_CONF = "farsight.draw.hash"
+
+
+def _method() -> str:
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    m = s.conf.get(HASH_CONF, "md5") if s is not None else "md5"
+    if m not in ("md5", "xxhash64"):
+        raise ValueError(f"{HASH_CONF} must be md5 or xxhash64, got {m!r}")
+    return m
+
+
+def draw(seed, key: Column, method: str | None = None) -> Column:
+    method = method or _method()
+    if method == "xxhash64":
+        return F.xxhash64(F.lit(str(seed)), key).bitwiseAND(F.lit(TWO_POW_60 - 1))
     h = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 

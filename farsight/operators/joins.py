@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from farsight.session import materialize
 
-# Rows of a narrow key table that are safe to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Rows of a narrow key table that are safe to ship to every executor
+# (a few tens of MB for two or three narrow columns).
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -104,3 +104,27 @@ def test_summary_consistent(spark):
     assert row["table_size"] == sampling.sticky_table(it, 0.05, 0.01, 0.1).count()
     assert row["n_estimated"] == sampling.frequent_sticky(it, 0.05, 0.01, 0.1).count()
     assert row["n_common"] == sampling.frequent_common(it, 0.05, 0.01, 0.1).count()
+
+
+def test_xxhash_draws_keep_invariants(spark):
+    it = stream_items(spark, SF001)
+    spark.conf.set("farsight.draw.hash", "xxhash64")
+    try:
+        from pyspark.sql import functions as F
+        u = [r[0] for r in spark.range(1000).select(draw(42, F.col("id"))).collect()]
+        assert all(0 <= v < TWO_POW_60 for v in u) and len(set(u)) == 1000
+        S = {r["item"]: r["est"] for r in sampling.sticky_table(it, 0.05, 0.01, 0.1).collect()}
+        truth = {r["item"]: r["cnt"] for r in itemops.item_histogram(it).collect()}
+        assert S and all(est <= truth[i] for i, est in S.items())
+        res = sampling.reservoir_sample(it, 20).collect()
+        assert len(res) == 20 and len({r["pos"] for r in res}) == 20
+    finally:
+        spark.conf.unset("farsight.draw.hash")
+
+
+def test_sticky_recall_of_true_frequent_items(spark):
+    from conftest import SF01
+    it = stream_items(spark, SF01)
+    row = sampling.frequent_summary(it, 0.05, 0.01, 0.1).collect()[0]
+    assert row["n_true"] > 0
+    assert row["n_common"] == row["n_true"]
