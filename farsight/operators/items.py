@@ -44,12 +44,24 @@ def frequent_exact(items: DataFrame, phi: float, n: int | None = None) -> DataFr
     return item_histogram(items).where(F.col("cnt") > thr)
 
 
-def stream_cutoff(items: DataFrame, n: int, batch_size: int) -> DataFrame:
+def stream_cutoff(items: DataFrame, n: int, batch_size: int | None = None) -> DataFrame:
     """Items consumed by a micro-batched reader that stops after the batch
     holding the n-th item: all whole batches up to and including it.
-    Batches are ``pos div batch_size``; ``pos, item, batch``."""
-    if int(n) <= 0 or int(batch_size) <= 0:
-        raise ValueError("n and batch_size must be > 0")
-    last = (int(n) - 1) // int(batch_size)
-    b = F.floor(F.col("pos") / F.lit(int(batch_size))).cast("bigint")
-    return items.select("pos", "item", b.alias("batch")).where(F.col("batch") <= last)
+
+    Batches are the ``batch`` column when present (e.g. arrival-time
+    intervals, variable in size) else ``pos div batch_size``.  Batches are
+    contiguous in ``pos``, so the cut-off batch is simply the batch of the
+    item at ``pos = n-1`` (a one-row scalar subquery); a stream shorter than
+    n is consumed whole.  Returns ``pos, item, batch``."""
+    if int(n) <= 0:
+        raise ValueError("n must be > 0")
+    if "batch" not in items.columns:
+        if batch_size is None or int(batch_size) <= 0:
+            raise ValueError("batch_size must be > 0 when items have no batch column")
+        b = F.floor(F.col("pos") / F.lit(int(batch_size))).cast("bigint")
+        items = items.select("pos", "item", b.alias("batch"))
+    else:
+        items = items.select("pos", "item", F.col("batch").cast("bigint").alias("batch"))
+        at_n = items.where(F.col("pos") == int(n) - 1).agg(F.max("batch")).scalar()
+        return items.where(at_n.isNull() | (F.col("batch") <= at_n))
+    return items.where(F.col("batch") <= F.lit((int(n) - 1) // int(batch_size)))

@@ -306,6 +306,57 @@ STREAM_SQL: dict[str, str] = {
 ALL_QUERIES.update(STREAM_QUERIES)
 ALL_SQL.update(STREAM_SQL)
 
+# arrival-time micro-batches (variable size), as the reference's 10 ms
+# intervals: one-hour intervals of events.ts
+from farsight.sources import stream_items_timed  # noqa: E402
+
+TIME_BATCH_S = 3600
+_TRUNS: dict = {}
+
+
+def _timed(spark, sf):
+    return stream_items_timed(spark, sf, TIME_BATCH_S)
+
+
+def _time_run(spark, sf):
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRUNS:
+        _TRUNS[key] = run_item_stream(spark, _timed(spark, sf), STREAM_N, None,
+                                      PHI, EPS, DELTA, m=RES_M,
+                                      sticky_seed=STICKY_SEED, res_seed=RES_SEED)
+    return _TRUNS[key]
+
+
+_TIMED = (f"SELECT event_id AS pos, CAST(floor(value / 10) AS INTEGER) AS item, "
+          f"epoch_us(ts) // {TIME_BATCH_S * 1_000_000} AS batch FROM events")
+
+
+def _time_cut_sql(n: int) -> str:
+    return f"""WITH t AS ({_TIMED}),
+it AS (SELECT * FROM t WHERE batch <= coalesce((SELECT max(batch) FROM t WHERE pos = {int(n) - 1}),
+                                             (SELECT max(batch) FROM t)))"""
+
+
+TIME_QUERIES: dict[str, Query] = {
+    "stream_cutoff_time": lambda s, d: itemops.stream_cutoff(_timed(s, d), CUT_N),
+    "stream_consumed_time": lambda s, d: _time_run(s, d).consumed(),
+    "stream_histogram_time": lambda s, d: _time_run(s, d).histogram(),
+    "stream_sticky_time": lambda s, d: _time_run(s, d).sticky(),
+}
+TIME_SQL: dict[str, str] = {
+    "stream_cutoff_time": f"{_time_cut_sql(CUT_N)} SELECT pos, item, batch FROM it",
+    "stream_consumed_time": f"""{_time_cut_sql(STREAM_N)} SELECT batch AS batch_id, size,
+        CAST(sum(size) OVER (ORDER BY batch) AS BIGINT) AS cum
+        FROM (SELECT batch, CAST(count(*) AS BIGINT) AS size FROM it GROUP BY batch)""",
+    "stream_histogram_time": f"{_time_cut_sql(STREAM_N)} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item",
+    "stream_sticky_time": f"""{_time_cut_sql(STREAM_N)},
+hits AS (SELECT item, min(pos) AS fp FROM it WHERE {S.draw(STICKY_SEED, 'pos')} <= {_ST_T} GROUP BY item)
+SELECT it.item, hits.fp, CAST(count(*) AS BIGINT) AS est FROM it JOIN hits USING (item)
+WHERE it.pos >= hits.fp GROUP BY it.item, hits.fp""",
+}
+ALL_QUERIES.update(TIME_QUERIES)
+ALL_SQL.update(TIME_SQL)
+
 
 # ------------------------------------------------------------ text sources
 

@@ -62,6 +62,19 @@ def stream_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_items_timed(spark: SparkSession, sf_dir: str, interval_s: int) -> DataFrame:
+    """``stream_items`` plus ``batch``: the arrival-time micro-batch of each
+    item (``ts`` cut into ``interval_s``-second intervals, time-zone free).
+    Batches are variable in size and contiguous in ``pos``."""
+    ev = read_table(spark, sf_dir, "events")
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    return ev.select(
+        F.col("event_id").alias("pos"),
+        F.floor(F.col("value") / 10).cast("int").alias("item"),
+        F.floor(micros / F.lit(int(interval_s) * 1_000_000)).cast("bigint").alias("batch"),
+    )
+
+
 def read_points_text(spark: SparkSession, path: str, dims: int = 2) -> DataFrame:
     """Header-less CSV of ``dims`` floats per line -> ``id, x, y`` (dims=2)
     or ``id, v`` (dims>2).  FAILFAST: a malformed token fails the job.

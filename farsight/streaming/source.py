@@ -19,14 +19,17 @@ from pyspark.sql import functions as F
 ITEM_SCHEMA = "pos BIGINT, item INT, batch BIGINT"
 
 
-def write_item_batches(items: DataFrame, batch_size: int, path: str, files: int = 16) -> int:
-    """Write ``items`` with their batch id (``pos div batch_size``) as at most
-    ``files`` Parquet files.  Range partitioning on the batch id keeps every
+def write_item_batches(items: DataFrame, batch_size: int | None, path: str, files: int = 16) -> int:
+    """Write ``items`` with their batch id (their ``batch`` column, else
+    ``pos div batch_size``) as at most ``files`` Parquet files.  Range partitioning on the batch id keeps every
     batch whole inside one file and the files in batch order (the file
     source releases files by modification time, which is set to match).
     One distributed write; returns the number of files."""
     spark = items.sparkSession
-    b = F.floor(F.col("pos") / F.lit(int(batch_size))).cast("bigint")
+    if "batch" in items.columns:
+        b = F.col("batch").cast("bigint")
+    else:
+        b = F.floor(F.col("pos") / F.lit(int(batch_size))).cast("bigint")
     (items.select("pos", "item", b.alias("batch"))
      .repartitionByRange(int(files), "batch")
      .sortWithinPartitions("pos")

@@ -128,3 +128,13 @@ def test_sticky_recall_of_true_frequent_items(spark):
     row = sampling.frequent_summary(it, 0.05, 0.01, 0.1).collect()[0]
     assert row["n_true"] > 0
     assert row["n_common"] == row["n_true"]
+
+
+def test_cutoff_variable_batches(spark):
+    batches = [0, 0, 0, 1, 2, 2, 2, 2, 3]
+    df = spark.createDataFrame([(i, 10 + i, b) for i, b in enumerate(batches)],
+                               "pos long, item int, batch long")
+    assert itemops.stream_cutoff(df, 4).count() == 4      # item 4 is in batch 1
+    assert itemops.stream_cutoff(df, 5).count() == 8      # item 5 opens batch 2
+    assert itemops.stream_cutoff(df, 3).count() == 3
+    assert itemops.stream_cutoff(df, 100).count() == 9    # shorter stream: all

@@ -25,3 +25,15 @@ def test_stream_equals_batch_twin_for_any_split(spark):
         assert _as_set(run.sticky()) == sticky
         assert _as_set(run.reservoir()) == res
         assert [r["cum"] for r in run.consumed().orderBy("batch_id").collect()] == [100, 200, 300, 400, 500]
+
+
+def test_stream_variable_batches(spark):
+    batches = [0, 0, 0, 1, 2, 2, 2, 2, 3, 3, 5]
+    df = spark.createDataFrame([(i, i % 3, b) for i, b in enumerate(batches)],
+                               "pos long, item int, batch long")
+    run = run_item_stream(spark, df, 5, None, 0.4, 0.1, 0.1, m=2, files_per_trigger=1, files=4)
+    assert run.length == 8
+    assert [(r["batch_id"], r["size"], r["cum"]) for r in run.consumed().orderBy("batch_id").collect()] == \
+        [(0, 3, 3), (1, 1, 4), (2, 4, 8)]
+    cut = itemops.stream_cutoff(df, 5).select("pos", "item")
+    assert _as_set(run.histogram()) == _as_set(itemops.item_histogram(cut))
