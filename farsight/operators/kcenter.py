@@ -296,11 +296,10 @@ def kcenter_global(points: DataFrame, K: int, coords=("x", "y")) -> DataFrame:
     if not first:
         return spark.createDataFrame([], _centers_schema(points, coords))
     chosen = [first[0]]
-    dist = _dist_expr(coords)
     while len(chosen) < int(K):
         if isinstance(coords, str):
-            lit_centers = F.array(*[_center_literal(r, cc) for r in chosen])
-            d = F.array_min(F.transform(lit_centers, dist))
+            keyed = [{"it": i + 1, coords: r[coords]} for i, r in enumerate(chosen)]
+            d = _nd_closest_udf(keyed, coords)["d"]
         else:
             d = min_distance_expr(chosen, coords)
         best = pts.select(F.struct(d.alias("d"), (-F.col("id")).alias("nid"),
@@ -312,17 +311,6 @@ def kcenter_global(points: DataFrame, K: int, coords=("x", "y")) -> DataFrame:
     return spark.createDataFrame(rows, _centers_schema(points, coords))
 
 
-def _center_literal(r, cc) -> Column:
-    vals = []
-    for c in cc:
-        v = r[c]
-        if isinstance(v, (list, tuple)):
-            vals.append(F.array(*[F.lit(float(e)) for e in v]).cast("array<double>").alias(c))
-        else:
-            vals.append(F.lit(float(v)).alias(c))
-    return F.struct(*vals)
-
-
 def _centers_schema(points: DataFrame, coords) -> str:
     cc = _coord_cols(coords)
     return ", ".join(["it int", f"id {points.schema['id'].dataType.simpleString()}"]

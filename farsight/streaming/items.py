@@ -27,7 +27,8 @@ batch size and the running length touch the driver:
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass, field
+import time
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ class ItemStreamRun:
     batches: int = 0
     last_batch: int = -1     # last micro-batch that consumed items
     length: int = 0
-    extra: dict = field(default_factory=dict)
+    done_mb: int = -1        # micro-batch that reached n
 
     # ------------------------------------------------------------ results
     def _read(self, name: str) -> DataFrame:
@@ -174,6 +175,7 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
         rows.unpersist()
         cums[mb], state_mb[mb] = cum, mb
         if cum >= run.n:
+            run.done_mb = mb
             done.set()
 
     return handle
@@ -209,6 +211,13 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     else:
         q = w.trigger(processingTime=processing_time).start()
         done.wait(timeout_s)
+        # stop only once the cut-off batch is committed (never mid-batch)
+        deadline = time.monotonic() + 60
+        while q.isActive and time.monotonic() < deadline:
+            prog = q.lastProgress
+            if prog is not None and int(prog["batchId"]) >= run.done_mb:
+                break
+            time.sleep(0.05)
         q.stop()
     if q.isActive:
         q.stop()

@@ -97,3 +97,13 @@ def test_auto_bucket_count(spark):
     auto = [r["id"] for r in kcenter.mr_fft_centers(p, 5, None).orderBy("it").collect()]
     one = [r["id"] for r in kcenter.mr_fft_centers(p, 5, 1).orderBy("it").collect()]
     assert auto == one          # 1,000 points fit one bucket
+
+
+def test_nd_round2_fallback_equals_group(spark):
+    from farsight.sources import points_nd
+    p = points_nd(spark, SF001)
+    core = kcenter.mr_fft_coreset(p, 6, 2, coords="v")
+    a = [r["id"] for r in kcenter.mr_fft_centers_from_coreset(core, 6, 2, coords="v").orderBy("it").collect()]
+    b = [r["id"] for r in kcenter.mr_fft_centers_from_coreset(core, 6, 2, coords="v", max_group_rows=1)
+         .orderBy("it").collect()]
+    assert a == b

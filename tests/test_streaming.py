@@ -37,3 +37,12 @@ def test_stream_variable_batches(spark):
         [(0, 3, 3), (1, 1, 4), (2, 4, 8)]
     cut = itemops.stream_cutoff(df, 5).select("pos", "item")
     assert _as_set(run.histogram()) == _as_set(itemops.item_histogram(cut))
+
+
+def test_live_trigger_stops_after_cutoff(spark):
+    items = stream_items(spark, SF001)
+    run = run_item_stream(spark, items, 250, 100, PHI, EPS, DELTA, m=20,
+                          processing_time="200 milliseconds", files_per_trigger=1)
+    assert run.length == 300
+    cut = itemops.stream_cutoff(items, 250, 100).select("pos", "item")
+    assert _as_set(run.histogram()) == _as_set(itemops.item_histogram(cut))
