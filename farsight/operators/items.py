@@ -32,7 +32,7 @@ def stream_stats(items: DataFrame) -> DataFrame:
     """``n_items, n_distinct, max_item`` (exact).  The distinct count is a
     two-level aggregation keyed by item, so no set is gathered in one task."""
     per_item = items.groupBy("item").agg(F.count(F.lit(1)).alias("c"))
-    return per_item.agg(F.sum("c").cast("bigint").alias("n_items"),
+    return per_item.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("n_items"),
                         F.count(F.lit(1)).cast("bigint").alias("n_distinct"),
                         F.max("item").alias("max_item"))
 

@@ -43,7 +43,7 @@ RESERVOIR_SEED = 43
 
 def sticky_threshold(r: float, n: Column) -> Column:
     """T = floor(min(1, r/n) * 2^60): a draw u succeeds iff u <= T."""
-    rate = F.least(F.lit(1.0), F.lit(float(r)) / n)
+    rate = F.least(F.lit(1.0), F.lit(float(r)) / F.greatest(n, F.lit(1)))
     return F.floor(rate * F.lit(float(TWO_POW_60))).cast("bigint")
 
 
@@ -55,7 +55,7 @@ def sticky_rate(items: DataFrame, phi: float, epsilon: float, delta: float,
     ncol = F.col("_cnt") if n is None else length_col(items, n)
     return counted.select(
         F.lit(float(r)).alias("r"), ncol.alias("n"),
-        F.least(F.lit(1.0), F.lit(float(r)) / ncol).alias("rate"),
+        F.least(F.lit(1.0), F.lit(float(r)) / F.greatest(ncol, F.lit(1))).alias("rate"),
         sticky_threshold(r, ncol).alias("threshold"))
 
 

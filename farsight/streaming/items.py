@@ -66,7 +66,7 @@ class ItemStreamRun:
 
     def stats(self) -> DataFrame:
         """``n_items, n_distinct, max_item``."""
-        return self.histogram().agg(F.sum("cnt").cast("bigint").alias("n_items"),
+        return self.histogram().agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("bigint").alias("n_items"),
                                     F.count(F.lit(1)).cast("bigint").alias("n_distinct"),
                                     F.max("item").alias("max_item"))
 
