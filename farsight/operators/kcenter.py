@@ -40,8 +40,9 @@ from farsight.functions.geometry import dist2d, dist_nd
 
 # Largest single FFT group (round 2) before the distributed traversal is used.
 MAX_GROUP_ROWS = 5_000_000
-# Most centers turned into one literal expression (bounded by K).
-MAX_LITERAL_CENTERS = 4096
+# Most centers turned into one generated expression; beyond it (huge K) the
+# closest-center search runs in the Arrow-batched numpy kernel.
+MAX_LITERAL_CENTERS = 1024
 # Points one round-1 FFT task holds in memory when L is chosen automatically
 # (2-D: ~24 bytes per point plus two distance arrays).
 MAX_POINTS_PER_BUCKET = 20_000_000
@@ -177,15 +178,11 @@ def _dist_expr(coords):
     return lambda c: dist2d(F.col(x), F.col(y), c[x], c[y])
 
 
-def collect_centers(centers: DataFrame, coords=("x", "y"),
-                    max_centers: int = MAX_LITERAL_CENTERS) -> list:
-    """The centers as driver rows ordered by ``it``.  Their number is bounded
-    by K (checked), so this is a parameter-sized transfer."""
-    rows = centers.select("it", *_coord_cols(coords)).orderBy("it").limit(max_centers + 1).collect()
-    rows = sorted(rows, key=lambda r: r["it"])
-    if len(rows) > max_centers:
-        raise ValueError(f"more than {max_centers} centers; use the subquery form")
-    return rows
+def collect_centers(centers: DataFrame, coords=("x", "y")) -> list:
+    """The centers as driver rows ordered by ``it``.  FFT returns at most K
+    rows, so this is a parameter-sized transfer."""
+    rows = centers.select("it", *_coord_cols(coords)).collect()
+    return sorted(rows, key=lambda r: r["it"])
 
 
 def _dlit(v) -> str:
@@ -217,19 +214,22 @@ def min_distance_expr(rows, coords=("x", "y")) -> Column:
     return F.expr(f"sqrt({terms[0] if len(terms) == 1 else 'least(' + ', '.join(terms) + ')'})")
 
 
-def _nd_closest_udf(rows, coords: str):
-    """Arrow-batched closest-center search for ``ARRAY<DOUBLE>`` points.
+def _nd_closest_udf(rows, coords):
+    """Arrow-batched closest-center search.
 
-    Spark's array lambdas are interpreted, so for n-D points the K
-    distances per row are computed in numpy over whole Arrow batches
-    (left-to-right sums of squared differences, as everywhere else).  The
-    K centers (parameter-bounded) travel inside the function."""
-    C = np.stack([np.asarray(r[coords], dtype=np.float64) for r in rows])
+    Spark's array lambdas are interpreted, so for n-D points (an
+    ``ARRAY<DOUBLE>`` column) the K distances per row are computed in numpy
+    over whole Arrow batches (left-to-right sums of squared differences, as
+    everywhere else).  2-D points use it only when K is too large for one
+    generated expression.  The centers (parameter-bounded) travel inside the
+    function."""
+    if isinstance(coords, str):
+        C = np.stack([np.asarray(r[coords], dtype=np.float64) for r in rows])
+    else:
+        C = np.asarray([[float(r[c]) for c in coords] for r in rows], dtype=np.float64)
     cids = np.asarray([int(r["it"]) for r in rows], dtype=np.int32)
 
-    @F.pandas_udf("struct<d double, cid int>")
-    def closest(v: pd.Series) -> pd.DataFrame:
-        X = np.stack(v.to_numpy()).astype(np.float64) if len(v) else np.zeros((0, C.shape[1]))
+    def _closest(X: np.ndarray) -> pd.DataFrame:
         best_d = np.full(X.shape[0], np.inf)
         best_c = np.zeros(X.shape[0], dtype=np.int32)
         for k in range(C.shape[0]):
@@ -239,7 +239,17 @@ def _nd_closest_udf(rows, coords: str):
             best_c = np.where(better, cids[k], best_c)
         return pd.DataFrame({"d": best_d, "cid": best_c})
 
-    return closest(F.col(coords))
+    if isinstance(coords, str):
+        @F.pandas_udf("struct<d double, cid int>")
+        def closest_arr(v: pd.Series) -> pd.DataFrame:
+            X = np.stack(v.to_numpy()).astype(np.float64) if len(v) else np.zeros((0, C.shape[1]))
+            return _closest(X)
+        return closest_arr(F.col(coords))
+
+    @F.pandas_udf("struct<d double, cid int>")
+    def closest_xy(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+        return _closest(np.column_stack([x.to_numpy(np.float64), y.to_numpy(np.float64)]))
+    return closest_xy(F.col(coords[0]), F.col(coords[1]))
 
 
 def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) -> DataFrame:
@@ -253,7 +263,7 @@ def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) ->
     if not rows:
         return points.select("id", F.lit(None).cast("int").alias("cid"),
                              F.lit(None).cast("double").alias("d")).where(F.lit(False))
-    if isinstance(coords, str):
+    if isinstance(coords, str) or len(rows) > MAX_LITERAL_CENTERS:
         best = _nd_closest_udf(rows, coords)
         return points.select("id", best.alias("b")).select("id", F.col("b.cid").alias("cid"),
                                                             F.col("b.d").alias("d"))
@@ -266,8 +276,9 @@ def kcenter_radius(points: DataFrame, centers: DataFrame, coords=("x", "y")) ->
     closest center (partial max per task, one tiny final merge)."""
     if not isinstance(coords, str):
         rows = collect_centers(centers, coords)
-        d = min_distance_expr(rows, coords) if rows else F.lit(None).cast("double")
-        return points.agg(F.max(d).alias("radius"))
+        if len(rows) <= MAX_LITERAL_CENTERS:
+            d = min_distance_expr(rows, coords) if rows else F.lit(None).cast("double")
+            return points.agg(F.max(d).alias("radius"))
     return kcenter_assign(points, centers, coords).agg(F.max("d").alias("radius"))
 
 
@@ -297,8 +308,8 @@ def kcenter_global(points: DataFrame, K: int, coords=("x", "y")) -> DataFrame:
         return spark.createDataFrame([], _centers_schema(points, coords))
     chosen = [first[0]]
     while len(chosen) < int(K):
-        if isinstance(coords, str):
-            keyed = [{"it": i + 1, coords: r[coords]} for i, r in enumerate(chosen)]
+        if isinstance(coords, str) or len(chosen) > MAX_LITERAL_CENTERS:
+            keyed = [dict(it=i + 1, **{c: r[c] for c in cc}) for i, r in enumerate(chosen)]
             d = _nd_closest_udf(keyed, coords)["d"]
         else:
             d = min_distance_expr(chosen, coords)

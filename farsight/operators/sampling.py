@@ -89,10 +89,12 @@ def frequent_sticky(items: DataFrame, phi: float, epsilon: float, delta: float,
 
 
 def _mark(df: DataFrame, truth: DataFrame) -> DataFrame:
-    """Adds ``mark`` '+' when the item is truly frequent, else '-'.  Both
-    sides are item-keyed; the truth side has at most 1/phi rows."""
-    t = truth.select("item", F.lit(True).alias("_t"))
-    return df.join(F.broadcast(t), "item", "left") \
+    """Adds ``mark`` '+' when the item is truly frequent, else '-'.  The
+    truth side has at most 1/phi rows when n is the stream length (but not
+    for a smaller caller-given n), so its size is checked before it is
+    broadcast."""
+    t, _ = broadcast_if_small(truth.select("item", F.lit(True).alias("_t")))
+    return df.join(t, "item", "left") \
              .withColumn("mark", F.when(F.col("_t"), F.lit("+")).otherwise(F.lit("-"))).drop("_t")
 
 

@@ -107,3 +107,14 @@ def test_nd_round2_fallback_equals_group(spark):
     b = [r["id"] for r in kcenter.mr_fft_centers_from_coreset(core, 6, 2, coords="v", max_group_rows=1)
          .orderBy("it").collect()]
     assert a == b
+
+
+def test_numpy_kernel_equals_generated_expression(spark, monkeypatch):
+    p = points2d(spark, SF001)
+    cen = kcenter.mr_fft_centers(p, 12, 2)
+    a = {tuple(r) for r in kcenter.kcenter_assign(p, cen).collect()}
+    ra = kcenter.kcenter_radius(p, cen).collect()[0]["radius"]
+    monkeypatch.setattr(kcenter, "MAX_LITERAL_CENTERS", 4)
+    b = {tuple(r) for r in kcenter.kcenter_assign(p, cen).collect()}
+    rb = kcenter.kcenter_radius(p, cen).collect()[0]["radius"]
+    assert a == b and ra == rb
