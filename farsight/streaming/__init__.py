@@ -1,2 +1,2 @@
 from farsight.streaming.source import write_item_batches, item_stream  # noqa: F401
-from farsight.streaming.items import ItemStreamRun, run_item_stream  # noqa: F401
+from farsight.streaming.items import ItemStreamFailed, ItemStreamRun, run_item_stream  # noqa: F401

@@ -41,6 +41,14 @@ from farsight.session import scratch_path
 from farsight.streaming.source import item_stream, write_item_batches
 
 
+class ItemStreamFailed(RuntimeError):
+    """The streaming query failed; ``base`` resumes it from its checkpoint."""
+
+    def __init__(self, message: str, base: str):
+        super().__init__(message)
+        self.base = base
+
+
 @dataclass
 class ItemStreamRun:
     spark: SparkSession
@@ -96,7 +104,7 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
-                   sticky_seed, res_seed):
+                   sticky_seed, res_seed, fail_at: int | None = None):
     spark = run.spark
     base = run.base
     # driver caches of the meta log (rebuilt from it after a restart)
@@ -169,6 +177,9 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
         S = (keyed.join(add, "item", "left")
              .select("item", "fp", (F.col("est0") + F.coalesce("add", F.lit(0))).cast("bigint").alias("est")))
         _write(S, f"{base}/sticky/mb={mb}")
+        if fail_at is not None and mb == fail_at:
+            # test hook: die after partial writes, before the batch commits
+            raise RuntimeError(f"injected failure in micro-batch {mb}")
 
         _write(spark.createDataFrame(meta_rows, "batch_id long, size long, cum long, consumed boolean, mb long"),
                f"{base}/meta/part={mb}")
@@ -185,25 +196,31 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
                     phi: float, epsilon: float, delta: float, m: int | None = None,
                     sticky_seed=STICKY_SEED, res_seed=RESERVOIR_SEED,
                     stream: DataFrame | None = None, processing_time: str | None = None,
-                    files_per_trigger: int = 4, files: int = 16, timeout_s: float = 3600) -> ItemStreamRun:
+                    files_per_trigger: int = 4, files: int = 16, timeout_s: float = 3600,
+                    base: str | None = None, fail_at: int | None = None) -> ItemStreamRun:
     """Replay ``items`` as a file stream of ``batch_size``-item batches (or
     consume the given streaming DataFrame ``stream``) and maintain the
     histogram, reservoir and sticky state until the batch holding item n.
 
     A replayed stream runs with ``availableNow`` and drains (batches past the
     cut-off are skipped); a live stream (``processing_time`` set, e.g.
-    "10 milliseconds") is stopped once the cut-off batch is done."""
+    "10 milliseconds") is stopped once the cut-off batch is done.
+
+    ``base`` resumes an earlier run from its checkpoint (after a failure);
+    ``fail_at`` injects a failure into one micro-batch (tests)."""
     from farsight.functions.params import reservoir_size
-    base = scratch_path(spark, "items-stream")
+    resume = base is not None
+    base = base or scratch_path(spark, "items-stream")
     m = reservoir_size(phi) if m is None else int(m)
     run = ItemStreamRun(spark, base, int(n), m, phi, epsilon, delta)
     if stream is None:
-        run.batches = write_item_batches(items, batch_size, f"{base}/src", files)
+        if not resume:
+            run.batches = write_item_batches(items, batch_size, f"{base}/src", files)
         stream = item_stream(spark, f"{base}/src", files_per_trigger)
     T = threshold_for(sticky_r(phi, epsilon, delta) / int(n))
     done = threading.Event()
     w = (stream.writeStream
-         .foreachBatch(_batch_handler(run, done, int(T), sticky_seed, res_seed))
+         .foreachBatch(_batch_handler(run, done, int(T), sticky_seed, res_seed, fail_at))
          .option("checkpointLocation", f"{base}/checkpoint"))
     if processing_time is None:
         q = w.trigger(availableNow=True).start()
@@ -222,7 +239,7 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     if q.isActive:
         q.stop()
     if q.exception() is not None:
-        raise RuntimeError(f"item stream failed: {q.exception()}")
+        raise ItemStreamFailed(f"item stream failed: {q.exception()}", base)
     meta = spark.read.parquet(f"{base}/meta").where(F.col("consumed"))
     row = meta.agg(F.max("mb").alias("b"), F.max("cum").alias("c")).collect()[0]
     run.last_batch = int(row["b"]) if row["b"] is not None else -1

@@ -46,3 +46,21 @@ def test_live_trigger_stops_after_cutoff(spark):
     assert run.length == 300
     cut = itemops.stream_cutoff(items, 250, 100).select("pos", "item")
     assert _as_set(run.histogram()) == _as_set(itemops.item_histogram(cut))
+
+
+def test_failed_batch_is_replayed_exactly_once(spark):
+    import pytest
+    items = stream_items(spark, SF001)
+    n, bs = 650, 100
+    from farsight.streaming import ItemStreamFailed
+    with pytest.raises(ItemStreamFailed) as failed:
+        run_item_stream(spark, items, n, bs, PHI, EPS, DELTA, m=20, files_per_trigger=1,
+                        files=10, fail_at=2)
+    # the failed run left partial output for micro-batch 2; resume from its checkpoint
+    run = run_item_stream(spark, items, n, bs, PHI, EPS, DELTA, m=20, files_per_trigger=1,
+                          files=10, base=failed.value.base)
+    cut = itemops.stream_cutoff(items, n, bs).select("pos", "item")
+    assert run.length == 700
+    assert _as_set(run.histogram()) == _as_set(itemops.item_histogram(cut))
+    assert _as_set(run.sticky()) == _as_set(sampling.sticky_table(cut, PHI, EPS, DELTA, n=n).select("item", "fp", "est"))
+    assert _as_set(run.reservoir()) == _as_set(sampling.reservoir_first_n(items, 20, n).select("slot", "item", "pos"))
