@@ -224,7 +224,10 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
          .option("checkpointLocation", f"{base}/checkpoint"))
     if processing_time is None:
         q = w.trigger(availableNow=True).start()
-        q.awaitTermination(timeout_s)
+        try:
+            q.awaitTermination(timeout_s)
+        except Exception as e:  # noqa: BLE001 - StreamingQueryException
+            raise ItemStreamFailed(f"item stream failed: {e}", base) from e
     else:
         q = w.trigger(processingTime=processing_time).start()
         done.wait(timeout_s)
