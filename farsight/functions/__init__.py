@@ -1,5 +1,5 @@
 from farsight.functions.geometry import (  # noqa: F401
-    dist2d, dist_nd, cell_index, omega_for, centers_literal,
+    dist2d, dist_nd, cell_index, omega_for,
 )
 from farsight.functions.draws import (  # noqa: F401
     TWO_POW_60, draw, draw_sql, threshold_for, bucket_of, bucket_sql,

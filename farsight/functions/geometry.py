@@ -8,8 +8,6 @@ oracle produce bit-identical doubles.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,11 +35,3 @@ def cell_index(coord: Column, omega) -> Column:
     """floor(coord / omega) as BIGINT (floor, not truncation: negatives
     go down)."""
     return F.floor(coord / omega).cast("bigint")
-
-
-def centers_literal(centers: Sequence[Sequence[float]]) -> Column:
-    """A bounded (K-element) array<struct<x,y>> literal."""
-    return F.array(*[
-        F.struct(F.lit(float(c[0])).alias("x"), F.lit(float(c[1])).alias("y"))
-        for c in centers
-    ])

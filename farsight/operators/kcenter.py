@@ -36,7 +36,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farsight.functions.draws import bucket_of
-from farsight.functions.geometry import dist2d, dist_nd
 
 # Largest single FFT group (round 2) before the distributed traversal is used.
 MAX_GROUP_ROWS = 5_000_000
@@ -162,22 +161,6 @@ def mr_fft_centers(points: DataFrame, K: int, L: int | None, coords=("x", "y"))
     return mr_fft_centers_from_coreset(mr_fft_coreset(points, K, L, coords), K, L, coords)
 
 
-def centers_column(centers: DataFrame, coords=("x", "y")) -> Column:
-    """Scalar subquery: the (<= K) centers as one array of structs, ordered
-    by ``it`` (so the array index is the center number - 1)."""
-    cc = _coord_cols(coords)
-    arr = F.transform(F.array_sort(F.collect_list(F.struct("it", "id", *cc))),
-                      lambda s: F.struct(*[s[c].alias(c) for c in ["it", "id"] + cc]))
-    return centers.agg(arr.alias("centers")).scalar()
-
-
-def _dist_expr(coords):
-    if isinstance(coords, str):
-        return lambda c: dist_nd(F.col(coords), c[coords])
-    x, y = coords
-    return lambda c: dist2d(F.col(x), F.col(y), c[x], c[y])
-
-
 def collect_centers(centers: DataFrame, coords=("x", "y")) -> list:
     """The centers as driver rows ordered by ``it``.  FFT returns at most K
     rows, so this is a parameter-sized transfer."""

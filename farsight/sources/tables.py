@@ -36,16 +36,6 @@ def points2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spare_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second 2-D point set (``part``: size vs retail price)."""
-    p = read_table(spark, sf_dir, "part")
-    return p.select(
-        F.col("p_partkey").alias("id"),
-        F.col("p_size").cast("double").alias("x"),
-        F.col("p_retailprice").alias("y"),
-    )
-
-
 def points_nd(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "embeddings")
     return e.select(

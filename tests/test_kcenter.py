@@ -118,3 +118,16 @@ def test_numpy_kernel_equals_generated_expression(spark, monkeypatch):
     b = {tuple(r) for r in kcenter.kcenter_assign(p, cen).collect()}
     rb = kcenter.kcenter_radius(p, cen).collect()[0]["radius"]
     assert a == b and ra == rb
+
+
+def test_dist_nd_expression_matches_kernel(spark):
+    from pyspark.sql import functions as F
+    from farsight.functions.geometry import dist_nd
+    from farsight.sources import points_nd
+    p = points_nd(spark, SF001)
+    c = p.where("id = 7").collect()[0]["v"]
+    got = {r["id"]: r["d"] for r in p.select("id", dist_nd(F.col("v"), F.array(*[F.lit(float(e)) for e in c]))
+                                             .alias("d")).collect()}
+    X = np.stack([np.asarray(r["v"]) for r in p.orderBy("id").collect()])
+    want = kcenter._dist_to(X, np.asarray(c, dtype=float))
+    assert all(got[i] == want[i] for i in range(len(want)))
