@@ -39,9 +39,14 @@ from farsight.functions.draws import bucket_of
 
 # Largest single FFT group (round 2) before the distributed traversal is used.
 MAX_GROUP_ROWS = 5_000_000
-# Most centers turned into one generated expression; beyond it (huge K) the
-# closest-center search runs in the Arrow-batched numpy kernel.
-MAX_LITERAL_CENTERS = 1024
+# Most centers turned into one generated expression.  Spark does not split a
+# ``least`` inside whole-stage code, and once the generated method outgrows
+# the JVM's JIT size limit it runs interpreted: measured on 10M points, the
+# radius expression is fast up to K=90 and 20x slower at K=100; the
+# (distance, id) struct form for assignment degrades at K=64.  Beyond these
+# bounds the Arrow-batched numpy kernel is used (same bits).
+MAX_LITERAL_CENTERS = 64          # radius: sqrt(least(squared distances))
+MAX_LITERAL_ASSIGN = 24           # assignment: least(struct(d, it))
 # Points one round-1 FFT task holds in memory when L is chosen automatically
 # (2-D: ~24 bytes per point plus two distance arrays).
 MAX_POINTS_PER_BUCKET = 20_000_000
@@ -235,6 +240,16 @@ def _nd_closest_udf(rows, coords):
     return closest_xy(F.col(coords[0]), F.col(coords[1]))
 
 
+def min_distance_col(rows, coords=("x", "y")) -> Column:
+    """Distance from each point to the closest of the given centers: a
+    generated expression for small K in 2-D, else the numpy kernel."""
+    if not rows:
+        return F.lit(None).cast("double")
+    if not isinstance(coords, str) and len(rows) <= MAX_LITERAL_CENTERS:
+        return min_distance_expr(rows, coords)
+    return _nd_closest_udf(rows, coords)["d"]
+
+
 def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) -> DataFrame:
     """Each point with its closest center: ``id, cid, d`` (``cid`` is the
     center's ``it``; ties go to the earlier center).
@@ -246,7 +261,7 @@ def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) ->
     if not rows:
         return points.select("id", F.lit(None).cast("int").alias("cid"),
                              F.lit(None).cast("double").alias("d")).where(F.lit(False))
-    if isinstance(coords, str) or len(rows) > MAX_LITERAL_CENTERS:
+    if isinstance(coords, str) or len(rows) > MAX_LITERAL_ASSIGN:
         best = _nd_closest_udf(rows, coords)
         return points.select("id", best.alias("b")).select("id", F.col("b.cid").alias("cid"),
                                                             F.col("b.d").alias("d"))
@@ -257,12 +272,8 @@ def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) ->
 def kcenter_radius(points: DataFrame, centers: DataFrame, coords=("x", "y")) -> DataFrame:
     """Round 3: one row ``radius`` = max over points of the distance to the
     closest center (partial max per task, one tiny final merge)."""
-    if not isinstance(coords, str):
-        rows = collect_centers(centers, coords)
-        if len(rows) <= MAX_LITERAL_CENTERS:
-            d = min_distance_expr(rows, coords) if rows else F.lit(None).cast("double")
-            return points.agg(F.max(d).alias("radius"))
-    return kcenter_assign(points, centers, coords).agg(F.max("d").alias("radius"))
+    rows = collect_centers(centers, coords)
+    return points.agg(F.max(min_distance_col(rows, coords)).alias("radius"))
 
 
 def non_center_points(points: DataFrame, centers: DataFrame) -> DataFrame:
@@ -291,11 +302,8 @@ def kcenter_global(points: DataFrame, K: int, coords=("x", "y")) -> DataFrame:
         return spark.createDataFrame([], _centers_schema(points, coords))
     chosen = [first[0]]
     while len(chosen) < int(K):
-        if isinstance(coords, str) or len(chosen) > MAX_LITERAL_CENTERS:
-            keyed = [dict(it=i + 1, **{c: r[c] for c in cc}) for i, r in enumerate(chosen)]
-            d = _nd_closest_udf(keyed, coords)["d"]
-        else:
-            d = min_distance_expr(chosen, coords)
+        keyed = [dict(it=i + 1, **{c: r[c] for c in cc}) for i, r in enumerate(chosen)]
+        d = min_distance_col(keyed, coords)
         best = pts.select(F.struct(d.alias("d"), (-F.col("id")).alias("nid"),
                                    "id", *cc).alias("s")).agg(F.max("s").alias("s")).collect()[0]["s"]
         if best is None or best["d"] == 0.0:

@@ -57,7 +57,7 @@ def k_sweep(points: DataFrame, Ks, L: int, M: int) -> DataFrame:
     for r in centers.where(F.col("it") <= F.col("k")).select("k", "it", "x", "y").collect():
         by_k[int(r["k"])].append(r)
     # one scan: every K's radius as its own code-generated least(...)
-    radii_row = pts.agg(*[F.max(kcenter.min_distance_expr(sorted(by_k[k], key=lambda r: r["it"])))
+    radii_row = pts.agg(*[F.max(kcenter.min_distance_col(sorted(by_k[k], key=lambda r: r["it"])))
                           .alias(f"r{k}") for k in Ks]).collect()[0]
     grid = [(k, float(radii_row[f"r{k}"])) for k in Ks]
     params = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(D).alias("radius"),

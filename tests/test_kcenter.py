@@ -115,6 +115,7 @@ def test_numpy_kernel_equals_generated_expression(spark, monkeypatch):
     a = {tuple(r) for r in kcenter.kcenter_assign(p, cen).collect()}
     ra = kcenter.kcenter_radius(p, cen).collect()[0]["radius"]
     monkeypatch.setattr(kcenter, "MAX_LITERAL_CENTERS", 4)
+    monkeypatch.setattr(kcenter, "MAX_LITERAL_ASSIGN", 4)
     b = {tuple(r) for r in kcenter.kcenter_assign(p, cen).collect()}
     rb = kcenter.kcenter_radius(p, cen).collect()[0]["radius"]
     assert a == b and ra == rb
