@@ -55,10 +55,23 @@ def threshold_for(p: float) -> int:
     return min(TWO_POW_60, math.floor(p * TWO_POW_60))
 
 
-def bucket_of(key: Column, buckets: int, seed="pid") -> Column:
-    """Hash bucket in [0, buckets): balanced whatever the key pattern."""
-    return F.pmod(draw(seed, key), F.lit(int(buckets))).cast("int")
+# Fixed values of the bucket hash: the Mersenne prime 2^31 - 1 and the
+# MINSTD multiplier 48271 (a primitive root modulo that prime).
+BUCKET_PRIME = 2147483647
+BUCKET_MULT = 48271
 
 
-def bucket_sql(key_sql: str, buckets: int, seed="pid") -> str:
-    return f"CAST(({draw_sql(seed, key_sql)}) % {int(buckets)} AS INTEGER)"
+def bucket_of(key: Column, buckets: int) -> Column:
+    """Hash bucket in [0, buckets) of an integer key.
+
+    ((key mod p) * a mod p) mod buckets with p = 2^31 - 1: a few integer
+    operations per row (no string hashing), products stay below 2^62, and
+    since p is prime, dense or strided key patterns spread evenly.  Only
+    balance matters here, not randomness."""
+    k = F.pmod(key.cast("bigint"), F.lit(BUCKET_PRIME))
+    return F.pmod(F.pmod(k * F.lit(BUCKET_MULT), F.lit(BUCKET_PRIME)), F.lit(int(buckets))).cast("int")
+
+
+def bucket_sql(key_sql: str, buckets: int) -> str:
+    k = f"(((CAST({key_sql} AS BIGINT) % {BUCKET_PRIME}) + {BUCKET_PRIME}) % {BUCKET_PRIME})"
+    return f"CAST(((({k} * {BUCKET_MULT}) % {BUCKET_PRIME}) % {int(buckets)}) AS INTEGER)"
