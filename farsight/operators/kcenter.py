@@ -137,15 +137,49 @@ def choose_buckets(points: DataFrame, max_points: int = MAX_POINTS_PER_BUCKET) -
     return max(1, -(-n // int(max_points)))
 
 
-def with_bucket(points: DataFrame, L: int | None) -> DataFrame:
-    if L is None:
-        L = choose_buckets(points)
+def with_bucket(points: DataFrame, L: int) -> DataFrame:
     return points.withColumn("pid", bucket_of(F.col("id"), int(L)))
 
 
+def _fft_split_fn(K: int, coords):
+    def fn(batches):
+        from pyspark import TaskContext
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True).sort_values("id", kind="mergesort")
+        pdf = pdf.reset_index(drop=True)
+        idx = farthest_first(_matrix(pdf, coords), K)
+        out = pdf.iloc[idx].copy()
+        out.insert(0, "it", np.arange(1, len(idx) + 1, dtype=np.int32))
+        out.insert(0, "pid", np.int32(TaskContext.get().partitionId()))
+        yield out
+    return fn
+
+
+def mr_fft_coreset_local(points: DataFrame, K: int, coords=("x", "y")) -> DataFrame:
+    """Round 1 on the input splits themselves: no shuffle at all.
+
+    Each scan split (bounded by ``spark.sql.files.maxPartitionBytes``, so no
+    key or duplicate group can make one large) runs FFT in one
+    ``mapInPandas`` task; MR-FFT's approximation guarantee holds for any
+    partitioning.  Deterministic for a given input and split size, so task
+    retries reproduce it.  Rows ``pid, it, id, <coords>``; pid is the split."""
+    cc = _coord_cols(coords)
+    src = points.select("id", *cc)
+    schema = ", ".join(["pid int", "it int", f"id {src.schema['id'].dataType.simpleString()}"]
+                       + [f"{c} {src.schema[c].dataType.simpleString()}" for c in cc])
+    return src.mapInPandas(_fft_split_fn(int(K), coords), schema=schema)
+
+
 def mr_fft_coreset(points: DataFrame, K: int, L: int | None, coords=("x", "y")) -> DataFrame:
-    """Round 1: ``pid, it, id, <coords>`` -- up to K centers per bucket.
-    ``L=None`` picks the bucket count from the data size."""
+    """Round 1: ``pid, it, id, <coords>`` -- up to K centers per group.
+
+    ``L`` given: points are hashed into L buckets (one shuffle; the
+    partitioning is a function of the ids, reproducible anywhere).
+    ``L=None``: FFT runs on the input splits, with no shuffle."""
+    if L is None:
+        return mr_fft_coreset_local(points, K, coords)
     return fft_groups(with_bucket(points, L), K, ["pid"], coords)
 
 
@@ -154,15 +188,19 @@ def mr_fft_centers_from_coreset(coreset: DataFrame, K: int, L: int | None, coord
     """Round 2: ``it, id, <coords>``.  The coreset holds at most L*K rows."""
     pts = coreset.select("id", *_coord_cols(coords))
     if L is None:
-        L = coreset.agg(F.countDistinct("pid")).collect()[0][0] if "pid" in coreset.columns else 1
+        # split-local round 1: the coreset size is measured, not known
+        from farsight.session import materialize
+        coreset = materialize(coreset)
+        pts = coreset.select("id", *_coord_cols(coords))
+        if coreset.count() > max_group_rows:
+            return kcenter_global(pts, K, coords)
+        return fft_groups(pts, K, [], coords)
     if int(L) * int(K) > max_group_rows:
         return kcenter_global(pts, K, coords)
     return fft_groups(pts, K, [], coords)
 
 
 def mr_fft_centers(points: DataFrame, K: int, L: int | None, coords=("x", "y")) -> DataFrame:
-    if L is None:
-        L = choose_buckets(points)
     return mr_fft_centers_from_coreset(mr_fft_coreset(points, K, L, coords), K, L, coords)
 
 
@@ -240,6 +278,43 @@ def _nd_closest_udf(rows, coords):
     return closest_xy(F.col(coords[0]), F.col(coords[1]))
 
 
+def _nd_min_distance_udf(rows, coords):
+    """Arrow-batched distance to the closest center (no argmin): the minimum
+    of squared distances, one sqrt per row -- the same double as taking the
+    minimum of the distances, since sqrt is monotone and correctly rounded."""
+    if isinstance(coords, str):
+        C = np.stack([np.asarray(r[coords], dtype=np.float64) for r in rows])
+    else:
+        C = np.asarray([[float(r[c]) for c in coords] for r in rows], dtype=np.float64)
+
+    def _min_d(X: np.ndarray) -> np.ndarray:
+        best = np.full(X.shape[0], np.inf)
+        s = np.empty(X.shape[0])
+        t = np.empty(X.shape[0])
+        for k in range(C.shape[0]):
+            np.subtract(X[:, 0], C[k, 0], out=s)
+            np.multiply(s, s, out=s)
+            for j in range(1, X.shape[1]):
+                np.subtract(X[:, j], C[k, j], out=t)
+                np.multiply(t, t, out=t)
+                np.add(s, t, out=s)
+            np.minimum(best, s, out=best)
+        return np.sqrt(best)
+
+    if isinstance(coords, str):
+        @F.pandas_udf("double")
+        def min_d_arr(v: pd.Series) -> pd.Series:
+            X = np.stack(v.to_numpy()).astype(np.float64) if len(v) else np.zeros((0, C.shape[1]))
+            return pd.Series(_min_d(X))
+        return min_d_arr(F.col(coords))
+
+    @F.pandas_udf("double")
+    def min_d_xy(x: pd.Series, y: pd.Series) -> pd.Series:
+        X = np.column_stack([x.to_numpy(np.float64), y.to_numpy(np.float64)])
+        return pd.Series(_min_d(X))
+    return min_d_xy(F.col(coords[0]), F.col(coords[1]))
+
+
 def min_distance_col(rows, coords=("x", "y")) -> Column:
     """Distance from each point to the closest of the given centers: a
     generated expression for small K in 2-D, else the numpy kernel."""
@@ -247,7 +322,7 @@ def min_distance_col(rows, coords=("x", "y")) -> Column:
         return F.lit(None).cast("double")
     if not isinstance(coords, str) and len(rows) <= MAX_LITERAL_CENTERS:
         return min_distance_expr(rows, coords)
-    return _nd_closest_udf(rows, coords)["d"]
+    return _nd_min_distance_udf(rows, coords)
 
 
 def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) -> DataFrame:

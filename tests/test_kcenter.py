@@ -132,3 +132,23 @@ def test_dist_nd_expression_matches_kernel(spark):
     X = np.stack([np.asarray(r["v"]) for r in p.orderBy("id").collect()])
     want = kcenter._dist_to(X, np.asarray(c, dtype=float))
     assert all(got[i] == want[i] for i in range(len(want)))
+
+
+def test_split_local_round1(spark):
+    p = points2d(spark, SF001).repartition(3)
+    core = kcenter.mr_fft_coreset(p, 5, None).collect()
+    assert len(core) <= 15 and len({r["id"] for r in core}) == len(core)
+    cen = kcenter.mr_fft_centers(p, 5, None)
+    mr = kcenter.kcenter_radius(p, cen).collect()[0]["radius"]
+    gl = kcenter.kcenter_radius(p, kcenter.kcenter_global(p, 5)).collect()[0]["radius"]
+    assert 0.5 * gl <= mr
+
+
+def test_min_distance_kernel_matches_expression(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    p = points2d(spark, SF001)
+    rows = kcenter.collect_centers(kcenter.mr_fft_centers(p, 9, 2))
+    a = [r[0] for r in p.orderBy("id").select(kcenter.min_distance_col(rows)).collect()]
+    monkeypatch.setattr(kcenter, "MAX_LITERAL_CENTERS", 4)
+    b = [r[0] for r in p.orderBy("id").select(kcenter.min_distance_col(rows)).collect()]
+    assert a == b
