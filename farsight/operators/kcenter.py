@@ -64,31 +64,49 @@ except Exception:  # pragma: no cover - older cloudpickle
 # sequential traversal (runs inside tasks)
 # --------------------------------------------------------------------------
 
+def _columns(X: np.ndarray) -> list[np.ndarray]:
+    """Contiguous per-dimension columns (row-major columns are strided)."""
+    return [np.ascontiguousarray(X[:, j], dtype=np.float64) for j in range(X.shape[1])]
+
+
+def _sq_into(cols: list[np.ndarray], c: np.ndarray, out: np.ndarray, tmp: np.ndarray) -> None:
+    """out := sum over dimensions (left to right) of (col - c)^2, in place."""
+    np.subtract(cols[0], c[0], out=out)
+    np.multiply(out, out, out=out)
+    for j in range(1, len(cols)):
+        np.subtract(cols[j], c[j], out=tmp)
+        np.multiply(tmp, tmp, out=tmp)
+        np.add(out, tmp, out=out)
+
+
 def _dist_to(X: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Distances from every row of X to c, summing squared differences left
     to right (the order the SQL expressions use)."""
-    acc = None
-    for j in range(X.shape[1]):
-        diff = X[:, j] - c[j]
-        sq = diff * diff
-        acc = sq if acc is None else acc + sq
-    return np.sqrt(acc)
+    out, tmp = np.empty(X.shape[0]), np.empty(X.shape[0])
+    _sq_into(_columns(X), c, out, tmp)
+    return np.sqrt(out, out=out)
 
 
 def farthest_first(X: np.ndarray, K: int, start: int = 0) -> list[int]:
     """Indices of up to K centers; rows of X must be sorted by id so that
-    ``argmax`` (first maximum) breaks ties by the smallest id."""
+    ``argmax`` (first maximum) breaks ties by the smallest id.  O(n*K) with
+    no per-iteration allocation."""
     n = X.shape[0]
     if n == 0 or K <= 0:
         return []
+    cols = _columns(X)
+    dd, s, tmp = np.empty(n), np.empty(n), np.empty(n)
+    _sq_into(cols, X[start], dd, tmp)
+    np.sqrt(dd, out=dd)
     chosen = [start]
-    dd = _dist_to(X, X[start])
     while len(chosen) < K:
         j = int(np.argmax(dd))
         if dd[j] == 0.0:
             break
         chosen.append(j)
-        dd = np.minimum(dd, _dist_to(X, X[j]))
+        _sq_into(cols, X[j], s, tmp)
+        np.sqrt(s, out=s)
+        np.minimum(dd, s, out=dd)
     return chosen
 
 
@@ -256,13 +274,18 @@ def _nd_closest_udf(rows, coords):
     cids = np.asarray([int(r["it"]) for r in rows], dtype=np.int32)
 
     def _closest(X: np.ndarray) -> pd.DataFrame:
-        best_d = np.full(X.shape[0], np.inf)
-        best_c = np.zeros(X.shape[0], dtype=np.int32)
+        n = X.shape[0]
+        cols = _columns(X)
+        best_d = np.full(n, np.inf)
+        best_c = np.zeros(n, dtype=np.int32)
+        d, tmp = np.empty(n), np.empty(n)
+        better = np.empty(n, dtype=bool)
         for k in range(C.shape[0]):
-            d = _dist_to(X, C[k])
-            better = d < best_d
-            best_d = np.where(better, d, best_d)
-            best_c = np.where(better, cids[k], best_c)
+            _sq_into(cols, C[k], d, tmp)
+            np.sqrt(d, out=d)
+            np.less(d, best_d, out=better)
+            np.copyto(best_d, d, where=better)
+            np.copyto(best_c, cids[k], where=better)
         return pd.DataFrame({"d": best_d, "cid": best_c})
 
     if isinstance(coords, str):
@@ -288,16 +311,12 @@ def _nd_min_distance_udf(rows, coords):
         C = np.asarray([[float(r[c]) for c in coords] for r in rows], dtype=np.float64)
 
     def _min_d(X: np.ndarray) -> np.ndarray:
-        best = np.full(X.shape[0], np.inf)
-        s = np.empty(X.shape[0])
-        t = np.empty(X.shape[0])
+        n = X.shape[0]
+        cols = _columns(X)
+        best = np.full(n, np.inf)
+        s, t = np.empty(n), np.empty(n)
         for k in range(C.shape[0]):
-            np.subtract(X[:, 0], C[k, 0], out=s)
-            np.multiply(s, s, out=s)
-            for j in range(1, X.shape[1]):
-                np.subtract(X[:, j], C[k, j], out=t)
-                np.multiply(t, t, out=t)
-                np.add(s, t, out=s)
+            _sq_into(cols, C[k], s, t)
             np.minimum(best, s, out=best)
         return np.sqrt(best)
 
