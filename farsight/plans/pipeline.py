@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from farsight.functions.geometry import omega_for
 from farsight.operators import kcenter, outliers
+from farsight.session import materialize
 
 
 def outlier_pipeline(points: DataFrame, K: int, L: int, M: int) -> DataFrame:
@@ -49,13 +50,20 @@ def k_sweep(points: DataFrame, Ks, L: int, M: int) -> DataFrame:
     Ks = sorted({int(k) for k in Ks})
     pts = points.select("id", "x", "y")
     core = kcenter.mr_fft_coreset(pts, max(Ks), L)
-    per_k = (core.select("*", F.explode(F.array(*[F.lit(k) for k in Ks])).alias("k"))
-             .where(F.col("it") <= F.col("k")))
-    centers = kcenter.fft_groups(per_k.select("k", "id", "x", "y"), max(Ks), ["k"])
-    # sum(Ks) centers in all: a parameter-bounded transfer
     by_k: dict[int, list] = {k: [] for k in Ks}
-    for r in centers.where(F.col("it") <= F.col("k")).select("k", "it", "x", "y").collect():
-        by_k[int(r["k"])].append(r)
+    if int(L) * max(Ks) > kcenter.MAX_GROUP_ROWS:
+        # round-2 groups too large for one task: exact distributed traversal
+        core = materialize(core)
+        for k in Ks:
+            sub = core.where(F.col("it") <= k).select("id", "x", "y")
+            by_k[k] = kcenter.kcenter_global(sub, k).select("it", "x", "y").collect()
+    else:
+        per_k = (core.select("*", F.explode(F.array(*[F.lit(k) for k in Ks])).alias("k"))
+                 .where(F.col("it") <= F.col("k")))
+        centers = kcenter.fft_groups(per_k.select("k", "id", "x", "y"), max(Ks), ["k"])
+        # sum(Ks) centers in all: a parameter-bounded transfer
+        for r in centers.where(F.col("it") <= F.col("k")).select("k", "it", "x", "y").collect():
+            by_k[int(r["k"])].append(r)
     # one scan: every K's radius as its own code-generated least(...)
     radii_row = pts.agg(*[F.max(kcenter.min_distance_col(sorted(by_k[k], key=lambda r: r["it"])))
                           .alias(f"r{k}") for k in Ks]).collect()[0]

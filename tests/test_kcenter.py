@@ -152,3 +152,12 @@ def test_min_distance_kernel_matches_expression(spark, monkeypatch):
     monkeypatch.setattr(kcenter, "MAX_LITERAL_CENTERS", 4)
     b = [r[0] for r in p.orderBy("id").select(kcenter.min_distance_col(rows)).collect()]
     assert a == b
+
+
+def test_k_sweep_round2_fallback(spark, monkeypatch):
+    from farsight.plans import pipeline
+    p = points2d(spark, SF001)
+    a = {tuple(r) for r in pipeline.k_sweep(p, (4, 8), 3, 3).collect()}
+    monkeypatch.setattr(kcenter, "MAX_GROUP_ROWS", 1)
+    b = {tuple(r) for r in pipeline.k_sweep(p, (4, 8), 3, 3).collect()}
+    assert a == b
