@@ -13,8 +13,10 @@ batch size and the running length touch the driver:
   consumed up to and including the one that reaches ``n`` items, later
   batches are ignored and the query is stopped.
 * **histogram** (ST3): the batch's item counts (partial aggregation) are
-  appended under ``hist/mb=<micro-batch id>``; the histogram is their sum, read as
-  an ordinary aggregation.  Ingest cost is O(batch), nothing is rewritten.
+  appended under ``hist/mb=<micro-batch id>``; every ``compact_every``
+  batches they are merged into a base under ``histbase/``.  The histogram
+  is the latest base plus the later deltas, read as an ordinary
+  aggregation, so reads stay bounded however long the stream runs.
 * **distinct / max / length** (ST4): derived from the same log.
 * **reservoir** (ST6): state is the m-row slot table; each batch adds only
   its rows that win a slot (``slot < m``) and keeps the latest writer.
@@ -68,9 +70,15 @@ class ItemStreamRun:
         return self.spark.read.parquet(f"{self.base}/{name}")
 
     def histogram(self) -> DataFrame:
-        """``item, cnt`` over all consumed batches."""
-        h = self._read("hist").where(F.col("mb") <= self.last_batch)
-        return h.groupBy("item").agg(F.sum("cnt").cast("bigint").alias("cnt"))
+        """``item, cnt`` over all consumed batches: the latest compacted base
+        at or before the last consumed micro-batch plus the deltas after it."""
+        base_mb = _latest_base(self.spark, self.base, self.last_batch)
+        h = self._read("hist").where((F.col("mb") <= self.last_batch) & (F.col("mb") > base_mb))
+        parts = h.select("item", "cnt")
+        if base_mb >= 0:
+            parts = self.spark.read.parquet(f"{self.base}/histbase/mb={base_mb}").select("item", "cnt") \
+                .unionByName(parts)
+        return parts.groupBy("item").agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
     def stats(self) -> DataFrame:
         """``n_items, n_distinct, max_item``."""
@@ -103,8 +111,26 @@ def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _latest_base(spark: SparkSession, base: str, upto: int) -> int:
+    """Micro-batch id of the newest compacted histogram <= upto (-1: none)."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{base}/histbase")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return -1
+    best = -1
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("mb=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            mb = int(name[3:])
+            if best < mb <= upto:
+                best = mb
+    return best
+
+
 def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
-                   sticky_seed, res_seed, fail_at: int | None = None):
+                   sticky_seed, res_seed, fail_at: int | None = None,
+                   compact_every: int = 32):
     spark = run.spark
     base = run.base
     # driver caches of the meta log (rebuilt from it after a restart)
@@ -147,6 +173,16 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
         # histogram delta
         _write(rows.groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")),
                f"{base}/hist/mb={mb}")
+        # periodic compaction keeps histogram reads bounded by compact_every deltas
+        if compact_every and (mb + 1) % compact_every == 0:
+            prev_base = _latest_base(spark, base, mb - 1)
+            deltas = spark.read.parquet(f"{base}/hist").where(
+                (F.col("mb") > prev_base) & (F.col("mb") <= mb)).select("item", "cnt")
+            if prev_base >= 0:
+                deltas = spark.read.parquet(f"{base}/histbase/mb={prev_base}").select("item", "cnt") \
+                    .unionByName(deltas)
+            _write(deltas.groupBy("item").agg(F.sum("cnt").cast("bigint").alias("cnt")),
+                   f"{base}/histbase/mb={mb}")
 
         # reservoir over the first n positions
         cand = (rows.where(F.col("pos") < run.n)
@@ -197,7 +233,8 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
                     sticky_seed=STICKY_SEED, res_seed=RESERVOIR_SEED,
                     stream: DataFrame | None = None, processing_time: str | None = None,
                     files_per_trigger: int = 4, files: int = 16, timeout_s: float = 3600,
-                    base: str | None = None, fail_at: int | None = None) -> ItemStreamRun:
+                    base: str | None = None, fail_at: int | None = None,
+                    compact_every: int = 32) -> ItemStreamRun:
     """Replay ``items`` as a file stream of ``batch_size``-item batches (or
     consume the given streaming DataFrame ``stream``) and maintain the
     histogram, reservoir and sticky state until the batch holding item n.
@@ -220,7 +257,8 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     T = threshold_for(sticky_r(phi, epsilon, delta) / int(n))
     done = threading.Event()
     w = (stream.writeStream
-         .foreachBatch(_batch_handler(run, done, int(T), sticky_seed, res_seed, fail_at))
+         .foreachBatch(_batch_handler(run, done, int(T), sticky_seed, res_seed, fail_at,
+                                      compact_every))
          .option("checkpointLocation", f"{base}/checkpoint"))
     if processing_time is None:
         q = w.trigger(availableNow=True).start()

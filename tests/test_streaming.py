@@ -64,3 +64,15 @@ def test_failed_batch_is_replayed_exactly_once(spark):
     assert _as_set(run.histogram()) == _as_set(itemops.item_histogram(cut))
     assert _as_set(run.sticky()) == _as_set(sampling.sticky_table(cut, PHI, EPS, DELTA, n=n).select("item", "fp", "est"))
     assert _as_set(run.reservoir()) == _as_set(sampling.reservoir_first_n(items, 20, n).select("slot", "item", "pos"))
+
+
+def test_histogram_compaction(spark):
+    items = stream_items(spark, SF001)
+    n, bs = 950, 50
+    cut = itemops.stream_cutoff(items, n, bs).select("pos", "item")
+    run = run_item_stream(spark, items, n, bs, PHI, EPS, DELTA, m=20, files_per_trigger=1,
+                          files=20, compact_every=4)
+    assert run.length == 950
+    assert _as_set(run.histogram()) == _as_set(itemops.item_histogram(cut))
+    from farsight.streaming.items import _latest_base
+    assert _latest_base(spark, run.base, run.last_batch) >= 15
