@@ -2,7 +2,7 @@
 
 Semantics (one definition for every mode):
 
-* the traversal starts at the point with the smallest ``id`` (or ``start_id``);
+* the traversal starts at the point with the smallest ``id``;
 * each next center is the point farthest from the centers chosen so far;
   ties go to the smallest ``id``;
 * it stops early when every remaining distance is 0 (fewer distinct points
@@ -11,19 +11,19 @@ Semantics (one definition for every mode):
 
 Modes:
 
-* ``fft_group`` -- the sequential O(n*K) traversal of one group, numpy
+* ``fft_groups`` -- the sequential O(n*K) traversal of each group, numpy
   inside an Arrow-batched ``applyInPandas`` task (C1).
-* MapReduce FFT (C2-C4): round 1 hashes points into L balanced buckets
-  (md5 of the id, so no id pattern can pile rows into one bucket) and runs
-  FFT per bucket -> a coreset of <= L*K points; round 2 runs FFT on the
-  coreset (one group of L*K rows: bounded by the parameters, not by the
-  data; above ``max_group_rows`` it switches to the distributed traversal);
-  round 3 measures each point's distance to the K centers, which reach the
-  executors as a scalar subquery (an array literal of K structs), with no
-  cross join and no shuffle besides a partial max.
+* MapReduce FFT (C2-C4): round 1 either hashes ids into L buckets (one
+  shuffle; arithmetic hash, so no id pattern piles rows into one bucket) or,
+  with ``L=None``, runs on the input splits with no shuffle; each group
+  yields <= K centers.  Round 2 runs FFT on the coreset (one group of at
+  most L*K rows, bounded by the parameters; above ``MAX_GROUP_ROWS`` the
+  distributed traversal is used).  Round 3 measures every point's distance
+  to the K collected centers with a generated ``least`` expression (small
+  K) or an Arrow-batched numpy kernel, then a partial max: no cross join,
+  no shuffle of the points.
 * ``kcenter_global``: the exact traversal over the whole distributed set,
-  one scan per center (a verification mode; each scan is a filter-free
-  projection plus a partial max).
+  one scan per center (a verification mode, also round 2's fallback).
 """
 
 from __future__ import annotations
