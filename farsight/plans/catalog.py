@@ -302,7 +302,7 @@ STREAM_SQL: dict[str, str] = {
     "stream_sticky": f"{_ST_STICKY} SELECT item, fp, est FROM st",
     "stream_frequent_sticky": f"""{_ST_STICKY} SELECT item, est FROM st
         WHERE est >= {(float(PHI) - float(EPS)) * STREAM_N!r}::DOUBLE""",
-    "stream_consumed": f"""{_CUT} SELECT CAST(b AS INTEGER) AS batch_id, size,
+    "stream_consumed": f"""{_CUT} SELECT CAST(b AS BIGINT) AS batch_id, size,
         CAST(sum(size) OVER (ORDER BY b) AS BIGINT) AS cum
         FROM (SELECT pos // {STREAM_BATCH} AS b, CAST(count(*) AS BIGINT) AS size FROM it GROUP BY 1)""",
 }

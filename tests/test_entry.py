@@ -49,3 +49,7 @@ def test_query_matches_oracle(spark, con, name):
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert _rows(df.columns, srows) == _rows(rel.columns, drows)
+    types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    st = {f.name: types.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert st == dt
