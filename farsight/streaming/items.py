@@ -288,6 +288,10 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     return run
 
 
+STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_state_histogram(spark: SparkSession, items: DataFrame, n: int, batch_size: int,
                         files_per_trigger: int = 4, files: int = 16,
                         timeout_s: float = 3600) -> DataFrame:
@@ -300,6 +304,10 @@ def run_state_histogram(spark: SparkSession, items: DataFrame, n: int, batch_siz
     on the fixed-size original batch id (whole batches up to the one holding
     item n), so no running length is needed.  Returns ``item, cnt``."""
     base = scratch_path(spark, "state-histogram")
+    # one state row per distinct item: keep it in RocksDB (spills to local
+    # disk, checkpointed incrementally) unless the session chose a provider
+    if spark.conf.get(STATE_PROVIDER_CONF, None) is None:
+        spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
     write_item_batches(items, batch_size, f"{base}/src", files)
     last = (int(n) - 1) // int(batch_size)
     counts = (item_stream(spark, f"{base}/src", files_per_trigger)
