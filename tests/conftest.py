@@ -14,6 +14,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark(tmp_path_factory):
     from farsight.session import local_session
     s = local_session(4, shuffle_partitions=8)
+    # tests compare with Python's md5 draws
+    s.conf.set("farsight.draw.hash", "md5")
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
     yield s

@@ -119,7 +119,19 @@ def test_xxhash_draws_keep_invariants(spark):
         res = sampling.reservoir_sample(it, 20).collect()
         assert len(res) == 20 and len({r["pos"] for r in res}) == 20
     finally:
-        spark.conf.unset("farsight.draw.hash")
+        spark.conf.set("farsight.draw.hash", "md5")
+
+
+def test_default_draw_is_xxhash_and_pinning(spark):
+    from farsight.functions import draws
+    spark.conf.unset("farsight.draw.hash")
+    try:
+        assert draws._method() == "xxhash64"
+        with draws.pinned("md5"):
+            assert draws._method() == "md5"
+        assert draws._method() == "xxhash64"
+    finally:
+        spark.conf.set("farsight.draw.hash", "md5")
 
 
 def test_sticky_recall_of_true_frequent_items(spark):
