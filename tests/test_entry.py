@@ -53,3 +53,14 @@ def test_query_matches_oracle(spark, con, name):
     st = {f.name: types.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
     dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert st == dt
+
+
+def test_registered_queries_pin_md5_draws(spark, con):
+    spark.conf.set("farsight.draw.hash", "xxhash64")
+    try:
+        for name in ("sticky_table", "reservoir_sample"):
+            df = E.queries()[name](spark, SF001)
+            rel = con.sql(E.oracle_sql()[name])
+            assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(rel.columns, rel.fetchall())
+    finally:
+        spark.conf.set("farsight.draw.hash", "md5")
