@@ -159,3 +159,21 @@ def reservoir_vs_exact(items: DataFrame, phi: float, n: int | None = None,
     check_items_params(phi)
     est = reservoir_sample(items, m, seed).select("item").distinct()
     return _mark(est, frequent_exact(items, phi, n))
+
+
+def reservoir_summary(items: DataFrame, phi: float, n: int | None = None,
+                      seed=RESERVOIR_SEED) -> DataFrame:
+    """One row: ``sample_size, n_estimated, n_true, n_common`` -- the
+    ceil(1/phi)-reservoir, its distinct items (the estimates), the truly
+    frequent items and how many of those the reservoir found."""
+    m = reservoir_size(phi)
+    sample = reservoir_sample(items, m, seed)
+    est = sample.groupBy("item").agg(F.count(F.lit(1)).alias("copies"))
+    truth = frequent_exact(items, phi, n).select("item", F.lit(1).alias("_t"))
+    truth, _ = broadcast_if_small(truth)
+    j = est.join(truth, "item", "full")
+    return j.agg(F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("sample_size"),
+                 F.count("copies").cast("bigint").alias("n_estimated"),
+                 F.count("_t").cast("bigint").alias("n_true"),
+                 F.count(F.when(F.col("copies").isNotNull() & F.col("_t").isNotNull(), 1))
+                 .cast("bigint").alias("n_common"))

@@ -210,6 +210,7 @@ ITEM_QUERIES: dict[str, Query] = {
     "reservoir_first_n": lambda s, d: sampling.reservoir_first_n(_i(s, d), RES_M, RES_N, RES_SEED),
     "reservoir_vs_exact": lambda s, d: sampling.reservoir_vs_exact(_i(s, d), PHI, seed=RES_SEED)
         .orderBy("item"),
+    "reservoir_summary": lambda s, d: sampling.reservoir_summary(_i(s, d), PHI, seed=RES_SEED),
 }
 
 _R = sticky_r(PHI, EPS, DELTA)
@@ -255,6 +256,13 @@ ITEM_SQL: dict[str, str] = {
         FROM hist h LEFT JOIN st s USING (item)""",
     "reservoir_sample": f"{_WITH_IT} {_reservoir_sql(RES_M)}",
     "reservoir_first_n": f"{_WITH_IT} {_reservoir_sql(RES_M, f'WHERE pos < {RES_N}')}",
+    "reservoir_summary": f"""{_STICKY}, res AS ({_reservoir_sql(RES_M)}),
+        rest AS (SELECT item, count(*) AS copies FROM res GROUP BY item)
+        SELECT CAST(coalesce(sum(e.copies), 0) AS BIGINT) AS sample_size,
+               CAST(count(e.copies) AS BIGINT) AS n_estimated,
+               CAST(count(t.item) AS BIGINT) AS n_true,
+               CAST(count(CASE WHEN e.copies IS NOT NULL AND t.item IS NOT NULL THEN 1 END) AS BIGINT) AS n_common
+        FROM rest e FULL JOIN truth t USING (item)""",
     "reservoir_vs_exact": f"""{_STICKY}, res AS ({_reservoir_sql(RES_M)})
         SELECT DISTINCT r.item, CASE WHEN t.item IS NOT NULL THEN '+' ELSE '-' END AS mark
         FROM res r LEFT JOIN truth t USING (item)""",
