@@ -7,11 +7,11 @@ by that id and overwrites, and all randomness is a function of ``pos``: a
 replay reproduces the same files, giving exactly-once results.
 
 Per micro-batch, all work is DataFrame operations on the executors; only the
-batch size and the running length touch the driver:
+sizes of the original batches in it and the running length touch the driver:
 
 * **cut-off** (ST2): the running length is kept in ``meta/``; batches are
-  consumed up to and including the one that reaches ``n`` items, later
-  batches are ignored and the query is stopped.
+  consumed up to and including the one that reaches ``n`` items; later
+  batches are ignored (a live query is then stopped, a replay drains).
 * **histogram** (ST3): the batch's item counts (partial aggregation) are
   appended under ``hist/mb=<micro-batch id>``; every ``compact_every``
   batches they are merged into a base under ``histbase/``.  The histogram
@@ -23,7 +23,8 @@ batch size and the running length touch the driver:
 * **sticky sampling** (ST5): state is the table S (expected ~r rows).  Per
   batch: items already in S count all their occurrences; other items enter
   at their first successful draw and count from there.  S is broadcast into
-  the batch join when its measured size allows.
+  the batch join when its measured size allows.  This needs micro-batches
+  to arrive in ``pos`` order (rows inside one batch may come in any order).
 """
 
 from __future__ import annotations
