@@ -44,7 +44,8 @@ def pinned(method: str):
         _pinned.pop()
 
 
-def _method() -> str:
+def current_method() -> str:
+    """The draw method expressions built now will use."""
     if _pinned:
         return _pinned[-1]
     from pyspark.sql import SparkSession
@@ -56,7 +57,7 @@ def _method() -> str:
 
 
 def draw(seed, key: Column, method: str | None = None) -> Column:
-    method = method or _method()
+    method = method or current_method()
     if method == "xxhash64":
         return F.xxhash64(F.lit(str(seed)), key).bitwiseAND(F.lit(TWO_POW_60 - 1))
     h = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))

@@ -131,8 +131,8 @@ def frequent_summary(items: DataFrame, phi: float, epsilon: float, delta: float,
 
 # --------------------------------------------------------------- reservoir
 
-def reservoir_slot(m: int, seed=RESERVOIR_SEED) -> Column:
-    u = draw(seed, F.col("pos"))
+def reservoir_slot(m: int, seed=RESERVOIR_SEED, method: str | None = None) -> Column:
+    u = draw(seed, F.col("pos"), method)
     return F.when(F.col("pos") < int(m), F.col("pos")).otherwise(F.pmod(u, F.col("pos") + 1))
 
 

@@ -36,7 +36,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.functions.draws import draw, threshold_for
+from farsight.functions.draws import current_method, draw, threshold_for
 from farsight.functions.params import sticky_r
 from farsight.operators.joins import DEFAULT_BROADCAST_ROWS
 from farsight.operators.sampling import RESERVOIR_SEED, STICKY_SEED, reservoir_slot
@@ -131,7 +131,7 @@ def _latest_base(spark: SparkSession, base: str, upto: int) -> int:
 
 def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
                    sticky_seed, res_seed, fail_at: int | None = None,
-                   compact_every: int = 32):
+                   compact_every: int = 32, method: str | None = None):
     spark = run.spark
     base = run.base
     # driver caches of the meta log (rebuilt from it after a restart)
@@ -187,7 +187,7 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
 
         # reservoir over the first n positions
         cand = (rows.where(F.col("pos") < run.n)
-                .select("pos", "item", reservoir_slot(run.m, res_seed).alias("slot"))
+                .select("pos", "item", reservoir_slot(run.m, res_seed, method).alias("slot"))
                 .where(F.col("slot") < run.m))
         if prev_mb >= 0:
             prev_res = spark.read.parquet(f"{base}/res/mb={prev_mb}").select("pos", "item", "slot")
@@ -196,7 +196,7 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
         _write(res, f"{base}/res/mb={mb}")
 
         # sticky sampling
-        u = draw(sticky_seed, F.col("pos"))
+        u = draw(sticky_seed, F.col("pos"), method)
         new_hits = rows.where(u <= F.lit(T)).groupBy("item").agg(F.min("pos").alias("hit"))
         if prev_mb >= 0:
             prev = spark.read.parquet(f"{base}/sticky/mb={prev_mb}").select("item", "fp", "est")
@@ -259,7 +259,7 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     done = threading.Event()
     w = (stream.writeStream
          .foreachBatch(_batch_handler(run, done, int(T), sticky_seed, res_seed, fail_at,
-                                      compact_every))
+                                      compact_every, current_method()))
          .option("checkpointLocation", f"{base}/checkpoint"))
     if processing_time is None:
         q = w.trigger(availableNow=True).start()

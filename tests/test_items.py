@@ -126,10 +126,10 @@ def test_default_draw_is_xxhash_and_pinning(spark):
     from farsight.functions import draws
     spark.conf.unset("farsight.draw.hash")
     try:
-        assert draws._method() == "xxhash64"
+        assert draws.current_method() == "xxhash64"
         with draws.pinned("md5"):
-            assert draws._method() == "md5"
-        assert draws._method() == "xxhash64"
+            assert draws.current_method() == "md5"
+        assert draws.current_method() == "xxhash64"
     finally:
         spark.conf.set("farsight.draw.hash", "md5")
 
