@@ -23,7 +23,7 @@ sizes of the original batches in it and the running length touch the driver:
 * **sticky sampling** (ST5): state is the table S (expected ~r rows).  Per
   batch: items already in S count all their occurrences; other items enter
   at their first successful draw and count from there.  S is broadcast into
-  the batch join when its measured size allows.  This needs micro-batches
+  the batch join when its file size is under the broadcast threshold.  This needs micro-batches
   to arrive in ``pos`` order (rows inside one batch may come in any order).
 """
 
@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 
 from farsight.functions.draws import current_method, draw, threshold_for
 from farsight.functions.params import sticky_r
-from farsight.operators.joins import DEFAULT_BROADCAST_ROWS
 from farsight.operators.sampling import RESERVOIR_SEED, STICKY_SEED, reservoir_slot
 from farsight.session import scratch_path
 from farsight.streaming.source import item_stream, write_item_batches
@@ -202,10 +201,11 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
             prev = spark.read.parquet(f"{base}/sticky/mb={prev_mb}").select("item", "fp", "est")
         else:
             prev = spark.createDataFrame([], "item int, fp long, est long")
-        # S stays small (~r rows); broadcast only while measured below the bound
-        n_prev = prev.count()
-        prev_b = F.broadcast(prev) if n_prev <= DEFAULT_BROADCAST_ROWS else prev
-        keyed = (new_hits.join(prev_b, "item", "full")
+        # S stays small (~r rows).  It is read from Parquet, so the planner
+        # knows its file size and broadcasts it only below
+        # spark.sql.autoBroadcastJoinThreshold (else a shuffle join): no
+        # extra counting job per micro-batch.
+        keyed = (new_hits.join(prev, "item", "full")
                  .select("item", F.coalesce("fp", "hit").alias("fp"),
                          F.coalesce("est", F.lit(0)).alias("est0")))
         add = (rows.join(keyed.select("item", "fp"), "item")
