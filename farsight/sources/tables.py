@@ -83,8 +83,9 @@ def read_points_text(spark: SparkSession, path: str, dims: int = 2) -> DataFrame
 
 
 def read_items_text(spark: SparkSession, path: str) -> DataFrame:
-    """One integer per line -> ``pos, item``; a non-integer line fails."""
+    """One integer per line -> ``pos, item``; a non-integer line fails.
+    ``pos`` follows file-name order, then line order."""
     raw = (spark.read.schema("item INT").option("mode", "FAILFAST")
            .option("header", "false").csv(path))
     from farsight.functions.index import dense_index
-    return dense_index(raw, "pos").select("pos", "item")
+    return dense_index(raw, "pos", file_order=True).select("pos", "item")

@@ -31,3 +31,16 @@ def test_dense_index_multi_partition(spark):
     df = spark.range(0, 1000, 1, 7).repartition(5)
     got = sorted(r["pos"] for r in dense_index(df, "pos").collect())
     assert got == list(range(1000))
+
+
+def test_items_text_positions_follow_file_order(spark, tmp_path):
+    d = tmp_path / "ordered"
+    d.mkdir()
+    # the second file is much larger: Spark packs it first, positions must not
+    (d / "part-0.txt").write_text("\n".join(str(i) for i in range(5)) + "\n")
+    (d / "part-1.txt").write_text("\n".join(str(1000 + i) for i in range(3000)) + "\n")
+    (d / "part-2.txt").write_text("\n".join(str(9000 + i) for i in range(7)) + "\n")
+    rows = sorted((r["pos"], r["item"]) for r in read_items_text(spark, str(d)).collect())
+    want = list(range(5)) + [1000 + i for i in range(3000)] + [9000 + i for i in range(7)]
+    assert [it for _, it in rows] == want
+    assert [p for p, _ in rows] == list(range(len(want)))
