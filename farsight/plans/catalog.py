@@ -406,9 +406,20 @@ def _text_item_histogram(spark, sf):
     return itemops.item_histogram(read_items_text(spark, path))
 
 
+def _text_item_reservoir(spark, sf):
+    """Items written as ordered text lines and scanned back; the reservoir
+    depends on every line's exact position, so it checks the reader's
+    file-order numbering end to end."""
+    path = scratch_path(spark, "items-text-ordered")
+    (stream_items(spark, sf).orderBy("pos").select(F.col("item").cast("string"))
+     .write.mode("overwrite").text(path))
+    return sampling.reservoir_sample(read_items_text(spark, path), RES_M, RES_SEED)
+
+
 TEXT_QUERIES: dict[str, Query] = {
     "csv_point_scan": _csv_point_scan,
     "text_item_histogram": _text_item_histogram,
+    "text_item_reservoir": _text_item_reservoir,
 }
 TEXT_SQL: dict[str, str] = {
     "csv_point_scan": f"""WITH p AS ({S.POINTS2D})
@@ -416,6 +427,7 @@ TEXT_SQL: dict[str, str] = {
                (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT x, y FROM p)) AS n_distinct,
                min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y FROM p""",
     "text_item_histogram": ITEM_SQL["item_histogram"],
+    "text_item_reservoir": ITEM_SQL["reservoir_sample"],
 }
 ALL_QUERIES.update({k: _pin_md5(v) for k, v in TEXT_QUERIES.items()})
 ALL_SQL.update(TEXT_SQL)
