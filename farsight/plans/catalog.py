@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from farsight.functions.draws import pinned
 from farsight.functions.geometry import omega_for
-from farsight.operators import kcenter, outliers, points as pointops
+from farsight.functions.params import reservoir_size, sticky_r
+from farsight.operators import items as itemops, kcenter, outliers, points as pointops, sampling
 from farsight.plans import pipeline
 from farsight.plans import sql_oracle as S
-from farsight.sources import points2d, points_nd
+from farsight.session import scratch_path
+from farsight.sources import (points2d, points_nd, read_items_text, read_points_text,
+                              stream_items, stream_items_timed)
+from farsight.streaming.items import run_item_stream, run_state_histogram
 
 # fixed query parameters
 GRID_D = 15.0
@@ -177,9 +181,6 @@ ALL_SQL.update(POINT_SQL)
 
 # ------------------------------------------------------------------ items
 
-from farsight.functions.params import reservoir_size, sticky_r  # noqa: E402
-from farsight.operators import items as itemops, sampling  # noqa: E402
-from farsight.sources import stream_items  # noqa: E402
 
 PHI, EPS, DELTA = 0.05, 0.01, 0.1
 STICKY_SEED, RES_SEED = 42, 43
@@ -274,7 +275,6 @@ ALL_SQL.update(ITEM_SQL)
 
 # -------------------------------------------------------------- streaming
 
-from farsight.streaming.items import run_item_stream, run_state_histogram  # noqa: E402
 
 STREAM_N, STREAM_BATCH = 5000, 360
 _RUNS: dict = {}
@@ -330,7 +330,6 @@ ALL_SQL.update(STREAM_SQL)
 
 # arrival-time micro-batches (variable size), as the reference's 10 ms
 # intervals: one-hour intervals of events.ts
-from farsight.sources import stream_items_timed  # noqa: E402
 
 TIME_BATCH_S = 3600
 _TRUNS: dict = {}
@@ -382,9 +381,6 @@ ALL_SQL.update(TIME_SQL)
 
 # ------------------------------------------------------------ text sources
 
-from farsight.session import scratch_path  # noqa: E402
-from farsight.sources import read_items_text, read_points_text  # noqa: E402
-
 
 def _csv_point_scan(spark, sf):
     """Points written as the reference's header-less CSV and scanned back
