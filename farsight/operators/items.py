@@ -64,4 +64,7 @@ def stream_cutoff(items: DataFrame, n: int, batch_size: int | None = None) -> Da
         items = items.select("pos", "item", F.col("batch").cast("bigint").alias("batch"))
         at_n = items.where(F.col("pos") == int(n) - 1).agg(F.max("batch")).scalar()
         return items.where(at_n.isNull() | (F.col("batch") <= at_n))
-    return items.where(F.col("batch") <= F.lit((int(n) - 1) // int(batch_size)))
+    # floor(pos / bs) <= last  <=>  pos < (last + 1) * bs for pos >= 0: a plain
+    # range on pos, which Parquet pushdown uses to skip row groups
+    end = ((int(n) - 1) // int(batch_size) + 1) * int(batch_size)
+    return items.where(F.col("pos") < F.lit(end))
