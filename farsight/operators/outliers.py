@@ -54,10 +54,24 @@ def grid_cells(points: DataFrame, D) -> DataFrame:
             .groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")))
 
 
-def region_counts_from_cells(cells: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+def region_counts_from_cells(cells: DataFrame, keys: tuple[str, ...] = (),
+                             method: str = "push") -> DataFrame:
     """``<keys>, cx, cy, n, n3, n7`` for every non-empty cell (input:
     ``<keys>, cx, cy, n``; ``keys`` are extra grouping columns, e.g. the K
-    of a sweep)."""
+    of a sweep).
+
+    Stage 1 pushes each cell to its 7 row neighbours and aggregates the
+    partial row sums (h7, h3) at (cx+dx, cy).  Stage 2 combines them along
+    y:
+
+    * ``push`` (default): every stage-1 row is pushed to its 7 column
+      neighbours and aggregated; the cell's own count rides along, so no
+      join.  About 7x the cells in a dense grid (the pipeline's case, where
+      D is the clustering radius), up to 49x in a very sparse one.
+    * ``pull``: every real cell requests its 7 column neighbours' partial
+      sums through an equi-join and sums them: about 21x the cells however
+      sparse the grid, at the price of a join.
+    """
     keys = list(keys)
     offs = F.sequence(F.lit(-3), F.lit(3))
     by_row = (cells.select(*keys, "cx", "cy", "n", F.explode(offs).alias("d"))
@@ -65,6 +79,18 @@ def region_counts_from_cells(cells: DataFrame, keys: tuple[str, ...] = ()) -> Da
               .agg(F.sum("n").alias("h7"),
                    F.sum(F.when(F.abs("d") <= 1, F.col("n"))).alias("h3"),
                    F.sum(F.when(F.col("d") == 0, F.col("n"))).alias("own")))
+    if method == "pull":
+        req = cells.select(*keys, "cx", "cy", "n", F.explode(offs).alias("d")) \
+                   .withColumn("sy", F.col("cy") + F.col("d"))
+        src = by_row.select(*keys, "cx", F.col("cy").alias("sy"), "h7", "h3")
+        joined = req.join(src, keys + ["cx", "sy"])
+        return (joined.groupBy(*keys, "cx", "cy")
+                .agg(F.first("n").alias("n"),
+                     F.coalesce(F.sum(F.when(F.abs("d") <= 1, F.col("h3"))), F.lit(0)).alias("n3"),
+                     F.sum("h7").alias("n7"))
+                .select(*keys, "cx", "cy", "n", "n3", "n7"))
+    if method != "push":
+        raise ValueError(f"method must be push or pull, got {method!r}")
     by_col = (by_row.select(*keys, "cx", "cy", "h7", "h3", "own", F.explode(offs).alias("d"))
               .groupBy(*keys, "cx", (F.col("cy") + F.col("d")).alias("cy"))
               .agg(F.sum(F.when(F.col("d") == 0, F.col("own"))).alias("n"),
@@ -74,8 +100,8 @@ def region_counts_from_cells(cells: DataFrame, keys: tuple[str, ...] = ()) -> Da
                  .select(*keys, "cx", "cy", "n", F.coalesce("n3", F.lit(0)).alias("n3"), "n7")
 
 
-def region_counts(points: DataFrame, D) -> DataFrame:
-    return region_counts_from_cells(grid_cells(points, D))
+def region_counts(points: DataFrame, D, method: str = "push") -> DataFrame:
+    return region_counts_from_cells(grid_cells(points, D), method=method)
 
 
 def classify_cells(regions: DataFrame, M: int) -> DataFrame:

@@ -41,6 +41,7 @@ POINT_QUERIES: dict[str, Query] = {
     "distinct_points": lambda s, d: pointops.distinct_points(_p(s, d)),
     "grid_cells": lambda s, d: outliers.grid_cells(_p(s, d), GRID_D),
     "region_counts": lambda s, d: outliers.region_counts(_p(s, d), GRID_D),
+    "region_counts_pull": lambda s, d: outliers.region_counts(_p(s, d), GRID_D, method="pull"),
     "outlier_cells": lambda s, d: outliers.outlier_cells(_p(s, d), GRID_D, GRID_M),
     "uncertain_cells_anti": lambda s, d: outliers.uncertain_cells_anti(_p(s, d), GRID_D, GRID_M),
     "approx_outliers": lambda s, d: outliers.approx_outliers(_p(s, d), GRID_D, GRID_M),
@@ -95,6 +96,7 @@ POINT_SQL: dict[str, str] = {
     "distinct_points": f"SELECT DISTINCT x, y FROM ({S.POINTS2D})",
     "grid_cells": _grid_sql(GRID_D, GRID_M, "SELECT cx, cy, CAST(n AS BIGINT) AS n FROM cells"),
     "region_counts": _grid_sql(GRID_D, GRID_M, "SELECT cx, cy, CAST(n AS BIGINT) AS n, n3, n7 FROM regions"),
+    "region_counts_pull": _grid_sql(GRID_D, GRID_M, "SELECT cx, cy, CAST(n AS BIGINT) AS n, n3, n7 FROM regions"),
     "outlier_cells": _grid_sql(GRID_D, GRID_M,
                                f"SELECT cx, cy, CAST(n AS BIGINT) AS n, n7 FROM regions WHERE n7 <= {GRID_M}"),
     "uncertain_cells_anti": _grid_sql(

@@ -83,3 +83,14 @@ def test_anti_join_form_equals_case_form(spark):
     case = {(r["cx"], r["cy"]) for r in outliers.classified_cells(p, 15.0, 10).collect()
             if r["status"] == "uncertain"}
     assert anti == case
+
+
+def test_pull_equals_push(spark):
+    from conftest import pts_df
+    import numpy as np
+    rng = np.random.default_rng(5)
+    sparse = [tuple(v) for v in rng.uniform(-500, 500, size=(300, 2))]
+    for df, D in ((points2d(spark, SF001), 15.0), (pts_df(spark, sparse), 2.0)):
+        a = {tuple(r) for r in outliers.region_counts(df, D).collect()}
+        b = {tuple(r) for r in outliers.region_counts(df, D, method="pull").collect()}
+        assert a == b and len(a) > 0
