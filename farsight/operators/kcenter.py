@@ -214,7 +214,9 @@ def mr_fft_centers_from_coreset(coreset: DataFrame, K: int, L: int | None, coord
             return kcenter_global(pts, K, coords)
         return fft_groups(pts, K, [], coords)
     if int(L) * int(K) > max_group_rows:
-        return kcenter_global(pts, K, coords)
+        # K scans follow: cut the lineage so none of them recomputes round 1
+        from farsight.session import materialize
+        return kcenter_global(materialize(pts), K, coords)
     return fft_groups(pts, K, [], coords)
 
 
