@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.functions.draws import current_method, draw, threshold_for
+from farsight.functions.index import dense_index
 from farsight.functions.params import sticky_r
 from farsight.operators.sampling import RESERVOIR_SEED, STICKY_SEED, reservoir_slot
 from farsight.session import scratch_path
@@ -151,6 +152,13 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
             cums[mb], state_mb[mb] = prev_cum, prev_mb
             done.set()
             return
+        if "pos" not in batch.columns:
+            # a plain line stream (text files, socket): parse each line
+            # (ANSI cast: a bad line fails the batch, as int() does) and number
+            # the items in arrival order after the running length
+            parsed = batch.select(F.col("value").cast("int").alias("item"))
+            batch = dense_index(parsed, "_i").select(
+                (F.col("_i") + F.lit(prev_cum)).alias("pos"), "item")
         # original batches in this micro-batch (a handful of rows) -> cut-off
         if "batch" in batch.columns:
             sizes = sorted((int(r[0]), int(r[1])) for r in
@@ -237,7 +245,9 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
                     base: str | None = None, fail_at: int | None = None,
                     compact_every: int = 32) -> ItemStreamRun:
     """Replay ``items`` as a file stream of ``batch_size``-item batches (or
-    consume the given streaming DataFrame ``stream``) and maintain the
+    consume the given streaming DataFrame ``stream``: ``pos, item`` with an
+    optional ``batch``, or a plain line stream with one ``value`` column such
+    as ``item_text_stream``) and maintain the
     histogram, reservoir and sticky state until the batch holding item n.
 
     A replayed stream runs with ``availableNow`` and drains (batches past the

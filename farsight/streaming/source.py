@@ -60,3 +60,11 @@ def item_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> D
             .option("maxFilesPerTrigger", int(files_per_trigger))
             .option("recursiveFileLookup", "true")
             .parquet(path))
+
+
+def item_text_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+    """A line-per-integer stream (the reference's input format) from text
+    files, oldest first: one ``value`` column; the stream runner parses the
+    lines and numbers them in arrival order."""
+    return (spark.readStream.option("maxFilesPerTrigger", int(files_per_trigger))
+            .text(path))

@@ -76,3 +76,35 @@ def test_histogram_compaction(spark):
     assert _as_set(run.histogram()) == _as_set(itemops.item_histogram(cut))
     from farsight.streaming.items import _latest_base
     assert _latest_base(spark, run.base, run.last_batch) >= 15
+
+
+def test_plain_text_line_stream(spark, tmp_path):
+    import os
+    from conftest import items_df
+    from farsight.streaming import item_text_stream
+    d = tmp_path / "lines"
+    d.mkdir()
+    chunks = [[(7 * i + j) % 11 for j in range(40 + 10 * i)] for i in range(5)]
+    for i, chunk in enumerate(chunks):
+        f = d / f"chunk-{i}.txt"
+        f.write_text("\n".join(str(v) for v in chunk) + "\n")
+        os.utime(f, (1_000_000 + i, 1_000_000 + i))
+    n = 100                      # reached inside the third file (40 + 50 + 60 items)
+    run = run_item_stream(spark, None, n, None, 0.2, 0.1, 0.1, m=5,
+                          stream=item_text_stream(spark, str(d)))
+    consumed = [v for chunk in chunks[:3] for v in chunk]
+    assert run.length == len(consumed) == 150
+    cut = items_df(spark, consumed)
+    assert _as_set(run.histogram()) == _as_set(itemops.item_histogram(cut))
+    assert _as_set(run.sticky()) == _as_set(sampling.sticky_table(cut, 0.2, 0.1, 0.1, n=n).select("item", "fp", "est"))
+    assert _as_set(run.reservoir()) == _as_set(sampling.reservoir_first_n(cut, 5, n).select("slot", "item", "pos"))
+
+
+def test_bad_line_fails_the_stream(spark, tmp_path):
+    import pytest
+    from farsight.streaming import ItemStreamFailed, item_text_stream
+    d = tmp_path / "bad"
+    d.mkdir()
+    (d / "a.txt").write_text("1\n2\nabc\n")
+    with pytest.raises(ItemStreamFailed):
+        run_item_stream(spark, None, 10, None, 0.2, 0.1, 0.1, m=5, stream=item_text_stream(spark, str(d)))
