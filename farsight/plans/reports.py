@@ -14,6 +14,7 @@ frequent items, m sample rows and the sticky table (expected ~r rows).
 
     python -m farsight.plans.reports points <csv> M K L
     python -m farsight.plans.reports items <text-file> n phi epsilon delta [batch_size]
+    python -m farsight.plans.reports stream <dir-of-line-files> n phi epsilon delta
 """
 
 from __future__ import annotations
@@ -89,6 +90,28 @@ def items_report(items: DataFrame, n: int, phi: float, epsilon: float, delta: fl
     }
 
 
+def stream_items_report(spark, stream: DataFrame, n: int, phi: float, epsilon: float,
+                        delta: float, processing_time: str | None = None) -> dict:
+    """The items report from a Structured Streaming run over ``stream`` (a
+    line stream such as ``item_text_stream``, or positioned items): state is
+    kept per micro-batch and the consumption stops after the batch holding
+    item n, as in the reference."""
+    from farsight.streaming import run_item_stream
+    check_items_params(phi, epsilon, delta)
+    run = run_item_stream(spark, None, n, None, phi, epsilon, delta, stream=stream,
+                          processing_time=processing_time)
+    truth = sorted(r["item"] for r in run.frequent_exact().collect())
+    est = sorted(r["item"] for r in run.frequent_sticky().collect())
+    return {
+        "n": int(n), "phi": phi, "epsilon": epsilon, "delta": delta,
+        "consumed": run.length,
+        "true_frequent": truth,
+        "reservoir": sorted(r["item"] for r in run.reservoir().collect()),
+        "sticky_table_size": run.sticky().count(),
+        "approx_frequent": [(i, "+" if i in set(truth) else "-") for i in est],
+    }
+
+
 def format_items_report(r: dict) -> str:
     lines = [f"n = {r['n']} phi = {r['phi']} epsilon = {r['epsilon']} delta = {r['delta']}",
              f"Number of items processed = {r['consumed']}",
@@ -108,6 +131,11 @@ def main(argv: list[str]) -> None:
     if argv[0] == "points":
         path, M, K, L = argv[1], int(argv[2]), int(argv[3]), int(argv[4])
         print(format_points_report(points_report(read_points_text(spark, path), M, K, L), path))
+    elif argv[0] == "stream":
+        from farsight.streaming import item_text_stream
+        path, n, phi, eps, delta = argv[1], int(argv[2]), float(argv[3]), float(argv[4]), float(argv[5])
+        r = stream_items_report(spark, item_text_stream(spark, path), n, phi, eps, delta)
+        print(format_items_report(r))
     elif argv[0] == "items":
         path, n, phi, eps, delta = argv[1], int(argv[2]), float(argv[3]), float(argv[4]), float(argv[5])
         bs = int(argv[6]) if len(argv) > 6 else 360

@@ -30,3 +30,19 @@ def test_items_report_matches_operators(spark):
     assert len(r["reservoir"]) == 20
     assert r["sticky_table_size"] == sampling.sticky_table(cut, 0.05, 0.01, 0.1, 500).count()
     assert "True frequent items:" in reports.format_items_report(r)
+
+
+def test_stream_items_report(spark, tmp_path):
+    import os
+    from farsight.streaming import item_text_stream
+    d = tmp_path / "lines"
+    d.mkdir()
+    for i in range(4):
+        f = d / f"part-{i}.txt"
+        f.write_text("\n".join(str(v % 9 if v % 3 else 4) for v in range(i * 50, i * 50 + 50)) + "\n")
+        os.utime(f, (2_000_000 + i, 2_000_000 + i))
+    r = reports.stream_items_report(spark, item_text_stream(spark, str(d)), 120, 0.2, 0.1, 0.1)
+    assert r["consumed"] == 150                     # three whole files hold item 120
+    assert 4 in r["true_frequent"]
+    assert len(r["reservoir"]) == 5
+    assert "Number of items in the Hash Table" in reports.format_items_report(r)
