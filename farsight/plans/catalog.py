@@ -59,6 +59,7 @@ POINT_QUERIES: dict[str, Query] = {
         .select("it", "id"),
     "kcenter_nd_radius": lambda s, d: _nd_radius(s, d),
     "outlier_pipeline": lambda s, d: pipeline.outlier_pipeline(_p(s, d), PIPE_K, PIPE_L, PIPE_M),
+    "outlier_pipeline_points": lambda s, d: pipeline.outlier_pipeline_points(_p(s, d), PIPE_K, PIPE_L, PIPE_M),
     "k_sweep": lambda s, d: pipeline.k_sweep(_p(s, d), SWEEP_KS, SWEEP_L, SWEEP_M),
 }
 
@@ -139,6 +140,16 @@ regions AS ({S.regions_cte('cells')}),
 classified AS (SELECT *, {S.status_sql(PIPE_M)} AS status FROM regions),
 summ AS ({S.summary_select()})
 SELECT (SELECT radius FROM rad) AS radius, summ.* FROM summ""",
+    "outlier_pipeline_points": f"""
+WITH RECURSIVE p AS ({S.POINTS2D}),
+{S.mr_centers_ctes('p', PIPE_K, PIPE_L)},
+rad AS {S.radius_sql('p', 'r2_centers')},
+pc AS (SELECT id, x, y, CAST(floor(x / {S.omega_sql('(SELECT radius FROM rad)')}) AS BIGINT) AS cx,
+              CAST(floor(y / {S.omega_sql('(SELECT radius FROM rad)')}) AS BIGINT) AS cy FROM p),
+cells AS (SELECT cx, cy, count(*) AS n FROM pc GROUP BY ALL),
+regions AS ({S.regions_cte('cells')}),
+classified AS (SELECT *, {S.status_sql(PIPE_M)} AS status FROM regions)
+SELECT pc.id, pc.x, pc.y, pc.cx, pc.cy, c.status FROM pc JOIN classified c USING (cx, cy)""",
 }
 
 

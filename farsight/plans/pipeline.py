@@ -35,6 +35,13 @@ def outlier_pipeline(points: DataFrame, K: int, L: int, M: int) -> DataFrame:
     return summary.select(F.lit(D).alias("radius"), *summary.columns)
 
 
+def outlier_pipeline_points(points: DataFrame, K: int, L: int, M: int) -> DataFrame:
+    """Every point with its label under D := MR-FFT radius:
+    ``id, x, y, cx, cy, status``."""
+    pts = points.select("id", "x", "y")
+    return outliers.approx_outliers_points(pts, mr_radius(pts, K, L), M)
+
+
 def mr_radius(points: DataFrame, K: int, L: int) -> float:
     """Radius of the MapReduce k-center clustering (one Spark job)."""
     centers = kcenter.mr_fft_centers(points, K, L)
