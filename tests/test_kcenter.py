@@ -161,3 +161,14 @@ def test_k_sweep_round2_fallback(spark, monkeypatch):
     monkeypatch.setattr(kcenter, "MAX_GROUP_ROWS", 1)
     b = {tuple(r) for r in pipeline.k_sweep(p, (4, 8), 3, 3).collect()}
     assert a == b
+
+
+def test_split_local_round1_nd(spark):
+    from farsight.sources import points_nd
+    p = points_nd(spark, SF001).repartition(3)
+    core = kcenter.mr_fft_coreset(p, 4, None, coords="v").collect()
+    assert 0 < len(core) <= 12 and len({r["id"] for r in core}) == len(core)
+    cen = kcenter.mr_fft_centers(p, 4, None, coords="v")
+    r = kcenter.kcenter_radius(p, cen, coords="v").collect()[0]["radius"]
+    g = kcenter.kcenter_radius(p, kcenter.kcenter_global(p, 4, coords="v"), coords="v").collect()[0]["radius"]
+    assert r >= 0.5 * g
