@@ -17,7 +17,7 @@ from farsight.plans import sql_oracle as S
 from farsight.session import scratch_path
 from farsight.sources import (points2d, points_nd, read_items_text, read_points_text,
                               stream_items, stream_items_timed)
-from farsight.streaming.items import run_item_stream, run_state_histogram
+from farsight.streaming.items import run_item_stream, run_state_histogram, run_state_sticky
 
 # fixed query parameters
 GRID_D = 15.0
@@ -312,6 +312,8 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_frequent_sticky": lambda s, d: _stream_run(s, d).frequent_sticky(),
     "stream_consumed": lambda s, d: _stream_run(s, d).consumed(),
     "stream_histogram_state": lambda s, d: run_state_histogram(s, _i(s, d), STREAM_N, STREAM_BATCH),
+    "stream_sticky_state": lambda s, d: run_state_sticky(s, _i(s, d), STREAM_N, STREAM_BATCH,
+                                                         PHI, EPS, DELTA, seed=STICKY_SEED),
 }
 
 _LAST = (STREAM_N - 1) // STREAM_BATCH
@@ -331,6 +333,7 @@ STREAM_SQL: dict[str, str] = {
         HAVING count(*) > {float(PHI) * STREAM_N!r}::DOUBLE""",
     "stream_reservoir": f"{_CUT} {_reservoir_sql(RES_M, f'WHERE pos < {STREAM_N}')}",
     "stream_sticky": f"{_ST_STICKY} SELECT item, fp, est FROM st",
+    "stream_sticky_state": f"{_ST_STICKY} SELECT item, fp, est FROM st",
     "stream_frequent_sticky": f"""{_ST_STICKY} SELECT item, est FROM st
         WHERE est >= {(float(PHI) - float(EPS)) * STREAM_N!r}::DOUBLE""",
     "stream_consumed": f"""{_CUT} SELECT CAST(b AS BIGINT) AS batch_id, size,

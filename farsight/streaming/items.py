@@ -299,6 +299,16 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     return run
 
 
+# The keyed state function runs in Python workers: ship this module's code
+# by value so executors need no installed copy of the package.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
+
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -340,3 +350,69 @@ def run_state_histogram(spark: SparkSession, items: DataFrame, n: int, batch_siz
         raise RuntimeError(f"state histogram failed: {q.exception()}")
     upd = spark.read.parquet(f"{base}/updates").select("item", "cnt", "mb")
     return upd.groupBy("item").agg(F.max_by("cnt", "mb").alias("cnt"))
+
+
+def _sticky_state_fn(key, pdfs, state):
+    """Per item and micro-batch: (first hit, count) kept in the state store.
+    An item without state enters at its first successful draw in this batch
+    (rows of one key may come in chunks and unordered: only min/compare are
+    used); items never sampled keep no state."""
+    import pandas as pd
+    pdf = pd.concat(list(pdfs), ignore_index=True)
+    if state.exists:
+        fp, est = state.get
+        est = int(est) + len(pdf)
+    else:
+        hits = pdf["pos"][pdf["hit"]]
+        if len(hits) == 0:
+            return
+        fp = int(hits.min())
+        est = int((pdf["pos"] >= fp).sum())
+    state.update((int(fp), int(est)))
+    yield pd.DataFrame({"item": [key[0]], "fp": [int(fp)], "est": [int(est)]})
+
+
+def run_state_sticky(spark: SparkSession, items: DataFrame, n: int, batch_size: int,
+                     phi: float, epsilon: float, delta: float, seed=STICKY_SEED,
+                     files_per_trigger: int = 4, files: int = 16,
+                     timeout_s: float = 3600) -> DataFrame:
+    """Sticky sampling as a keyed stateful stream operator.
+
+    The draw test (``hit``) is a native column; rows are grouped by item and
+    ``applyInPandasWithState`` keeps (first hit, count) per sampled item in
+    the state store (RocksDB unless the session chose a provider).  Micro-
+    batches must arrive in ``pos`` order.  The cut-off is the stateless
+    filter on the fixed-size original batch id.  Returns ``item, fp, est``.
+
+    Every row of the consumed stream passes through Python here; the
+    ``foreachBatch`` runner (``run_item_stream``) keeps all rows in the JVM
+    and is the one to use at scale."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    base = scratch_path(spark, "state-sticky")
+    if spark.conf.get(STATE_PROVIDER_CONF, None) is None:
+        spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
+    write_item_batches(items, batch_size, f"{base}/src", files)
+    T = threshold_for(sticky_r(phi, epsilon, delta) / int(n))
+    last = (int(n) - 1) // int(batch_size)
+    src = (item_stream(spark, f"{base}/src", files_per_trigger)
+           .where(F.col("batch") <= last)
+           .select("item", "pos", (draw(seed, F.col("pos")) <= F.lit(T)).alias("hit")))
+    table = src.groupBy("item").applyInPandasWithState(
+        _sticky_state_fn, "item int, fp long, est long", "fp long, est long",
+        "update", GroupStateTimeout.NoTimeout)
+
+    def upsert(df: DataFrame, mb: int) -> None:
+        df.withColumn("mb", F.lit(mb).cast("bigint")) \
+          .write.mode("overwrite").parquet(f"{base}/updates/mb={mb}")
+
+    q = (table.writeStream.outputMode("update").foreachBatch(upsert)
+         .option("checkpointLocation", f"{base}/checkpoint")
+         .trigger(availableNow=True).start())
+    try:
+        q.awaitTermination(timeout_s)
+    except Exception as e:  # noqa: BLE001 - StreamingQueryException
+        raise ItemStreamFailed(f"stateful sticky stream failed: {e}", base) from e
+    if q.isActive:
+        q.stop()
+    upd = spark.read.parquet(f"{base}/updates").select("item", "fp", "est", "mb")
+    return upd.groupBy("item").agg(F.max_by("fp", "mb").alias("fp"), F.max_by("est", "mb").alias("est"))
