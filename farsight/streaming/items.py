@@ -257,6 +257,8 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
     ``base`` resumes an earlier run from its checkpoint (after a failure);
     ``fail_at`` injects a failure into one micro-batch (tests)."""
     from farsight.functions.params import reservoir_size
+    if items is None and stream is None:
+        raise ValueError("give an item table to replay or a streaming DataFrame")
     resume = base is not None
     base = base or scratch_path(spark, "items-stream")
     m = reservoir_size(phi) if m is None else int(m)

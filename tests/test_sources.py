@@ -44,3 +44,16 @@ def test_items_text_positions_follow_file_order(spark, tmp_path):
     want = list(range(5)) + [1000 + i for i in range(3000)] + [9000 + i for i in range(7)]
     assert [it for _, it in rows] == want
     assert [p for p, _ in rows] == list(range(len(want)))
+
+
+def test_points_text_nd(spark, tmp_path):
+    p = tmp_path / "pts3.csv"
+    p.write_text("1,2,3\n4.5,5,6\n")
+    rows = read_points_text(spark, str(p), dims=3).orderBy("id").collect()
+    assert [list(r["v"]) for r in rows] == [[1.0, 2.0, 3.0], [4.5, 5.0, 6.0]]
+
+
+def test_stream_needs_input(spark):
+    from farsight.streaming import run_item_stream
+    with pytest.raises(ValueError):
+        run_item_stream(spark, None, 10, 5, 0.2, 0.1, 0.1)
