@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from farsight.functions.draws import current_method, draw, threshold_for
 from farsight.functions.index import dense_index
+from farsight.operators.joins import broadcast_if_small
 from farsight.functions.params import sticky_r
 from farsight.operators.sampling import RESERVOIR_SEED, STICKY_SEED, reservoir_slot
 from farsight.session import scratch_path
@@ -216,10 +217,17 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
         keyed = (new_hits.join(prev, "item", "full")
                  .select("item", F.coalesce("fp", "hit").alias("fp"),
                          F.coalesce("est", F.lit(0)).alias("est0")))
-        add = (rows.join(keyed.select("item", "fp"), "item")
+        # S plus this batch's first hits: small, but the planner cannot know
+        # it (it comes out of a join); measure it so the batch's rows are
+        # probed against a broadcast instead of being shuffled by item
+        # (its lineage is short -- persisted batch rows and Parquet state --
+        # so a persist, not a reliable checkpoint, is enough)
+        keyed = keyed.persist()
+        keyed_b, _ = broadcast_if_small(keyed, checkpoint=False)
+        add = (rows.join(keyed_b.select("item", "fp"), "item")
                .where(F.col("pos") >= F.col("fp"))
                .groupBy("item").agg(F.count(F.lit(1)).alias("add")))
-        S = (keyed.join(add, "item", "left")
+        S = (keyed_b.join(add, "item", "left")
              .select("item", "fp", (F.col("est0") + F.coalesce("add", F.lit(0))).cast("bigint").alias("est")))
         _write(S, f"{base}/sticky/mb={mb}")
         if fail_at is not None and mb == fail_at:
@@ -229,6 +237,7 @@ def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
         _write(spark.createDataFrame(meta_rows, "batch_id long, size long, cum long, consumed boolean, mb long"),
                f"{base}/meta/part={mb}")
         rows.unpersist()
+        keyed.unpersist()
         cums[mb], state_mb[mb] = cum, mb
         if cum >= run.n:
             run.done_mb = mb
