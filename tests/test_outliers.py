@@ -94,3 +94,10 @@ def test_pull_equals_push(spark):
         a = {tuple(r) for r in outliers.region_counts(df, D).collect()}
         b = {tuple(r) for r in outliers.region_counts(df, D, method="pull").collect()}
         assert a == b and len(a) > 0
+
+
+def test_labels_shuffle_join_fallback_equals_broadcast(spark):
+    p = points2d(spark, SF001)
+    a = {tuple(r) for r in outliers.approx_outliers_points(p, 15.0, 10).collect()}
+    b = {tuple(r) for r in outliers.approx_outliers_points(p, 15.0, 10, max_broadcast_rows=0).collect()}
+    assert a == b and len(a) == 1000
