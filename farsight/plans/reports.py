@@ -125,6 +125,8 @@ def format_items_report(r: dict) -> str:
 
 
 def main(argv: list[str]) -> None:
+    if not argv or argv[0] not in ("points", "items", "stream"):
+        raise SystemExit(__doc__)
     from farsight.session import local_session
     from farsight.sources import read_items_text, read_points_text
     spark = local_session()
