@@ -36,23 +36,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a distributed file system
-    path).  Only when it is unset -- local runs and tests -- a fresh scratch
-    folder is created and registered.
+    On a cluster the deployment sets it (a path that every executor sees); if
+    it is unset there, this raises.  Only a local session, where driver and
+    executors are one process, gets a scratch folder of its own.
     """
-    d = spark.conf.get(CHECKPOINT_CONF, None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set: name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="farsight-")
-        spark.conf.set(CHECKPOINT_CONF, d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-path of the work folder."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique sub-path of the work folder, removed when the driver's
+    JVM ends."""
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.deleteOnExit(p)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -60,3 +68,12 @@ def materialize(df: DataFrame) -> DataFrame:
     returns a frame whose lineage starts there (survives executor loss)."""
     work_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def saved(df: DataFrame, name: str = "saved") -> DataFrame:
+    """Write ``df`` as Parquet to the shared work folder and read it back:
+    lineage starts at the files, so a lost executor costs no recomputation
+    and several readers share one run."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

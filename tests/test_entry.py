@@ -6,7 +6,7 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from farsight.plans import catalog
 from conftest import SF001
 from farsight.sources.tables import TABLES
 
@@ -31,6 +31,7 @@ def con():
 
 
 def test_entry(spark):
+    import __spark_entry__ as E
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 1
@@ -38,14 +39,14 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(catalog.ALL_SQL) == set(catalog.ALL_QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.ALL_QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF001)
+    df = catalog.ALL_QUERIES[name](spark, SF001)
     srows = [tuple(r) for r in df.collect()]
-    rel = con.sql(E.oracle_sql()[name])
+    rel = con.sql(catalog.ALL_SQL[name])
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert _rows(df.columns, srows) == _rows(rel.columns, drows)
@@ -59,8 +60,8 @@ def test_registered_queries_pin_md5_draws(spark, con):
     spark.conf.set("farsight.draw.hash", "xxhash64")
     try:
         for name in ("sticky_table", "reservoir_sample"):
-            df = E.queries()[name](spark, SF001)
-            rel = con.sql(E.oracle_sql()[name])
+            df = catalog.ALL_QUERIES[name](spark, SF001)
+            rel = con.sql(catalog.ALL_SQL[name])
             assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(rel.columns, rel.fetchall())
     finally:
         spark.conf.set("farsight.draw.hash", "md5")
