@@ -2,12 +2,17 @@
 
 from farsight.llm.mixing import OP1_SQL, op1_mix
 from farsight.llm.tokens import op7_token_counts
+from farsight.llm.urlfilter import OP2_SQL, op2_url_filter
+from farsight.llm.warc import op9_warc
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_url_filter": op2_url_filter,
     "op7_token_counts": op7_token_counts,
+    "op9_warc": op9_warc,
 }
 
 SQL = {
     "op1_mix": OP1_SQL,
+    "op2_url_filter": OP2_SQL,
 }
