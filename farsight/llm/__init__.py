@@ -1,6 +1,7 @@
 """Operators of a training-data pipeline.  Nothing else in the library imports this."""
 
 from farsight.llm.mixing import OP1_SQL, op1_mix
+from farsight.llm.simhash import op10_simhash
 from farsight.llm.tokens import op7_token_counts
 from farsight.llm.urlfilter import OP2_SQL, op2_url_filter
 from farsight.llm.warc import op9_warc
@@ -10,6 +11,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op7_token_counts": op7_token_counts,
     "op9_warc": op9_warc,
+    "op10_simhash": op10_simhash,
 }
 
 SQL = {
