@@ -1,7 +1,9 @@
 """Operators of a training-data pipeline.  Nothing else in the library imports this."""
 
+from farsight.llm.decontam import op8_decontaminate
 from farsight.llm.mixing import OP1_SQL, op1_mix
 from farsight.llm.neardup import op6_neardup
+from farsight.llm.quality import op5_quality
 from farsight.llm.simhash import op10_simhash
 from farsight.llm.tokens import op7_token_counts
 from farsight.llm.urlfilter import OP2_SQL, op2_url_filter
@@ -10,8 +12,10 @@ from farsight.llm.warc import op9_warc
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_url_filter": op2_url_filter,
+    "op5_quality": op5_quality,
     "op6_neardup": op6_neardup,
     "op7_token_counts": op7_token_counts,
+    "op8_decontaminate": op8_decontaminate,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
 }
