@@ -3,6 +3,7 @@
 from farsight.llm.decontam import op8_decontaminate
 from farsight.llm.mixing import OP1_SQL, op1_mix
 from farsight.llm.neardup import op6_neardup
+from farsight.llm.ppm import op4_ppm
 from farsight.llm.quality import op5_quality
 from farsight.llm.simhash import op10_simhash
 from farsight.llm.tokens import op7_token_counts
@@ -12,6 +13,7 @@ from farsight.llm.warc import op9_warc
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_url_filter": op2_url_filter,
+    "op4_ppm": op4_ppm,
     "op5_quality": op5_quality,
     "op6_neardup": op6_neardup,
     "op7_token_counts": op7_token_counts,

@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import WordHashes, mixed, shingles
-from farsight.llm.util import bitmap, checked_broadcast, connected_components, in_bitmap, table
+from farsight.llm.util import bitmap, checked_broadcast, connected_components, dense_sums, in_bitmap, table
 from farsight.session import saved
 
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 3
 HASHES = BANDS * ROWS
-CELL_BITS, CHUNKS = 20, 256
+CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 #: How far IDF moves a weight: a shingle of a text with many copies must not lose the weight that makes the copies alike.
 IDF_SHARE = 0.1
@@ -36,7 +36,6 @@ IDF_SHARE = 0.1
 ALL_PAIRS = 8
 ROUNDS = 3
 _TABLE = 1 << 16
-_CHUNK = CELLS // CHUNKS
 
 
 def _cells(s: np.ndarray) -> np.ndarray:
@@ -46,40 +45,22 @@ def _cells(s: np.ndarray) -> np.ndarray:
 
 def _document_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Counters of distinct shingles by cell, and the number of texts."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total, rows, held, size = WordHashes(), np.zeros(CELLS, np.int64), 0, [], 0
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        words, total, held, size = WordHashes(), np.zeros(2 * CELLS, np.int64), [], 0
         for b in batches:
             for t in b.column(0).to_pylist():
-                rows += 1
+                total[CELLS] += 1
                 held.append(_cells(np.unique(shingles(words.of(t)))))
                 size += len(held[-1])
                 if size > 2_000_000:
-                    total += np.bincount(np.concatenate(held), minlength=CELLS)
+                    total[:CELLS] += np.bincount(np.concatenate(held), minlength=CELLS)
                     held, size = [], 0
         if held:
-            total += np.bincount(np.concatenate(held), minlength=CELLS)
-        if rows:
-            parts = total.astype(np.uint32).reshape(CHUNKS, _CHUNK)
-            yield pa.RecordBatch.from_pydict({
-                "chunk": pa.array(range(-1, CHUNKS), pa.int32()),
-                "counts": [np.int64(rows).tobytes(), *(p.tobytes() for p in parts)]})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            for chunk, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                part = np.frombuffer(raw, np.int64 if chunk < 0 else np.uint32)
-                sums[chunk] = sums.get(chunk, 0) + part.astype(np.int64)
-        if sums:
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int32()),
-                                              "counts": [v.tobytes() for v in sums.values()]})
-
-    kind = "chunk int, counts binary"
-    got = texts.mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).toArrow().to_pylist()
-    found = {g["chunk"]: np.frombuffer(g["counts"], np.int64) for g in got}
-    if not found:
-        return np.zeros(CELLS, np.int64), 0
-    return np.concatenate([found[i] for i in range(CHUNKS)]), int(found[-1][0])
+            total[:CELLS] += np.bincount(np.concatenate(held), minlength=CELLS)
+        return total
+
+    total = dense_sums(texts, count, 2 * CELLS)
+    return total[:CELLS], int(total[CELLS])
 
 
 def cell_weights(counts: np.ndarray, n: int) -> np.ndarray:

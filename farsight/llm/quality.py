@@ -24,16 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import mixed
-from farsight.llm.util import checked_broadcast, table
+from farsight.llm.util import checked_broadcast, dense_sums, table
 
-DIM_BITS, CHUNKS = 20, 256
+DIM_BITS = 20
 DIMS = 1 << DIM_BITS
 FIT_ROWS = 12_000
 #: One fit row in so many is kept from the descent and calibrates the scores.
 HOLD = 5
 COST, EPOCHS, SMOOTH = 1.0, 12, 1.0
 ACCEPT = 0.7
-_CHUNK = DIMS // CHUNKS
 _SAME = np.uint64(1)
 _STEP = np.uint64(0x5851F42D4C957F2D)
 
@@ -74,37 +73,16 @@ class Features(dict):
 
 def _class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(counts of shape (2, DIMS), rows of each class) of ``labelled`` (text, label)."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, total, rows = Features(), np.zeros((2, DIMS), np.int64), np.zeros(2, np.int64)
-        held: tuple[list, list] = ([], [])
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        features, total = Features(), np.zeros(4 * DIMS, np.int64)
         for b in batches:
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                rows[y] += 1
-                held[y].append(features.of(t))
-            for y in (0, 1):
-                if held[y]:
-                    total[y] += np.bincount(np.concatenate(held[y]), minlength=DIMS)
-                    held[y].clear()
-        if rows.any():
-            parts = total.astype(np.uint32).reshape(2, CHUNKS, _CHUNK).swapaxes(0, 1)
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(range(-1, CHUNKS), pa.int32()),
-                                              "counts": [rows.astype(np.uint32).tobytes(), *(p.tobytes() for p in parts)]})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            for chunk, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(raw, np.uint32).astype(np.int64)
-        if sums:
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int32()),
-                                              "counts": [v.astype(np.uint32).tobytes() for v in sums.values()]})
-
-    kind = "chunk int, counts binary"
-    got = labelled.select("text", "label").mapInArrow(count, kind).repartition("chunk").mapInArrow(add, kind).toArrow().to_pylist()
-    found = {g["chunk"]: np.frombuffer(g["counts"], np.uint32).astype(np.int64) for g in got}
-    if not found:
-        return np.zeros((2, DIMS), np.int64), np.zeros(2, np.int64)
-    return np.concatenate([found[i].reshape(2, _CHUNK) for i in range(CHUNKS)], axis=1), found[-1]
+                total[2 * DIMS + y] += 1
+                total[y * DIMS + features.of(t)] += 1  # a text sets a dimension once
+        return total
+
+    total = dense_sums(labelled.select("text", "label"), count, 4 * DIMS)
+    return total[:2 * DIMS].reshape(2, DIMS), total[2 * DIMS:2 * DIMS + 2]
 
 
 def log_ratios(counts: np.ndarray) -> np.ndarray:

@@ -3,7 +3,10 @@ broadcasts, fixed-size bitmaps and connected components."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +58,33 @@ def in_bitmap(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (found[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def dense_sums(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray | None], length: int,
+               chunk: int = 4096) -> np.ndarray:
+    """Sum of the integer arrays of ``length`` (a multiple of ``chunk``) that
+    ``count`` makes of each task's batches of ``rows``.  Arrays travel in
+    chunks, sums hold one copy of the array at most, and the result has a fixed size."""
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = count(batches)
+        if got is not None:
+            parts = got.astype(np.uint32 if got.max(initial=0) < 1 << 32 else np.int64).reshape(-1, chunk)
+            used = np.flatnonzero(parts.any(axis=1))
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array(used, pa.int32()), "sums": [parts[i].tobytes() for i in used]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                sums[i] = sums.get(i, 0) + np.frombuffer(raw, np.uint32 if len(raw) == 4 * chunk else np.int64).astype(np.int64)
+        if sums:
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int32()), "sums": [v.tobytes() for v in sums.values()]})
+
+    kind = "chunk int, sums binary"
+    out = np.zeros(length, np.int64)
+    for g in rows.mapInArrow(made, kind).repartition("chunk").mapInArrow(add, kind).toArrow().to_pylist():
+        out[g["chunk"] * chunk:(g["chunk"] + 1) * chunk] = np.frombuffer(g["sums"], np.int64)
+    return out
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of the undirected graph with edges (a, b): one row
     (node, label) per node that has an edge to another node, label the
