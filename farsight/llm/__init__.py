@@ -1,6 +1,7 @@
 """Operators of a training-data pipeline.  Nothing else in the library imports this."""
 
 from farsight.llm.decontam import op8_decontaminate
+from farsight.llm.linededup import OP3_SQL, op3_line_dedup
 from farsight.llm.mixing import OP1_SQL, op1_mix
 from farsight.llm.neardup import op6_neardup
 from farsight.llm.ppm import op4_ppm
@@ -13,6 +14,7 @@ from farsight.llm.warc import op9_warc
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_url_filter": op2_url_filter,
+    "op3_line_dedup": op3_line_dedup,
     "op4_ppm": op4_ppm,
     "op5_quality": op5_quality,
     "op6_neardup": op6_neardup,
@@ -25,4 +27,5 @@ QUERIES = {
 SQL = {
     "op1_mix": OP1_SQL,
     "op2_url_filter": OP2_SQL,
+    "op3_line_dedup": OP3_SQL,
 }

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farsight.llm.util import checked_broadcast, table, words
+from farsight.llm.util import checked_broadcast, one_of_each, table, words
 from farsight.session import saved
 
 #: Words of a block at most.
@@ -75,8 +75,8 @@ def shuffled(key: Column) -> Column:
 
 
 def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, source): doc_id, size,
-    source, source_size, target, taken.
+    """One row per row of ``docs`` (doc_id, text, source): doc_id, text_md5,
+    size, source, source_size, target, taken.
 
     ``taken`` is the number of the row's words in the mix, repeats counted; no
     row exceeds 3 times its size.  A null text has no words, takes none; a
@@ -85,7 +85,7 @@ def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = saved(docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))
+    rows = saved(docs.select("doc_id", "source", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), F.size(words(F.col("text"))).cast("long").alias("size"))
                  .withColumn("place", shuffled(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), "sizes")
     plan = saved(source_plan(rows.groupBy("source").agg(F.sum("size").alias("source_size")), block), "plan")
     known = checked_broadcast(plan.withColumn("sid", F.xxhash64(F.col("source").isNull(), "source")), 128)
@@ -97,13 +97,13 @@ def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
               .withColumn("part_start", F.coalesce(F.sum("n").over(
                   Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .drop("n"))
-    inside = Window.partitionBy("sid", "part").orderBy("place", F.col("doc_id").isNull(), "doc_id", "size") \
+    inside = Window.partitionBy("sid", "part").orderBy("place", F.col("doc_id").isNull(), "doc_id", "size", "text_md5") \
                    .rowsBetween(Window.unboundedPreceding, -1)
     placed = (grouped.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0)))
               .join(starts, ["sid", "part"])
               .withColumn("start", F.col("start") + F.col("part_start"))
               .join(known.drop("source"), "sid")
-              .select("sid", "doc_id", "source", "size", "start", "source_size", "target", "block_words"))
+              .select("sid", "doc_id", "text_md5", "source", "size", "start", "source_size", "target", "block_words"))
 
     # the schedule: slot -> point -> source -> rank within the source
     total = plan.agg(F.max("all_slots")).first()[0] or 0
@@ -137,15 +137,32 @@ def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
               .withColumn("block", F.explode(F.expr("sequence(start div block_words, (start + size - 1) div block_words)")))
               .withColumn("words", F.expr(
                   "least(start + size, (block + 1) * block_words) - greatest(start, block * block_words)")))
-    key = ["sid", "start", "doc_id", "source", "size", "source_size", "target"]
+    key = ["sid", "start", "doc_id", "text_md5", "source", "size", "source_size", "target"]
     taken = (pieces.join(uses, ["sid", "block"], "left")
              .groupBy(*key).agg(F.sum(F.expr("words * coalesce(uses, 0L)")).alias("taken")))
-    out = ["doc_id", "size", "source", "source_size", "target", "taken"]
+    out = ["doc_id", "text_md5", "size", "source", "source_size", "target", "taken"]
     return taken.select(*out).unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*out))
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with source_size, target and
+    taken; a taken of k sizes stands for k passes over the row.  Rows that repeat doc_id, text and source
+    are one row of the result, their taken words together."""
+    found = (mix(docs).groupBy(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_body"), F.col("source").alias("_from"))
+             .agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum("taken").alias("taken"),
+                  F.count(F.lit(1)).alias("_n")).where("taken > 0"))
+    found = saved(found, "mix")
+    marked = docs.withColumn("_md5", F.md5(F.coalesce("text", F.lit(""))))
+    twice = found.where("_n > 1").select(F.col("_id").alias("doc_id"), F.col("_body").alias("_md5"), F.col("_from").alias("source"))
+    once = one_of_each(marked, ["doc_id", "_md5", "source"], twice)
+    same = (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_body")) & F.col("source").eqNullSafe(F.col("_from")))
+    extra = [c for c in ("source_size", "target", "taken") if c not in docs.columns]
+    side = checked_broadcast(found.select("_id", "_body", "_from", *extra), 112)
+    return once.join(side, same).select(*docs.columns, *extra)
+
+
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents")).drop("text_md5")
 
 
 OP1_SQL = rf"""

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import WordHashes, mixed, shingles
-from farsight.llm.util import bitmap, checked_broadcast, connected_components, dense_sums, in_bitmap, table
+from farsight.llm.util import bitmap, checked_broadcast, connected_components, dense_sums, in_bitmap, one_of_each, table
 from farsight.session import saved
 
 THRESHOLD = 0.8
@@ -240,15 +240,12 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Rows that repeat both doc_id and text count as one and leave one."""
     found = saved(near_classes(docs), "classes")
     gone = found.where(~F.col("keep")).select(F.col("doc_id").alias("_gone_id"), F.col("text_md5").alias("_gone_md5")).distinct()
-    twice = found.where("keep").groupBy(F.col("doc_id").alias("_gone_id"), F.col("text_md5").alias("_gone_md5")).count().where("count > 1").drop("count")
-    md5 = F.md5(F.coalesce("text", F.lit("")))
+    twice = (found.where("keep").groupBy("doc_id", F.col("text_md5").alias("_md5")).agg(F.count(F.lit(1)).alias("n"))
+             .where("n > 1").drop("n"))
     hit = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_md5") == F.col("_gone_md5"))
-    marked = docs.withColumn("_md5", md5)
-    kept = marked.join(checked_broadcast(gone, 64), hit, "left_anti")
-    twice = checked_broadcast(twice, 64)
-    once = kept.join(twice, hit, "left_anti")
-    single = kept.join(twice, hit, "left_semi").dropDuplicates(["doc_id", "_md5"])
-    return once.unionByName(single).drop("_md5")
+    kept = (docs.withColumn("_md5", F.md5(F.coalesce("text", F.lit(""))))
+            .join(checked_broadcast(gone, 64), hit, "left_anti"))
+    return one_of_each(kept, ["doc_id", "_md5"], twice).drop("_md5")
 
 
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,6 +39,16 @@ def checked_broadcast(side: DataFrame, row_bytes: Column | int = 64,
     return F.broadcast(side) if size <= limit else side
 
 
+def one_of_each(rows: DataFrame, keys: list[str], repeated: DataFrame) -> DataFrame:
+    """``rows`` with one row of each key in ``repeated`` (columns keys); the
+    other rows are not moved."""
+    side = checked_broadcast(repeated.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)]), 96)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_r{i}"))
+    return rows.join(side, same, "left_anti").unionByName(rows.join(side, same, "left_semi").dropDuplicates(keys))
+
+
 def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
     """Bitmap of ``2**bits`` bits with those set that the long column ``key``
     names (its low bits).  Its size is fixed, whatever the number of keys, so
