@@ -11,6 +11,7 @@ the next one reads.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farsight.llm.decontam import drop_leaks
 from farsight.llm.linededup import dedup_lines
@@ -26,7 +27,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return dedup_lines(docs)
+    out = dedup_lines(docs)
+    if "n_chars" in docs.columns:  # it says how long the text is
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
