@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm.shingles import SHINGLE, WordHashes, mixed, shingles
+from farsight.llm.shingles import SHINGLE, mixed, shingles, word_hashes
 from farsight.llm.util import bitmap, checked_broadcast, in_bitmap, table
 from farsight.session import saved
 
@@ -70,11 +70,9 @@ def windows(s: np.ndarray, parts: list[int]) -> Iterator[tuple[int, np.ndarray,
 def _item_shingles(items: DataFrame) -> DataFrame:
     """item_id, item_no, words of a shingle, shingles, part, keys."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for b in batches:
             rows = []
-            for no, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                w = words.of(t, plain=True)
+            for no, w in zip(b.column(0).to_pylist(), word_hashes(b.column(1).to_pylist(), plain=True)):
                 if len(w):
                     u = np.unique(shingles(w))
                     part = part_of(len(u))
@@ -113,13 +111,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     found = spark.sparkContext.broadcast(bitmap(item_keys, MAP_BITS))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, map_ = WordHashes(), found.value
+        map_ = found.value
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part_rows = b.slice(at, 512)
                 rows, held, docs_, spans_, keys_ = [], [], [], [], []
-                for i, t in enumerate(part_rows.column(1).to_pylist()):
-                    w = words.of(t, plain=True)
+                for i, w in enumerate(word_hashes(part_rows.column(1).to_pylist(), plain=True)):
                     for span, parts in spans.items():
                         if len(w) < span:
                             continue

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm.shingles import WordHashes, mixed, shingles
+from farsight.llm.shingles import mixed, shingles, word_hashes
 from farsight.llm.util import bitmap, checked_broadcast, connected_components, dense_sums, in_bitmap, one_of_each, table
 from farsight.session import saved
 
@@ -46,11 +46,11 @@ def _cells(s: np.ndarray) -> np.ndarray:
 def _document_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Counters of distinct shingles by cell, and the number of texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        words, total, held, size = WordHashes(), np.zeros(2 * CELLS, np.int64), [], 0
+        total, held, size = np.zeros(2 * CELLS, np.int64), [], 0
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for w in word_hashes(b.column(0).to_pylist()):
                 total[CELLS] += 1
-                held.append(_cells(np.unique(shingles(words.of(t)))))
+                held.append(_cells(np.unique(shingles(w))))
                 size += len(held[-1])
                 if size > 2_000_000:
                     total[:CELLS] += np.bincount(np.concatenate(held), minlength=CELLS)
@@ -152,13 +152,13 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sent = spark.sparkContext.broadcast(weights)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, sampler = WordHashes(), Sampler(sent.value)
+        sampler = Sampler(sent.value)
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 keys = []
-                for t in part.column(1).to_pylist():
-                    s = shingles(words.of(t))
+                for w in word_hashes(part.column(1).to_pylist()):
+                    s = shingles(w)
                     keys.append(sampler.keys(s).tolist() if len(s) else [])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.list_(pa.int64()))], ["row", "keys"])
 
@@ -179,12 +179,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         found = spark.sparkContext.broadcast(bitmap(wanted, 23))
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words, map_ = WordHashes(), found.value
+            map_ = found.value
             for b in batches:
                 hit = np.flatnonzero(in_bitmap(map_, b.column(1).to_numpy().view(np.uint64)))
                 for at in range(0, len(hit), 512):
                     part = b.take(pa.array(hit[at:at + 512]))
-                    blobs = [packed(shingles(words.of(t))) for t in part.column(2).to_pylist()]
+                    blobs = [packed(shingles(w)) for w in word_hashes(part.column(2).to_pylist())]
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blobs, pa.binary())], ["node", "blob"])
 
         blobs = saved(rows.select(F.md5("text").alias("node"), "text").select("node", number.alias("key"), "text")
