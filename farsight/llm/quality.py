@@ -19,11 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm.shingles import mixed
+from farsight.llm.shingles import hashed_texts, mixed
 from farsight.llm.util import checked_broadcast, dense_sums, table
 
 DIM_BITS = 20
@@ -37,48 +36,41 @@ _SAME = np.uint64(1)
 _STEP = np.uint64(0x5851F42D4C957F2D)
 
 
-def shape(word: str) -> str:
-    """Runs of capitals, small letters and digits as A, a, 0; other characters stay, once."""
-    out = ""
-    for c in word[:24]:
-        k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-        if not out.endswith(k):
-            out += k
-    return out
-
-
-class Features(dict):
-    """word -> 40 bits of its hash and 24 of its shape's."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= 500_000:
-            self.clear()
-        h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) >> 24
-        v = self[word] = h << 24 | xxhash.xxh32_intdigest(shape(word).encode("utf-8", "surrogatepass")) >> 8
-        return v
-
-    def of(self, text: str) -> np.ndarray:
-        """The dimensions that are set for ``text``, rising."""
-        found = text.split()
-        v = np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
-        with np.errstate(over="ignore"):
-            w, s = v >> np.uint64(24), v & np.uint64(0xFFFFFF)
-            s[1:][w[1:] == w[:-1]] = _SAME
-            s2 = s[:-1] * _STEP + s[1:]
-            s3 = s2[:-1] * _STEP + s[2:]
-            shapes = [np.unique(mixed(x + np.uint64(k))) for k, x in ((11, s), (13, s2), (17, s3))]
-            grams = [mixed(w), mixed(w[:-1] * _STEP + w[1:] + np.uint64(7))]
-        return np.unique(np.concatenate([*shapes, *grams]) >> np.uint64(64 - DIM_BITS)).astype(np.int64)
+#: Bytes by kind: capitals, small letters (and what is not ASCII), digits; others stay.
+_KIND = bytes(65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 or c > 127 else 48 if 48 <= c <= 57 else c for c in range(256))
+
+
+def _shapes(raw: bytes) -> bytes:
+    """``raw`` with each byte's kind instead, runs of a kind as one."""
+    kinds = np.frombuffer(raw.translate(_KIND), np.uint8)
+    keep = np.ones(len(kinds), bool)
+    keep[1:] = kinds[1:] != kinds[:-1]
+    return kinds[keep].tobytes()
+
+
+def feature_sets(texts: list[str]) -> Iterator[np.ndarray]:
+    """For each text the dimensions that are set, rising."""
+    for at in range(0, len(texts), 128):
+        raws = [t.encode("utf-8", "surrogatepass") for t in texts[at:at + 128]]
+        for (w, _, _), (s, _, _) in zip(hashed_texts(raws), hashed_texts([_shapes(r) for r in raws])):
+            s = s.copy()
+            with np.errstate(over="ignore"):
+                s[1:][w[1:] == w[:-1]] = _SAME
+                s2 = s[:-1] * _STEP + s[1:]
+                s3 = s2[:-1] * _STEP + s[2:]
+                shapes = [np.unique(mixed(x + np.uint64(k))) for k, x in ((11, s), (13, s2), (17, s3))]
+                grams = [mixed(w), mixed(w[:-1] * _STEP + w[1:] + np.uint64(7))]
+            yield np.unique(np.concatenate([*shapes, *grams]) >> np.uint64(64 - DIM_BITS)).astype(np.int64)
 
 
 def _class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(counts of shape (2, DIMS), rows of each class) of ``labelled`` (text, label)."""
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        features, total = Features(), np.zeros(4 * DIMS, np.int64)
+        total = np.zeros(4 * DIMS, np.int64)
         for b in batches:
-            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for x, y in zip(feature_sets(b.column(0).to_pylist()), b.column(1).to_pylist()):
                 total[2 * DIMS + y] += 1
-                total[y * DIMS + features.of(t)] += 1  # a text sets a dimension once
+                total[y * DIMS + x] += 1  # a text sets a dimension once
         return total
 
     total = dense_sums(labelled.select("text", "label"), count, 4 * DIMS)
@@ -152,10 +144,11 @@ def fit(labelled: DataFrame) -> dict:
     def descent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = []
         for b in batches:
-            got += zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist())
-        got.sort(key=lambda x: (x[0], x[2], len(x[1])))
-        x = [np.array(g[1], np.int32) for g in got]
-        y = np.array([1.0 if g[2] else -1.0 for g in got])
+            values, cuts = b.column(1).values.to_numpy(), b.column(1).offsets.to_numpy()
+            got += [(h, y, values[i:j].copy()) for h, y, i, j in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), cuts, cuts[1:])]
+        got.sort(key=lambda x: (x[0], x[1], len(x[2])))
+        x = [g[2] for g in got]
+        y = np.array([1.0 if g[1] else -1.0 for g in got])
         held = np.arange(len(x)) % HOLD == 0
         if len(x) < 2 * HOLD or len(set(y[~held])) < 2 or len(set(y[held])) < 2:
             held[:] = False
@@ -165,12 +158,13 @@ def fit(labelled: DataFrame) -> dict:
         yield pa.RecordBatch.from_pydict({"model": [np.concatenate([w, [a, b]]).astype(np.float64).tobytes()]})
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                sets = list(feature_sets(part.column(1).to_pylist()))
+                cuts = np.cumsum([0, *map(len, sets)])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([features.of(t) for t in part.column(1).to_pylist()], pa.list_(pa.int32())),
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(sets), pa.int32())),
                      part.column(2)], ["h", "x", "label"])
 
     h = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
@@ -204,16 +198,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality") -
     sent = spark.sparkContext.broadcast(fit(labelled))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, features = sent.value, Features()
+        model = sent.value
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 out = []
-                for t in part.column(1).to_pylist():
-                    if "prior" in model:
-                        out.append(float(model["prior"]))
-                        continue
-                    i = features.of(t)
+                if "prior" in model:
+                    out = [float(model["prior"])] * part.num_rows
+                for i in feature_sets(part.column(1).to_pylist()) if "r" in model else ():
                     length = float(np.sqrt(np.square(model["r"][i]).sum(dtype=np.float64)))
                     m = model["scaled"][i].sum(dtype=np.float64) / max(1e-9, length) + model["bias"]
                     out.append(1 / (1 + np.exp(-float(np.clip(model["a"] * m + model["b"], -40, 40)))))
