@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import mixed, shingles, word_hashes
-from farsight.llm.util import bitmap, checked_broadcast, connected_components, dense_sums, in_bitmap, one_of_each, table
+from farsight.llm.util import bitmap, checked_broadcast, connected_components, dense_sums, in_bitmap, one_of_each, slices, table
 from farsight.session import saved
 
 THRESHOLD = 0.8
@@ -47,7 +47,7 @@ def _document_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Counters of distinct shingles by cell, and the number of texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total, held, size = np.zeros(2 * CELLS, np.int64), [], 0
-        for b in batches:
+        for b in slices(batches):
             for w in word_hashes(b.column(0).to_pylist()):
                 total[CELLS] += 1
                 held.append(_cells(np.unique(shingles(w))))

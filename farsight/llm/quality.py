@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import hashed_texts, mixed
-from farsight.llm.util import checked_broadcast, dense_sums, table
+from farsight.llm.util import checked_broadcast, dense_sums, slices, table
 
 DIM_BITS = 20
 DIMS = 1 << DIM_BITS
@@ -67,7 +67,7 @@ def _class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(counts of shape (2, DIMS), rows of each class) of ``labelled`` (text, label)."""
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros(4 * DIMS, np.int64)
-        for b in batches:
+        for b in slices(batches):
             for x, y in zip(feature_sets(b.column(0).to_pylist()), b.column(1).to_pylist()):
                 total[2 * DIMS + y] += 1
                 total[y * DIMS + x] += 1  # a text sets a dimension once

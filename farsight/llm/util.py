@@ -95,6 +95,13 @@ def dense_sums(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.n
     return out
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``rows``, so that a few texts at a time become Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of the undirected graph with edges (a, b): one row
     (node, label) per node that has an edge to another node, label the
