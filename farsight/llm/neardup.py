@@ -46,7 +46,7 @@ def _cells(s: np.ndarray) -> np.ndarray:
 def _document_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Counters of distinct shingles by cell, and the number of texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total, held, size = np.zeros(2 * CELLS, np.int64), [], 0
+        total, held, size = np.zeros(CELLS + 4096, np.int64), [], 0
         for b in slices(batches):
             for w in word_hashes(b.column(0).to_pylist()):
                 total[CELLS] += 1
@@ -59,7 +59,7 @@ def _document_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
             total[:CELLS] += np.bincount(np.concatenate(held), minlength=CELLS)
         return total
 
-    total = dense_sums(texts, count, 2 * CELLS)
+    total = dense_sums(texts, count, CELLS + 4096)
     return total[:CELLS], int(total[CELLS])
 
 
@@ -201,9 +201,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 .select("a", "b", "blob_a", "blob_b").mapInArrow(compare, "a string, b string"))
 
     edges = saved(verified(pairs), "edges")
-    tried = pairs
+    tried, labels = pairs, connected_components(edges)
     for again in range(ROUNDS):
-        labels = connected_components(edges)
         at = (large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
         salted = F.struct(F.xxhash64("key", "node", F.lit(again)).alias("h"), "node", "label")
         one_each = saved(at.groupBy("key", "label").agg(F.min(salted).alias("m")).select("key", "label", "m.node", "m.h"), "parts")
@@ -217,10 +216,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             break
         fresh = saved(verified(more), "fresh")
         tried = tried.unionByName(more)
-        if fresh.isEmpty():
-            continue
-        edges = edges.unionByName(fresh)
-    labels = connected_components(edges)
+        if not fresh.isEmpty():
+            edges = edges.unionByName(fresh)
+            labels = connected_components(edges)
     known = (signed.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
              .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     known = saved(known, "known")

@@ -66,14 +66,14 @@ def feature_sets(texts: list[str]) -> Iterator[np.ndarray]:
 def _class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(counts of shape (2, DIMS), rows of each class) of ``labelled`` (text, label)."""
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total = np.zeros(4 * DIMS, np.int64)
+        total = np.zeros(2 * DIMS + 4096, np.int64)
         for b in slices(batches):
             for x, y in zip(feature_sets(b.column(0).to_pylist()), b.column(1).to_pylist()):
                 total[2 * DIMS + y] += 1
                 total[y * DIMS + x] += 1  # a text sets a dimension once
         return total
 
-    total = dense_sums(labelled.select("text", "label"), count, 4 * DIMS)
+    total = dense_sums(labelled.select("text", "label"), count, 2 * DIMS + 4096)
     return total[:2 * DIMS].reshape(2, DIMS), total[2 * DIMS:2 * DIMS + 2]
 
 

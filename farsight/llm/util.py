@@ -88,10 +88,14 @@ def dense_sums(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.n
         if sums:
             yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int32()), "sums": [v.tobytes() for v in sums.values()]})
 
+    # a chunk at a time, so that the driver holds the result and little else
     kind = "chunk int, sums binary"
     out = np.zeros(length, np.int64)
-    for g in rows.mapInArrow(made, kind).repartition("chunk").mapInArrow(add, kind).toArrow().to_pylist():
-        out[g["chunk"] * chunk:(g["chunk"] + 1) * chunk] = np.frombuffer(g["sums"], np.int64)
+    got = rows.mapInArrow(made, kind).repartition("chunk").mapInArrow(add, kind).toArrow()
+    for i, sums in zip(got["chunk"].to_pylist(), got["sums"]):
+        out[i * chunk:(i + 1) * chunk] = np.frombuffer(sums.as_buffer(), np.int64)
+    del got
+    pa.default_memory_pool().release_unused()
     return out
 
 
