@@ -266,7 +266,8 @@ def _nd_closest_udf(rows, coords):
     Spark's array lambdas are interpreted, so for n-D points (an
     ``ARRAY<DOUBLE>`` column) the K distances per row are computed in numpy
     over whole Arrow batches (left-to-right sums of squared differences, as
-    everywhere else).  2-D points use it only when K is too large for one
+    everywhere else); squares are compared, as in ``closest_center_expr``, so
+    a point's center does not depend on which of the two forms runs.  2-D points use it only when K is too large for one
     generated expression.  The centers (parameter-bounded) travel inside the
     function."""
     if isinstance(coords, str):
@@ -284,11 +285,10 @@ def _nd_closest_udf(rows, coords):
         better = np.empty(n, dtype=bool)
         for k in range(C.shape[0]):
             _sq_into(cols, C[k], d, tmp)
-            np.sqrt(d, out=d)
             np.less(d, best_d, out=better)
             np.copyto(best_d, d, where=better)
             np.copyto(best_c, cids[k], where=better)
-        return pd.DataFrame({"d": best_d, "cid": best_c})
+        return pd.DataFrame({"d": np.sqrt(best_d), "cid": best_c})
 
     if isinstance(coords, str):
         @F.pandas_udf("struct<d double, cid int>")
@@ -350,8 +350,7 @@ def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) ->
     """Each point with its closest center: ``id, cid, d`` (``cid`` is the
     center's ``it``; ties go to the earlier center).
 
-    The K centers (a parameter-bounded set, count checked) are collected
-    once.  2-D: they become literals of one code-generated ``least``
+    The K centers (a set bounded by the parameter K) are collected once.  2-D: they become literals of one code-generated ``least``
     expression.  n-D: an Arrow-batched numpy kernel."""
     rows = collect_centers(centers, coords)
     if not rows:

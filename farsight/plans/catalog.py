@@ -27,6 +27,9 @@ GLOBAL_K = 10
 ND_L, ND_K = 2, 10
 PIPE_L, PIPE_K, PIPE_M = 4, 50, 10
 SWEEP_KS, SWEEP_L, SWEEP_M = (10, 20, 50), 4, 3
+# the reference's own settings
+REF_K, REF_L, REF_M = 100, 16, 3
+REF_SWEEP_KS = (50, 70, 90, 110, 130)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +64,12 @@ POINT_QUERIES: dict[str, Query] = {
     "outlier_pipeline": lambda s, d: pipeline.outlier_pipeline(_p(s, d), PIPE_K, PIPE_L, PIPE_M),
     "outlier_pipeline_points": lambda s, d: pipeline.outlier_pipeline_points(_p(s, d), PIPE_K, PIPE_L, PIPE_M),
     "k_sweep": lambda s, d: pipeline.k_sweep(_p(s, d), SWEEP_KS, SWEEP_L, SWEEP_M),
+    "kcenter_assign_k100": lambda s, d: kcenter.kcenter_assign(
+        _p(s, d), kcenter.mr_fft_centers(_p(s, d), REF_K, REF_L)),
+    "kcenter_radius_k100": lambda s, d: kcenter.kcenter_radius(
+        _p(s, d), kcenter.mr_fft_centers(_p(s, d), REF_K, REF_L)),
+    "outlier_pipeline_k100": lambda s, d: pipeline.outlier_pipeline(_p(s, d), REF_K, REF_L, REF_M),
+    "k_sweep_k130": lambda s, d: pipeline.k_sweep(_p(s, d), REF_SWEEP_KS, REF_L, REF_M),
 }
 
 
@@ -90,6 +99,22 @@ WITH RECURSIVE p AS ({S.POINTS2D}),
 {tail}"""
 
 
+def _pipeline_sql(K: int, L: int, M: int) -> str:
+    return f"""
+WITH RECURSIVE p AS ({S.POINTS2D}),
+{S.mr_centers_ctes('p', K, L)},
+rad AS {S.radius_sql('p', 'r2_centers')},
+cells AS ({S.cells_cte('p', S.omega_sql('(SELECT radius FROM rad)'))}),
+regions AS ({S.regions_cte('cells')}),
+classified AS (SELECT *, {S.status_sql(M)} AS status FROM regions),
+summ AS ({S.summary_select()})
+SELECT (SELECT radius FROM rad) AS radius, summ.* FROM summ"""
+
+
+_ASSIGN_TAIL = f"""SELECT id, CAST(arg_min(it, struct_pack(d := d, it := it)) AS INTEGER) AS cid, min(d) AS d
+            FROM (SELECT p.id, c.it, {S._d2('p.', 'c.')} AS d FROM p CROSS JOIN r2_centers c)
+            GROUP BY id"""
+
 POINT_SQL: dict[str, str] = {
     "point_count": f"SELECT CAST(count(*) AS BIGINT) AS n_points FROM ({S.POINTS2D})",
     "duplicate_points": f"SELECT x, y, CAST(count(*) AS BIGINT) AS cnt FROM ({S.POINTS2D}) "
@@ -113,11 +138,10 @@ POINT_SQL: dict[str, str] = {
            AND CAST(floor(p.y / {S.dbl(omega_for(GRID_D))}) AS BIGINT) = c.cy"""),
     "mr_fft_coreset": _fft_sql("SELECT CAST(g AS INTEGER) AS pid, CAST(it AS INTEGER) AS it, id, x, y FROM r1_centers"),
     "mr_fft_centers": _fft_sql("SELECT CAST(it AS INTEGER) AS it, id, x, y FROM r2_centers"),
-    "kcenter_assign": _fft_sql(
-        f"""SELECT id, CAST(arg_min(it, struct_pack(d := d, it := it)) AS INTEGER) AS cid, min(d) AS d
-            FROM (SELECT p.id, c.it, {S._d2('p.', 'c.')} AS d FROM p CROSS JOIN r2_centers c)
-            GROUP BY id"""),
+    "kcenter_assign": _fft_sql(_ASSIGN_TAIL),
+    "kcenter_assign_k100": _fft_sql(_ASSIGN_TAIL, REF_K, REF_L),
     "kcenter_radius": _fft_sql(f"SELECT radius FROM {S.radius_sql('p', 'r2_centers')}"),
+    "kcenter_radius_k100": _fft_sql(f"SELECT radius FROM {S.radius_sql('p', 'r2_centers')}", REF_K, REF_L),
     "non_center_points": _fft_sql("SELECT id, x, y FROM p WHERE id NOT IN (SELECT id FROM r2_centers)"),
     "kcenter_global": f"""
 WITH RECURSIVE p AS ({S.POINTS2D}),
@@ -131,15 +155,8 @@ SELECT CAST(it AS INTEGER) AS it, id FROM r2_centers""",
 WITH RECURSIVE p AS ({S.POINTS_ND}),
 {S.mr_centers_ctes('p', ND_K, ND_L, nd=True)}
 SELECT round(radius, 6) AS radius FROM {S.radius_sql('p', 'r2_centers', nd=True)}""",
-    "outlier_pipeline": f"""
-WITH RECURSIVE p AS ({S.POINTS2D}),
-{S.mr_centers_ctes('p', PIPE_K, PIPE_L)},
-rad AS {S.radius_sql('p', 'r2_centers')},
-cells AS ({S.cells_cte('p', S.omega_sql('(SELECT radius FROM rad)'))}),
-regions AS ({S.regions_cte('cells')}),
-classified AS (SELECT *, {S.status_sql(PIPE_M)} AS status FROM regions),
-summ AS ({S.summary_select()})
-SELECT (SELECT radius FROM rad) AS radius, summ.* FROM summ""",
+    "outlier_pipeline": _pipeline_sql(PIPE_K, PIPE_L, PIPE_M),
+    "outlier_pipeline_k100": _pipeline_sql(REF_K, REF_L, REF_M),
     "outlier_pipeline_points": f"""
 WITH RECURSIVE p AS ({S.POINTS2D}),
 {S.mr_centers_ctes('p', PIPE_K, PIPE_L)},
@@ -153,8 +170,8 @@ SELECT pc.id, pc.x, pc.y, pc.cx, pc.cy, c.status FROM pc JOIN classified c USING
 }
 
 
-def _sweep_sql() -> str:
-    ks = sorted(SWEEP_KS)
+def _sweep_sql(Ks: tuple[int, ...], L: int, M: int) -> str:
+    ks = sorted(Ks)
     kmax = max(ks)
     r2 = []
     rads = []
@@ -163,18 +180,19 @@ def _sweep_sql() -> str:
         rads.append(f"SELECT {k} AS k, radius FROM {S.radius_sql('p', f'k{k}_centers')}")
     return f"""
 WITH RECURSIVE p AS ({S.POINTS2D}),
-{S.fft_ctes('r1', f"(SELECT {S.bucket_sql('id', SWEEP_L)} AS pid, id, x, y FROM p)", kmax, group='pid')},
+{S.fft_ctes('r1', f"(SELECT {S.bucket_sql('id', L)} AS pid, id, x, y FROM p)", kmax, group='pid')},
 {','.join(r2)},
 radii AS ({' UNION ALL '.join(rads)}),
 cells AS (SELECT r.k, r.radius, CAST(floor(p.x / {S.omega_sql('r.radius')}) AS BIGINT) AS cx,
                  CAST(floor(p.y / {S.omega_sql('r.radius')}) AS BIGINT) AS cy, count(*) AS n
           FROM p CROSS JOIN radii r GROUP BY ALL),
 regions AS ({S.regions_cte('cells', keys=('k', 'radius'))}),
-classified AS (SELECT *, {S.status_sql(SWEEP_M)} AS status FROM regions)
+classified AS (SELECT *, {S.status_sql(M)} AS status FROM regions)
 {S.summary_select('k, radius')}"""
 
 
-POINT_SQL["k_sweep"] = _sweep_sql()
+POINT_SQL["k_sweep"] = _sweep_sql(SWEEP_KS, SWEEP_L, SWEEP_M)
+POINT_SQL["k_sweep_k130"] = _sweep_sql(REF_SWEEP_KS, REF_L, REF_M)
 
 
 def _pin_md5(fn: Query) -> Query:

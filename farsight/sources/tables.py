@@ -15,7 +15,7 @@ the reference's data model (see FIXTURES.md):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,27 +65,36 @@ def stream_items_timed(spark: SparkSession, sf_dir: str, interval_s: int) -> Dat
     )
 
 
+def number(text: Column, kind: str) -> Column:
+    """``text`` without surrounding white space as a ``kind``; anything else,
+    an empty text too, fails the job whatever the session's ANSI mode."""
+    return F.coalesce(F.trim(text).try_cast(kind), F.raise_error(F.concat(
+        F.lit(f"not a {kind}: "), text)).cast(kind))
+
+
 def read_points_text(spark: SparkSession, path: str, dims: int = 2) -> DataFrame:
     """Header-less CSV of ``dims`` floats per line -> ``id, x, y`` (dims=2)
-    or ``id, v`` (dims>2).  FAILFAST: a malformed token fails the job.
+    or ``id, v`` (dims>2).  A malformed or empty field, a blank line, or
+    another number of fields fails the job.
 
-    ``id`` is the row's position-stable ``monotonically_increasing_id`` (it is
-    a function of the file split and the row offset, so retries reproduce it).
+    ``id`` is the line's dense place in file-name and line order; it does not
+    depend on how files are split.
     """
-    fields = [T.StructField(f"c{i}", T.DoubleType(), False) for i in range(dims)]
-    raw = (spark.read.schema(T.StructType(fields))
-           .option("mode", "FAILFAST").option("header", "false")
-           .csv(path))
-    raw = raw.withColumn("id", F.monotonically_increasing_id())
+    from farsight.functions.index import dense_index
+    lines = dense_index(spark.read.text(path), "id", file_order=True)
+    parts = lines.select("id", "value", F.split("value", ",", -1).alias("p"))
+    sized = F.when(F.size("p") == dims, F.col("p")).otherwise(
+        F.raise_error(F.concat(F.lit(f"not {dims} fields: "), F.col("value"))).cast("array<string>"))
+    fields = [number(F.col("p")[i], "double") for i in range(dims)]
+    rows = parts.select("id", sized.alias("p"))
     if dims == 2:
-        return raw.select("id", F.col("c0").alias("x"), F.col("c1").alias("y"))
-    return raw.select("id", F.array(*[F.col(f"c{i}") for i in range(dims)]).alias("v"))
+        return rows.select("id", fields[0].alias("x"), fields[1].alias("y"))
+    return rows.select("id", F.array(*fields).alias("v"))
 
 
 def read_items_text(spark: SparkSession, path: str) -> DataFrame:
-    """One integer per line -> ``pos, item``; a non-integer line fails.
-    ``pos`` follows file-name order, then line order."""
-    raw = (spark.read.schema("item INT").option("mode", "FAILFAST")
-           .option("header", "false").csv(path))
+    """One integer per line, blanks around it allowed -> ``pos, item``; any
+    other line fails.  ``pos`` follows file-name order, then line order."""
     from farsight.functions.index import dense_index
-    return dense_index(raw, "pos", file_order=True).select("pos", "item")
+    lines = dense_index(spark.read.text(path), "pos", file_order=True)
+    return lines.select("pos", number(F.col("value"), "int").alias("item"))

@@ -53,6 +53,19 @@ class ItemStreamFailed(RuntimeError):
         self.base = base
 
 
+def _drain(q, base: str, timeout_s: float | None) -> None:
+    """Wait until the query has consumed its source.  A query that fails, or
+    is not done within ``timeout_s`` (None: no limit), raises: what it has
+    written so far is not an answer."""
+    try:
+        finished = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
+    except Exception as e:  # noqa: BLE001 - StreamingQueryException
+        raise ItemStreamFailed(f"item stream failed: {e}", base) from e
+    if finished is False:
+        q.stop()
+        raise ItemStreamFailed(f"item stream not finished after {timeout_s} s", base)
+
+
 @dataclass
 class ItemStreamRun:
     spark: SparkSession
@@ -250,7 +263,7 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
                     phi: float, epsilon: float, delta: float, m: int | None = None,
                     sticky_seed=STICKY_SEED, res_seed=RESERVOIR_SEED,
                     stream: DataFrame | None = None, processing_time: str | None = None,
-                    files_per_trigger: int = 4, files: int = 16, timeout_s: float = 3600,
+                    files_per_trigger: int = 4, files: int = 16, timeout_s: float | None = None,
                     base: str | None = None, fail_at: int | None = None,
                     compact_every: int = 32) -> ItemStreamRun:
     """Replay ``items`` as a file stream of ``batch_size``-item batches (or
@@ -284,16 +297,16 @@ def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: i
          .option("checkpointLocation", f"{base}/checkpoint"))
     if processing_time is None:
         q = w.trigger(availableNow=True).start()
-        try:
-            q.awaitTermination(timeout_s)
-        except Exception as e:  # noqa: BLE001 - StreamingQueryException
-            raise ItemStreamFailed(f"item stream failed: {e}", base) from e
+        _drain(q, base, timeout_s)
     else:
         q = w.trigger(processingTime=processing_time).start()
-        done.wait(timeout_s)
+        limit = None if timeout_s is None else time.monotonic() + timeout_s
+        while q.isActive and not done.wait(0.2):
+            if limit is not None and time.monotonic() > limit:
+                q.stop()
+                raise ItemStreamFailed(f"item stream not at its cut-off after {timeout_s} s", base)
         # stop only once the cut-off batch is committed (never mid-batch)
-        deadline = time.monotonic() + 60
-        while q.isActive and time.monotonic() < deadline:
+        while q.isActive:
             prog = q.lastProgress
             if prog is not None and int(prog["batchId"]) >= run.done_mb:
                 break
@@ -326,7 +339,7 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 def run_state_histogram(spark: SparkSession, items: DataFrame, n: int, batch_size: int,
                         files_per_trigger: int = 4, files: int = 16,
-                        timeout_s: float = 3600) -> DataFrame:
+                        timeout_s: float | None = None) -> DataFrame:
     """Exact histogram kept in the streaming state store.
 
     A native streaming aggregation (``groupBy(item).count()``, update mode)
@@ -354,11 +367,7 @@ def run_state_histogram(spark: SparkSession, items: DataFrame, n: int, batch_siz
          .foreachBatch(upsert)
          .option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-    if q.exception() is not None:
-        raise RuntimeError(f"state histogram failed: {q.exception()}")
+    _drain(q, base, timeout_s)
     upd = spark.read.parquet(f"{base}/updates").select("item", "cnt", "mb")
     return upd.groupBy("item").agg(F.max_by("cnt", "mb").alias("cnt"))
 
@@ -386,7 +395,7 @@ def _sticky_state_fn(key, pdfs, state):
 def run_state_sticky(spark: SparkSession, items: DataFrame, n: int, batch_size: int,
                      phi: float, epsilon: float, delta: float, seed=STICKY_SEED,
                      files_per_trigger: int = 4, files: int = 16,
-                     timeout_s: float = 3600) -> DataFrame:
+                     timeout_s: float | None = None) -> DataFrame:
     """Sticky sampling as a keyed stateful stream operator.
 
     The draw test (``hit``) is a native column; rows are grouped by item and
@@ -419,11 +428,6 @@ def run_state_sticky(spark: SparkSession, items: DataFrame, n: int, batch_size:
     q = (table.writeStream.outputMode("update").foreachBatch(upsert)
          .option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True).start())
-    try:
-        q.awaitTermination(timeout_s)
-    except Exception as e:  # noqa: BLE001 - StreamingQueryException
-        raise ItemStreamFailed(f"stateful sticky stream failed: {e}", base) from e
-    if q.isActive:
-        q.stop()
+    _drain(q, base, timeout_s)
     upd = spark.read.parquet(f"{base}/updates").select("item", "fp", "est", "mb")
     return upd.groupBy("item").agg(F.max_by("fp", "mb").alias("fp"), F.max_by("est", "mb").alias("est"))

@@ -172,3 +172,14 @@ def test_split_local_round1_nd(spark):
     r = kcenter.kcenter_radius(p, cen, coords="v").collect()[0]["radius"]
     g = kcenter.kcenter_radius(p, kcenter.kcenter_global(p, 4, coords="v"), coords="v").collect()[0]["radius"]
     assert r >= 0.5 * g
+
+
+def test_closest_center_does_not_depend_on_k(spark):
+    # the two distances differ by less than a rounded square root shows
+    from farsight.operators import kcenter
+    near = [(1, 1, 1.0, 1.5e-8), (2, 2, 0.0, 1.0)]
+    far = [(i, i, 1e3 + i, 1e3) for i in range(3, 31)]
+    point = spark.createDataFrame([(0, 0.0, 0.0)], "id long, x double, y double")
+    got = [kcenter.kcenter_assign(point, spark.createDataFrame(c, "it int, id long, x double, y double")).collect()[0]["cid"]
+           for c in (near, near + far)]
+    assert got[0] == got[1]

@@ -57,3 +57,17 @@ def test_stream_needs_input(spark):
     from farsight.streaming import run_item_stream
     with pytest.raises(ValueError):
         run_item_stream(spark, None, 10, 5, 0.2, 0.1, 0.1)
+
+
+def test_points_text_rejects_empty_fields_and_blank_lines(spark, tmp_path):
+    for k, text in enumerate(("1.0,2.0\n3.0,\n", "1.0,2.0\n\n3.0,4.0\n", "1,2,3\n", "1,x\n")):
+        p = tmp_path / f"bad{k}.csv"
+        p.write_text(text)
+        with pytest.raises(Exception):
+            read_points_text(spark, str(p)).collect()
+
+
+def test_items_text_accepts_padded_integers(spark, tmp_path):
+    p = tmp_path / "items.txt"
+    p.write_text(" 5\n7 \n-1\n")
+    assert [(r["pos"], r["item"]) for r in read_items_text(spark, str(p)).orderBy("pos").collect()] == [(0, 5), (1, 7), (2, -1)]

@@ -108,3 +108,11 @@ def test_bad_line_fails_the_stream(spark, tmp_path):
     (d / "a.txt").write_text("1\n2\nabc\n")
     with pytest.raises(ItemStreamFailed):
         run_item_stream(spark, None, 10, None, 0.2, 0.1, 0.1, m=5, stream=item_text_stream(spark, str(d)))
+
+
+def test_timeout_is_an_error(spark):
+    import pytest
+    from farsight.streaming.items import ItemStreamFailed, run_state_histogram
+    items = spark.range(2000).selectExpr("id as pos", "cast(id % 7 as int) as item")
+    with pytest.raises(ItemStreamFailed):
+        run_state_histogram(spark, items, 2000, 10, files_per_trigger=1, timeout_s=0.01)
