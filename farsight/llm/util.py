@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from farsight.session import saved
 
 #: Largest side, in bytes, that a join sends to every executor.
-BROADCAST_BYTES = 24 << 20
+BROADCAST_BYTES = 8 << 20
 
 #: A word is a maximal run of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -73,10 +73,13 @@ def dense_sums(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.n
     """Sum of the integer arrays of ``length`` (a multiple of ``chunk``) that
     ``count`` makes of each task's batches of ``rows``.  Arrays travel in
     chunks, sums hold one copy of the array at most, and the result has a fixed size."""
+    def short(v: np.ndarray) -> np.ndarray:
+        return v.astype(np.uint32) if v.max(initial=0) < 1 << 32 else v
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = count(batches)
         if got is not None:
-            parts = got.astype(np.uint32 if got.max(initial=0) < 1 << 32 else np.int64).reshape(-1, chunk)
+            parts = short(got).reshape(-1, chunk)
             used = np.flatnonzero(parts.any(axis=1))
             yield pa.RecordBatch.from_pydict({"chunk": pa.array(used, pa.int32()), "sums": [parts[i].tobytes() for i in used]})
 
@@ -86,14 +89,14 @@ def dense_sums(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.n
             for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 sums[i] = sums.get(i, 0) + np.frombuffer(raw, np.uint32 if len(raw) == 4 * chunk else np.int64).astype(np.int64)
         if sums:
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int32()), "sums": [v.tobytes() for v in sums.values()]})
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int32()), "sums": [short(v).tobytes() for v in sums.values()]})
 
     # a chunk at a time, so that the driver holds the result and little else
     kind = "chunk int, sums binary"
     out = np.zeros(length, np.int64)
     got = rows.mapInArrow(made, kind).repartition("chunk").mapInArrow(add, kind).toArrow()
     for i, sums in zip(got["chunk"].to_pylist(), got["sums"]):
-        out[i * chunk:(i + 1) * chunk] = np.frombuffer(sums.as_buffer(), np.int64)
+        out[i * chunk:(i + 1) * chunk] = np.frombuffer(raw := sums.as_buffer(), np.uint32 if raw.size == 4 * chunk else np.int64)
     del got
     pa.default_memory_pool().release_unused()
     return out
