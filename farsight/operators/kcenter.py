@@ -15,15 +15,15 @@ Modes:
   inside an Arrow-batched ``applyInPandas`` task (C1).
 * MapReduce FFT (C2-C4): round 1 either hashes ids into L buckets (one
   shuffle; arithmetic hash, so no id pattern piles rows into one bucket) or,
-  with ``L=None``, runs on the input splits with no shuffle; each group
-  yields <= K centers.  Round 2 runs FFT on the coreset (one group of at
-  most L*K rows, bounded by the parameters; above ``MAX_GROUP_ROWS`` the
-  distributed traversal is used).  Round 3 measures every point's distance
-  to the K collected centers with a generated ``least`` expression (small
-  K) or an Arrow-batched numpy kernel, then a partial max: no cross join,
-  no shuffle of the points.
+  with ``L=None``, runs on the input splits with no shuffle.  A bucket is cut
+  into runs of ``2**CHUNK_BITS`` ids, so no task holds more rows than that
+  however many points there are; the coresets of neighbouring runs are merged
+  by FFT again, level by level, until each bucket has one.  Round 2 merges
+  the buckets' coresets by the same rule.  Round 3 measures every point's
+  distance to the K collected centers in an Arrow-batched numpy kernel, then
+  a partial max: no cross join, no shuffle of the points.
 * ``kcenter_global``: the exact traversal over the whole distributed set,
-  one scan per center (a verification mode, also round 2's fallback).
+  one scan per center (a verification mode).
 """
 
 from __future__ import annotations
@@ -35,21 +35,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farsight.functions.draws import bucket_of
-
-# Largest single FFT group (round 2) before the distributed traversal is used.
-MAX_GROUP_ROWS = 5_000_000
-# Most centers turned into one generated expression.  Spark does not split a
-# ``least`` inside whole-stage code, and once the generated method outgrows
-# the JVM's JIT size limit it runs interpreted: measured on 10M points, the
-# radius expression is fast up to K=90 and 20x slower at K=100; the
-# (distance, id) struct form for assignment degrades at K=64.  Beyond these
-# bounds the Arrow-batched numpy kernel is used (same bits).
-MAX_LITERAL_CENTERS = 64          # radius: sqrt(least(squared distances))
-MAX_LITERAL_ASSIGN = 24           # assignment: least(struct(d, it))
-# Points one round-1 FFT task holds in memory when L is chosen automatically
-# (2-D: ~24 bytes per point plus two distance arrays).
-MAX_POINTS_PER_BUCKET = 20_000_000
+from farsight.functions.draws import bucket_of, draw
+from farsight.operators.joins import broadcast_if_small
+
+# A group of round 1 spans so many ids (2-D: 24 MB of points), whatever the
+# number of points; a merged group holds as many rows at most.
+CHUNK_BITS = 20
 
 # The group function runs in Python workers: ship this module's code by
 # value so executors need no installed copy of the package.
@@ -116,11 +107,12 @@ def _matrix(pdf: pd.DataFrame, coords) -> np.ndarray:
     return pdf[list(coords)].to_numpy(dtype=np.float64)
 
 
-def _fft_group_fn(K: int, coords, keys: tuple[str, ...]):
+def _fft_group_fn(K: int, coords, keys: tuple[str, ...], seeded: bool):
     def fn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", kind="mergesort").reset_index(drop=True)
-        idx = farthest_first(_matrix(pdf, coords), K)
-        out = pdf.iloc[idx].copy()
+        start = int(np.argmin(pdf["_u"].to_numpy())) if seeded else 0
+        idx = farthest_first(_matrix(pdf, coords), K, start)
+        out = pdf.iloc[idx].drop(columns="_u", errors="ignore")
         out.insert(0, "it", np.arange(1, len(idx) + 1, dtype=np.int32))
         for i, k in enumerate(keys):
             out[k] = key[i]
@@ -132,14 +124,19 @@ def _coord_cols(coords) -> list[str]:
     return [coords] if isinstance(coords, str) else list(coords)
 
 
-def fft_groups(points: DataFrame, K: int, by: list[str], coords=("x", "y")) -> DataFrame:
-    """FFT of each group of ``by``: rows ``<by>, it, id, <coords>``."""
+def fft_groups(points: DataFrame, K: int, by: list[str], coords=("x", "y"), seed=None) -> DataFrame:
+    """FFT of each group of ``by``: rows ``<by>, it, id, <coords>``.
+
+    With a ``seed`` a group starts at the point whose draw of (seed, id) is
+    the smallest, a random point that reruns agree on."""
     cols = by + ["id"] + _coord_cols(coords)
     src = points.select(*cols)
     schema = ", ".join([f"{c} {src.schema[c].dataType.simpleString()}" for c in by]
                        + ["it int", f"id {src.schema['id'].dataType.simpleString()}"]
                        + [f"{c} {src.schema[c].dataType.simpleString()}" for c in _coord_cols(coords)])
-    fn = _fft_group_fn(int(K), coords, tuple(by))
+    fn = _fft_group_fn(int(K), coords, tuple(by), seed is not None)
+    if seed is not None:
+        src = src.withColumn("_u", draw(seed, F.col("id"), "md5"))
     grouped = src.groupBy(*by) if by else src.groupBy()
     return grouped.applyInPandas(fn, schema=schema).select(*by, "it", "id", *_coord_cols(coords))
 
@@ -148,13 +145,6 @@ def fft_groups(points: DataFrame, K: int, by: list[str], coords=("x", "y")) -> D
 # MapReduce FFT
 # --------------------------------------------------------------------------
 
-def choose_buckets(points: DataFrame, max_points: int = MAX_POINTS_PER_BUCKET) -> int:
-    """L such that a hash bucket holds about ``max_points`` points at most
-    (one count job)."""
-    n = points.count()
-    return max(1, -(-n // int(max_points)))
-
-
 def with_bucket(points: DataFrame, L: int) -> DataFrame:
     return points.withColumn("pid", bucket_of(F.col("id"), int(L)))
 
@@ -190,38 +180,64 @@ def mr_fft_coreset_local(points: DataFrame, K: int, coords=("x", "y")) -> DataFr
     return src.mapInPandas(_fft_split_fn(int(K), coords), schema=schema)
 
 
-def mr_fft_coreset(points: DataFrame, K: int, L: int | None, coords=("x", "y")) -> DataFrame:
+def _fan_bits(K: int, chunk_bits: int) -> int:
+    """So many bits of a group number a merge drops: the merged group keeps
+    within a chunk (two groups at least, if K itself is over half a chunk)."""
+    return max(1, chunk_bits - (max(1, int(K)) - 1).bit_length())
+
+
+def merge_coresets(coreset: DataFrame, K: int, groups: int, number: str, keys: list[str] = [], coords=("x", "y"),
+                   chunk_bits: int = CHUNK_BITS, seed=None) -> DataFrame:
+    """FFT over the coresets of neighbouring groups (``number`` 0 to
+    ``groups`` - 1 within ``keys``), level by level, until one is left:
+    rows ``<keys>, it, id, <coords>``."""
+    bits, cc = _fan_bits(K, chunk_bits), _coord_cols(coords)
+    while True:
+        up = F.shiftright(number, bits).cast(coreset.schema[number].dataType)
+        coreset = fft_groups(coreset.select(*keys, up.alias(number), "id", *cc), K, [*keys, number], coords, seed)
+        groups = ((groups - 1) >> bits) + 1
+        if groups <= 1:
+            return coreset.drop(number)
+
+
+def mr_fft_coreset(points: DataFrame, K: int, L: int | None, coords=("x", "y"),
+                   chunk_bits: int = CHUNK_BITS, seed=None) -> DataFrame:
     """Round 1: ``pid, it, id, <coords>`` -- up to K centers per group.
 
     ``L`` given: points are hashed into L buckets (one shuffle; the
-    partitioning is a function of the ids, reproducible anywhere).
+    partitioning is a function of the ids, reproducible anywhere), each cut
+    into runs of ``2**chunk_bits`` ids from the smallest one on.  Ids are
+    integers, one per point; their range is read first (one column).
     ``L=None``: FFT runs on the input splits, with no shuffle."""
     if L is None:
         return mr_fft_coreset_local(points, K, coords)
-    return fft_groups(with_bucket(points, L), K, ["pid"], coords)
+    low, high = points.agg(F.min("id"), F.max("id")).first()
+    first = (low or 0) >> chunk_bits
+    parts = ((high or 0) >> chunk_bits) - first + 1
+    part = F.shiftright(F.col("id").cast("long"), chunk_bits) - F.lit(first)
+    core = fft_groups(with_bucket(points, L).withColumn("part", part), K, ["pid", "part"], coords, seed)
+    if parts > 1:
+        core = merge_coresets(core, K, parts, "part", ["pid"], coords, chunk_bits, seed)
+    return core.select("pid", "it", "id", *_coord_cols(coords))
 
 
 def mr_fft_centers_from_coreset(coreset: DataFrame, K: int, L: int | None, coords=("x", "y"),
-                                max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                                chunk_bits: int = CHUNK_BITS, seed=None) -> DataFrame:
     """Round 2: ``it, id, <coords>``.  The coreset holds at most L*K rows."""
-    pts = coreset.select("id", *_coord_cols(coords))
     if L is None:
-        # split-local round 1: the coreset size is measured, not known
+        # split-local round 1: the number of splits is measured, not known
         from farsight.session import materialize
         coreset = materialize(coreset)
-        pts = coreset.select("id", *_coord_cols(coords))
-        if coreset.count() > max_group_rows:
-            return kcenter_global(pts, K, coords)
-        return fft_groups(pts, K, [], coords)
-    if int(L) * int(K) > max_group_rows:
-        # K scans follow: cut the lineage so none of them recomputes round 1
-        from farsight.session import materialize
-        return kcenter_global(materialize(pts), K, coords)
-    return fft_groups(pts, K, [], coords)
+        L = (coreset.agg(F.max("pid")).first()[0] or 0) + 1
+    return merge_coresets(coreset, K, int(L), "pid", [], coords, chunk_bits, seed)
 
 
-def mr_fft_centers(points: DataFrame, K: int, L: int | None, coords=("x", "y")) -> DataFrame:
-    return mr_fft_centers_from_coreset(mr_fft_coreset(points, K, L, coords), K, L, coords)
+def mr_fft_centers(points: DataFrame, K: int, L: int | None, coords=("x", "y"),
+                   chunk_bits: int = CHUNK_BITS, seed=None) -> DataFrame:
+    """Rounds 1 and 2.  ``seed`` (with L given): a random first center, see ``fft_groups``."""
+    if L is None and seed is not None:
+        raise ValueError("a seeded start needs L: splits depend on the file layout")
+    return mr_fft_centers_from_coreset(mr_fft_coreset(points, K, L, coords, chunk_bits, seed), K, L, coords, chunk_bits, seed)
 
 
 def collect_centers(centers: DataFrame, coords=("x", "y")) -> list:
@@ -231,44 +247,14 @@ def collect_centers(centers: DataFrame, coords=("x", "y")) -> list:
     return sorted(rows, key=lambda r: r["it"])
 
 
-def _dlit(v) -> str:
-    return f"CAST('{float(v)!r}' AS DOUBLE)"
-
-
-def _sq_sql(r, coords) -> str:
-    x, y = coords
-    cx, cy = _dlit(r[x]), _dlit(r[y])
-    return f"(({x} - {cx}) * ({x} - {cx}) + ({y} - {cy}) * ({y} - {cy}))"
-
-
-def closest_center_expr(rows, coords=("x", "y")) -> Column:
-    """struct(d, cid) of the closest literal center, fully code-generated.
-
-    ``least`` runs over (squared distance, it) structs -- ties go to the
-    smaller ``it`` -- and one ``sqrt`` is applied to the winner: sqrt is
-    monotone and correctly rounded, so this equals the minimum of the
-    per-center distances bit for bit, with K-1 fewer square roots.  Built as
-    one SQL expression string (one call instead of ~15 per center)."""
-    terms = [f"named_struct('s', {_sq_sql(r, coords)}, 'cid', {int(r['it'])})" for r in rows]
-    best = terms[0] if len(terms) == 1 else f"least({', '.join(terms)})"
-    return F.expr(f"named_struct('d', sqrt(({best}).s), 'cid', ({best}).cid)")
-
-
-def min_distance_expr(rows, coords=("x", "y")) -> Column:
-    """Distance to the closest literal center: sqrt(least(squared))."""
-    terms = [_sq_sql(r, coords) for r in rows]
-    return F.expr(f"sqrt({terms[0] if len(terms) == 1 else 'least(' + ', '.join(terms) + ')'})")
-
-
-def _nd_closest_udf(rows, coords):
+def _closest_udf(rows, coords):
     """Arrow-batched closest-center search.
 
-    Spark's array lambdas are interpreted, so for n-D points (an
-    ``ARRAY<DOUBLE>`` column) the K distances per row are computed in numpy
-    over whole Arrow batches (left-to-right sums of squared differences, as
-    everywhere else); squares are compared, as in ``closest_center_expr``, so
-    a point's center does not depend on which of the two forms runs.  2-D points use it only when K is too large for one
-    generated expression.  The centers (parameter-bounded) travel inside the
+    One form for any K and dimension: the K distances per row are computed in
+    numpy over whole Arrow batches (left-to-right sums of squared differences,
+    as everywhere else) and squares are compared, ties to the earlier center.
+    A generated ``least`` over K literals outgrows the JVM's JIT limit (20x
+    slower from K=100 on).  The centers (parameter-bounded) travel inside the
     function."""
     if isinstance(coords, str):
         C = np.stack([np.asarray(r[coords], dtype=np.float64) for r in rows])
@@ -303,7 +289,7 @@ def _nd_closest_udf(rows, coords):
     return closest_xy(F.col(coords[0]), F.col(coords[1]))
 
 
-def _nd_min_distance_udf(rows, coords):
+def _min_distance_udf(rows, coords):
     """Arrow-batched distance to the closest center (no argmin): the minimum
     of squared distances, one sqrt per row -- the same double as taking the
     minimum of the distances, since sqrt is monotone and correctly rounded."""
@@ -337,31 +323,22 @@ def _nd_min_distance_udf(rows, coords):
 
 
 def min_distance_col(rows, coords=("x", "y")) -> Column:
-    """Distance from each point to the closest of the given centers: a
-    generated expression for small K in 2-D, else the numpy kernel."""
-    if not rows:
-        return F.lit(None).cast("double")
-    if not isinstance(coords, str) and len(rows) <= MAX_LITERAL_CENTERS:
-        return min_distance_expr(rows, coords)
-    return _nd_min_distance_udf(rows, coords)
+    """Distance from each point to the closest of the given centers."""
+    return _min_distance_udf(rows, coords) if rows else F.lit(None).cast("double")
 
 
 def kcenter_assign(points: DataFrame, centers: DataFrame, coords=("x", "y")) -> DataFrame:
     """Each point with its closest center: ``id, cid, d`` (``cid`` is the
     center's ``it``; ties go to the earlier center).
 
-    The K centers (a set bounded by the parameter K) are collected once.  2-D: they become literals of one code-generated ``least``
-    expression.  n-D: an Arrow-batched numpy kernel."""
+    The K centers (a set bounded by the parameter K) are collected once and
+    travel inside an Arrow-batched numpy kernel."""
     rows = collect_centers(centers, coords)
     if not rows:
         return points.select("id", F.lit(None).cast("int").alias("cid"),
                              F.lit(None).cast("double").alias("d")).where(F.lit(False))
-    if isinstance(coords, str) or len(rows) > MAX_LITERAL_ASSIGN:
-        best = _nd_closest_udf(rows, coords)
-        return points.select("id", best.alias("b")).select("id", F.col("b.cid").alias("cid"),
-                                                            F.col("b.d").alias("d"))
-    best = closest_center_expr(rows, coords)
-    return points.select("id", best["cid"].alias("cid"), best["d"].alias("d"))
+    best = _closest_udf(rows, coords)
+    return points.select("id", best.alias("b")).select("id", F.col("b.cid").alias("cid"), F.col("b.d").alias("d"))
 
 
 def kcenter_radius(points: DataFrame, centers: DataFrame, coords=("x", "y")) -> DataFrame:
@@ -372,9 +349,10 @@ def kcenter_radius(points: DataFrame, centers: DataFrame, coords=("x", "y")) ->
 
 
 def non_center_points(points: DataFrame, centers: DataFrame) -> DataFrame:
-    """Points that are not centers (anti join on id; the centers side is
-    at most K rows)."""
-    return points.join(F.broadcast(centers.select("id")), "id", "left_anti")
+    """Points that are not centers (anti join on id; the centers' size is
+    checked before they are broadcast)."""
+    few, _ = broadcast_if_small(centers.select("id"))
+    return points.join(few, "id", "left_anti")
 
 
 # --------------------------------------------------------------------------
@@ -385,7 +363,7 @@ def kcenter_global(points: DataFrame, K: int, coords=("x", "y")) -> DataFrame:
     """Exact FFT over the whole distributed set: ``it, id, <coords>``.
 
     Round k scans the points once, computes each point's distance to the
-    k-1 centers chosen so far (a bounded literal array) and takes the
+    k-1 centers chosen so far (numpy kernel) and takes the
     farthest with ``max(struct(d, -id, ...))``; only that single row reaches
     the driver.  The K chosen rows are returned as a small frame.
     """

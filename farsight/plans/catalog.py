@@ -30,6 +30,9 @@ SWEEP_KS, SWEEP_L, SWEEP_M = (10, 20, 50), 4, 3
 # the reference's own settings
 REF_K, REF_L, REF_M = 100, 16, 3
 REF_SWEEP_KS = (50, 70, 90, 110, 130)
+# short runs of ids, so that the merge of coresets shows on small tables
+CHUNK_QUERY_BITS = 10
+START_SEED = 7
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +54,9 @@ POINT_QUERIES: dict[str, Query] = {
     "approx_outliers_points": lambda s, d: outliers.approx_outliers_points(_p(s, d), GRID_D, GRID_M),
     "mr_fft_coreset": lambda s, d: kcenter.mr_fft_coreset(_p(s, d), FFT_K, FFT_L),
     "mr_fft_centers": lambda s, d: kcenter.mr_fft_centers(_p(s, d), FFT_K, FFT_L),
+    "mr_fft_centers_chunked": lambda s, d: kcenter.mr_fft_centers(
+        _p(s, d), FFT_K, FFT_L, chunk_bits=CHUNK_QUERY_BITS),
+    "mr_fft_centers_seeded": lambda s, d: kcenter.mr_fft_centers(_p(s, d), FFT_K, FFT_L, seed=START_SEED),
     "kcenter_assign": lambda s, d: kcenter.kcenter_assign(
         _p(s, d), kcenter.mr_fft_centers(_p(s, d), FFT_K, FFT_L)),
     "kcenter_radius": lambda s, d: kcenter.kcenter_radius(
@@ -138,6 +144,14 @@ POINT_SQL: dict[str, str] = {
            AND CAST(floor(p.y / {S.dbl(omega_for(GRID_D))}) AS BIGINT) = c.cy"""),
     "mr_fft_coreset": _fft_sql("SELECT CAST(g AS INTEGER) AS pid, CAST(it AS INTEGER) AS it, id, x, y FROM r1_centers"),
     "mr_fft_centers": _fft_sql("SELECT CAST(it AS INTEGER) AS it, id, x, y FROM r2_centers"),
+    "mr_fft_centers_chunked": f"""
+WITH RECURSIVE p AS ({S.POINTS2D}),
+{S.chunked_centers_ctes('p', FFT_K, FFT_L, CHUNK_QUERY_BITS, 5, 3)}
+SELECT CAST(it AS INTEGER) AS it, id, x, y FROM r2_centers""",
+    "mr_fft_centers_seeded": f"""
+WITH RECURSIVE p AS ({S.POINTS2D}),
+{S.mr_centers_ctes('p', FFT_K, FFT_L, seed=START_SEED)}
+SELECT CAST(it AS INTEGER) AS it, id, x, y FROM r2_centers""",
     "kcenter_assign": _fft_sql(_ASSIGN_TAIL),
     "kcenter_assign_k100": _fft_sql(_ASSIGN_TAIL, REF_K, REF_L),
     "kcenter_radius": _fft_sql(f"SELECT radius FROM {S.radius_sql('p', 'r2_centers')}"),

@@ -9,10 +9,9 @@ once however often the grid plan refers to D.
 ``k_sweep`` (C7): the same for several K in one plan.  Farthest-first is
 greedy, so the centers for K are a prefix of those for any larger K: round 1
 runs once with max(K) and each K keeps the coreset rows with ``it <= K``.
-Round 2 runs one FFT group per K (each bounded by L*K rows); the sum(Ks)
-centers are collected (parameter-bounded) and one scan computes every K's
-radius with code-generated ``least`` expressions; the per-K cell sides are
-then literals, and cells, region counts and classes are grouped by
+Round 2 merges the buckets' coresets per K; the sum(Ks) centers are collected
+(parameter-bounded) and one scan computes every K's radius; the per-K cell
+sides are then literals, and cells, region counts and classes are grouped by
 (k, cell).
 """
 
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 
 from farsight.functions.geometry import omega_for
 from farsight.operators import kcenter, outliers
-from farsight.session import materialize
 
 
 def outlier_pipeline(points: DataFrame, K: int, L: int, M: int) -> DataFrame:
@@ -58,20 +56,13 @@ def k_sweep(points: DataFrame, Ks, L: int, M: int) -> DataFrame:
     pts = points.select("id", "x", "y")
     core = kcenter.mr_fft_coreset(pts, max(Ks), L)
     by_k: dict[int, list] = {k: [] for k in Ks}
-    if int(L) * max(Ks) > kcenter.MAX_GROUP_ROWS:
-        # round-2 groups too large for one task: exact distributed traversal
-        core = materialize(core)
-        for k in Ks:
-            sub = core.where(F.col("it") <= k).select("id", "x", "y")
-            by_k[k] = kcenter.kcenter_global(sub, k).select("it", "x", "y").collect()
-    else:
-        per_k = (core.select("*", F.explode(F.array(*[F.lit(k) for k in Ks])).alias("k"))
-                 .where(F.col("it") <= F.col("k")))
-        centers = kcenter.fft_groups(per_k.select("k", "id", "x", "y"), max(Ks), ["k"])
-        # sum(Ks) centers in all: a parameter-bounded transfer
-        for r in centers.where(F.col("it") <= F.col("k")).select("k", "it", "x", "y").collect():
-            by_k[int(r["k"])].append(r)
-    # one scan: every K's radius as its own code-generated least(...)
+    per_k = (core.select("*", F.explode(F.array(*[F.lit(k) for k in Ks])).alias("k"))
+             .where(F.col("it") <= F.col("k")))
+    centers = kcenter.merge_coresets(per_k, max(Ks), int(L), "pid", ["k"])
+    # sum(Ks) centers in all: a parameter-bounded transfer
+    for r in centers.where(F.col("it") <= F.col("k")).select("k", "it", "x", "y").collect():
+        by_k[int(r["k"])].append(r)
+    # one scan: every K's radius
     radii_row = pts.agg(*[F.max(kcenter.min_distance_col(sorted(by_k[k], key=lambda r: r["it"])))
                           .alias(f"r{k}") for k in Ks]).collect()[0]
     grid = [(k, float(radii_row[f"r{k}"])) for k in Ks]

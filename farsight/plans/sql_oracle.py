@@ -69,24 +69,26 @@ def _d2(a: str, b: str) -> str:
     return f"sqrt(({a}x - {b}x) * ({a}x - {b}x) + ({a}y - {b}y) * ({a}y - {b}y))"
 
 
-def fft_ctes(prefix: str, src: str, K: int, group: str = "0", nd: bool = False) -> str:
+def fft_ctes(prefix: str, src: str, K: int, group: str = "0", nd: bool = False, seed=None) -> str:
     """CTEs ``{prefix}_centers(g, it, id, <coords>)``: farthest-first
     traversal of every group ``g`` of ``src`` (columns id, x, y or id, v),
-    starting at the smallest id, ties to the smallest id."""
+    starting at the smallest id (with a seed: the smallest draw), ties to the
+    smallest id."""
+    by = "id" if seed is None else draw_sql(seed, "id")
     if nd:
-        cols, fsel = "v", "arg_min(v, id) AS fv"
+        cols, fsel = "v", f"arg_min(v, {by}) AS fv"
         d0 = "list_distance(p.v, f.fv)"
         dn = "list_distance(v, nv)"
         nsel = "first_value(v) OVER w AS nv"
     else:
-        cols, fsel = "x, y", "arg_min(x, id) AS fx, arg_min(y, id) AS fy"
+        cols, fsel = "x, y", f"arg_min(x, {by}) AS fx, arg_min(y, {by}) AS fy"
         d0 = _d2("p.", "f.f")
         dn = _d2("", "n")
         nsel = "first_value(x) OVER w AS nx, first_value(y) OVER w AS ny"
     pcols = ", ".join(f"p.{c.strip()}" for c in cols.split(","))
     return f"""
 {prefix}_pts AS (SELECT {group} AS g, id, {cols} FROM {src}),
-{prefix}_first AS (SELECT g, min(id) AS fid, {fsel} FROM {prefix}_pts GROUP BY g),
+{prefix}_first AS (SELECT g, arg_min(id, {by}) AS fid, {fsel} FROM {prefix}_pts GROUP BY g),
 {prefix}_rec(g, id, {cols}, d, it, is_c) AS (
   SELECT p.g, p.id, {pcols}, {d0}, 1, p.id = f.fid
   FROM {prefix}_pts p JOIN {prefix}_first f ON p.g = f.g
@@ -99,12 +101,23 @@ def fft_ctes(prefix: str, src: str, K: int, group: str = "0", nd: bool = False)
 {prefix}_centers AS (SELECT g, it, id, {cols} FROM {prefix}_rec WHERE is_c)"""
 
 
-def mr_centers_ctes(src: str, K: int, L: int, nd: bool = False) -> str:
+def mr_centers_ctes(src: str, K: int, L: int, nd: bool = False, seed=None) -> str:
     """``r1_centers`` (coreset, g = bucket) and ``r2_centers`` (centers)."""
     cols = "v" if nd else "x, y"
     r1_src = f"(SELECT {bucket_sql('id', L)} AS pid, id, {cols} FROM {src})"
-    return (fft_ctes("r1", r1_src, K, group="pid", nd=nd) + ",\n"
-            + fft_ctes("r2", f"(SELECT id, {cols} FROM r1_centers)", K, nd=nd))
+    return (fft_ctes("r1", r1_src, K, group="pid", nd=nd, seed=seed) + ",\n"
+            + fft_ctes("r2", f"(SELECT id, {cols} FROM r1_centers)", K, nd=nd, seed=seed))
+
+
+def chunked_centers_ctes(src: str, K: int, L: int, chunk_bits: int, fan_bits: int, levels: int) -> str:
+    """``r2_centers`` with buckets cut into runs of ids and their coresets
+    merged in ``levels`` levels (a level more changes nothing) and L within one fan."""
+    ctes = [fft_ctes("m0", f"(SELECT ((id >> {chunk_bits}) - ((SELECT min(id) FROM {src}) >> {chunk_bits})) * {L} "
+                     f"+ {bucket_sql('id', L)} AS pid, id, x, y FROM {src})", K, group="pid")]
+    for i in range(levels):
+        ctes.append(fft_ctes(f"m{i + 1}", f"(SELECT ((g // {L}) >> {fan_bits}) * {L} + g % {L} AS pid, id, x, y FROM m{i}_centers)",
+                             K, group="pid"))
+    return ",\n".join([*ctes, fft_ctes("r2", f"(SELECT id, x, y FROM m{levels}_centers)", K)])
 
 
 def radius_sql(points: str, centers: str, nd: bool = False) -> str:

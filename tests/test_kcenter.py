@@ -72,13 +72,55 @@ def test_mr_radius_within_factor_of_global(spark):
     assert mr >= 0.5 * gl
 
 
-def test_round2_distributed_fallback_equals_group(spark):
+def _merged(X, ids, K, L, bits):
+    """Centers by plain numpy: bucket, runs of ids, merges level by level."""
+    fan = max(1, bits - (K - 1).bit_length())
+    pid = (ids % 2147483647) * 48271 % 2147483647 % L
+    groups: dict = {}
+    for i in np.argsort(ids):
+        groups.setdefault((pid[i], int(ids[i] >> bits) - int(ids.min() >> bits)), []).append(i)
+    seen = max(map(len, groups.values()))
+
+    def level(groups):
+        out = {k: [v[j] for j in kcenter.farthest_first(X[v], K)] for k, v in groups.items()}
+        return {k: sorted(v, key=lambda i: ids[i]) for k, v in out.items()}
+
+    def up(groups, key):
+        out: dict = {}
+        for k, v in groups.items():
+            out.setdefault(key(k), []).extend(v)
+        return {k: sorted(v, key=lambda i: ids[i]) for k, v in out.items()}
+
+    groups = level(groups)
+    while max(k[1] for k in groups):
+        groups = up(groups, lambda k: (k[0], k[1] >> fan))
+        seen = max(seen, *map(len, groups.values()))
+        groups = level(groups)
+    while True:
+        groups = up(groups, lambda k: (k[0] >> fan, 0))
+        seen = max(seen, *map(len, groups.values()))
+        if len(groups) == 1:
+            (v,) = groups.values()
+            return [int(ids[v[j]]) for j in kcenter.farthest_first(X[v], K)], seen
+        groups = level(groups)
+
+
+def test_groups_are_bounded_and_merges_equal_brute_force(spark):
+    g = np.random.default_rng(3)
+    X, ids = g.normal(size=(600, 2)), 5_000_000_000 + np.arange(600) * 2
+    df = spark.createDataFrame([(int(i), float(x), float(y)) for i, (x, y) in zip(ids, X)], "id long, x double, y double")
+    for K, L, bits in ((5, 4, 7), (5, 20, 6)):
+        want, seen = _merged(X, ids, K, L, bits)
+        assert seen <= 1 << bits  # no task holds more
+        got = kcenter.mr_fft_centers(df, K, L, chunk_bits=bits).orderBy("it").collect()
+        assert [r["id"] for r in got] == want
+
+
+def test_seeded_start_is_a_drawn_point(spark):
     p = points2d(spark, SF001)
-    core = kcenter.mr_fft_coreset(p, 8, 4)
-    a = [r["id"] for r in kcenter.mr_fft_centers_from_coreset(core, 8, 4).orderBy("it").collect()]
-    b = [r["id"] for r in kcenter.mr_fft_centers_from_coreset(core, 8, 4, max_group_rows=1)
-         .orderBy("it").collect()]
-    assert a == b
+    runs = [[r["id"] for r in kcenter.mr_fft_centers(p, 5, 2, seed=s).orderBy("it").collect()] for s in (1, 1, 2)]
+    assert runs[0] == runs[1] and runs[0][0] != runs[2][0]
+    assert kcenter.mr_fft_centers(p.where("id < 0"), 5, 2, seed=1).count() == 0
 
 
 def test_assign_consistent_with_radius(spark):
@@ -91,34 +133,11 @@ def test_assign_consistent_with_radius(spark):
     assert kcenter.non_center_points(p, cen).count() == p.count() - len(ids)
 
 
-def test_auto_bucket_count(spark):
+def test_one_split_equals_one_bucket(spark):
     p = points2d(spark, SF001)
-    assert kcenter.choose_buckets(p, 300) == 4
-    auto = [r["id"] for r in kcenter.mr_fft_centers(p, 5, None).orderBy("it").collect()]
+    auto = [r["id"] for r in kcenter.mr_fft_centers(p.coalesce(1), 5, None).orderBy("it").collect()]
     one = [r["id"] for r in kcenter.mr_fft_centers(p, 5, 1).orderBy("it").collect()]
-    assert auto == one          # 1,000 points fit one bucket
-
-
-def test_nd_round2_fallback_equals_group(spark):
-    from farsight.sources import points_nd
-    p = points_nd(spark, SF001)
-    core = kcenter.mr_fft_coreset(p, 6, 2, coords="v")
-    a = [r["id"] for r in kcenter.mr_fft_centers_from_coreset(core, 6, 2, coords="v").orderBy("it").collect()]
-    b = [r["id"] for r in kcenter.mr_fft_centers_from_coreset(core, 6, 2, coords="v", max_group_rows=1)
-         .orderBy("it").collect()]
-    assert a == b
-
-
-def test_numpy_kernel_equals_generated_expression(spark, monkeypatch):
-    p = points2d(spark, SF001)
-    cen = kcenter.mr_fft_centers(p, 12, 2)
-    a = {tuple(r) for r in kcenter.kcenter_assign(p, cen).collect()}
-    ra = kcenter.kcenter_radius(p, cen).collect()[0]["radius"]
-    monkeypatch.setattr(kcenter, "MAX_LITERAL_CENTERS", 4)
-    monkeypatch.setattr(kcenter, "MAX_LITERAL_ASSIGN", 4)
-    b = {tuple(r) for r in kcenter.kcenter_assign(p, cen).collect()}
-    rb = kcenter.kcenter_radius(p, cen).collect()[0]["radius"]
-    assert a == b and ra == rb
+    assert auto == one
 
 
 def test_dist_nd_expression_matches_kernel(spark):
@@ -144,23 +163,11 @@ def test_split_local_round1(spark):
     assert 0.5 * gl <= mr
 
 
-def test_min_distance_kernel_matches_expression(spark, monkeypatch):
-    from pyspark.sql import functions as F
+def test_min_distance_equals_assigned_distance(spark):
     p = points2d(spark, SF001)
-    rows = kcenter.collect_centers(kcenter.mr_fft_centers(p, 9, 2))
-    a = [r[0] for r in p.orderBy("id").select(kcenter.min_distance_col(rows)).collect()]
-    monkeypatch.setattr(kcenter, "MAX_LITERAL_CENTERS", 4)
-    b = [r[0] for r in p.orderBy("id").select(kcenter.min_distance_col(rows)).collect()]
-    assert a == b
-
-
-def test_k_sweep_round2_fallback(spark, monkeypatch):
-    from farsight.plans import pipeline
-    p = points2d(spark, SF001)
-    a = {tuple(r) for r in pipeline.k_sweep(p, (4, 8), 3, 3).collect()}
-    monkeypatch.setattr(kcenter, "MAX_GROUP_ROWS", 1)
-    b = {tuple(r) for r in pipeline.k_sweep(p, (4, 8), 3, 3).collect()}
-    assert a == b
+    cen = kcenter.mr_fft_centers(p, 40, 2)
+    a = [r[0] for r in p.orderBy("id").select(kcenter.min_distance_col(kcenter.collect_centers(cen))).collect()]
+    assert a == [r["d"] for r in kcenter.kcenter_assign(p, cen).orderBy("id").collect()]
 
 
 def test_split_local_round1_nd(spark):
