@@ -23,7 +23,7 @@ Modes:
   distance to the K collected centers in an Arrow-batched numpy kernel, then
   a partial max: no cross join, no shuffle of the points.
 * ``kcenter_global``: the exact traversal over the whole distributed set,
-  one scan per center (a verification mode).
+  one pass per center over the kept distances (a verification mode).
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farsight.functions.draws import bucket_of, draw
+from farsight.functions.geometry import dist2d, dist_nd
 from farsight.operators.joins import broadcast_if_small
 
 # A group of round 1 spans so many ids (2-D: 24 MB of points), whatever the
@@ -356,16 +357,17 @@ def non_center_points(points: DataFrame, centers: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# distributed traversal (exact, one scan per center)
+# distributed traversal (exact, one pass per center)
 # --------------------------------------------------------------------------
 
 def kcenter_global(points: DataFrame, K: int, coords=("x", "y")) -> DataFrame:
     """Exact FFT over the whole distributed set: ``it, id, <coords>``.
 
-    Round k scans the points once, computes each point's distance to the
-    k-1 centers chosen so far (numpy kernel) and takes the
-    farthest with ``max(struct(d, -id, ...))``; only that single row reaches
-    the driver.  The K chosen rows are returned as a small frame.
+    Each point keeps its distance to the centers chosen so far; a round
+    lowers it by the newest center only and takes the farthest with
+    ``max(struct(d, -id, ...))``.  Only that single row reaches the driver.
+    The distances are persisted on the executors from round to round (lost
+    ones are computed again).  The K chosen rows are returned as a small frame.
     """
     cc = _coord_cols(coords)
     spark = points.sparkSession
@@ -374,18 +376,29 @@ def kcenter_global(points: DataFrame, K: int, coords=("x", "y")) -> DataFrame:
     if not first:
         return spark.createDataFrame([], _centers_schema(points, coords))
     chosen = [first[0]]
+    state, before = pts.withColumn("_d", F.lit(float("inf"))), None
     while len(chosen) < int(K):
-        keyed = [dict(it=i + 1, **{c: r[c] for c in cc}) for i, r in enumerate(chosen)]
-        d = min_distance_col(keyed, coords)
-        best = pts.select(F.struct(d.alias("d"), (-F.col("id")).alias("nid"),
-                                   "id", *cc).alias("s")).agg(F.max("s").alias("s")).collect()[0]["s"]
-        if best is None or best["d"] == 0.0:
+        state = state.withColumn("_d", F.least("_d", _distance_to(chosen[-1], coords))).persist()
+        best = state.agg(F.max(F.struct(F.col("_d").alias("d"), (-F.col("id")).alias("nid"), "id", *cc)).alias("s")).first()["s"]
+        if before is not None:
+            before.unpersist()
+        before = state
+        if best["d"] == 0.0:
             break
         chosen.append(best)
+    if before is not None:
+        before.unpersist()
     rows = [(i + 1, r["id"], *[r[c] for c in cc]) for i, r in enumerate(chosen)]
     return spark.createDataFrame(rows, _centers_schema(points, coords))
 
 
+def _distance_to(row, coords) -> Column:
+    if isinstance(coords, str):
+        return dist_nd(F.col(coords), F.array(*[F.lit(float(v)) for v in row[coords]]))
+    x, y = coords
+    return dist2d(F.col(x), F.col(y), F.lit(float(row[x])), F.lit(float(row[y])))
+
+
 def _centers_schema(points: DataFrame, coords) -> str:
     cc = _coord_cols(coords)
     return ", ".join(["it int", f"id {points.schema['id'].dataType.simpleString()}"]
