@@ -5,7 +5,9 @@ sampling draws, for each of HASHES hash functions, one (shingle, level) such tha
 texts draw the same with the probability of their weighted Jaccard similarity.
 BANDS keys of ROWS draws each put texts into buckets; the pairs that buckets
 propose are verified by the exact weighted similarity; verified pairs are
-edges whose components are the classes.
+edges whose components are the classes.  Large buckets propose stars; where a
+star leaves several components, an exact prefix filter proposes every pair
+that may still be alike, so no bucket is too large to be searched whole.
 
 Document frequencies come from a count sketch of fixed size (CELLS counters,
 the mean load taken off), so the weights take one pass, no shuffle of
@@ -18,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +35,11 @@ CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 #: How far IDF moves a weight: a shingle of a text with many copies must not lose the weight that makes the copies alike.
 IDF_SHARE = 0.1
-#: Buckets of up to so many texts propose all their pairs; larger ones propose stars around several centres.
+#: Buckets of up to so many texts propose all their pairs; larger ones a star, then what the prefix filter lets through.
 ALL_PAIRS = 8
-ROUNDS = 3
 _TABLE = 1 << 16
+#: Sums of weights in different orders differ by less.
+_SLACK = 1e-6
 
 
 def _cells(s: np.ndarray) -> np.ndarray:
@@ -115,6 +119,22 @@ def weighted_jaccard(a: bytes, b: bytes, weights: np.ndarray) -> float:
     return float(both / max(1e-9, wa.sum() + wb.sum() - both))
 
 
+def prefix(blob: bytes, weights: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """(shingles, weight from each of them on, whole weight): the rarest
+    shingles of a text, down to where ``threshold`` of its weight is left.
+
+    The order is the same for all texts.  If two texts are alike, the weight
+    they share lies, in both, from their first common shingle on."""
+    u, n = np.unique(np.frombuffer(blob, np.uint32), return_counts=True)
+    cell = weights[u & (CELLS - 1)]
+    order = np.lexsort((mixed(u.astype(np.uint64)), -cell))
+    w = (n * cell.astype(float))[order]
+    rest = np.cumsum(w[::-1])[::-1]
+    whole = float(w.sum())
+    keep = rest >= threshold * whole * (1 - _SLACK)
+    return u[order][keep], rest[keep], whole
+
+
 def _propose(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pairs, members of large buckets) of ``buckets`` (key, node)."""
     stat = (buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
@@ -129,6 +149,52 @@ def _propose(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return some.unionByName(star).distinct(), large.select("key", "node")
 
 
+def _across(large: DataFrame, labels: DataFrame, blobs: DataFrame, sent: Broadcast, threshold: float) -> DataFrame | None:
+    """Pairs (a, b) from buckets of ``large`` (key, node) that hold several
+    components of ``labels``: all that may be alike and differ in component.
+    None if there is no such bucket.
+
+    Of two texts that are alike, the lighter shares at least 2t / (1 + t) of
+    its weight and the heavier t of its own, so the first shingle they have in common stands in the
+    prefix of either.  A shingle's largest component is not joined with itself."""
+    at = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    members = saved(at.join(several, "key").select("node", "label").distinct()
+                    .withColumn("no", F.monotonically_increasing_id()), "open")
+    if members.isEmpty():
+        return None
+    numbered = members.groupBy("label").agg(F.min("no").alias("part"))
+    texts = members.join(numbered, "label").select("node", "no", "part").join(blobs, "node").select("no", "part", "blob")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = sent.value
+        for b in slices(batches):
+            found = [prefix(x.as_py(), w, threshold) for x in b.column(2)]
+            sizes = [len(f[0]) for f in found]
+            if sum(sizes):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([f[0] for f in found]).astype(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), sizes)),
+                     pa.array(np.repeat(b.column(1).to_numpy(), sizes)), pa.array(np.concatenate([f[1] for f in found])),
+                     pa.array(np.repeat([f[2] for f in found], sizes))], ["s", "no", "part", "rest", "whole"])
+
+    cuts = saved(texts.mapInArrow(cut, "s long, no long, part long, rest double, whole double"), "prefixes")
+    main = (cuts.groupBy("s", "part").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("s").agg(F.max_by("part", "n").alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("s", "main"))
+    shared = saved(cuts.join(main, "s").withColumn("minor", F.col("part") != F.col("main")).drop("main"), "shared")
+    t = threshold * (1 - _SLACK)
+    light = (shared.where(F.col("rest") * (1 + threshold) >= F.col("whole") * 2 * t)
+             .select("s", *[F.col(c).alias(f"x_{c}") for c in ("no", "part", "rest", "whole", "minor")]))
+    may = ((F.col("x_part") != F.col("part")) & (F.struct("x_whole", "x_no") < F.struct("whole", "no"))
+           & (F.col("x_whole") >= F.col("whole") * t)
+           & (F.least("x_rest", "rest") * (1 + threshold) >= (F.col("x_whole") + F.col("whole")) * t))
+    proposed = (light.where("x_minor").join(shared, "s").where(may).select("x_no", "no")
+                .unionByName(light.where("not x_minor").join(shared.where("minor"), "s").where(may).select("x_no", "no")).distinct())
+    names = members.select("no", "node")
+    return saved(proposed.join(names, "no").withColumnRenamed("node", "heavy").drop("no")
+                 .join(names.withColumnRenamed("no", "x_no"), "x_no")
+                 .select(F.least("node", "heavy").alias("a"), F.greatest("node", "heavy").alias("b")), "more")
+
+
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, text_md5, class_id,
     class_size, keep.
@@ -142,8 +208,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     table gives no rows.
 
     Buckets of more than ALL_PAIRS texts compare every member with a centre
-    that differs by band; while a bucket still holds several components, up to ROUNDS further centres
-    are compared with a member of each other component.
+    that differs by band; the members of a bucket that then holds several
+    components are compared with all of other components that may be alike.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -172,53 +238,42 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     pairs, large = _propose(buckets)
     pairs = saved(pairs, "pairs")
 
+    number = F.conv(F.substring("node", 1, 15), 16, 10).cast("long")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(number.alias("key"))
+    found = spark.sparkContext.broadcast(bitmap(wanted, 23))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        map_ = found.value
+        for b in batches:
+            hit = np.flatnonzero(in_bitmap(map_, b.column(1).to_numpy().view(np.uint64)))
+            for at in range(0, len(hit), 512):
+                part = b.take(pa.array(hit[at:at + 512]))
+                blobs = [packed(shingles(w)) for w in word_hashes(part.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blobs, pa.binary())], ["node", "blob"])
+
+    # of all texts in pairs, so of all members of large buckets too
+    blobs = saved(rows.select(F.md5("text").alias("node"), "text").select("node", number.alias("key"), "text")
+                  .mapInArrow(pack, "node string, blob binary").dropDuplicates(["node"]), "blobs")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = sent.value
+        for b in batches:
+            alike = [weighted_jaccard(x.as_py(), y.as_py(), w) >= threshold for x, y in zip(b.column(2), b.column(3))]
+            yield b.select([0, 1]).filter(pa.array(alike, pa.bool_()))
+
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are alike."""
-        number = F.conv(F.substring("node", 1, 15), 16, 10).cast("long")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(number.alias("key"))
-        found = spark.sparkContext.broadcast(bitmap(wanted, 23))
-
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            map_ = found.value
-            for b in batches:
-                hit = np.flatnonzero(in_bitmap(map_, b.column(1).to_numpy().view(np.uint64)))
-                for at in range(0, len(hit), 512):
-                    part = b.take(pa.array(hit[at:at + 512]))
-                    blobs = [packed(shingles(w)) for w in word_hashes(part.column(2).to_pylist())]
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blobs, pa.binary())], ["node", "blob"])
-
-        blobs = saved(rows.select(F.md5("text").alias("node"), "text").select("node", number.alias("key"), "text")
-                      .mapInArrow(pack, "node string, blob binary").dropDuplicates(["node"]), "blobs")
-
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            w = sent.value
-            for b in batches:
-                alike = [weighted_jaccard(x.as_py(), y.as_py(), w) >= threshold for x, y in zip(b.column(2), b.column(3))]
-                yield b.select([0, 1]).filter(pa.array(alike))
-
         return (pairs.join(blobs.select(F.col("node").alias("a"), F.col("blob").alias("blob_a")), "a")
                 .join(blobs.select(F.col("node").alias("b"), F.col("blob").alias("blob_b")), "b")
                 .select("a", "b", "blob_a", "blob_b").mapInArrow(compare, "a string, b string"))
 
     edges = saved(verified(pairs), "edges")
-    tried, labels = pairs, connected_components(edges)
-    for again in range(ROUNDS):
-        at = (large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-        salted = F.struct(F.xxhash64("key", "node", F.lit(again)).alias("h"), "node", "label")
-        one_each = saved(at.groupBy("key", "label").agg(F.min(salted).alias("m")).select("key", "label", "m.node", "m.h"), "parts")
-        centres = (one_each.groupBy("key").agg(F.min(F.struct("h", "node", "label")).alias("c"), F.count(F.lit(1)).alias("parts"))
-                   .where("parts > 1").select("key", F.col("c.node").alias("centre"), F.col("c.label").alias("centre_label")))
-        more = (one_each.join(centres, "key").where("label <> centre_label")
-                .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-                .join(tried, ["a", "b"], "left_anti"))
-        more = saved(more, "more")
-        if more.isEmpty():
-            break
-        fresh = saved(verified(more), "fresh")
-        tried = tried.unionByName(more)
+    labels = connected_components(edges)
+    more = _across(large, labels, blobs, sent, threshold)
+    if more is not None:
+        fresh = saved(verified(more.join(pairs, ["a", "b"], "left_anti")), "fresh")
         if not fresh.isEmpty():
-            edges = edges.unionByName(fresh)
-            labels = connected_components(edges)
+            labels = connected_components(edges.unionByName(fresh))
     known = (signed.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
              .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     known = saved(known, "known")

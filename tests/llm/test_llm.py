@@ -190,6 +190,26 @@ def test_near_large_group(spark):
     assert {got[i] for i in range(60)} == {0} and all(got[100 + i] == 100 + i for i in range(40))
 
 
+def test_near_copies_on_one_template(spark):
+    """Pages 0.75 alike that hold many small groups of copies, against brute force."""
+    template, rows = prose(70, 300).split(), []
+    for g in range(70):
+        own = [f"g{g}x{k}" for k in range(46)]
+        for c in range(3):
+            rows.append((len(rows), " ".join(template + own[:34] + [f"c{c}g{g}y{k}" for k in range(2 + g % 20)] + own[34:]), "a"))
+    docs = docs_df(spark, rows)
+    weights = neardup.cell_weights(*neardup._document_counts(docs.select("text")))
+    blobs = [neardup.packed(shingles.shingles(w)) for w in shingles.word_hashes([t for _, t, _ in rows])]
+    want = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if neardup.weighted_jaccard(blobs[i], blobs[j], weights) >= neardup.THRESHOLD:
+                want = [want[j] if x == want[i] else x for x in want] if want[j] < want[i] else [want[i] if x == want[j] else x for x in want]
+    assert 70 <= len(set(want)) < len(rows)
+    got = {r.doc_id: r.class_id for r in neardup.near_classes(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == want
+
+
 def test_tokens(spark, awkward):
     import public_tokenizers
     from tokenizers import Tokenizer
