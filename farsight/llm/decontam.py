@@ -1,17 +1,14 @@
-"""Operator 8 -- benchmark decontamination by size-partitioned MinHash
-containment search.
-
-Benchmark items are partitioned by size (number of shingles, powers of two).
-A MinHash signature tells containment only between sets of like size, so each
-partition looks at documents through windows twice as long as its largest
-item, one item apart: whatever run of an item's length a document holds lies
-whole in some window, and item and window then have a Jaccard similarity of a
-fifth at least.  HASHES minima of each window are compared with those of the
-items; windows that share HITS of them or more are candidates, verified by exact containment of the
-item's shingles in the window.
-
-What tasks know of the benchmark is a bitmap of fixed size; it only saves
-rows, the join that follows decides.
+"""Operator 8 -- benchmark decontamination by containment search.
+
+A document that holds ``threshold`` of an item's distinct shingles misses at
+most the rest of them.  So of any one more of the item's shingles than it may miss
+the document holds one at least.  Each item names its rarest such
+shingles; documents that hold one of them are candidates, verified by exact
+containment of the item's shingles in the whole document.  No pair is lost,
+wherever the document holds the shingles and however often any repeats.
+
+What tasks know of the benchmark is two bitmaps of fixed size; they only save
+rows, the joins that follow decide.
 """
 
 from __future__ import annotations
@@ -23,74 +20,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm.shingles import SHINGLE, mixed, shingles, word_hashes
+from farsight.llm.shingles import SHINGLE, shingles, word_hashes
 from farsight.llm.util import bitmap, checked_broadcast, in_bitmap, table
 from farsight.session import saved
 
 THRESHOLD = 0.8
-HASHES, HITS = 40, 2
 MAP_BITS = 25
-_ODD = (np.random.default_rng(8).integers(0, 1 << 63, HASHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-
-
-def _minima(s: np.ndarray) -> np.ndarray:
-    """HASHES minima of a set of shingles."""
-    with np.errstate(over="ignore"):
-        return (s[None, :] * _ODD[:, None]).min(axis=1)
-
-
-def _keys(minima: np.ndarray, part: int) -> np.ndarray:
-    """Keys of minima (HASHES, ...): partition, hash function and value."""
-    tag = np.arange(HASHES, dtype=np.uint64) + np.uint64(part * HASHES + 1)
-    with np.errstate(over="ignore"):
-        return mixed(minima + mixed(tag).reshape(-1, *[1] * (minima.ndim - 1)))
-
-
-def part_of(size: int) -> int:
-    """Partition of an item of ``size`` shingles: the power of two above it."""
-    return int(size).bit_length()
-
-
-def windows(s: np.ndarray, parts: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(partition, starts, minima of shape (HASHES, windows)) over a
-    document's shingles.  The minima of blocks are computed once, for the
-    smallest partition, and merged for the larger ones."""
-    n, low = len(s), min(parts)
-    with np.errstate(over="ignore"):
-        hashed = s[None, :] * _ODD[:, None]
-    blocks = np.minimum.reduceat(hashed, np.arange(0, n, 1 << low), axis=1)
-    for part in range(low, max(parts) + 1):
-        if part > low:
-            blocks = np.minimum.reduceat(blocks, np.arange(0, blocks.shape[1], 2), axis=1)
-        if part in parts:
-            last = max(1, blocks.shape[1] - 1)
-            yield part, np.arange(last) << part, np.minimum(blocks[:, :last], blocks[:, min(1, blocks.shape[1] - 1):][:, :last])
 
 
 def _item_shingles(items: DataFrame) -> DataFrame:
-    """item_id, item_no, words of a shingle, shingles, part, keys."""
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """item_no, words of a shingle, distinct shingles."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for no, w in zip(b.column(0).to_pylist(), word_hashes(b.column(1).to_pylist(), plain=True)):
                 if len(w):
-                    u = np.unique(shingles(w))
-                    part = part_of(len(u))
-                    rows.append({"item_no": no, "span": min(SHINGLE, len(w)), "part": part, "shingles": u.view(np.int64).tolist(),
-                                 "keys": _keys(_minima(u), part).view(np.int64).tolist()})
+                    rows.append({"item_no": no, "span": min(SHINGLE, len(w)), "shingles": np.unique(shingles(w)).view(np.int64).tolist()})
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    schema = pa.schema([("item_no", pa.int64()), ("span", pa.int32()), ("part", pa.int32()),
-                        ("shingles", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
-    return items.select("item_no", "text").mapInArrow(
-        sign, "item_no long, span int, part int, shingles array<long>, keys array<long>")
+    schema = pa.schema([("item_no", pa.int64()), ("span", pa.int32()), ("shingles", pa.list_(pa.int64()))])
+    return items.select("item_no", "text").mapInArrow(cut, "item_no long, span int, shingles array<long>")
+
+
+def _rarest(keys: DataFrame, threshold: float) -> DataFrame:
+    """Of each item's shingles (item_no, span, size, key) those rarest among
+    items, one more than a document may miss."""
+    ranked = F.sort_array(F.collect_list(F.struct("n", F.xxhash64("key").alias("h"), "key")))
+    missed = F.floor(F.col("size") * (1 - threshold) + 1e-6).cast("int")
+    return (keys.join(keys.groupBy("span", "key").agg(F.count(F.lit(1)).alias("n")), ["span", "key"])
+            .groupBy("item_no", "span", "size").agg(ranked.alias("ranked"))
+            .select("item_no", "span", F.explode(F.slice("ranked", F.lit(1), missed + 1)).alias("r"))
+            .select("item_no", "span", F.col("r.key").alias("key")))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs (doc_id, text_md5, item_id, containment) of ``docs`` (doc_id,
     text) and ``benchmark`` (item_id, text): the largest share of the item's
-    distinct shingles that a window of the document holds, if ``threshold``
+    distinct shingles that the document holds, if ``threshold``
     or more.
 
     Case and punctuation are ignored.  An item of one to four words is one
@@ -103,32 +70,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     named = saved(benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct()
                   .withColumn("item_no", F.monotonically_increasing_id()), "items")
     items = saved(_item_shingles(named), "signed_items")
-    kinds = sorted((r[0], r[1]) for r in items.select("span", "part").distinct().collect())  # at most 5 times 64
-    spans: dict[int, list[int]] = {}
-    for span, part in kinds:
-        spans.setdefault(span, []).append(part)
-    item_keys = items.select("item_no", "span", F.explode("keys").alias("key"))
-    found = spark.sparkContext.broadcast(bitmap(item_keys, MAP_BITS))
+    spans = sorted(r[0] for r in items.select("span").distinct().collect())  # at most SHINGLE
+    keys = items.select("item_no", "span", F.size("shingles").alias("size"), F.explode("shingles").alias("key"))
+    item_keys = saved(_rarest(keys, threshold), "item_keys")
+    found = spark.sparkContext.broadcast((bitmap(item_keys, MAP_BITS), bitmap(keys, MAP_BITS)))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        map_ = found.value
+        rarest, every = found.value
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part_rows = b.slice(at, 512)
-                rows, held, docs_, spans_, keys_ = [], [], [], [], []
+                docs_, spans_, keys_, held = [], [], [], []
                 for i, w in enumerate(word_hashes(part_rows.column(1).to_pylist(), plain=True)):
-                    for span, parts in spans.items():
+                    for span in spans:
                         if len(w) < span:
                             continue
                         s = shingles(w, span)
-                        for part, starts, minima in windows(s, parts):
-                            keys = _keys(minima, part)
-                            hit = in_bitmap(map_, keys)
-                            for j in np.flatnonzero(hit.sum(axis=0) >= min(HITS, HASHES)):
-                                docs_.append(i)
-                                spans_.append(span)
-                                keys_.append(keys[hit[:, j], j].view(np.int64))
-                                held.append(s[starts[j]:starts[j] + (2 << part)].view(np.int64))
+                        hit = in_bitmap(rarest, s)
+                        if hit.any():
+                            docs_.append(i)
+                            spans_.append(span)
+                            keys_.append(np.unique(s[hit]).view(np.int64))
+                            held.append(np.unique(s[in_bitmap(every, s)]).view(np.int64))
                 if docs_:
                     yield pa.RecordBatch.from_arrays(
                         [part_rows.column(0).take(pa.array(docs_)), pa.array(spans_, pa.int32()),
@@ -139,13 +102,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
                        F.coalesce("text", F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     seen = saved(rows.mapInArrow(probe, f"row struct<doc_id: {kind}, text_md5: string>, span int, keys array<long>, held array<long>")
-                 .withColumn("window_no", F.monotonically_increasing_id()), "windows")
-    # which items a window may hold: at least HITS equal minima
-    candidates = (seen.select("window_no", "span", F.explode("keys").alias("key")).join(item_keys, ["key", "span"])
-                  .groupBy("window_no", "item_no").agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") >= HITS)
-                  .select("window_no", "item_no"))
+                 .withColumn("row_no", F.monotonically_increasing_id()), "seen")
+    candidates = (seen.select("row_no", "span", F.explode("keys").alias("key")).join(item_keys, ["key", "span"])
+                  .select("row_no", "item_no").distinct())
     shared = F.size(F.array_intersect("shingles", "held")) / F.size("shingles")
-    verified = (candidates.join(seen.select("window_no", "row", "held"), "window_no")
+    verified = (candidates.join(seen.select("row_no", "row", "held"), "row_no")
                 .join(checked_broadcast(items.select("item_no", "shingles"), F.size("shingles") * 8 + 32), "item_no")
                 .select("row.doc_id", "row.text_md5", "item_no", shared.alias("containment"))
                 .where(F.col("containment") >= threshold))

@@ -238,6 +238,27 @@ def test_leaks(spark):
     assert decontam.leaks(empty(spark), bench).count() == 0 and decontam.leaks(docs_df(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_leaks_repeats_and_pieces(spark):
+    repeats = prose(80, 14) + " same" * 80 + " " + prose(81, 14)
+    item, parts = prose(82, 35).split(), prose(83, 300).split()
+    bench = spark.createDataFrame([(1, repeats), (2, " ".join(item)), (3, " ".join(parts))], "item_id long, text string")
+    rows = [(100 + k, f"{prose(200 + k, k)} {repeats} {prose(300 + k, 200)}", "a") for k in range(0, 64, 8)]
+    rows += [(200 + k, f"{prose(400 + k, k)} {' '.join(item[:17])} {prose(500 + k, 10)} {' '.join(item[17:])} {prose(600 + k, 90)}", "a")
+             for k in range(32)]
+    rows.append((300, " ".join(x for k in range(0, 300, 60) for x in (*parts[k:k + 60], prose(700 + k, 3000))), "a"))
+    rows.append((301, " ".join(parts[:240]), "a"))
+    want = []
+    cut = lambda t: set(zip(*(t.split()[k:] for k in range(5))))
+    for i, t, _ in rows:
+        for no, x in ((1, repeats), (2, " ".join(item)), (3, " ".join(parts))):
+            share = len(cut(x) & cut(t)) / len(cut(x))
+            if share >= decontam.THRESHOLD:
+                want.append((i, no, round(share, 9)))
+    assert len(want) == 41
+    got = [(r.doc_id, r.item_id, round(r.containment, 9)) for r in decontam.leaks(docs_df(spark, rows), bench).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_warc_round_trip_and_salvage(spark, tmp_path):
     pages = spark.createDataFrame([(3, "http://a/ b", "same"), (1, None, "same"), (2, "x", None), (None, "y", "same"), (9, "z", "WARC/1.1\r\n\r\nfake é")],
                                   "page_id long, url string, html string")
