@@ -155,6 +155,12 @@ def test_ppm_trie_against_brute_force():
         assert trie.log10([w])[0] == pytest.approx(log10(p))
 
 
+def test_ppm_codes_in_six_bytes_of_context():
+    trie = ppm.Trie(*ppm.grams([b"1abcdex", b"2abcdey"], np.array([10.0, 10])))
+    right, wrong = trie.log10([b"1abcdex", b"1abcdey"])
+    assert right > wrong + 0.5
+
+
 def test_quality(spark):
     good = [(i, prose(i, 60) + ".", "a") for i in range(200)]
     bad = [(1000 + i, " ".join(f"W{i}!!" for _ in range(60)), "a") for i in range(60)]
