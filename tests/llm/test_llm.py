@@ -161,6 +161,14 @@ def test_ppm_codes_in_six_bytes_of_context():
     assert right > wrong + 0.5
 
 
+def test_ppm_escapes_count_all_training_texts(spark, monkeypatch):
+    texts = [t for t in (prose(90 + i, 12) for i in range(60)) if zlib.crc32(t.encode()) % 8][:20]
+    counted, count = [], ppm.escapes
+    monkeypatch.setattr(ppm, "escapes", lambda texts, corpus: counted.append(texts.count()) or count(texts, corpus))
+    training = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert ppm.scores(docs_df(spark, [(1, texts[0], "a")]), training).count() == 1 and counted == [20]
+
+
 def test_quality(spark):
     good = [(i, prose(i, 60) + ".", "a") for i in range(200)]
     bad = [(1000 + i, " ".join(f"W{i}!!" for _ in range(60)), "a") for i in range(60)]
