@@ -1,6 +1,7 @@
 """Operators of a training-data pipeline.  Nothing else in the library imports this."""
 
 from farsight.llm.decontam import op8_decontaminate
+from farsight.llm.lexical import OP13_SQL, op13_lexical_search
 from farsight.llm.linededup import OP3_SQL, op3_line_dedup
 from farsight.llm.mixing import OP1_SQL, op1_mix
 from farsight.llm.neardup import op6_neardup
@@ -8,6 +9,7 @@ from farsight.llm.ppm import op4_ppm
 from farsight.llm.quality import op5_quality
 from farsight.llm.simhash import op10_simhash
 from farsight.llm.tokens import op7_token_counts
+from farsight.llm.topk import OP11_SQL, op11_topk_search
 from farsight.llm.urlfilter import OP2_SQL, op2_url_filter
 from farsight.llm.warc import op9_warc
 
@@ -22,10 +24,14 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
+    "op11_topk_search": op11_topk_search,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 SQL = {
     "op1_mix": OP1_SQL,
     "op2_url_filter": OP2_SQL,
     "op3_line_dedup": OP3_SQL,
+    "op11_topk_search": OP11_SQL,
+    "op13_lexical_search": OP13_SQL,
 }

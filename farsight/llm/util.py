@@ -109,6 +109,28 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield b.slice(at, rows)
 
 
+def trimmed(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``fn``, with what its task held given back to the system at its end:
+    a Python worker lives on for other tasks and would keep its peak."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+    return task
+
+
+def give_back() -> None:
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it has no such call
+        pass
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of the undirected graph with edges (a, b): one row
     (node, label) per node that has an edge to another node, label the
