@@ -1,5 +1,12 @@
 """Operators of a training-data pipeline.  Nothing else in the library imports this."""
 
+import sys
+
+from pyspark import cloudpickle
+
+# Tasks get these modules' functions by value: executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 from farsight.llm.decontam import op8_decontaminate
 from farsight.llm.lexical import OP13_SQL, op13_lexical_search
 from farsight.llm.linededup import OP3_SQL, op3_line_dedup
@@ -12,6 +19,7 @@ from farsight.llm.tokens import op7_token_counts
 from farsight.llm.topk import OP11_SQL, op11_topk_search
 from farsight.llm.urlfilter import OP2_SQL, op2_url_filter
 from farsight.llm.warc import op9_warc
+from farsight.llm.whitening import op12_whitening
 
 QUERIES = {
     "op1_mix": op1_mix,
@@ -25,6 +33,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
     "op11_topk_search": op11_topk_search,
+    "op12_whitening": op12_whitening,
     "op13_lexical_search": op13_lexical_search,
 }
 
