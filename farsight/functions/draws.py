@@ -75,10 +75,11 @@ def threshold_for(p: float) -> int:
     return min(TWO_POW_60, math.floor(p * TWO_POW_60))
 
 
-# Fixed values of the bucket hash: the Mersenne prime 2^31 - 1 and the
-# MINSTD multiplier 48271 (a primitive root modulo that prime).
+# Fixed values of the bucket hash: the Mersenne prime 2^31 - 1 and
+# 1583458089, a primitive root modulo that prime (a large one, so that
+# neighbouring and evenly spaced keys wrap around at once).
 BUCKET_PRIME = 2147483647
-BUCKET_MULT = 48271
+BUCKET_MULT = 1583458089
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -95,3 +96,17 @@ def bucket_of(key: Column, buckets: int) -> Column:
 def bucket_sql(key_sql: str, buckets: int) -> str:
     k = f"(((CAST({key_sql} AS BIGINT) % {BUCKET_PRIME}) + {BUCKET_PRIME}) % {BUCKET_PRIME})"
     return f"CAST(((({k} * {BUCKET_MULT}) % {BUCKET_PRIME}) % {int(buckets)}) AS INTEGER)"
+
+
+def bucket_and_part(key: Column, buckets: int, parts: int) -> tuple[Column, Column]:
+    """``bucket_of`` and, from what its modulus leaves of the same hash, a
+    part in [0, parts) within the bucket."""
+    k = F.pmod(key.cast("bigint"), F.lit(BUCKET_PRIME))
+    h = F.pmod(k * F.lit(BUCKET_MULT), F.lit(BUCKET_PRIME))
+    part = F.pmod(F.floor(h / F.lit(int(buckets))), F.lit(int(parts)))
+    return F.pmod(h, F.lit(int(buckets))).cast("int"), part.cast("bigint")
+
+
+def part_sql(key_sql: str, buckets: int, parts_sql: str) -> str:
+    k = f"(((CAST({key_sql} AS BIGINT) % {BUCKET_PRIME}) + {BUCKET_PRIME}) % {BUCKET_PRIME})"
+    return f"(((({k} * {BUCKET_MULT}) % {BUCKET_PRIME}) // {int(buckets)}) % ({parts_sql}))"

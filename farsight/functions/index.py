@@ -5,8 +5,8 @@ Rows are grouped by their input split (partition, and for file scans the
 file path and block start from Spark's ``_metadata`` column); the small
 split table (one row per split) gets each split's offset from a window in
 split order, and a row's index is its split's offset plus its position
-within the split.  Only the split table is broadcast, so the work stays
-distributed.
+within the split.  The split table is counted and broadcast only if it is
+small, so the work stays distributed.
 
 Split order is (file path, block start) for file scans -- the files' name
 and byte order, not Spark's packing order, which puts large files first --
@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from farsight.operators.joins import broadcast_if_small
+
 _LOW33 = (1 << 33) - 1
 
 
@@ -38,6 +40,8 @@ def dense_index(df: DataFrame, name: str = "pos", file_order: bool = False) -> D
     splits = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_low").alias("_first"))
     w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(*keys, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = tagged.join(F.broadcast(offsets), keys)
+    # a row per split: broadcast only if they are few
+    few, _ = broadcast_if_small(offsets)
+    out = tagged.join(few, keys)
     out = out.withColumn(name, F.col("_off") + F.col("_low") - F.col("_first"))
     return out.select(*cols, name)

@@ -2,15 +2,16 @@
 
 ``outlier_pipeline`` (C6): D := radius of the MapReduce k-center clustering,
 then approximate (M, D)-outliers with that D.  D is a true data dependency of
-the grid: one job computes it (MR-FFT rounds 1-3, a single double reaches the
-driver) and the grid plan takes it as a literal, so the FFT rounds run exactly
-once however often the grid plan refers to D.
+the grid: MR-FFT rounds 1-3 compute it (the centers, the boxes of at most
+64x64 cells and one double reach the driver) and the grid plan takes it as a
+literal, so the FFT rounds run exactly once however often the grid plan refers
+to D.
 
 ``k_sweep`` (C7): the same for several K in one plan.  Farthest-first is
 greedy, so the centers for K are a prefix of those for any larger K: round 1
 runs once with max(K) and each K keeps the coreset rows with ``it <= K``.
 Round 2 merges the buckets' coresets per K; the sum(Ks) centers are collected
-(parameter-bounded) and one scan computes every K's radius; the per-K cell
+(parameter-bounded) and the same scans compute every K's radius; the per-K cell
 sides are then literals, and cells, region counts and classes are grouped by
 (k, cell).
 """
@@ -41,12 +42,12 @@ def outlier_pipeline_points(points: DataFrame, K: int, L: int, M: int) -> DataFr
 
 
 def mr_radius(points: DataFrame, K: int, L: int) -> float:
-    """Radius of the MapReduce k-center clustering (one Spark job)."""
+    """Radius of the MapReduce k-center clustering."""
     centers = kcenter.mr_fft_centers(points, K, L)
-    row = kcenter.kcenter_radius(points, centers).collect()[0]
-    if row["radius"] is None:
+    radius, = kcenter.kcenter_radii(points, [kcenter.collect_centers(centers)])
+    if radius is None:
         raise ValueError("empty point set")
-    return float(row["radius"])
+    return radius
 
 
 def k_sweep(points: DataFrame, Ks, L: int, M: int) -> DataFrame:
@@ -62,10 +63,11 @@ def k_sweep(points: DataFrame, Ks, L: int, M: int) -> DataFrame:
     # sum(Ks) centers in all: a parameter-bounded transfer
     for r in centers.where(F.col("it") <= F.col("k")).select("k", "it", "x", "y").collect():
         by_k[int(r["k"])].append(r)
-    # one scan: every K's radius
-    radii_row = pts.agg(*[F.max(kcenter.min_distance_col(sorted(by_k[k], key=lambda r: r["it"])))
-                          .alias(f"r{k}") for k in Ks]).collect()[0]
-    grid = [(k, float(radii_row[f"r{k}"])) for k in Ks]
+    # every K's radius from the same scans
+    radii = kcenter.kcenter_radii(pts, [sorted(by_k[k], key=lambda r: r["it"]) for k in Ks])
+    if None in radii:
+        raise ValueError("empty point set")
+    grid = list(zip(Ks, radii))
     params = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(D).alias("radius"),
                                 F.lit(omega_for(D)).alias("omega")) for k, D in grid])
     cells = (pts.select("x", "y", F.explode(params).alias("o"))

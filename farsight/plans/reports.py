@@ -44,7 +44,7 @@ def points_report(points: DataFrame, M: int, K: int, L: int | None) -> dict:
     rows = kcenter.collect_centers(kcenter.mr_fft_centers_from_coreset(core, K, L))
     out["round2_ms"] = _ms(t0)
     t0 = time.perf_counter()
-    D = pts.agg(F.max(kcenter.min_distance_col(rows)).alias("r")).collect()[0]["r"]
+    D, = kcenter.kcenter_radii(pts, [rows])
     out["round3_ms"] = _ms(t0)
     out["radius"] = D
     t0 = time.perf_counter()

@@ -9,7 +9,7 @@ DECIMAL.
 
 from __future__ import annotations
 
-from farsight.functions.draws import bucket_sql, draw_sql
+from farsight.functions.draws import bucket_sql, draw_sql, part_sql
 
 
 def dbl(v: float) -> str:
@@ -110,10 +110,13 @@ def mr_centers_ctes(src: str, K: int, L: int, nd: bool = False, seed=None) -> st
 
 
 def chunked_centers_ctes(src: str, K: int, L: int, chunk_bits: int, fan_bits: int, levels: int) -> str:
-    """``r2_centers`` with buckets cut into runs of ids and their coresets
-    merged in ``levels`` levels (a level more changes nothing) and L within one fan."""
-    ctes = [fft_ctes("m0", f"(SELECT ((id >> {chunk_bits}) - ((SELECT min(id) FROM {src}) >> {chunk_bits})) * {L} "
-                     f"+ {bucket_sql('id', L)} AS pid, id, x, y FROM {src})", K, group="pid")]
+    """``r2_centers`` with buckets cut into hashed parts, as many as the number
+    of points asks for, and their coresets merged in ``levels`` levels (a
+    level more changes nothing) and L within one fan."""
+    parts = (f"(SELECT min(p) FROM (SELECT CAST(1 AS BIGINT) << i AS p FROM range(0, 40) t(i)) "
+             f"WHERE 4 * (SELECT count(*) FROM {src}) <= {3 * L << chunk_bits} * p)")
+    ctes = [fft_ctes("m0", f"(SELECT {part_sql('id', L, parts)} * {L} + {bucket_sql('id', L)} AS pid, id, x, y FROM {src})",
+                     K, group="pid")]
     for i in range(levels):
         ctes.append(fft_ctes(f"m{i + 1}", f"(SELECT ((g // {L}) >> {fan_bits}) * {L} + g % {L} AS pid, id, x, y FROM m{i}_centers)",
                              K, group="pid"))

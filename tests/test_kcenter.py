@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from conftest import SF001, pts_df
 from farsight.operators import kcenter
@@ -73,12 +74,13 @@ def test_mr_radius_within_factor_of_global(spark):
 
 
 def _merged(X, ids, K, L, bits):
-    """Centers by plain numpy: bucket, runs of ids, merges level by level."""
+    """Centers by plain numpy: bucket, hashed parts, merges level by level."""
     fan = max(1, bits - (K - 1).bit_length())
-    pid = (ids % 2147483647) * 48271 % 2147483647 % L
+    h = (ids % 2147483647) * 1583458089 % 2147483647
+    pid, parts = h % L, kcenter.parts_of_bucket(len(ids), L, bits)
     groups: dict = {}
     for i in np.argsort(ids):
-        groups.setdefault((pid[i], int(ids[i] >> bits) - int(ids.min() >> bits)), []).append(i)
+        groups.setdefault((pid[i], int(h[i] // L % parts)), []).append(i)
     seen = max(map(len, groups.values()))
 
     def level(groups):
@@ -107,13 +109,89 @@ def _merged(X, ids, K, L, bits):
 
 def test_groups_are_bounded_and_merges_equal_brute_force(spark):
     g = np.random.default_rng(3)
-    X, ids = g.normal(size=(600, 2)), 5_000_000_000 + np.arange(600) * 2
-    df = spark.createDataFrame([(int(i), float(x), float(y)) for i, (x, y) in zip(ids, X)], "id long, x double, y double")
-    for K, L, bits in ((5, 4, 7), (5, 20, 6)):
-        want, seen = _merged(X, ids, K, L, bits)
-        assert seen <= 1 << bits  # no task holds more
-        got = kcenter.mr_fft_centers(df, K, L, chunk_bits=bits).orderBy("it").collect()
-        assert [r["id"] for r in got] == want
+    X = g.normal(size=(600, 2))
+    # dense ids, ids far apart, ids of both signs over the whole range
+    for ids in (5_000_000_000 + np.arange(600) * 2, np.arange(600) << 21, np.sort(g.integers(-(1 << 62), 1 << 62, 600))):
+        df = spark.createDataFrame([(int(i), float(x), float(y)) for i, (x, y) in zip(ids, X)], "id long, x double, y double")
+        for K, L, bits in ((5, 4, 7), (5, 20, 6)):
+            want, seen = _merged(X, ids, K, L, bits)
+            assert seen <= 1 << bits  # no task holds more
+            got = kcenter.mr_fft_centers(df, K, L, chunk_bits=bits).orderBy("it").collect()
+            assert [r["id"] for r in got] == want
+
+
+def test_parts_follow_the_row_count():
+    assert [kcenter.parts_of_bucket(n, 4, 10) for n in (0, 1, 3072, 3073, 6144, 6145, 1 << 30)] == [1, 1, 1, 2, 2, 4, 1 << 19]
+
+
+def test_string_ids(spark):
+    g = np.random.default_rng(6)
+    rows = [(f"p{i:04d}", float(x), float(y)) for i, (x, y) in enumerate(g.normal(size=(300, 2)))]
+    df = spark.createDataFrame(rows, "id string, x double, y double")
+    got = kcenter.mr_fft_centers(df, 6, 3, chunk_bits=6)
+    assert got.count() == 6 and {r["id"] for r in got.collect()} <= {r[0] for r in rows}
+    one = [r["id"] for r in kcenter.fft_groups(df, 6, []).orderBy("it").collect()]
+    assert one == [r["id"] for r in kcenter.kcenter_global(df, 6).orderBy("it").collect()]
+    assert one == [r["id"] for r in kcenter.mr_fft_centers(df, 6, 1).orderBy("it").collect()]
+    assert kcenter.kcenter_radius(df, got).first()[0] == max(r["d"] for r in kcenter.kcenter_assign(df, got).collect())
+
+
+@pytest.mark.parametrize("bad", [None, float("nan"), float("inf")])
+def test_points_without_coordinates_fail_by_name(spark, bad):
+    df = pts_df(spark, [(0, 0), (1, 1), (2, 2)]).unionByName(spark.createDataFrame([(77, 1.0, bad)], "id long, x double, y double"))
+    nd = df.selectExpr("id", "array(x, y) AS v")
+    cen = kcenter.fft_groups(pts_df(spark, [(0, 0), (1, 1)]), 2, [])
+    for run in (lambda: kcenter.mr_fft_centers(df, 2, 2), lambda: kcenter.mr_fft_centers(df, 2, None), lambda: kcenter.kcenter_radius(df, cen),
+                lambda: kcenter.kcenter_assign(df, cen), lambda: kcenter.kcenter_global(df, 2), lambda: kcenter.mr_fft_centers(nd, 2, 2, coords="v")):
+        with pytest.raises(Exception, match="not a point: 77"):
+            run().collect()
+
+
+def _brute_closest(X, C):
+    d = [sum((X[:, j] - c[j]) * (X[:, j] - c[j]) for j in range(X.shape[1])) for c in C]
+    return np.min(d, axis=0), np.argmin(d, axis=0)
+
+
+@pytest.mark.filterwarnings("ignore:overflow")
+@pytest.mark.parametrize("dims,K", [(1, 20), (2, 3), (2, 9), (2, 100), (2, 700), (5, 40), (64, 30)])
+def test_closest_center_equals_brute_force(dims, K):
+    g = np.random.default_rng(K)
+    for C in (g.normal(size=(K, dims)), g.integers(-3, 4, (K, dims)).astype(float), np.ones((K, dims)), g.normal(size=(K, dims)) * 1e12):
+        # integer points tie often; some lie outside the centers' box, some are centers
+        X = np.concatenate([g.normal(size=(500, dims)) * 2 * np.abs(C).max(), g.integers(-4, 5, (500, dims)), C, np.full((1, dims), 1e300)])
+        d, which = kcenter.ClosestCenter(C).of(X)
+        want, at = _brute_closest(X, C)
+        ok = np.isfinite(want)
+        assert (d[ok] == want[ok]).all() and (which[ok] == at[ok]).all()
+
+
+def test_fewer_centers_are_measured_than_there_are():
+    g = np.random.default_rng(1)
+    mean = []
+    for K in (100, 400, 1600):
+        near = kcenter.ClosestCenter(g.uniform(size=(K, 2)))
+        mean.append(near.many.mean())
+    assert mean[0] < 5 and mean[2] < 2 * mean[0]
+
+
+def test_radius_measures_few_points(spark):
+    g = np.random.default_rng(2)
+    X = g.uniform(size=(5000, 2))
+    df = pts_df(spark, X)
+    centers = kcenter.collect_centers(kcenter.mr_fft_centers(df, 60, 2))
+    C = np.array([[r["x"], r["y"]] for r in centers])
+    assert kcenter.kcenter_radii(df, [centers, centers[:3], []]) == [
+        np.sqrt(_brute_closest(X, C)[0].max()), np.sqrt(_brute_closest(X, C[:3])[0].max()), None]
+    assert kcenter.kcenter_radii(df.limit(0), [centers]) == [None]
+
+
+def test_global_reads_fewer_points_each_round(spark):
+    g = np.random.default_rng(4)
+    X = np.concatenate([g.uniform(size=(3000, 2)), np.full((1500, 2), 0.5)])  # a third on one point
+    df, trace = pts_df(spark, X), []
+    got = [r["id"] for r in kcenter.kcenter_global(df, 110, trace=trace).orderBy("it").collect()]
+    assert got == kcenter.farthest_first(X, 110)
+    assert len(trace) == 109 and sum(trace) < 110 * len(X) / 10 and max(trace[20:]) < len(X) / 5
 
 
 def test_seeded_start_is_a_drawn_point(spark):
@@ -166,8 +244,9 @@ def test_split_local_round1(spark):
 def test_min_distance_equals_assigned_distance(spark):
     p = points2d(spark, SF001)
     cen = kcenter.mr_fft_centers(p, 40, 2)
-    a = [r[0] for r in p.orderBy("id").select(kcenter.min_distance_col(kcenter.collect_centers(cen))).collect()]
-    assert a == [r["d"] for r in kcenter.kcenter_assign(p, cen).orderBy("id").collect()]
+    X = np.array([[r["x"], r["y"]] for r in p.orderBy("id").collect()])
+    C = np.array([[r["x"], r["y"]] for r in kcenter.collect_centers(cen)])
+    assert np.sqrt(_brute_closest(X, C)[0]).tolist() == [r["d"] for r in kcenter.kcenter_assign(p, cen).orderBy("id").collect()]
 
 
 def test_split_local_round1_nd(spark):
