@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import SHINGLE, shingles, word_hashes
-from farsight.llm.util import bitmap, checked_broadcast, in_bitmap, table
+from farsight.llm.util import bitmap, checked_broadcast, in_bitmap, table, trimmed
 from farsight.session import saved
 
 THRESHOLD = 0.8
@@ -40,7 +40,7 @@ def _item_shingles(items: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
     schema = pa.schema([("item_no", pa.int64()), ("span", pa.int32()), ("shingles", pa.list_(pa.int64()))])
-    return items.select("item_no", "text").mapInArrow(cut, "item_no long, span int, shingles array<long>")
+    return items.select("item_no", "text").mapInArrow(trimmed(cut), "item_no long, span int, shingles array<long>")
 
 
 def _rarest(keys: DataFrame, threshold: float) -> DataFrame:
@@ -101,7 +101,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     rows = docs.select(F.struct("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5")).alias("row"),
                        F.coalesce("text", F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    seen = saved(rows.mapInArrow(probe, f"row struct<doc_id: {kind}, text_md5: string>, span int, keys array<long>, held array<long>")
+    seen = saved(rows.mapInArrow(trimmed(probe), f"row struct<doc_id: {kind}, text_md5: string>, span int, keys array<long>, held array<long>")
                  .withColumn("row_no", F.monotonically_increasing_id()), "seen")
     candidates = (seen.select("row_no", "span", F.explode("keys").alias("key")).join(item_keys, ["key", "span"])
                   .select("row_no", "item_no").distinct())

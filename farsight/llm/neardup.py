@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import mixed, shingles, word_hashes
-from farsight.llm.util import bitmap, checked_broadcast, connected_components, dense_sums, in_bitmap, one_of_each, slices, table
+from farsight.llm.util import bitmap, checked_broadcast, connected_components, dense_sums, in_bitmap, one_of_each, slices, table, trimmed
 from farsight.session import saved
 
 THRESHOLD = 0.8
@@ -177,7 +177,7 @@ def _across(large: DataFrame, labels: DataFrame, blobs: DataFrame, sent: Broadca
                      pa.array(np.repeat(b.column(1).to_numpy(), sizes)), pa.array(np.concatenate([f[1] for f in found])),
                      pa.array(np.repeat([f[2] for f in found], sizes))], ["s", "no", "part", "rest", "whole"])
 
-    cuts = saved(texts.mapInArrow(cut, "s long, no long, part long, rest double, whole double"), "prefixes")
+    cuts = saved(texts.mapInArrow(trimmed(cut), "s long, no long, part long, rest double, whole double"), "prefixes")
     main = (cuts.groupBy("s", "part").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("s").agg(F.max_by("part", "n").alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("s", "main"))
     shared = saved(cuts.join(main, "s").withColumn("minor", F.col("part") != F.col("main")).drop("main"), "shared")
@@ -231,7 +231,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     row = F.struct("doc_id", F.md5("text").alias("node"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     signed = saved(rows.select(row.alias("row"), "text")
-                   .mapInArrow(sign, f"row struct<doc_id: {kind}, node: string>, keys array<long>")
+                   .mapInArrow(trimmed(sign), f"row struct<doc_id: {kind}, node: string>, keys array<long>")
                    .select("row.doc_id", "row.node", "keys"), "signed")
     buckets = (signed.groupBy("node", "keys").agg(F.lit(1).alias("one"))
                .select(F.explode("keys").alias("key"), "node"))
@@ -253,7 +253,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     # of all texts in pairs, so of all members of large buckets too
     blobs = saved(rows.select(F.md5("text").alias("node"), "text").select("node", number.alias("key"), "text")
-                  .mapInArrow(pack, "node string, blob binary").dropDuplicates(["node"]), "blobs")
+                  .mapInArrow(trimmed(pack), "node string, blob binary").dropDuplicates(["node"]), "blobs")
+    found.destroy()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = sent.value
@@ -265,7 +266,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         """Those of the pairs (a, b) that are alike."""
         return (pairs.join(blobs.select(F.col("node").alias("a"), F.col("blob").alias("blob_a")), "a")
                 .join(blobs.select(F.col("node").alias("b"), F.col("blob").alias("blob_b")), "b")
-                .select("a", "b", "blob_a", "blob_b").mapInArrow(compare, "a string, b string"))
+                .select("a", "b", "blob_a", "blob_b").mapInArrow(trimmed(compare), "a string, b string"))
 
     edges = saved(verified(pairs), "edges")
     labels = connected_components(edges)
@@ -274,6 +275,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         fresh = saved(verified(more.join(pairs, ["a", "b"], "left_anti")), "fresh")
         if not fresh.isEmpty():
             labels = connected_components(edges.unionByName(fresh))
+    sent.destroy()
     known = (signed.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
              .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     known = saved(known, "known")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import hashed_texts, mixed
-from farsight.llm.util import checked_broadcast, dense_sums, slices, table
+from farsight.llm.util import checked_broadcast, dense_sums, slices, table, trimmed
 
 DIM_BITS = 20
 DIMS = 1 << DIM_BITS
@@ -169,8 +169,9 @@ def fit(labelled: DataFrame) -> dict:
 
     h = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
     some = labelled.select(h.alias("h"), "text", "label").where(F.col("h") < int(min(1, FIT_ROWS / n) * (1 << 30)))
-    got = (some.mapInArrow(featured, "h long, x array<int>, label int").repartition(1)
-           .mapInArrow(descent, "model binary").toArrow()["model"].to_pylist())
+    got = (some.mapInArrow(trimmed(featured), "h long, x array<int>, label int").repartition(1)
+           .mapInArrow(trimmed(descent), "model binary").toArrow()["model"].to_pylist())
+    sent.destroy()
     if not got:
         return {"prior": (rows[1] + 1) / (n + 2)}
     model = np.frombuffer(got[0], np.float64)
@@ -214,7 +215,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality") -
     kind = docs.schema["doc_id"].dataType.simpleString()
     row = F.struct("doc_id", held_out.alias("held_out"), F.md5("text").alias("text_md5"))
     return (rows.select(row.alias("row"), "text")
-            .mapInArrow(score, f"row struct<doc_id: {kind}, held_out: boolean, text_md5: string>, score double")
+            .mapInArrow(trimmed(score), f"row struct<doc_id: {kind}, held_out: boolean, text_md5: string>, score double")
             .select("row.doc_id", "row.text_md5", "row.held_out", "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted")))
 
 

@@ -94,7 +94,7 @@ def dense_sums(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.n
     # a chunk at a time, so that the driver holds the result and little else
     kind = "chunk int, sums binary"
     out = np.zeros(length, np.int64)
-    got = rows.mapInArrow(made, kind).repartition("chunk").mapInArrow(add, kind).toArrow()
+    got = rows.mapInArrow(trimmed(made), kind).repartition("chunk").mapInArrow(trimmed(add), kind).toArrow()
     for i, sums in zip(got["chunk"].to_pylist(), got["sums"]):
         out[i * chunk:(i + 1) * chunk] = np.frombuffer(raw := sums.as_buffer(), np.uint32 if raw.size == 4 * chunk else np.int64)
     del got

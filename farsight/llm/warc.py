@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm.util import checked_broadcast, table
+from farsight.llm.util import checked_broadcast, table, trimmed
 from farsight.session import saved, scratch_path
 
 DATE = "2024-01-01T00:00:00Z"
@@ -229,7 +229,7 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.where("length > 0").select("path", "content").mapInArrow(parse, READ_SCHEMA)
+    return files.where("length > 0").select("path", "content").mapInArrow(trimmed(parse), READ_SCHEMA)
 
 
 def gaps(read: DataFrame) -> DataFrame:
