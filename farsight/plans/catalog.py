@@ -17,7 +17,7 @@ from farsight.plans import sql_oracle as S
 from farsight.session import scratch_path
 from farsight.sources import (points2d, points_nd, read_items_text, read_points_text,
                               stream_items, stream_items_timed)
-from farsight.streaming.items import run_item_stream, run_state_histogram, run_state_sticky
+from farsight.streaming import ItemStream, item_stream
 
 # fixed query parameters
 GRID_D = 15.0
@@ -321,79 +321,75 @@ ALL_SQL.update(ITEM_SQL)
 # -------------------------------------------------------------- streaming
 
 
-STREAM_N, STREAM_BATCH = 5000, 360
-_RUNS: dict = {}
+STREAM_BATCH = 360
+#: Where a consumption that stops at item n is what a query shows.
+CONSUMED_N = 5000
+#: Trigger of the live query, the reference's interval.
+LIVE = "10 milliseconds"
 
 
-def _stream_run(spark, sf):
-    """One replayed stream per (session, scale) shared by the stream_* views."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _RUNS:
-        _RUNS[key] = run_item_stream(spark, _i(spark, sf), STREAM_N, STREAM_BATCH,
-                                     PHI, EPS, DELTA, m=RES_M,
-                                     sticky_seed=STICKY_SEED, res_seed=RES_SEED)
-    return _RUNS[key]
+def _stream(spark, sf, **kw) -> ItemStream:
+    """The table's items as a stream of all its files."""
+    return ItemStream(item_stream(spark, sf, STREAM_BATCH), **kw)
+
+
+def _sticky_of(stream: ItemStream, spark, sf, result: str) -> DataFrame:
+    n = max(1, _i(spark, sf).count())  # the rate r/n needs the stream's length beforehand
+    return getattr(stream, result)(PHI, EPS, DELTA, n, STICKY_SEED)
 
 
 STREAM_QUERIES: dict[str, Query] = {
-    "stream_histogram": lambda s, d: _stream_run(s, d).histogram(),
-    "stream_distinct": lambda s, d: _stream_run(s, d).stats(),
-    "stream_frequent_exact": lambda s, d: _stream_run(s, d).frequent_exact(),
-    "stream_reservoir": lambda s, d: _stream_run(s, d).reservoir(),
-    "stream_sticky": lambda s, d: _stream_run(s, d).sticky(),
-    "stream_frequent_sticky": lambda s, d: _stream_run(s, d).frequent_sticky(),
-    "stream_consumed": lambda s, d: _stream_run(s, d).consumed(),
-    "stream_histogram_state": lambda s, d: run_state_histogram(s, _i(s, d), STREAM_N, STREAM_BATCH),
-    "stream_sticky_state": lambda s, d: run_state_sticky(s, _i(s, d), STREAM_N, STREAM_BATCH,
-                                                         PHI, EPS, DELTA, seed=STICKY_SEED),
+    "stream_histogram": lambda s, d: _stream(s, d).histogram(),
+    "stream_histogram_live": lambda s, d: _stream(s, d, processing_time=LIVE).histogram(),
+    "stream_distinct": lambda s, d: _stream(s, d).stats(),
+    "stream_frequent_exact": lambda s, d: _stream(s, d).frequent_exact(PHI),
+    "stream_reservoir": lambda s, d: _stream(s, d).reservoir(RES_M, RES_SEED),
+    "stream_sticky": lambda s, d: _sticky_of(_stream(s, d, processing_time=LIVE), s, d, "sticky"),
+    "stream_frequent_sticky": lambda s, d: _sticky_of(_stream(s, d), s, d, "frequent_sticky"),
+    "stream_consumed": lambda s, d: _stream(s, d).consumed(CONSUMED_N),
+    "stream_histogram_cut": lambda s, d: _stream(s, d).until(CONSUMED_N).histogram(),
+    "stream_histogram_state": lambda s, d: _stream(s, d).histogram(),
+    "stream_sticky_state": lambda s, d: _sticky_of(_stream(s, d), s, d, "sticky"),
 }
 
-_LAST = (STREAM_N - 1) // STREAM_BATCH
-_CUT = f"""WITH it AS (SELECT * FROM ({S.ITEMS}) WHERE pos // {STREAM_BATCH} <= {_LAST})"""
-_ST_T = f"CAST(floor(least(1.0, {S.dbl(_R)} / {STREAM_N}) * {S.TWO60}) AS BIGINT)"
-_ST_STICKY = f"""{_CUT},
-hits AS (SELECT item, min(pos) AS fp FROM it WHERE {S.draw(STICKY_SEED, 'pos')} <= {_ST_T} GROUP BY item),
-st AS (SELECT it.item, hits.fp, CAST(count(*) AS BIGINT) AS est FROM it JOIN hits USING (item)
-       WHERE it.pos >= hits.fp GROUP BY it.item, hits.fp)"""
+_CUT = f"{_WITH_IT}, cut AS (SELECT * FROM it WHERE pos // {STREAM_BATCH} <= {(CONSUMED_N - 1) // STREAM_BATCH})"
 
 STREAM_SQL: dict[str, str] = {
-    "stream_histogram": f"{_CUT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item",
-    "stream_histogram_state": f"{_CUT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item",
-    "stream_distinct": f"""{_CUT} SELECT CAST(count(*) AS BIGINT) AS n_items,
-        CAST(count(DISTINCT item) AS BIGINT) AS n_distinct, max(item) AS max_item FROM it""",
-    "stream_frequent_exact": f"""{_CUT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item
-        HAVING count(*) > {float(PHI) * STREAM_N!r}::DOUBLE""",
-    "stream_reservoir": f"{_CUT} {_reservoir_sql(RES_M, f'WHERE pos < {STREAM_N}')}",
-    "stream_sticky": f"{_ST_STICKY} SELECT item, fp, est FROM st",
-    "stream_sticky_state": f"{_ST_STICKY} SELECT item, fp, est FROM st",
-    "stream_frequent_sticky": f"""{_ST_STICKY} SELECT item, est FROM st
-        WHERE est >= {(float(PHI) - float(EPS)) * STREAM_N!r}::DOUBLE""",
+    "stream_histogram": ITEM_SQL["item_histogram"],
+    "stream_histogram_live": ITEM_SQL["item_histogram"],
+    "stream_histogram_state": ITEM_SQL["item_histogram"],
+    "stream_distinct": ITEM_SQL["stream_stats"],
+    "stream_frequent_exact": ITEM_SQL["frequent_exact"],
+    "stream_reservoir": ITEM_SQL["reservoir_sample"],
+    "stream_sticky": ITEM_SQL["sticky_table"],
+    "stream_sticky_state": ITEM_SQL["sticky_table"],
+    "stream_frequent_sticky": ITEM_SQL["frequent_sticky"],
     "stream_consumed": f"""{_CUT} SELECT CAST(b AS BIGINT) AS batch_id, size,
         CAST(sum(size) OVER (ORDER BY b) AS BIGINT) AS cum
-        FROM (SELECT pos // {STREAM_BATCH} AS b, CAST(count(*) AS BIGINT) AS size FROM it GROUP BY 1)""",
+        FROM (SELECT pos // {STREAM_BATCH} AS b, CAST(count(*) AS BIGINT) AS size FROM cut GROUP BY 1)""",
+    "stream_histogram_cut": f"{_CUT} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM cut GROUP BY item",
 }
 
 ALL_QUERIES.update({k: _pin_md5(v) for k, v in STREAM_QUERIES.items()})
 ALL_SQL.update(STREAM_SQL)
 
-# arrival-time micro-batches (variable size), as the reference's 10 ms
-# intervals: one-hour intervals of events.ts
+# arrival-time batches (variable size), as the reference's 10 ms intervals:
+# one-hour intervals of events.ts
 
 TIME_BATCH_S = 3600
-_TRUNS: dict = {}
 
 
 def _timed(spark, sf):
     return stream_items_timed(spark, sf, TIME_BATCH_S)
 
 
-def _time_run(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _TRUNS:
-        _TRUNS[key] = run_item_stream(spark, _timed(spark, sf), STREAM_N, None,
-                                      PHI, EPS, DELTA, m=RES_M,
-                                      sticky_seed=STICKY_SEED, res_seed=RES_SEED)
-    return _TRUNS[key]
+def _time_stream(spark, sf) -> ItemStream:
+    return ItemStream(item_stream(spark, sf, interval_s=TIME_BATCH_S))
+
+
+def _whole_time_stream(spark, sf) -> ItemStream:
+    """Up to the batch that holds the last item: the cut's plan, over everything."""
+    return _time_stream(spark, sf).until(max(1, _i(spark, sf).count()))
 
 
 _TIMED = (f"SELECT event_id AS pos, CAST(floor(value / 10) AS INTEGER) AS item, "
@@ -408,20 +404,17 @@ it AS (SELECT * FROM t WHERE batch <= coalesce((SELECT max(batch) FROM t WHERE p
 
 TIME_QUERIES: dict[str, Query] = {
     "stream_cutoff_time": lambda s, d: itemops.stream_cutoff(_timed(s, d), CUT_N),
-    "stream_consumed_time": lambda s, d: _time_run(s, d).consumed(),
-    "stream_histogram_time": lambda s, d: _time_run(s, d).histogram(),
-    "stream_sticky_time": lambda s, d: _time_run(s, d).sticky(),
+    "stream_consumed_time": lambda s, d: _time_stream(s, d).consumed(CONSUMED_N),
+    "stream_histogram_time": lambda s, d: _whole_time_stream(s, d).histogram(),
+    "stream_sticky_time": lambda s, d: _sticky_of(_whole_time_stream(s, d), s, d, "sticky"),
 }
 TIME_SQL: dict[str, str] = {
     "stream_cutoff_time": f"{_time_cut_sql(CUT_N)} SELECT pos, item, batch FROM it",
-    "stream_consumed_time": f"""{_time_cut_sql(STREAM_N)} SELECT batch AS batch_id, size,
+    "stream_consumed_time": f"""{_time_cut_sql(CONSUMED_N)} SELECT batch AS batch_id, size,
         CAST(sum(size) OVER (ORDER BY batch) AS BIGINT) AS cum
         FROM (SELECT batch, CAST(count(*) AS BIGINT) AS size FROM it GROUP BY batch)""",
-    "stream_histogram_time": f"{_time_cut_sql(STREAM_N)} SELECT item, CAST(count(*) AS BIGINT) AS cnt FROM it GROUP BY item",
-    "stream_sticky_time": f"""{_time_cut_sql(STREAM_N)},
-hits AS (SELECT item, min(pos) AS fp FROM it WHERE {S.draw(STICKY_SEED, 'pos')} <= {_ST_T} GROUP BY item)
-SELECT it.item, hits.fp, CAST(count(*) AS BIGINT) AS est FROM it JOIN hits USING (item)
-WHERE it.pos >= hits.fp GROUP BY it.item, hits.fp""",
+    "stream_histogram_time": ITEM_SQL["item_histogram"],
+    "stream_sticky_time": ITEM_SQL["sticky_table"],
 }
 ALL_QUERIES.update({k: _pin_md5(v) for k, v in TIME_QUERIES.items()})
 ALL_SQL.update(TIME_SQL)

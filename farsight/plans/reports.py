@@ -92,22 +92,23 @@ def items_report(items: DataFrame, n: int, phi: float, epsilon: float, delta: fl
 
 def stream_items_report(spark, stream: DataFrame, n: int, phi: float, epsilon: float,
                         delta: float, processing_time: str | None = None) -> dict:
-    """The items report from a Structured Streaming run over ``stream`` (a
-    line stream such as ``item_text_stream``, or positioned items): state is
-    kept per micro-batch and the consumption stops after the batch holding
-    item n, as in the reference."""
-    from farsight.streaming import run_item_stream
+    """The items report from Structured Streaming queries over ``stream`` (a
+    line stream such as ``item_text_stream``, or items with positions and
+    batches): the consumption stops after the batch holding item n, as in the
+    reference.  ``processing_time`` takes lines in live, at that interval."""
+    from farsight.streaming import ItemStream, arrivals
     check_items_params(phi, epsilon, delta)
-    run = run_item_stream(spark, None, n, None, phi, epsilon, delta, stream=stream,
-                          processing_time=processing_time)
-    truth = sorted(r["item"] for r in run.frequent_exact().collect())
-    est = sorted(r["item"] for r in run.frequent_sticky().collect())
+    if "value" in stream.columns:
+        stream = arrivals(stream, n, processing_time=processing_time)
+    run = ItemStream(stream).until(n)
+    truth = sorted(r["item"] for r in run.frequent_exact(phi, n).collect())
+    est = sorted(r["item"] for r in run.frequent_sticky(phi, epsilon, delta, n).collect())
     return {
         "n": int(n), "phi": phi, "epsilon": epsilon, "delta": delta,
-        "consumed": run.length,
+        "consumed": run.length().first()["n_items"],
         "true_frequent": truth,
-        "reservoir": sorted(r["item"] for r in run.reservoir().collect()),
-        "sticky_table_size": run.sticky().count(),
+        "reservoir": sorted(r["item"] for r in run.reservoir(reservoir_size(phi), n=n).collect()),
+        "sticky_table_size": run.sticky(phi, epsilon, delta, n).count(),
         "approx_frequent": [(i, "+" if i in set(truth) else "-") for i in est],
     }
 

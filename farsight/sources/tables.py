@@ -44,25 +44,27 @@ def points_nd(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def items_of(events: DataFrame) -> DataFrame:
+    """``pos, item`` of an events table or stream."""
+    return events.select(F.col("event_id").alias("pos"), F.floor(F.col("value") / 10).cast("int").alias("item"))
+
+
+def timed_items_of(events: DataFrame, interval_s: int) -> DataFrame:
+    """``items_of`` plus ``batch``: the arrival-time interval of each item
+    (``ts`` cut into ``interval_s``-second intervals, time-zone free)."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    return events.select(F.col("event_id").alias("pos"), F.floor(F.col("value") / 10).cast("int").alias("item"),
+                         F.floor(micros / F.lit(int(interval_s) * 1_000_000)).cast("bigint").alias("batch"))
+
+
 def stream_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
-    return ev.select(
-        F.col("event_id").alias("pos"),
-        F.floor(F.col("value") / 10).cast("int").alias("item"),
-    )
+    return items_of(read_table(spark, sf_dir, "events"))
 
 
 def stream_items_timed(spark: SparkSession, sf_dir: str, interval_s: int) -> DataFrame:
     """``stream_items`` plus ``batch``: the arrival-time micro-batch of each
-    item (``ts`` cut into ``interval_s``-second intervals, time-zone free).
-    Batches are variable in size and contiguous in ``pos``."""
-    ev = read_table(spark, sf_dir, "events")
-    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
-    return ev.select(
-        F.col("event_id").alias("pos"),
-        F.floor(F.col("value") / 10).cast("int").alias("item"),
-        F.floor(micros / F.lit(int(interval_s) * 1_000_000)).cast("bigint").alias("batch"),
-    )
+    item.  Batches are variable in size and contiguous in ``pos``."""
+    return timed_items_of(read_table(spark, sf_dir, "events"), interval_s)
 
 
 def number(text: Column, kind: str) -> Column:

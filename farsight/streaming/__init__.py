@@ -1,2 +1,2 @@
-from farsight.streaming.source import item_stream, item_text_stream, write_item_batches  # noqa: F401
-from farsight.streaming.items import ItemStreamFailed, ItemStreamRun, run_item_stream  # noqa: F401
+from farsight.streaming.source import item_stream, item_text_stream, table_stream  # noqa: F401
+from farsight.streaming.items import ItemStream, ItemStreamFailed, arrivals  # noqa: F401

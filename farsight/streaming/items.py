@@ -1,48 +1,56 @@
-"""Stateful item-stream processing with Structured Streaming.
-
-One streaming query drives everything through ``foreachBatch`` (the
-counterpart of the reference's per-batch callback) with a checkpoint, so a
-failed micro-batch is replayed with the same batch id.  Every write is keyed
-by that id and overwrites, and all randomness is a function of ``pos``: a
-replay reproduces the same files, giving exactly-once results.
-
-Per micro-batch, all work is DataFrame operations on the executors; only the
-sizes of the original batches in it and the running length touch the driver:
-
-* **cut-off** (ST2): the running length is kept in ``meta/``; batches are
-  consumed up to and including the one that reaches ``n`` items; later
-  batches are ignored (a live query is then stopped, a replay drains).
-* **histogram** (ST3): the batch's item counts (partial aggregation) are
-  appended under ``hist/mb=<micro-batch id>``; every ``compact_every``
-  batches they are merged into a base under ``histbase/``.  The histogram
-  is the latest base plus the later deltas, read as an ordinary
-  aggregation, so reads stay bounded however long the stream runs.
-* **distinct / max / length** (ST4): derived from the same log.
-* **reservoir** (ST6): state is the m-row slot table; each batch adds only
-  its rows that win a slot (``slot < m``) and keeps the latest writer.
-* **sticky sampling** (ST5): state is the table S (expected ~r rows).  Per
-  batch: items already in S count all their occurrences; other items enter
-  at their first successful draw and count from there.  S is broadcast into
-  the batch join when its file size is under the broadcast threshold.  This needs micro-batches
-  to arrive in ``pos`` order (rows inside one batch may come in any order).
+"""Queries over an item stream, each a native Structured Streaming query.
+
+What a query remembers lives in Spark's state store (RocksDB) and its
+checkpoint, so a failed run resumes where it stopped:
+
+* **histogram** (ST3): a streaming aggregation by item, one state row per
+  distinct item.
+* **distinct / max / length** (ST4): ``dropDuplicates`` on the item feeds a
+  global count and maximum; a second global count gives the length.
+* **reservoir** (ST6): the slot form of Algorithm R is a filter, then
+  ``max_by`` per slot: m state rows.
+* **sticky sampling** (ST5): each micro-batch is first brought to one row per
+  item (first hit, count from it on, whole count) by a join and an
+  aggregation; ``transformWithState`` keeps (first hit, count) per sampled
+  item.  A hot item costs one row a micro-batch.  Micro-batches must arrive in ``pos`` order,
+  rows inside one in any order.
+* **cut-off** (ST2): a streaming aggregation counts each batch; a window
+  over the counts finds the batch that holds item n, and the other queries'
+  plans keep ``batch <= that batch``.
+
+Queries run in update mode.  Their sink writes what a micro-batch changed
+under the micro-batch's id (overwriting on a replay), and a result is the
+latest row of each key.
 """
 
 from __future__ import annotations
 
+import sys
 import threading
 import time
-from dataclasses import dataclass
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from farsight.functions.draws import current_method, draw, threshold_for
 from farsight.functions.index import dense_index
+from farsight.functions.params import check_items_params, sticky_r
 from farsight.operators.joins import broadcast_if_small
-from farsight.functions.params import sticky_r
 from farsight.operators.sampling import RESERVOIR_SEED, STICKY_SEED, reservoir_slot
 from farsight.session import scratch_path
-from farsight.streaming.source import item_stream, write_item_batches
+from farsight.sources.tables import number
+
+# The state function runs in Python workers: ship this module's code by
+# value so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ARRIVED = "pos long, item int, batch long"
+FIRST = "item int, fp long, since long, whole long, mb long"
 
 
 class ItemStreamFailed(RuntimeError):
@@ -53,381 +61,247 @@ class ItemStreamFailed(RuntimeError):
         self.base = base
 
 
-def _drain(q, base: str, timeout_s: float | None) -> None:
-    """Wait until the query has consumed its source.  A query that fails, or
-    is not done within ``timeout_s`` (None: no limit), raises: what it has
-    written so far is not an answer."""
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """A query started inside keeps its state in RocksDB, unless the session
+    chose a provider; the session's setting is as before afterwards."""
+    if spark.conf.get(STATE_PROVIDER_CONF, None) not in (None, "", _DEFAULT_PROVIDER):
+        yield
+        return
+    before = spark.conf.get(STATE_PROVIDER_CONF, None)
+    spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
     try:
-        finished = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
-    except Exception as e:  # noqa: BLE001 - StreamingQueryException
-        raise ItemStreamFailed(f"item stream failed: {e}", base) from e
-    if finished is False:
-        q.stop()
-        raise ItemStreamFailed(f"item stream not finished after {timeout_s} s", base)
+        yield
+    finally:
+        spark.conf.unset(STATE_PROVIDER_CONF) if before is None else spark.conf.set(STATE_PROVIDER_CONF, before)
 
 
-@dataclass
-class ItemStreamRun:
-    spark: SparkSession
-    base: str
-    n: int
-    m: int
-    phi: float
-    epsilon: float
-    delta: float
-    batches: int = 0
-    last_batch: int = -1     # last micro-batch that consumed items
-    length: int = 0
-    done_mb: int = -1        # micro-batch that reached n
-
-    # ------------------------------------------------------------ results
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/{name}")
+_DEFAULT_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 
-    def histogram(self) -> DataFrame:
-        """``item, cnt`` over all consumed batches: the latest compacted base
-        at or before the last consumed micro-batch plus the deltas after it."""
-        base_mb = _latest_base(self.spark, self.base, self.last_batch)
-        h = self._read("hist").where((F.col("mb") <= self.last_batch) & (F.col("mb") > base_mb))
-        parts = h.select("item", "cnt")
-        if base_mb >= 0:
-            parts = self.spark.read.parquet(f"{self.base}/histbase/mb={base_mb}").select("item", "cnt") \
-                .unionByName(parts)
-        return parts.groupBy("item").agg(F.sum("cnt").cast("bigint").alias("cnt"))
 
-    def stats(self) -> DataFrame:
-        """``n_items, n_distinct, max_item``."""
-        return self.histogram().agg(F.coalesce(F.sum("cnt"), F.lit(0)).cast("bigint").alias("n_items"),
-                                    F.count(F.lit(1)).cast("bigint").alias("n_distinct"),
-                                    F.max("item").alias("max_item"))
-
-    def frequent_exact(self) -> DataFrame:
-        """True frequent items w.r.t. phi*n (n = the requested length)."""
-        return self.histogram().where(F.col("cnt") > F.lit(float(self.phi) * self.n))
-
-    def reservoir(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/res/mb={self.last_batch}") \
-            .select("slot", "item", "pos")
-
-    def sticky(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/sticky/mb={self.last_batch}") \
-            .select("item", "fp", "est")
-
-    def frequent_sticky(self) -> DataFrame:
-        thr = (float(self.phi) - float(self.epsilon)) * self.n
-        return self.sticky().where(F.col("est") >= F.lit(thr)).select("item", "est")
-
-    def consumed(self) -> DataFrame:
-        """``batch_id, size, cum`` of consumed batches."""
-        return self._read("meta").where(F.col("consumed")).select("batch_id", "size", "cum")
-
-
-def _write(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
-def _latest_base(spark: SparkSession, base: str, upto: int) -> int:
-    """Micro-batch id of the newest compacted histogram <= upto (-1: none)."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{base}/histbase")
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return -1
-    best = -1
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("mb=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            mb = int(name[3:])
-            if best < mb <= upto:
-                best = mb
-    return best
-
-
-def _batch_handler(run: ItemStreamRun, done: threading.Event, T: int,
-                   sticky_seed, res_seed, fail_at: int | None = None,
-                   compact_every: int = 32, method: str | None = None):
-    spark = run.spark
-    base = run.base
-    # driver caches of the meta log (rebuilt from it after a restart)
-    cums: dict[int, int] = {}
-    state_mb: dict[int, int] = {}
-
-    def _from_meta(mb: int) -> tuple[int, int]:
-        meta = spark.read.parquet(f"{base}/meta").where(F.col("mb") < mb)
-        row = meta.agg(F.max("cum").alias("c"), F.max("mb").alias("m")).collect()[0]
-        return int(row["c"] or 0), (-1 if row["m"] is None else int(row["m"]))
-
-    def handle(batch: DataFrame, mb: int) -> None:
-        if mb - 1 in cums or mb == 0:
-            prev_cum, prev_mb = cums.get(mb - 1, 0), state_mb.get(mb - 1, -1)
-        else:
-            prev_cum, prev_mb = _from_meta(mb)
-        if prev_cum >= run.n:
-            cums[mb], state_mb[mb] = prev_cum, prev_mb
-            done.set()
-            return
-        if "pos" not in batch.columns:
-            # a plain line stream (text files, socket): parse each line
-            # (ANSI cast: a bad line fails the batch, as int() does) and number
-            # the items in arrival order after the running length
-            parsed = batch.select(F.col("value").cast("int").alias("item"))
-            batch = dense_index(parsed, "_i").select(
-                (F.col("_i") + F.lit(prev_cum)).alias("pos"), "item")
-        # original batches in this micro-batch (a handful of rows) -> cut-off
-        if "batch" in batch.columns:
-            sizes = sorted((int(r[0]), int(r[1])) for r in
-                           batch.groupBy("batch").count().collect())
-        else:
-            batch = batch.withColumn("batch", F.lit(mb).cast("bigint"))
-            sizes = [(mb, batch.count())]
-        meta_rows, cum = [], prev_cum
-        for b, size in sizes:
-            if cum >= run.n:
-                break
-            cum += size
-            meta_rows.append((b, size, cum, True, mb))
-        if not meta_rows:
-            cums[mb], state_mb[mb] = prev_cum, prev_mb
-            return
-        last_b = meta_rows[-1][0]
-        rows = batch.where(F.col("batch") <= last_b).select("pos", "item").persist()
-
-        # histogram delta
-        _write(rows.groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")),
-               f"{base}/hist/mb={mb}")
-        # periodic compaction keeps histogram reads bounded by compact_every deltas
-        if compact_every and (mb + 1) % compact_every == 0:
-            prev_base = _latest_base(spark, base, mb - 1)
-            deltas = spark.read.parquet(f"{base}/hist").where(
-                (F.col("mb") > prev_base) & (F.col("mb") <= mb)).select("item", "cnt")
-            if prev_base >= 0:
-                deltas = spark.read.parquet(f"{base}/histbase/mb={prev_base}").select("item", "cnt") \
-                    .unionByName(deltas)
-            _write(deltas.groupBy("item").agg(F.sum("cnt").cast("bigint").alias("cnt")),
-                   f"{base}/histbase/mb={mb}")
-
-        # reservoir over the first n positions
-        cand = (rows.where(F.col("pos") < run.n)
-                .select("pos", "item", reservoir_slot(run.m, res_seed, method).alias("slot"))
-                .where(F.col("slot") < run.m))
-        if prev_mb >= 0:
-            prev_res = spark.read.parquet(f"{base}/res/mb={prev_mb}").select("pos", "item", "slot")
-            cand = prev_res.unionByName(cand)
-        res = cand.groupBy("slot").agg(F.max_by("item", "pos").alias("item"), F.max("pos").alias("pos"))
-        _write(res, f"{base}/res/mb={mb}")
-
-        # sticky sampling
-        u = draw(sticky_seed, F.col("pos"), method)
-        new_hits = rows.where(u <= F.lit(T)).groupBy("item").agg(F.min("pos").alias("hit"))
-        if prev_mb >= 0:
-            prev = spark.read.parquet(f"{base}/sticky/mb={prev_mb}").select("item", "fp", "est")
+def _run(df: DataFrame, mode: str, sink, base: str, name: str, processing_time: str | None, timeout_s: float | None,
+         enough=None) -> None:
+    """Run a query to the end of its source.  With ``processing_time`` it runs
+    live and is stopped when the source has no more, or ``enough()`` says so.
+    A query that fails, or is not done within ``timeout_s`` (None: no limit),
+    raises: what it has written so far is not an answer."""
+    writer = df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{base}/checkpoint-{name}")
+    with _rocksdb(df.sparkSession):
+        q = (writer.trigger(availableNow=True) if processing_time is None else writer.trigger(processingTime=processing_time)).start()
+    try:
+        if processing_time is None:
+            done = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
         else:
-            prev = spark.createDataFrame([], "item int, fp long, est long")
-        # S stays small (~r rows).  It is read from Parquet, so the planner
-        # knows its file size and broadcasts it only below
-        # spark.sql.autoBroadcastJoinThreshold (else a shuffle join): no
-        # extra counting job per micro-batch.
-        keyed = (new_hits.join(prev, "item", "full")
-                 .select("item", F.coalesce("fp", "hit").alias("fp"),
-                         F.coalesce("est", F.lit(0)).alias("est0")))
-        # S plus this batch's first hits: small, but the planner cannot know
-        # it (it comes out of a join); measure it so the batch's rows are
-        # probed against a broadcast instead of being shuffled by item
-        # (its lineage is short -- persisted batch rows and Parquet state --
-        # so a persist, not a reliable checkpoint, is enough)
-        keyed = keyed.persist()
-        keyed_b, _ = broadcast_if_small(keyed, checkpoint=False)
-        add = (rows.join(keyed_b.select("item", "fp"), "item")
-               .where(F.col("pos") >= F.col("fp"))
-               .groupBy("item").agg(F.count(F.lit(1)).alias("add")))
-        S = (keyed_b.join(add, "item", "left")
-             .select("item", "fp", (F.col("est0") + F.coalesce("add", F.lit(0))).cast("bigint").alias("est")))
-        _write(S, f"{base}/sticky/mb={mb}")
-        if fail_at is not None and mb == fail_at:
-            # test hook: die after partial writes, before the batch commits
-            raise RuntimeError(f"injected failure in micro-batch {mb}")
-
-        _write(spark.createDataFrame(meta_rows, "batch_id long, size long, cum long, consumed boolean, mb long"),
-               f"{base}/meta/part={mb}")
-        rows.unpersist()
-        keyed.unpersist()
-        cums[mb], state_mb[mb] = cum, mb
-        if cum >= run.n:
-            run.done_mb = mb
-            done.set()
-
-    return handle
-
-
-def run_item_stream(spark: SparkSession, items: DataFrame, n: int, batch_size: int,
-                    phi: float, epsilon: float, delta: float, m: int | None = None,
-                    sticky_seed=STICKY_SEED, res_seed=RESERVOIR_SEED,
-                    stream: DataFrame | None = None, processing_time: str | None = None,
-                    files_per_trigger: int = 4, files: int = 16, timeout_s: float | None = None,
-                    base: str | None = None, fail_at: int | None = None,
-                    compact_every: int = 32) -> ItemStreamRun:
-    """Replay ``items`` as a file stream of ``batch_size``-item batches (or
-    consume the given streaming DataFrame ``stream``: ``pos, item`` with an
-    optional ``batch``, or a plain line stream with one ``value`` column such
-    as ``item_text_stream``) and maintain the
-    histogram, reservoir and sticky state until the batch holding item n.
-
-    A replayed stream runs with ``availableNow`` and drains (batches past the
-    cut-off are skipped); a live stream (``processing_time`` set, e.g.
-    "10 milliseconds") is stopped once the cut-off batch is done.
-
-    ``base`` resumes an earlier run from its checkpoint (after a failure);
-    ``fail_at`` injects a failure into one micro-batch (tests)."""
-    from farsight.functions.params import reservoir_size
-    if items is None and stream is None:
-        raise ValueError("give an item table to replay or a streaming DataFrame")
-    resume = base is not None
-    base = base or scratch_path(spark, "items-stream")
-    m = reservoir_size(phi) if m is None else int(m)
-    run = ItemStreamRun(spark, base, int(n), m, phi, epsilon, delta)
-    if stream is None:
-        if not resume:
-            run.batches = write_item_batches(items, batch_size, f"{base}/src", files)
-        stream = item_stream(spark, f"{base}/src", files_per_trigger)
-    T = threshold_for(sticky_r(phi, epsilon, delta) / int(n))
-    done = threading.Event()
-    w = (stream.writeStream
-         .foreachBatch(_batch_handler(run, done, int(T), sticky_seed, res_seed, fail_at,
-                                      compact_every, current_method()))
-         .option("checkpointLocation", f"{base}/checkpoint"))
-    if processing_time is None:
-        q = w.trigger(availableNow=True).start()
-        _drain(q, base, timeout_s)
-    else:
-        q = w.trigger(processingTime=processing_time).start()
-        limit = None if timeout_s is None else time.monotonic() + timeout_s
-        while q.isActive and not done.wait(0.2):
-            if limit is not None and time.monotonic() > limit:
-                q.stop()
-                raise ItemStreamFailed(f"item stream not at its cut-off after {timeout_s} s", base)
-        # stop only once the cut-off batch is committed (never mid-batch)
-        while q.isActive:
-            prog = q.lastProgress
-            if prog is not None and int(prog["batchId"]) >= run.done_mb:
-                break
-            time.sleep(0.05)
-        q.stop()
-    if q.isActive:
-        q.stop()
+            done = _live(q, timeout_s, enough)
+    except Exception as e:  # noqa: BLE001 - StreamingQueryException
+        raise ItemStreamFailed(f"item stream failed: {e}", base) from e
+    finally:
+        if q.isActive:
+            q.stop()
     if q.exception() is not None:
         raise ItemStreamFailed(f"item stream failed: {q.exception()}", base)
-    meta = spark.read.parquet(f"{base}/meta").where(F.col("consumed"))
-    row = meta.agg(F.max("mb").alias("b"), F.max("cum").alias("c")).collect()[0]
-    run.last_batch = int(row["b"]) if row["b"] is not None else -1
-    run.length = int(row["c"] or 0)
-    return run
-
-
-# The keyed state function runs in Python workers: ship this module's code
-# by value so executors need no installed copy of the package.
-try:
-    import sys as _sys
+    if done is False:
+        raise ItemStreamFailed(f"item stream not finished after {timeout_s} s", base)
 
-    from pyspark import cloudpickle as _cp
-    _cp.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle
-    pass
 
-STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+def _live(q, timeout_s: float | None, enough) -> bool:
+    if enough is None:
+        late = threading.Event()
+        timer = None if timeout_s is None else threading.Timer(timeout_s, lambda: (late.set(), q.stop()))
+        if timer:
+            timer.start()
+        try:
+            q.processAllAvailable()
+        finally:
+            if timer:
+                timer.cancel()
+        return not late.is_set()
+    limit = None if timeout_s is None else time.monotonic() + timeout_s
+    while q.isActive and not enough():
+        if limit is not None and time.monotonic() > limit:
+            return False
+        time.sleep(0.05)
+    return True
+
+
+def running_total(sizes: DataFrame, order: str = "batch", value: str = "size", span: int = 4096) -> DataFrame:
+    """``sizes`` with ``cum``, the sum of ``value`` up to each row by
+    ``order`` (integers, one row each): within spans of ``span`` numbers, and over
+    the spans' totals, so no task holds more than a span or a row per span."""
+    g = F.floor(F.col(order) / F.lit(span)).cast("bigint")
+    spans = sizes.groupBy(g.alias("_span")).agg(F.sum(value).alias("_sum"))
+    before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("_span", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_span").orderBy(order)
+    return (sizes.withColumn("_span", g).join(spans, "_span")
+            .withColumn("cum", (F.col("_before") + F.sum(value).over(inside)).cast("bigint")).drop("_span", "_before"))
+
+
+class FirstHits(StatefulProcessor):
+    """Sticky sampling of one item: its first hit and the count from it on."""
+
+    def init(self, handle) -> None:
+        self.held = handle.getValueState("held", "fp long, est long")
+
+    def handleInputRows(self, key, rows, timer_values):
+        state = self.held.get() if self.held.exists() else None
+        fp, est = (None, 0) if state is None else (state[0], state[1])
+        for r in sorted(rows, key=lambda r: r.mb):  # one row per micro-batch
+            if fp is not None:
+                est += r.whole
+            elif r.fp is not None:
+                fp, est = r.fp, r.since
+        if fp is not None:  # items never sampled keep no state
+            self.held.update((fp, est))
+            yield Row(item=key[0], fp=fp, est=est)
+
+    def close(self) -> None:
+        pass
+
+
+class ItemStream:
+    """Queries over ``items``, a streaming DataFrame ``pos, item`` and, for
+    cut-offs, ``batch``.
+
+    ``base`` is the work folder of their checkpoints and results (None: a
+    new one); given the base of a failed run, queries resume.  A finished
+    query of a base is not run again.  ``processing_time`` runs queries live
+    with that trigger.  ``fail_at`` makes the sink of a micro-batch fail after
+    it has written (tests)."""
+
+    def __init__(self, items: DataFrame, base: str | None = None, processing_time: str | None = None,
+                 timeout_s: float | None = None, fail_at: int | None = None):
+        self.spark, self.items = items.sparkSession, items
+        self.base = base or scratch_path(self.spark, "item-stream")
+        self.processing_time, self.timeout_s, self.fail_at = processing_time, timeout_s, fail_at
+        self._done: set[str] = set()
+
+    # ---------------------------------------------------------------- running
+    def _ran(self, name: str, df: DataFrame, mode: str = "update", of=None) -> DataFrame:
+        """The rows that query ``name`` wrote, with ``mb``, the micro-batch that did.
+        ``of`` makes a micro-batch's rows from its input."""
+        path = f"{self.base}/{name}"
+
+        def sink(batch: DataFrame, mb: int) -> None:
+            (of(batch, mb) if of else batch).write.mode("overwrite").parquet(f"{path}/mb={mb}")
+            if self.fail_at is not None and mb == self.fail_at:
+                raise RuntimeError(f"injected failure in micro-batch {mb}")
+
+        schema = FIRST if of else df.schema.add("mb", "long")
+        if name not in self._done:
+            empty = self.spark.createDataFrame([], schema).drop("mb")
+            empty.write.mode("overwrite").parquet(f"{path}/mb=-1")  # a stream without rows has results too
+            _run(df, mode, sink, self.base, name, self.processing_time, self.timeout_s)
+            self._done.add(name)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _latest(self, name: str, df: DataFrame, keys: list[str]) -> DataFrame:
+        """Query ``df`` run to the end: the latest row of each key."""
+        rest = [c for c in df.columns if c not in keys]
+        found = self._ran(name, df).groupBy(*keys).agg(F.max_by(F.struct(*rest), "mb").alias("r"))
+        return found.select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
+
+    # ---------------------------------------------------------------- results
+    def histogram(self) -> DataFrame:
+        """``item, cnt``."""
+        return self._latest("histogram", self.items.groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")), ["item"])
 
+    def length(self) -> DataFrame:
+        """``n_items``: how many items came."""
+        return self._latest("length", self.items.groupBy().agg(F.count(F.lit(1)).cast("bigint").alias("n_items")), []) \
+            .select(F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"))
 
-def run_state_histogram(spark: SparkSession, items: DataFrame, n: int, batch_size: int,
-                        files_per_trigger: int = 4, files: int = 16,
-                        timeout_s: float | None = None) -> DataFrame:
-    """Exact histogram kept in the streaming state store.
-
-    A native streaming aggregation (``groupBy(item).count()``, update mode)
-    holds one row per distinct item in the state store; each micro-batch's
-    changed rows are written under its batch id (idempotent upserts) and the
-    answer is the latest count per item.  The cut-off is a stateless filter
-    on the fixed-size original batch id (whole batches up to the one holding
-    item n), so no running length is needed.  Returns ``item, cnt``."""
-    base = scratch_path(spark, "state-histogram")
-    # one state row per distinct item: keep it in RocksDB (spills to local
-    # disk, checkpointed incrementally) unless the session chose a provider
-    if spark.conf.get(STATE_PROVIDER_CONF, None) is None:
-        spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
-    write_item_batches(items, batch_size, f"{base}/src", files)
-    last = (int(n) - 1) // int(batch_size)
-    counts = (item_stream(spark, f"{base}/src", files_per_trigger)
-              .where(F.col("batch") <= last)
-              .groupBy("item").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
-
-    def upsert(df: DataFrame, mb: int) -> None:
-        df.withColumn("mb", F.lit(mb).cast("bigint")) \
-          .write.mode("overwrite").parquet(f"{base}/updates/mb={mb}")
-
-    q = (counts.writeStream.outputMode("update")
-         .foreachBatch(upsert)
-         .option("checkpointLocation", f"{base}/checkpoint")
-         .trigger(availableNow=True).start())
-    _drain(q, base, timeout_s)
-    upd = spark.read.parquet(f"{base}/updates").select("item", "cnt", "mb")
-    return upd.groupBy("item").agg(F.max_by("cnt", "mb").alias("cnt"))
-
-
-def _sticky_state_fn(key, pdfs, state):
-    """Per item and micro-batch: (first hit, count) kept in the state store.
-    An item without state enters at its first successful draw in this batch
-    (rows of one key may come in chunks and unordered: only min/compare are
-    used); items never sampled keep no state."""
-    import pandas as pd
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    if state.exists:
-        fp, est = state.get
-        est = int(est) + len(pdf)
-    else:
-        hits = pdf["pos"][pdf["hit"]]
-        if len(hits) == 0:
-            return
-        fp = int(hits.min())
-        est = int((pdf["pos"] >= fp).sum())
-    state.update((int(fp), int(est)))
-    yield pd.DataFrame({"item": [key[0]], "fp": [int(fp)], "est": [int(est)]})
-
-
-def run_state_sticky(spark: SparkSession, items: DataFrame, n: int, batch_size: int,
-                     phi: float, epsilon: float, delta: float, seed=STICKY_SEED,
-                     files_per_trigger: int = 4, files: int = 16,
-                     timeout_s: float | None = None) -> DataFrame:
-    """Sticky sampling as a keyed stateful stream operator.
-
-    The draw test (``hit``) is a native column; rows are grouped by item and
-    ``applyInPandasWithState`` keeps (first hit, count) per sampled item in
-    the state store (RocksDB unless the session chose a provider).  Micro-
-    batches must arrive in ``pos`` order.  The cut-off is the stateless
-    filter on the fixed-size original batch id.  Returns ``item, fp, est``.
-
-    Every row of the consumed stream passes through Python here; the
-    ``foreachBatch`` runner (``run_item_stream``) keeps all rows in the JVM
-    and is the one to use at scale."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-    base = scratch_path(spark, "state-sticky")
-    if spark.conf.get(STATE_PROVIDER_CONF, None) is None:
-        spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
-    write_item_batches(items, batch_size, f"{base}/src", files)
-    T = threshold_for(sticky_r(phi, epsilon, delta) / int(n))
-    last = (int(n) - 1) // int(batch_size)
-    src = (item_stream(spark, f"{base}/src", files_per_trigger)
-           .where(F.col("batch") <= last)
-           .select("item", "pos", (draw(seed, F.col("pos")) <= F.lit(T)).alias("hit")))
-    table = src.groupBy("item").applyInPandasWithState(
-        _sticky_state_fn, "item int, fp long, est long", "fp long, est long",
-        "update", GroupStateTimeout.NoTimeout)
-
-    def upsert(df: DataFrame, mb: int) -> None:
-        df.withColumn("mb", F.lit(mb).cast("bigint")) \
-          .write.mode("overwrite").parquet(f"{base}/updates/mb={mb}")
-
-    q = (table.writeStream.outputMode("update").foreachBatch(upsert)
-         .option("checkpointLocation", f"{base}/checkpoint")
-         .trigger(availableNow=True).start())
-    _drain(q, base, timeout_s)
-    upd = spark.read.parquet(f"{base}/updates").select("item", "fp", "est", "mb")
-    return upd.groupBy("item").agg(F.max_by("fp", "mb").alias("fp"), F.max_by("est", "mb").alias("est"))
+    def stats(self) -> DataFrame:
+        """``n_items, n_distinct, max_item``."""
+        kinds = self.items.select("item").dropDuplicates(["item"]).groupBy().agg(
+            F.count(F.lit(1)).cast("bigint").alias("n_distinct"), F.max("item").alias("max_item"))
+        seen = self._latest("distinct", kinds, [])
+        both = seen.select(F.lit(0).cast("bigint").alias("n_items"), "n_distinct", "max_item").unionByName(
+            self.length().select("n_items", F.lit(0).cast("bigint").alias("n_distinct"), F.lit(None).cast("int").alias("max_item")))
+        return both.agg(F.sum("n_items").alias("n_items"), F.coalesce(F.sum("n_distinct"), F.lit(0)).alias("n_distinct"),
+                        F.max("max_item").alias("max_item"))
+
+    def frequent_exact(self, phi: float, n: int | None = None) -> DataFrame:
+        """``item, cnt`` with cnt > phi * n (n: None for the stream's length)."""
+        check_items_params(phi)
+        hist = self.histogram()
+        length = F.lit(int(n)) if n is not None else hist.agg(F.sum("cnt")).scalar()
+        return hist.where(F.col("cnt") > F.lit(float(phi)) * length)
+
+    def reservoir(self, m: int, seed=RESERVOIR_SEED, n: int | None = None) -> DataFrame:
+        """``slot, item, pos`` of an m-sample of the items (n given: of the first n)."""
+        rows = self.items if n is None else self.items.where(F.col("pos") < int(n))
+        rows = rows.select("pos", "item", reservoir_slot(int(m), seed, current_method()).alias("slot")).where(F.col("slot") < int(m))
+        return self._latest(f"reservoir-{int(m)}-{seed}-{n}", rows.groupBy("slot").agg(
+            F.max_by("item", "pos").alias("item"), F.max("pos").alias("pos")), ["slot"])
+
+    def sticky(self, phi: float, epsilon: float, delta: float, n: int, seed=STICKY_SEED) -> DataFrame:
+        """Sticky sampling at rate r/n: ``item, fp, est`` of the sampled items."""
+        hit = draw(seed, F.col("pos"), current_method()) <= F.lit(threshold_for(sticky_r(phi, epsilon, delta) / int(n)))
+        name = f"sticky-{phi}-{epsilon}-{delta}-{n}-{seed}"
+
+        def per_item(batch: DataFrame, mb: int) -> DataFrame:
+            # at most as many rows as hits, about r in the whole stream
+            hits, _ = broadcast_if_small(batch.where("hit").groupBy("item").agg(F.min("pos").alias("fp")))
+            return (batch.join(hits, "item", "left").groupBy("item")
+                    .agg(F.min("fp").alias("fp"), F.count(F.when(F.col("pos") >= F.col("fp"), 1)).alias("since"),
+                         F.count(F.lit(1)).alias("whole")))
+
+        self._ran(f"first-{name}", self.items.select("pos", "item", hit.alias("hit")), "append", per_item)
+        first = self.spark.readStream.schema(FIRST).parquet(f"{self.base}/first-{name}")
+        table = first.groupBy("item").transformWithState(FirstHits(), "item int, fp long, est long", "Update", "None")
+        return self._latest(name, table, ["item"])
+
+    def frequent_sticky(self, phi: float, epsilon: float, delta: float, n: int, seed=STICKY_SEED) -> DataFrame:
+        """``item, est`` with est >= (phi - epsilon) * n."""
+        return self.sticky(phi, epsilon, delta, n, seed).where(
+            F.col("est") >= F.lit((float(phi) - float(epsilon)) * int(n))).select("item", "est")
+
+    # ---------------------------------------------------------------- cut-off
+    def sizes(self) -> DataFrame:
+        """``batch, size`` of the batches that came."""
+        return self._latest("sizes", self.items.groupBy("batch").agg(F.count(F.lit(1)).cast("bigint").alias("size")), ["batch"])
+
+    def consumed(self, n: int) -> DataFrame:
+        """``batch_id, size, cum`` of the whole batches up to the one that
+        holds item n (all, if fewer items came)."""
+        return (running_total(self.sizes()).where(F.col("cum") - F.col("size") < int(n))
+                .select(F.col("batch").alias("batch_id"), "size", "cum"))
+
+    def last_batch(self, n: int) -> Column:
+        """The batch that holds item n, or the last one, as a scalar subquery."""
+        return self.consumed(n).agg(F.max("batch_id")).scalar()
+
+    def until(self, n: int) -> ItemStream:
+        """The stream up to the end of the batch that holds item n: the cut is a filter of its plans."""
+        return ItemStream(self.items.where(F.col("batch") <= self.last_batch(n)), f"{self.base}/until-{int(n)}",
+                          self.processing_time, self.timeout_s, self.fail_at)
+
+
+def arrivals(lines: DataFrame, n: int | None = None, base: str | None = None, processing_time: str | None = None,
+             timeout_s: float | None = None) -> DataFrame:
+    """A stream of plain lines (``value``, one integer each) as a stream
+    ``pos, item, batch``.
+
+    Each micro-batch is written to the work folder once, its lines numbered
+    in arrival order after those before it; it is a batch of its own.  A line that is no integer fails
+    the run, whatever the session's ANSI mode.  With ``n`` the
+    batch that holds item n is the last one written, and a live run stops there."""
+    spark = lines.sparkSession
+    base = base or scratch_path(spark, "arrivals")
+    path = f"{base}/arrived"
+    spark.createDataFrame([], ARRIVED).drop("batch").write.mode("overwrite").parquet(f"{path}/batch=-1")
+    came = threading.Event()
+
+    def write(batch: DataFrame, mb: int) -> None:
+        # counted from the files' footers, so a restarted run goes on numbering
+        before = spark.read.schema(ARRIVED).parquet(path).where(F.col("batch") < mb).count()
+        if n is None or before < int(n):
+            numbered = dense_index(batch.select(number(F.col("value"), "int").alias("item")), "_i")
+            numbered.select((F.col("_i") + F.lit(before)).alias("pos"), "item").write.mode("overwrite").parquet(f"{path}/batch={mb}")
+            before = spark.read.schema(ARRIVED).parquet(path).where(F.col("batch") <= mb).count()
+        if n is not None and before >= int(n):
+            came.set()
+
+    _run(lines, "append", write, base, "arrived", processing_time, timeout_s, came.is_set if n is not None else None)
+    return spark.readStream.schema(ARRIVED).parquet(path)

@@ -1,14 +1,10 @@
 """Item streams.
 
-The reference consumes a socket of integers in 10 ms micro-batches.  Here a
-stream is any streaming DataFrame with ``pos BIGINT, item INT`` (``pos`` is
-the arrival position).  For tests and the registered queries the stream is a
-Parquet file stream: the item table is written, tagged with fixed-size batch
-ids, as a few files holding whole batches in order, and replayed a few files
-per trigger.  The cut-off is applied per original batch whatever the
-micro-batch size.  File modification times are set in batch order (through the
-Hadoop FileSystem API, so this also works on a cluster file system) because
-the file source releases files oldest first.
+A stream is a streaming DataFrame with ``pos BIGINT, item INT`` (``pos`` is
+the arrival position) and, where whole batches matter, ``batch BIGINT``.  It
+is read with ``readStream`` straight from the folder (or file) that holds the
+table.  Streams of plain lines, which have no positions, are numbered as they
+arrive (``farsight.streaming.items.arrivals``).
 """
 
 from __future__ import annotations
@@ -16,55 +12,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ITEM_SCHEMA = "pos BIGINT, item INT, batch BIGINT"
+from farsight.sources.tables import read_table, items_of, timed_items_of
 
 
-def write_item_batches(items: DataFrame, batch_size: int | None, path: str, files: int = 16) -> int:
-    """Write ``items`` with their batch id (their ``batch`` column, else
-    ``pos div batch_size``) as at most ``files`` Parquet files.  Range partitioning on the batch id keeps every
-    batch whole inside one file and the files in batch order (the file
-    source releases files by modification time, which is set to match).
-    One distributed write; returns the number of files."""
-    spark = items.sparkSession
-    if "batch" in items.columns:
-        b = F.col("batch").cast("bigint")
-    else:
-        b = F.floor(F.col("pos") / F.lit(int(batch_size))).cast("bigint")
-    (items.select("pos", "item", b.alias("batch"))
-     .repartitionByRange(int(files), "batch")
-     .sortWithinPartitions("pos")
-     .write.mode("overwrite").parquet(path))
-    return _order_mtimes(spark, path)
+def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The table as a stream of its files, oldest first, ``files_per_trigger``
+    of them in a micro-batch (None: all there are)."""
+    table = read_table(spark, sf_dir, name)
+    reader = spark.readStream.schema(table.schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", int(files_per_trigger))
+    root = sf_dir.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}.parquet")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return reader.parquet(f"{root}/{name}.parquet")
+    # a file source watches a folder; of this one it takes the table's only file
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(root)
 
 
-def _order_mtimes(spark: SparkSession, path: str) -> int:
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    files = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("part-") and name.endswith(".parquet"):
-            files.append((int(name.split("-")[1]), st.getPath()))
-    files.sort(key=lambda t: t[0])
-    base = 1_000_000_000_000  # ms since epoch, 2001
-    for i, (_, p) in enumerate(files):
-        fs.setTimes(p, base + i * 1000, -1)
-    return len(files)
-
-
-def item_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Streaming DataFrame over the batch files (oldest first)."""
-    return (spark.readStream.schema(ITEM_SCHEMA)
-            .option("maxFilesPerTrigger", int(files_per_trigger))
-            .option("recursiveFileLookup", "true")
-            .parquet(path))
+def item_stream(spark: SparkSession, sf_dir: str, batch_size: int | None = None, interval_s: int | None = None,
+                files_per_trigger: int | None = None) -> DataFrame:
+    """``stream_items`` as a stream: ``pos, item``, and ``batch`` if batches
+    have ``batch_size`` items or ``interval_s`` seconds of arrival time."""
+    events = table_stream(spark, sf_dir, "events", files_per_trigger)
+    if interval_s is not None:
+        return timed_items_of(events, interval_s)
+    items = items_of(events)
+    return items if batch_size is None else items.withColumn("batch", F.floor(F.col("pos") / F.lit(int(batch_size))).cast("bigint"))
 
 
 def item_text_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     """A line-per-integer stream (the reference's input format) from text
-    files, oldest first: one ``value`` column; the stream runner parses the
-    lines and numbers them in arrival order."""
+    files, oldest first: one ``value`` column."""
     return (spark.readStream.option("maxFilesPerTrigger", int(files_per_trigger))
             .text(path))

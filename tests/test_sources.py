@@ -53,12 +53,6 @@ def test_points_text_nd(spark, tmp_path):
     assert [list(r["v"]) for r in rows] == [[1.0, 2.0, 3.0], [4.5, 5.0, 6.0]]
 
 
-def test_stream_needs_input(spark):
-    from farsight.streaming import run_item_stream
-    with pytest.raises(ValueError):
-        run_item_stream(spark, None, 10, 5, 0.2, 0.1, 0.1)
-
-
 def test_points_text_rejects_empty_fields_and_blank_lines(spark, tmp_path):
     for k, text in enumerate(("1.0,2.0\n3.0,\n", "1.0,2.0\n\n3.0,4.0\n", "1,2,3\n", "1,x\n")):
         p = tmp_path / f"bad{k}.csv"
