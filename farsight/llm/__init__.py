@@ -7,7 +7,7 @@ from pyspark import cloudpickle
 # Tasks get these modules' functions by value: executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-from farsight.llm.decontam import op8_decontaminate
+from farsight.llm.decontam import OP8_SQL, op8_decontaminate
 from farsight.llm.lexical import OP13_SQL, op13_lexical_search
 from farsight.llm.linededup import OP3_SQL, op3_line_dedup
 from farsight.llm.mixing import OP1_SQL, op1_mix
@@ -41,6 +41,7 @@ SQL = {
     "op1_mix": OP1_SQL,
     "op2_url_filter": OP2_SQL,
     "op3_line_dedup": OP3_SQL,
+    "op8_decontaminate": OP8_SQL,
     "op11_topk_search": OP11_SQL,
     "op13_lexical_search": OP13_SQL,
 }

@@ -6,8 +6,9 @@ texts draw the same with the probability of their weighted Jaccard similarity.
 BANDS keys of ROWS draws each put texts into buckets; the pairs that buckets
 propose are verified by the exact weighted similarity; verified pairs are
 edges whose components are the classes.  Large buckets propose stars; where a
-star leaves several components, an exact prefix filter proposes every pair
-that may still be alike, so no bucket is too large to be searched whole.
+star leaves several components, further stars on rare shingles merge what
+they can, and an exact prefix filter proposes every pair of the remaining
+components that may still be alike, so no bucket is too large to be searched whole.
 
 Document frequencies come from a count sketch of fixed size (CELLS counters,
 the mean load taken off), so the weights take one pass, no shuffle of
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import mixed, shingles, word_hashes
@@ -37,6 +38,8 @@ CELLS = 1 << CELL_BITS
 IDF_SHARE = 0.1
 #: Buckets of up to so many texts propose all their pairs; larger ones a star, then what the prefix filter lets through.
 ALL_PAIRS = 8
+#: Stars on shingles are repeated while a turn links at least one in so many of the texts searched.
+STAR_TURNS = 50
 _TABLE = 1 << 16
 #: Sums of weights in different orders differ by less.
 _SLACK = 1e-6
@@ -149,50 +152,117 @@ def _propose(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return some.unionByName(star).distinct(), large.select("key", "node")
 
 
-def _across(large: DataFrame, labels: DataFrame, blobs: DataFrame, sent: Broadcast, threshold: float) -> DataFrame | None:
-    """Pairs (a, b) from buckets of ``large`` (key, node) that hold several
-    components of ``labels``: all that may be alike and differ in component.
-    None if there is no such bucket.
+def _parts(cuts: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``cuts`` with part, the component of its text by ``labels``, where the
+    texts of a shingle are of several components."""
+    at = members.join(labels, "node", "left").select("no", F.coalesce("label", "node").alias("label"))
+    at = at.join(at.groupBy("label").agg(F.min("no").alias("part")), "label").select("no", "part")
+    cuts = cuts.join(at, "no")
+    main = (cuts.groupBy("s", "part").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("s").agg(F.max_by("part", "n").alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("s", "main"))
+    return saved(cuts.join(main, "s").withColumn("minor", F.col("part") != F.col("main")).drop("main"), "shared")
+
+
+def _may(t: float, threshold: float):
+    """Whether two texts with a common shingle in their prefixes may be alike;
+    x_ names the lighter one's columns.
 
     Of two texts that are alike, the lighter shares at least 2t / (1 + t) of
     its weight and the heavier t of its own, so the first shingle they have in common stands in the
-    prefix of either.  A shingle's largest component is not joined with itself."""
+    prefix of either."""
+    return ((F.col("x_part") != F.col("part")) & (F.struct("x_whole", "x_no") < F.struct("whole", "no"))
+            & (F.col("x_whole") >= F.col("whole") * t)
+            & (F.least("x_rest", "rest") * (1 + threshold) >= (F.col("x_whole") + F.col("whole")) * t))
+
+
+_CUT = ("no", "part", "rest", "whole")
+
+
+def _stars(shared: DataFrame, turn: int, threshold: float) -> DataFrame:
+    """Pairs (x_no, no): of each shingle one text per component, against one
+    of the largest component; another choice each ``turn``."""
+    t = threshold * (1 - _SLACK)
+    pick = F.struct(F.xxhash64("no", "s", F.lit(turn)).alias("h"), *_CUT)
+    one = shared.groupBy("s", "minor", F.when(F.col("minor"), F.col("part")).alias("of")).agg(F.min(pick).alias("p"))
+    centre = one.where(~F.col("minor")).select("s", F.col("p").alias("c"))
+    both = one.where("minor").select("s", "p").join(centre, "s")
+    lighter = F.struct("p.whole", "p.no") < F.struct("c.whole", "c.no")
+    sides = both.select(F.when(lighter, F.col("p")).otherwise(F.col("c")).alias("x"), F.when(lighter, F.col("c")).otherwise(F.col("p")).alias("y"))
+    return (sides.select(*[F.col(f"x.{c}").alias(f"x_{c}") for c in _CUT], *[F.col(f"y.{c}").alias(c) for c in _CUT])
+            .where(F.col("x_whole") >= F.col("whole") * t).select("x_no", "no").distinct())
+
+
+def _all_across(shared: DataFrame, threshold: float) -> DataFrame:
+    """Every pair (x_no, no) of different components that may be alike, and
+    how many prefix shingles propose it.  A shingle's largest component is not joined with itself."""
+    t = threshold * (1 - _SLACK)
+    light = (shared.where(F.col("x_need") <= F.col("rest") * (1 + threshold))
+             .select("s", *[F.col(c).alias(f"x_{c}") for c in (*_CUT, "minor")]))
+    heavy = shared.drop("x_need")
+    return (light.where("x_minor").join(heavy, "s").where(_may(t, threshold)).select("x_no", "no")
+            .unionByName(light.where("not x_minor").join(heavy.where("minor"), "s").where(_may(t, threshold)).select("x_no", "no"))
+            .groupBy("x_no", "no").agg(F.count(F.lit(1)).alias("common")))
+
+
+def _searched(large: DataFrame, labels: DataFrame, edges: DataFrame, blobs: DataFrame, sent: Broadcast, threshold: float,
+              verified) -> DataFrame:
+    """``labels`` after the members of buckets of ``large`` (key, node) that
+    hold several components are compared with all others that may be alike.
+
+    First stars: while they merge components, each prefix shingle proposes
+    one text per component against one of its largest component.  Then the
+    exact prefix filter proposes every pair of different components that may
+    still be alike.  A text meets four times as many texts of each component
+    from turn to turn, and pairs whose components have merged meanwhile are not compared."""
     at = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    members = saved(at.join(several, "key").select("node", "label").distinct()
-                    .withColumn("no", F.monotonically_increasing_id()), "open")
+    members = saved(at.join(several, "key").select("node").distinct().withColumn("no", F.monotonically_increasing_id()), "open")
     if members.isEmpty():
-        return None
-    numbered = members.groupBy("label").agg(F.min("no").alias("part"))
-    texts = members.join(numbered, "label").select("node", "no", "part").join(blobs, "node").select("no", "part", "blob")
+        return labels
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = sent.value
         for b in slices(batches):
-            found = [prefix(x.as_py(), w, threshold) for x in b.column(2)]
+            found = [prefix(x.as_py(), w, threshold) for x in b.column(1)]
             sizes = [len(f[0]) for f in found]
             if sum(sizes):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([f[0] for f in found]).astype(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), sizes)),
-                     pa.array(np.repeat(b.column(1).to_numpy(), sizes)), pa.array(np.concatenate([f[1] for f in found])),
-                     pa.array(np.repeat([f[2] for f in found], sizes))], ["s", "no", "part", "rest", "whole"])
+                     pa.array(np.concatenate([f[1] for f in found])), pa.array(np.repeat([f[2] for f in found], sizes))], ["s", "no", "rest", "whole"])
 
-    cuts = saved(texts.mapInArrow(trimmed(cut), "s long, no long, part long, rest double, whole double"), "prefixes")
-    main = (cuts.groupBy("s", "part").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("s").agg(F.max_by("part", "n").alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("s", "main"))
-    shared = saved(cuts.join(main, "s").withColumn("minor", F.col("part") != F.col("main")).drop("main"), "shared")
-    t = threshold * (1 - _SLACK)
-    light = (shared.where(F.col("rest") * (1 + threshold) >= F.col("whole") * 2 * t)
-             .select("s", *[F.col(c).alias(f"x_{c}") for c in ("no", "part", "rest", "whole", "minor")]))
-    may = ((F.col("x_part") != F.col("part")) & (F.struct("x_whole", "x_no") < F.struct("whole", "no"))
-           & (F.col("x_whole") >= F.col("whole") * t)
-           & (F.least("x_rest", "rest") * (1 + threshold) >= (F.col("x_whole") + F.col("whole")) * t))
-    proposed = (light.where("x_minor").join(shared, "s").where(may).select("x_no", "no")
-                .unionByName(light.where("not x_minor").join(shared.where("minor"), "s").where(may).select("x_no", "no")).distinct())
+    cuts = saved(members.join(blobs, "node").select("no", "blob").mapInArrow(trimmed(cut), "s long, no long, rest double, whole double"), "prefixes")
     names = members.select("no", "node")
-    return saved(proposed.join(names, "no").withColumnRenamed("node", "heavy").drop("no")
-                 .join(names.withColumnRenamed("no", "x_no"), "x_no")
-                 .select(F.least("node", "heavy").alias("a"), F.greatest("node", "heavy").alias("b")), "more")
+
+    def found(pairs: DataFrame) -> DataFrame:
+        named = (pairs.join(names.withColumnRenamed("node", "heavy"), "no").drop("no")
+                 .join(names.select(F.col("no").alias("x_no"), "node"), "x_no")
+                 .select(F.least("node", "heavy").alias("a"), F.greatest("node", "heavy").alias("b")))
+        return saved(verified(named), "fresh")
+
+    turn, size = 0, members.count()
+    merged = size
+    while merged and merged * STAR_TURNS >= size:  # a turn that links few leaves the rest to the exact filter
+        fresh = found(_stars(_parts(cuts, members, labels), turn, threshold))
+        merged, turn = fresh.count(), turn + 1
+        if merged:
+            edges = edges.unionByName(fresh)
+            labels = connected_components(edges)
+    shared = _parts(cuts, members, labels).withColumn("x_need", F.col("whole") * (2 * threshold * (1 - _SLACK)))
+    proposed = saved(_all_across(shared, threshold), "proposed")
+    reach = 1
+    while True:
+        at = members.join(labels, "node", "left").select("no", F.coalesce("label", "node").alias("label"))
+        apart = (proposed.join(at, "no").join(at.select(F.col("no").alias("x_no"), F.col("label").alias("x_label")), "x_no")
+                 .where("label <> x_label"))
+        order = Window.partitionBy("x_no", "label").orderBy(F.desc("common"), "no")
+        turns = saved(apart.withColumn("rank", F.row_number().over(order)), "apart")
+        if turns.isEmpty():
+            return labels
+        fresh = found(turns.where(F.col("rank") <= reach).select("x_no", "no"))
+        proposed, reach = turns.where(F.col("rank") > reach).select("x_no", "no", "common"), 4 * reach
+        if not fresh.isEmpty():
+            edges = edges.unionByName(fresh)
+            labels = connected_components(edges)
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -269,12 +339,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 .select("a", "b", "blob_a", "blob_b").mapInArrow(trimmed(compare), "a string, b string"))
 
     edges = saved(verified(pairs), "edges")
-    labels = connected_components(edges)
-    more = _across(large, labels, blobs, sent, threshold)
-    if more is not None:
-        fresh = saved(verified(more.join(pairs, ["a", "b"], "left_anti")), "fresh")
-        if not fresh.isEmpty():
-            labels = connected_components(edges.unionByName(fresh))
+    labels = _searched(large, connected_components(edges), edges, blobs, sent, threshold, verified)
     sent.destroy()
     known = (signed.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
              .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
