@@ -18,7 +18,7 @@ from farsight.llm.simhash import op10_simhash
 from farsight.llm.tokens import op7_token_counts
 from farsight.llm.topk import OP11_SQL, op11_topk_search
 from farsight.llm.urlfilter import OP2_SQL, op2_url_filter
-from farsight.llm.warc import op9_warc
+from farsight.llm.warc import OP9_SQL, op9_warc
 from farsight.llm.whitening import op12_whitening
 
 QUERIES = {
@@ -42,6 +42,7 @@ SQL = {
     "op2_url_filter": OP2_SQL,
     "op3_line_dedup": OP3_SQL,
     "op8_decontaminate": OP8_SQL,
+    "op9_warc": OP9_SQL,
     "op11_topk_search": OP11_SQL,
     "op13_lexical_search": OP13_SQL,
 }

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import SHINGLE, mixed, shingles, word_hashes
-from farsight.llm.util import bitmap, checked_broadcast, in_bitmap, slices, table, trimmed
+from farsight.llm.util import bitmap, checked_broadcast, in_bitmap, keyed, slices, table, trimmed, without
 from farsight.session import saved
 
 THRESHOLD = 0.8
@@ -169,11 +169,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item; all columns stay as they are."""
-    gone = leaks(docs, benchmark).select(F.col("doc_id").alias("_gone_id"), F.col("text_md5").alias("_gone_md5")).distinct()
-    hit = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_md5") == F.col("_gone_md5"))
-    return (docs.withColumn("_md5", F.md5(F.coalesce("text", F.lit(""))))
-            .join(checked_broadcast(gone, 64), hit, "left_anti").drop("_md5"))
+    """``docs`` without the rows that hold a benchmark item; all columns stay
+    as they are, whatever their names.  Rows with a null text, or a null doc_id
+    and no item, stay; an empty benchmark keeps all rows, and no rows give none."""
+    return without(keyed(docs), leaks(docs, benchmark)).select("row.*")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farsight.llm.util import checked_broadcast, one_of_each, table, words
+from farsight.llm.util import checked_broadcast, keyed, one_of_each, table, words
 from farsight.session import saved
 
 #: Words of a block at most.
@@ -147,18 +147,20 @@ def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the mix takes, with source_size, target and
     taken; a taken of k sizes stands for k passes over the row.  Rows that repeat doc_id, text and source
-    are one row of the result, their taken words together."""
-    found = (mix(docs).groupBy(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_body"), F.col("source").alias("_from"))
+    are one row of the result, their taken words together.  All other columns stay as they
+    are, whatever their names; earlier source_size, target and taken are replaced.
+    Null and empty texts have no words, so the mix takes none of them; no rows give none."""
+    found = (mix(docs).groupBy(F.col("doc_id").alias("of_id"), F.col("text_md5").alias("of_md5"), F.col("source").alias("of_from"))
              .agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum("taken").alias("taken"),
-                  F.count(F.lit(1)).alias("_n")).where("taken > 0"))
+                  F.count(F.lit(1)).alias("n")).where("taken > 0"))
     found = saved(found, "mix")
-    marked = docs.withColumn("_md5", F.md5(F.coalesce("text", F.lit(""))))
-    twice = found.where("_n > 1").select(F.col("_id").alias("doc_id"), F.col("_body").alias("_md5"), F.col("_from").alias("source"))
-    once = one_of_each(marked, ["doc_id", "_md5", "source"], twice)
-    same = (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_body")) & F.col("source").eqNullSafe(F.col("_from")))
-    extra = [c for c in ("source_size", "target", "taken") if c not in docs.columns]
-    side = checked_broadcast(found.select("_id", "_body", "_from", *extra), 112)
-    return once.join(side, same).select(*docs.columns, *extra)
+    marked = keyed(docs).withColumn("from", F.col("row.source"))
+    twice = found.where("n > 1").select(F.col("of_id").alias("id"), F.col("of_md5").alias("md5"), F.col("of_from").alias("from"))
+    once = one_of_each(marked, ["id", "md5", "from"], twice)
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("md5") == F.col("of_md5")) & F.col("from").eqNullSafe(F.col("of_from"))
+    side = checked_broadcast(found.drop("n"), 112)
+    made = ("source_size", "target", "taken")
+    return once.join(side, same).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in made], *made)
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import mixed, shingles, word_hashes
-from farsight.llm.util import bitmap, checked_broadcast, connected_components, dense_sums, in_bitmap, one_of_each, slices, table, trimmed
+from farsight.llm.util import bitmap, checked_broadcast, connected_components, dense_sums, in_bitmap, keyed, one_of_each, slices, table, trimmed, without
 from farsight.session import saved
 
 THRESHOLD = 0.8
@@ -356,16 +356,15 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class; all columns stay as they are.
-    Rows that repeat both doc_id and text count as one and leave one."""
+    """``docs`` with one row of each class; all columns stay as they are,
+    whatever their names.  Rows that repeat both doc_id and text count as one
+    and leave one; texts without words are alike only if equal, and null as
+    empty; rows with a null doc_id go only if their class has another id.  No rows give none."""
     found = saved(near_classes(docs), "classes")
-    gone = found.where(~F.col("keep")).select(F.col("doc_id").alias("_gone_id"), F.col("text_md5").alias("_gone_md5")).distinct()
-    twice = (found.where("keep").groupBy("doc_id", F.col("text_md5").alias("_md5")).agg(F.count(F.lit(1)).alias("n"))
+    twice = (found.where("keep").groupBy(F.col("doc_id").alias("id"), F.col("text_md5").alias("md5")).agg(F.count(F.lit(1)).alias("n"))
              .where("n > 1").drop("n"))
-    hit = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_md5") == F.col("_gone_md5"))
-    kept = (docs.withColumn("_md5", F.md5(F.coalesce("text", F.lit(""))))
-            .join(checked_broadcast(gone, 64), hit, "left_anti"))
-    return one_of_each(kept, ["doc_id", "_md5"], twice).drop("_md5")
+    kept = without(keyed(docs), found.where(~F.col("keep")))
+    return one_of_each(kept, ["id", "md5"], twice).select("row.*")
 
 
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import hashed_texts, mixed
-from farsight.llm.util import checked_broadcast, dense_sums, slices, table, trimmed
+from farsight.llm.util import checked_broadcast, dense_sums, keyed, slices, table, trimmed, without
+from farsight.session import saved
 
 DIM_BITS = 20
 DIMS = 1 << DIM_BITS
@@ -220,12 +221,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality") -
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects; all columns stay as they are."""
-    gone = (quality_scores(docs, labels).where("predicted = 0")
-            .select(F.col("doc_id").alias("_gone_id"), F.col("text_md5").alias("_gone_md5")).distinct())
-    hit = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_md5") == F.col("_gone_md5"))
-    return (docs.withColumn("_md5", F.md5(F.coalesce("text", F.lit(""))))
-            .join(checked_broadcast(gone, 64), hit, "left_anti").drop("_md5"))
+    """``docs`` without the rows that the classifier rejects; all columns stay
+    as they are, whatever their names.  Null and empty texts are judged as
+    texts without words.  Where the labels (none, or of one class) teach no
+    difference, nothing can be judged and all rows stay."""
+    scores = saved(quality_scores(docs, labels), "quality")
+    if scores.agg(F.count_distinct("score")).first()[0] < 2:
+        return docs
+    return without(keyed(docs), scores.where("predicted = 0")).select("row.*")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,6 +39,19 @@ def checked_broadcast(side: DataFrame, row_bytes: Column | int = 64,
     return F.broadcast(side) if size <= limit else side
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """Each row of ``docs`` as a struct ``row``, with ``id``, its doc_id, and
+    ``md5``, its text's; whatever the columns of ``docs`` are called, they stay in ``row`` as they are."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
+                       F.md5(F.coalesce("text", F.lit(""))).alias("md5"))
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` of keyed() without those that ``gone`` (doc_id, text_md5) names."""
+    side = checked_broadcast(gone.select(F.col("doc_id").alias("gone_id"), F.col("text_md5").alias("gone_md5")).distinct(), 64)
+    return rows.join(side, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("md5") == F.col("gone_md5")), "left_anti")
+
+
 def one_of_each(rows: DataFrame, keys: list[str], repeated: DataFrame) -> DataFrame:
     """``rows`` with one row of each key in ``repeated`` (columns keys); the
     other rows are not moved."""

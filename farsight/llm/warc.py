@@ -44,7 +44,8 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, compression: s
     A null html is an empty payload; a null url leaves out WARC-Target-URI; a
     null page_id sorts last.  Payloads under ``least_bytes`` are always
     responses.  Rows that repeat the smallest page_id of a payload are all
-    responses.  An empty table writes no record.
+    responses.  An empty table writes no record.  With gzip a file is one
+    member of up to FILE_RECORDS records.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1(F.encode("html", "utf-8"))).withColumn("n", F.octet_length("html"))
@@ -154,15 +155,28 @@ def walk(data: bytes) -> Iterator[tuple[int, int, str | None, dict | None]]:
         at = end
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    d = zlib.decompressobj(31)
-    try:
-        out = d.decompress(memoryview(data)[at:])
-    except zlib.error as e:
-        raise _Bad(f"gzip member: {e}") from None
+_INPUT = 1 << 16
+
+
+def _member(data: bytes, at: int) -> tuple[bytes, int | None, str | None]:
+    """(content, where the member ends, None), or, of a damaged or cut off
+    member, (what comes out before the damage, None, the check that failed)."""
+    d, out, view = zlib.decompressobj(31), [], memoryview(data)
+    while not d.eof and at < len(data):
+        before, part = d.copy(), view[at:at + _INPUT]
+        try:
+            out.append(d.decompress(part))
+        except zlib.error as e:
+            for i in range(len(part)):  # the same input again, up to the byte that fails
+                try:
+                    out.append(before.decompress(part[i:i + 1]))
+                except zlib.error:
+                    break
+            return b"".join(out), None, f"gzip member: {e}"
+        at += len(part)
     if not d.eof:
-        raise _Bad("gzip member: cut off")
-    return out, len(data) - len(d.unused_data)
+        return b"".join(out), None, "gzip member: cut off"
+    return b"".join(out), at - len(d.unused_data), None
 
 
 def _opens(data: bytes, at: int) -> bool:
@@ -175,21 +189,26 @@ def _opens(data: bytes, at: int) -> bool:
 
 def walk_members(data: bytes) -> Iterator[tuple[int, int, str | None, dict | None]]:
     """As walk(), over gzip members; offsets are those of the compressed
-    member, lengths inside a member those of its content."""
+    member, lengths inside a member those of its content.  Of a damaged member
+    the records before the damage are returned, and the member as a gap."""
     at = 0
     while at < len(data):
-        try:
-            content, end = _member(data, at)
-            for offset, size, reason, record in walk(content):
+        content, end, reason = _member(data, at)
+        if reason is None:
+            for offset, size, gap, record in walk(content):
                 if offset == 0 and size == len(content):
                     size = end - at
-                yield at, size, reason, record
-        except _Bad as e:
+                yield at, size, gap, record
+        else:
+            # whole records before the damage count; what it cuts is in the member's gap
+            for offset, size, gap, record in walk(content):
+                if record is not None or offset + size < len(content):
+                    yield at, size, gap, record
             end = data.find(_MAGIC, at + 1)
             while end >= 0 and not _opens(data, end):
                 end = data.find(_MAGIC, end + 1)
             end = len(data) if end < 0 else end
-            yield at, end - at, e.reason, None
+            yield at, end - at, reason, None
         at = end
 
 
@@ -247,3 +266,15 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = read_warc(spark, path, payload=False).where("gap is null")
     return read.select(page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
                        F.col("type").alias("record_type"), page_of(F.col("refers_to")).alias("refers_to"))
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS sha, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages),
+f AS (SELECT sha, n, min(page_id) AS f, count(*) AS copies FROM p GROUP BY sha, n),
+r AS (SELECT p.*, CASE WHEN copies > 1 AND f IS NOT NULL AND (page_id IS NULL OR page_id > f) THEN f END AS refers_to FROM p JOIN f USING (sha, n))
+SELECT page_id, n AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+    ((CAST('0x' || substr(sha, 10 * (i // 8) + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31) + 1 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM r
+"""

@@ -48,7 +48,7 @@ def empty(spark):
 @pytest.mark.parametrize("name", sorted(llm.SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     got = llm.QUERIES[name](spark, SF001)
     rel = con.sql(llm.SQL[name])
@@ -238,6 +238,50 @@ def test_tokens(spark, awkward):
     assert all(r.over_limit == (r.n_tokens > 512) for r in got) and tokens.token_counts(empty(spark), path).count() == 0
 
 
+def _lines(seed, n, words):
+    return [" ".join(f"x{seed}y{i}w{j}" for j in range(words)) for i in range(n)]
+
+
+def test_line_runs_beyond_the_first_holder(spark):
+    (one,), (two,) = _lines(1, 1, 50), _lines(2, 1, 28)
+    texts = {1: one, 2: f"{one}\n{two}\nrest a", 3: f"head b\n{one}\n{two}\nrest c", 4: f"{one}\nother d", 5: f"{one}\n{two}\nrest e"}
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(docs_df(spark, [(i, t, "a") for i, t in texts.items()])).collect()}
+    assert got == {1: one, 2: f"{two}\nrest a", 3: "head b\nrest c", 4: "other d", 5: "rest e"}
+
+
+def test_line_runs_of_a_repeating_text(spark):
+    long = "\n".join(["same"] * 20000)
+    period = "\n".join(f"line {i % 7} of a poem" for i in range(4000))
+    got = {r.doc_id: r.text.split("\n") for r in linededup.dedup_lines(docs_df(spark, [(1, long, "a"), (2, period, "b"), (3, long + "\nsame", "c")])).collect()}
+    assert got[1] == ["same"] * len(got[1]) and len(got[1]) < 100 and len(got[2]) < 100 and len(got[3]) < 5
+
+
+CLASH = "doc_id long, text string, source string, row string, id long, md5 string, gone string, body string, of_id long, gone_id int, `a b` string, taken long, n int"
+
+
+def test_stages_keep_every_column(spark):
+    rows = [(i, "\n".join(prose(100 * i + k, 40) for k in range(3)), "ab"[i % 2], f"r{i}", -i, "m", None, "b", i, 7, "c", 5, 1) for i in range(30)]
+    rows += [(90, None, None, "r", 1, None, None, None, None, None, None, None, None), (None, "", "a", "r", 1, "m", "g", "b", 2, 3, "c", 4, 5)]
+    docs = spark.createDataFrame(rows, CLASH)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    bench = spark.createDataFrame([(1, prose(100, 40))], "item_id long, text string")
+    want = {r.row: r for r in docs.collect()}
+    stages = {"quality": lambda d: quality.drop_low_quality(d, labels), "lines": linededup.dedup_lines, "near": neardup.drop_near_duplicates,
+              "leaks": lambda d: decontam.drop_leaks(d, bench), "mix": mixing.mixed_documents}
+    for name, stage in stages.items():
+        out = stage(docs)
+        got = out.collect()
+        assert got and (out.columns[:len(docs.columns)] == docs.columns or name == "mix"), name
+        for r in got:
+            if r.row != "r":
+                made = ("source_size", "target", "taken") if name == "mix" else ()
+                assert all(r[c] == want[r.row][c] for c in docs.columns if c not in made), (name, r.row)
+        assert stage(docs.limit(0)).count() == 0, name
+    # nothing is learnt: nothing is rejected
+    assert quality.drop_low_quality(docs, labels.limit(0)).count() == len(rows)
+    assert quality.drop_low_quality(docs, labels.where("quality = 1")).count() == len(rows)
+
+
 def test_leaks(spark):
     items = [(1, prose(50, 30)), (2, prose(51, 55)), (3, "two words"), (4, None), (1, prose(52, 8))]
     bench = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id int")
@@ -295,10 +339,24 @@ def test_warc_round_trip_and_salvage(spark, tmp_path):
     members = [gzip.compress(p) for p in parts]
     bad = members[0] + members[1][:40] + b"\0" * 9 + members[2] + members[3][:-6]
     found = list(warc.walk_members(bad))
-    assert [r is not None for *_, r in found] == [True, False, True, False]
+    # the last member lost its check sum alone: its record is whole, by its own digest
+    assert [r is not None for *_, r in found] == [True, False, True, True, False]
     assert warc.read_warc(spark, str(tmp_path / "none"), payload=False).where("payload is not null").count() == 0
 
 
+def test_warc_records_before_a_cut(spark, tmp_path):
+    pages = spark.range(300).selectExpr("id AS page_id", "concat('http://a/', id) AS url", "concat('page ', id, repeat(md5(cast(id as string)), 20)) AS html")
+    warc.write_warc(pages.coalesce(1), str(tmp_path / "w"), compression="gzip")
+    (file,) = (tmp_path / "w").glob("part-*")
+    whole = file.read_bytes()
+    for raw, least, most in ((whole[:-12], 299, 300), (whole[:len(whole) // 2], 100, 200),
+                             (whole[:len(whole) // 2] + b"\xff" * 50 + whole[len(whole) // 2 + 50:], 100, 299)):
+        found = list(warc.walk_members(raw))
+        good = [r["record_id"] for *_, r in found if r]
+        assert least <= len(good) <= most and good[:100] == [f"<urn:page:{i}>" for i in range(100)]
+        assert found[-1][2].startswith("gzip member") and len(found) == len(good) + 1
+
+
 def test_simhash(spark, awkward):
     rows = simhash.fingerprints(awkward).collect()
     data = sorted(((r.doc_id is None, r.doc_id or 0, r.text or "") for r in awkward.collect()))
