@@ -155,6 +155,22 @@ def test_ppm_trie_against_brute_force():
         assert trie.log10([w])[0] == pytest.approx(log10(p))
 
 
+def test_ppm_distributed_trie_equals_a_whole_one(spark, monkeypatch):
+    monkeypatch.setattr(ppm, "PART_GRAMS", 100)
+    monkeypatch.setattr(ppm, "CACHED_GRAMS", 50)
+    g = np.random.default_rng(7)
+    words = sorted({bytes(g.choice(list(b"abcd\xc3\xa9"), g.integers(1, 12)).tolist()) for _ in range(400)}) + [ppm.END]
+    n = g.integers(0, 9, len(words))
+    trie = ppm.Trie(*ppm.grams([w for w, k in zip(words, n) if k], n[n > 0].astype(float)))
+    df = spark.createDataFrame([(bytearray(w), int(k)) for w, k in zip(words, n)], "word binary, n long").repartition(3)
+    got = {bytes(r.word): (r.n, r.log) for r in ppm.coded_words(df).collect()}
+    assert got == {w: (k, pytest.approx(x, abs=1e-9)) for w, k, x in zip(words, n.tolist(), trie.log10(words).tolist())}
+    # without training texts all bytes are equally likely
+    none = ppm.coded_words(df.selectExpr("word", "0L AS n")).collect()
+    assert all(r.log == pytest.approx(-log10(256) * (len(r.word) + (bytes(r.word) != ppm.END))) for r in none)
+    assert ppm.coded_words(df.limit(0)).count() == 0
+
+
 def test_ppm_codes_in_six_bytes_of_context():
     trie = ppm.Trie(*ppm.grams([b"1abcdex", b"2abcdey"], np.array([10.0, 10])))
     right, wrong = trie.log10([b"1abcdex", b"1abcdey"])
