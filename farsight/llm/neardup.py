@@ -6,9 +6,8 @@ texts draw the same with the probability of their weighted Jaccard similarity.
 BANDS keys of ROWS draws each put texts into buckets; the pairs that buckets
 propose are verified by the exact weighted similarity; verified pairs are
 edges whose components are the classes.  Large buckets propose stars; where a
-star leaves several components, further stars on rare shingles merge what
-they can, and an exact prefix filter proposes every pair of the remaining
-components that may still be alike, so no bucket is too large to be searched whole.
+star leaves several components, an exact prefix filter proposes every pair of
+them that may still be alike, likeliest first, so no bucket is too large to be searched whole.
 
 Document frequencies come from a count sketch of fixed size (CELLS counters,
 the mean load taken off), so the weights take one pass, no shuffle of
@@ -22,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import mixed, shingles, word_hashes
@@ -38,8 +37,6 @@ CELLS = 1 << CELL_BITS
 IDF_SHARE = 0.1
 #: Buckets of up to so many texts propose all their pairs; larger ones a star, then what the prefix filter lets through.
 ALL_PAIRS = 8
-#: Stars on shingles are repeated while a turn links at least one in so many of the texts searched.
-STAR_TURNS = 50
 _TABLE = 1 << 16
 #: Sums of weights in different orders differ by less.
 _SLACK = 1e-6
@@ -108,6 +105,11 @@ class Sampler:
             return mixed((d * self.band[:, :ROWS]).sum(axis=1, dtype=np.uint64) + self.band[:, ROWS]).view(np.int64)
 
 
+    def rarity(self, s: np.ndarray) -> float:
+        """Mean weight of the shingles: least for the text of a group that differs least from the others."""
+        return float(self.weights[_cells(s)].mean(dtype=np.float64))
+
+
 def packed(s: np.ndarray) -> bytes:
     """A text's shingles, 32 bits each, sorted, repeats kept."""
     return np.sort((s >> np.uint64(32)).astype(np.uint32)).tobytes()
@@ -139,9 +141,9 @@ def prefix(blob: bytes, weights: np.ndarray, threshold: float) -> tuple[np.ndarr
 
 
 def _propose(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs, members of large buckets) of ``buckets`` (key, node)."""
-    stat = (buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
-                                       F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("centre"))
+    """(pairs, members of large buckets) of ``buckets`` (key, node, rarity);
+    a large bucket's centre is its least rare text."""
+    stat = (buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rarity", "node")).alias("centre"))
             .where("n > 1").select("key", "n", F.col("centre.node").alias("centre")))
     members = saved(buckets.join(stat, "key"), "members")
     some = (members.where(F.col("n") <= ALL_PAIRS).groupBy("key").agg(F.collect_list("node").alias("l"))
@@ -149,7 +151,7 @@ def _propose(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
                                      "y -> struct(least(x, y) as a, greatest(x, y) as b))))")).alias("p")).select("p.a", "p.b"))
     large = members.where((F.col("n") > ALL_PAIRS))
     star = large.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    return some.unionByName(star).distinct(), large.select("key", "node")
+    return some.unionByName(star).distinct(), large.select("key", "node", "rarity")
 
 
 def _parts(cuts: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -178,30 +180,15 @@ def _may(t: float, threshold: float):
 _CUT = ("no", "part", "rest", "whole")
 
 
-def _stars(shared: DataFrame, turn: int, threshold: float) -> DataFrame:
-    """Pairs (x_no, no): of each shingle one text per component, against one
-    of the largest component; another choice each ``turn``."""
-    t = threshold * (1 - _SLACK)
-    pick = F.struct(F.xxhash64("no", "s", F.lit(turn)).alias("h"), *_CUT)
-    one = shared.groupBy("s", "minor", F.when(F.col("minor"), F.col("part")).alias("of")).agg(F.min(pick).alias("p"))
-    centre = one.where(~F.col("minor")).select("s", F.col("p").alias("c"))
-    both = one.where("minor").select("s", "p").join(centre, "s")
-    lighter = F.struct("p.whole", "p.no") < F.struct("c.whole", "c.no")
-    sides = both.select(F.when(lighter, F.col("p")).otherwise(F.col("c")).alias("x"), F.when(lighter, F.col("c")).otherwise(F.col("p")).alias("y"))
-    return (sides.select(*[F.col(f"x.{c}").alias(f"x_{c}") for c in _CUT], *[F.col(f"y.{c}").alias(c) for c in _CUT])
-            .where(F.col("x_whole") >= F.col("whole") * t).select("x_no", "no").distinct())
-
-
 def _all_across(shared: DataFrame, threshold: float) -> DataFrame:
-    """Every pair (x_no, no) of different components that may be alike, and
-    how many prefix shingles propose it.  A shingle's largest component is not joined with itself."""
+    """Every pair (x_no, no) of different components that may be alike.  A shingle's largest component is not joined with itself."""
     t = threshold * (1 - _SLACK)
     light = (shared.where(F.col("x_need") <= F.col("rest") * (1 + threshold))
              .select("s", *[F.col(c).alias(f"x_{c}") for c in (*_CUT, "minor")]))
     heavy = shared.drop("x_need")
     return (light.where("x_minor").join(heavy, "s").where(_may(t, threshold)).select("x_no", "no")
             .unionByName(light.where("not x_minor").join(heavy.where("minor"), "s").where(_may(t, threshold)).select("x_no", "no"))
-            .groupBy("x_no", "no").agg(F.count(F.lit(1)).alias("common")))
+            .distinct())
 
 
 def _searched(large: DataFrame, labels: DataFrame, edges: DataFrame, blobs: DataFrame, sent: Broadcast, threshold: float,
@@ -209,14 +196,12 @@ def _searched(large: DataFrame, labels: DataFrame, edges: DataFrame, blobs: Data
     """``labels`` after the members of buckets of ``large`` (key, node) that
     hold several components are compared with all others that may be alike.
 
-    First stars: while they merge components, each prefix shingle proposes
-    one text per component against one of its largest component.  Then the
-    exact prefix filter proposes every pair of different components that may
-    still be alike.  A text meets four times as many texts of each component
-    from turn to turn, and pairs whose components have merged meanwhile are not compared."""
+    An exact prefix filter proposes every pair of different components that
+    may still be alike.  First each text is compared with the least rare of
+    those proposed to it; pairs whose components have merged by then are not compared."""
     at = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = at.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    members = saved(at.join(several, "key").select("node").distinct().withColumn("no", F.monotonically_increasing_id()), "open")
+    members = saved(at.join(several, "key").select("node", "rarity").distinct().withColumn("no", F.monotonically_increasing_id()), "open")
     if members.isEmpty():
         return labels
 
@@ -239,30 +224,24 @@ def _searched(large: DataFrame, labels: DataFrame, edges: DataFrame, blobs: Data
                  .select(F.least("node", "heavy").alias("a"), F.greatest("node", "heavy").alias("b")))
         return saved(verified(named), "fresh")
 
-    turn, size = 0, members.count()
-    merged = size
-    while merged and merged * STAR_TURNS >= size:  # a turn that links few leaves the rest to the exact filter
-        fresh = found(_stars(_parts(cuts, members, labels), turn, threshold))
-        merged, turn = fresh.count(), turn + 1
-        if merged:
-            edges = edges.unionByName(fresh)
-            labels = connected_components(edges)
+    def linked(pairs: DataFrame, edges: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        fresh = found(pairs)
+        if fresh.isEmpty():
+            return edges, labels
+        edges = edges.unionByName(fresh)
+        return edges, connected_components(edges)
+
     shared = _parts(cuts, members, labels).withColumn("x_need", F.col("whole") * (2 * threshold * (1 - _SLACK)))
     proposed = saved(_all_across(shared, threshold), "proposed")
-    reach = 1
-    while True:
-        at = members.join(labels, "node", "left").select("no", F.coalesce("label", "node").alias("label"))
-        apart = (proposed.join(at, "no").join(at.select(F.col("no").alias("x_no"), F.col("label").alias("x_label")), "x_no")
-                 .where("label <> x_label"))
-        order = Window.partitionBy("x_no", "label").orderBy(F.desc("common"), "no")
-        turns = saved(apart.withColumn("rank", F.row_number().over(order)), "apart")
-        if turns.isEmpty():
-            return labels
-        fresh = found(turns.where(F.col("rank") <= reach).select("x_no", "no"))
-        proposed, reach = turns.where(F.col("rank") > reach).select("x_no", "no", "common"), 4 * reach
-        if not fresh.isEmpty():
-            edges = edges.unionByName(fresh)
-            labels = connected_components(edges)
+    rare = members.select("no", "rarity")
+    rated = proposed.join(rare, "no").join(rare.select(F.col("no").alias("x_no"), F.col("rarity").alias("x_rarity")), "x_no")
+    first = saved(rated.groupBy("x_no").agg(F.min_by("no", F.struct("rarity", "no")).alias("no"))
+                  .unionByName(rated.groupBy("no").agg(F.min_by("x_no", F.struct("x_rarity", "x_no")).alias("x_no"))).distinct(), "first")
+    edges, labels = linked(first, edges, labels)
+    at = members.join(labels, "node", "left").select("no", F.coalesce("label", "node").alias("label"))
+    apart = (proposed.join(first, ["x_no", "no"], "left_anti").join(at, "no")
+             .join(at.select(F.col("no").alias("x_no"), F.col("label").alias("x_label")), "x_no").where("label <> x_label"))
+    return linked(apart.select("x_no", "no"), edges, labels)[1]
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -277,8 +256,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     class of them alone has a null class_id, and its rows are kept.  Other columns are not read; an empty
     table gives no rows.
 
-    Buckets of more than ALL_PAIRS texts compare every member with a centre
-    that differs by band; the members of a bucket that then holds several
+    Buckets of more than ALL_PAIRS texts compare every member with a centre,
+    the least rare of them; the members of a bucket that then holds several
     components are compared with all of other components that may be alike.
     """
     spark = docs.sparkSession
@@ -292,19 +271,20 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                keys = []
+                keys, rarity = [], []
                 for w in word_hashes(part.column(1).to_pylist()):
                     s = shingles(w)
                     keys.append(sampler.keys(s).tolist() if len(s) else [])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.list_(pa.int64()))], ["row", "keys"])
+                    rarity.append(sampler.rarity(s) if len(s) else 0.0)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.list_(pa.int64())), pa.array(rarity)], ["row", "keys", "rarity"])
 
     row = F.struct("doc_id", F.md5("text").alias("node"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     signed = saved(rows.select(row.alias("row"), "text")
-                   .mapInArrow(trimmed(sign), f"row struct<doc_id: {kind}, node: string>, keys array<long>")
-                   .select("row.doc_id", "row.node", "keys"), "signed")
-    buckets = (signed.groupBy("node", "keys").agg(F.lit(1).alias("one"))
-               .select(F.explode("keys").alias("key"), "node"))
+                   .mapInArrow(trimmed(sign), f"row struct<doc_id: {kind}, node: string>, keys array<long>, rarity double")
+                   .select("row.doc_id", "row.node", "keys", "rarity"), "signed")
+    buckets = (signed.groupBy("node", "keys").agg(F.min("rarity").alias("rarity"))
+               .select(F.explode("keys").alias("key"), "node", "rarity"))
     pairs, large = _propose(buckets)
     pairs = saved(pairs, "pairs")
 
