@@ -30,7 +30,7 @@ SWEEP_KS, SWEEP_L, SWEEP_M = (10, 20, 50), 4, 3
 # the reference's own settings
 REF_K, REF_L, REF_M = 100, 16, 3
 REF_SWEEP_KS = (50, 70, 90, 110, 130)
-# short runs of ids, so that the merge of coresets shows on small tables
+# small parts, so that the merge of coresets shows on small tables
 CHUNK_QUERY_BITS = 10
 START_SEED = 7
 
