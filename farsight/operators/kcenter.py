@@ -460,7 +460,8 @@ def kcenter_radii(points: DataFrame, sets: list, coords=("x", "y")) -> list[floa
     if not used:
         return found
     near = [ClosestCenter(_center_matrix(sets[i], coords)) for i in used]
-    if not isinstance(coords, str) and len(coords) == 2:
+    # a table of one split gains nothing: its only task measures at once what it reads
+    if not isinstance(coords, str) and len(coords) == 2 and src.rdd.getNumPartitions() > 1:
         C = np.concatenate([n.C for n in near])
         cell = _in_grid(src, coords, C.min(axis=0), C.max(axis=0))
         x, y = coords
