@@ -9,24 +9,23 @@ the current word, so a word's code length there depends on the word alone, and e
 distinct word is counted, and coded, once.
 
 Above them stand the bytes of the two words before, whose step is a whole
-word: adaptive contexts, met earlier in the same text, then those that the corpus holds
-most often.  Their escapes are estimated from training texts, by what kind of
+word: adaptive contexts, met earlier in the same text, then those of the corpus, all
+in which a word stands MIN_COUNT times.  Their escapes are estimated from training texts, by what kind of
 context it is and how many words before were foreseen; an escape excludes the
 word that was foreseen.  A text is its words, each closed by a separator, and one end symbol.
 
 With full counts the symbols of a context are among those of its suffix, so
 exclusion needs one number per context, the mass its symbols have in the
 suffix.  The trie and the word counts hold everything that the training texts
-do and stay distributed: tasks hold what is frequent, the rest is joined.
-The upper part is bounded: its contexts enter by count until MAX_PHRASES are
-held; candidates come from a count sketch over all training texts and are
-then counted exactly.
+do and stay distributed, and so do the contexts of two words: tasks hold
+what is frequent, the rest is joined.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farsight.llm.shingles import hashed_texts, hashed_words, mixed
-from farsight.llm.util import dense_sums, slices, table, trimmed
+from farsight.llm.util import bitmap, dense_sums, give_back, in_bitmap, slices, table, trimmed
 from farsight.session import saved
 
 ORDER = 6
@@ -42,8 +41,16 @@ ORDER = 6
 PART_GRAMS = 250_000
 #: Code lengths of grams that every task which adds up words holds, at most; the others are joined.
 CACHED_GRAMS = 200_000
-#: Upper contexts; cells of the sketch that proposes them, and how many cells do.
-MAX_PHRASES, PHRASE_BITS, PHRASE_CELLS = 200_000, 22, 100_000
+#: A word foreseen by the corpus has followed its two words so often, whatever the size of the corpus.
+MIN_COUNT = 3
+#: 2**CELL_BITS cells, counted in parts of 2**PART_BITS, spare the count of most rarer words.
+CELL_BITS, PART_BITS = 28, 15
+#: Upper contexts that every task holds, at most; the others are joined.
+CACHED_PHRASES = 1_000_000
+#: Bits of the bitmap of the others, which only spares asking for contexts that there aren't.
+ASKED_BITS = 26
+#: Bytes of the texts that meet their upper contexts together, about.
+CHUNK_BYTES = 4 << 20
 #: Words whose counts every task holds, at most.
 FREQUENT = 200_000
 #: Words that a counting task keeps, at most.
@@ -85,6 +92,14 @@ class Index:
             left[won] = False
             todo, at = todo[left], (at[left] + 1) & self.mask
 
+    @classmethod
+    def again(cls, slots: np.ndarray, place: np.ndarray) -> Index:
+        """The index with these ``slots`` and ``place``, as sent to a task."""
+        self = cls.__new__(cls)
+        self.slots, self.place = slots, place
+        self.shift, self.mask = np.uint64(65 - len(slots).bit_length()), len(slots) - 1
+        return self
+
     def _home(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return (mixed(keys.view(np.uint64)) >> self.shift).astype(np.int64)
@@ -339,46 +354,70 @@ def _contexts(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return mixed(mixed(two + np.uint64(1)) + one)
 
 
-def phrases(texts: DataFrame, most: int = MAX_PHRASES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Upper contexts that the corpus holds often: hash of the two words
-    before, hash of the word that follows most, how sure that is (0 to 3)."""
-    cells = 1 << PHRASE_BITS
-    shift = np.uint64(64 - PHRASE_BITS)
-
-    def pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        h, starts = _laid_end_to_end([_raw(t) for t in texts])
-        context = _contexts(h, starts)
-        with np.errstate(over="ignore"):
-            return context, h, (mixed(context + h) >> shift).astype(np.int64)
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total, held, size = np.zeros(cells, np.int64), [], 0
-        for b in batches:
-            for at in range(0, b.num_rows, 128):
-                held.append(pairs(b.column(0).slice(at, 128).to_pylist())[2])
-                size += len(held[-1])
-                if size > 2_000_000:
-                    np.add.at(total, np.concatenate(held), 1)
-                    held, size = [], 0
+def _pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, word, key of both) of each word of ``texts``; a key's first CELL_BITS are its cell."""
+    h, starts = _laid_end_to_end([_raw(t) for t in texts])
+    context = _contexts(h, starts)
+    with np.errstate(over="ignore"):
+        return context, h, mixed(context + h)
+
+
+def _repeated(texts: DataFrame) -> np.ndarray:
+    """Bitmap of the cells that MIN_COUNT words or more of ``texts`` fall into: no
+    word of another cell follows its context as often.  Its size is fixed."""
+    parts, within = 1 << CELL_BITS - PART_BITS, 1 << PART_BITS
+
+    def dealt(held: list[np.ndarray]) -> pa.RecordBatch:
+        cells = np.sort(np.concatenate(held))
+        ends = np.searchsorted(cells, np.arange(parts + 1) << PART_BITS)
+        low = (cells & np.uint32(within - 1)).astype(np.uint16)
+        used = np.flatnonzero(np.diff(ends))
+        return pa.RecordBatch.from_pydict({"part": pa.array(used, pa.int32()), "cells": [low[ends[i]:ends[i + 1]].tobytes() for i in used]})
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in slices(batches, 128):
+            held.append((_pairs(b.column(0).to_pylist())[2] >> np.uint64(64 - CELL_BITS)).astype(np.uint32))
+            size += len(held[-1])
+            if size > 4_000_000:
+                yield dealt(held)
+                held, size = [], 0
         if held:
-            np.add.at(total, np.concatenate(held), 1)
-        return total
+            yield dealt(held)
 
-    total = dense_sums(texts, sketch, cells)
-    least = max(3, int(3 * total.mean()) + 1, int(np.partition(total, -PHRASE_CELLS)[-PHRASE_CELLS]) + 1)
-    sent = texts.sparkSession.sparkContext.broadcast(np.packbits(total >= least))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                more = np.bincount(np.frombuffer(raw, np.uint16), minlength=within)
+                sums[i] = np.minimum(MIN_COUNT, sums.get(i, 0) + more).astype(np.uint8)
+        if sums:
+            yield pa.RecordBatch.from_pydict({"part": pa.array(list(sums), pa.int32()), "cells": [
+                np.packbits(v >= MIN_COUNT, bitorder="little").tobytes() for v in sums.values()]})
+
+    kind = "part int, cells binary"
+    out = np.zeros((parts, within // 8), np.uint8)
+    got = texts.mapInArrow(trimmed(deal), kind).repartition("part").mapInArrow(trimmed(add), kind).toArrow()
+    for i, raw in zip(got["part"].to_pylist(), got["cells"]):
+        out[i] = np.frombuffer(raw.as_buffer(), np.uint8)
+    return out.reshape(-1).view("<u8")
+
+
+def phrases(texts: DataFrame) -> DataFrame:
+    """Upper contexts of the corpus, all in which a word stands MIN_COUNT times: context
+    (hash of the two words before), word (hash of the one that follows most), sure (0 to 3:
+    its share of such words), n (how often they follow)."""
+    sent = texts.sparkSession.sparkContext.broadcast(_repeated(texts))
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.unpackbits(sent.value).astype(bool)
         for b in batches:
             held = []
-            for at in range(0, b.num_rows, 256):
-                context, h, cell = pairs(b.column(0).slice(at, 256).to_pylist())
-                keep = often[cell]
-                held.append(np.stack([context[keep], h[keep]]))
-            both = np.concatenate(held, axis=1) if held else np.zeros((2, 0), np.uint64)
-            order = np.lexsort(both)
-            both = both[:, order]
+            for part in slices(iter([b]), 256):
+                context, h, key = _pairs(part.column(0).to_pylist())
+                keep = in_bitmap(sent.value, key >> np.uint64(64 - CELL_BITS))
+                held.append(np.stack([context[keep], h[keep], key[keep]]))
+            both = np.concatenate(held, axis=1) if held else np.zeros((3, 0), np.uint64)
+            both = both[:2, np.argsort(both[2])]  # equal pairs have equal keys
             new = np.ones(both.shape[1], bool)
             new[1:] = (both[:, 1:] != both[:, :-1]).any(axis=0)
             at = np.flatnonzero(new)
@@ -386,16 +425,13 @@ def phrases(texts: DataFrame, most: int = MAX_PHRASES) -> tuple[np.ndarray, np.n
             yield pa.RecordBatch.from_arrays([pa.array(both[0, at].view(np.int64)), pa.array(both[1, at].view(np.int64)),
                                               pa.array(n.astype(np.int64))], ["context", "word", "n"])
 
-    counted = saved(texts.mapInArrow(trimmed(report), "context long, word long, n long").groupBy("context", "word")
-                    .agg(F.sum("n").alias("n")), "phrases")
+    counted = (texts.mapInArrow(trimmed(report), "context long, word long, n long").groupBy("context", "word")
+               .agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT))
+    top = (counted.groupBy("context").agg(F.min(F.struct((-F.col("n")).alias("less"), "word")).alias("top"), F.sum("n").alias("n"))
+           .select("context", "top.word", F.expr("cast(least(3, (-4 * top.less) div n) AS tinyint)").alias("sure"), "n"))
+    top = saved(top, "phrases")
     sent.destroy()
-    kept = counted.where(F.col("n") >= max(3, _at_most(counted, most))).toArrow()
-    context, word, n = (kept[c].to_numpy() for c in ("context", "word", "n"))
-    order = np.lexsort((word, -n, context))  # of a context's words, the most frequent first
-    context, word, n = context[order], word[order], n[order]
-    at = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(context) else np.zeros(0, np.int64)
-    total_of = np.add.reduceat(n, at) if len(at) else n
-    return context[at], word[at], np.minimum(3, 4 * n[at] // np.maximum(1, total_of))
+    return top
 
 
 #: States of an escape: adaptive or of the corpus, how sure, words foreseen before.
@@ -403,54 +439,88 @@ STATES = 2 * 4 * 4
 
 
 class Foresight:
-    """Upper contexts: those met earlier in the same text, then the corpus's."""
+    """Upper contexts: those met earlier in the same text, then the corpus's,
+    of which the most frequent are held and the others come with the texts."""
 
-    def __init__(self, context: np.ndarray, word: np.ndarray, sure: np.ndarray):
-        self.word, self.sure, self.index = word.view(np.uint64), sure, Index(context)
+    def __init__(self, index: Index, word: np.ndarray, sure: np.ndarray):
+        self.index, self.word, self.sure = index, word.view(np.uint64), sure
 
-    def of(self, h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(places, states, hashes of the foreseen words) in texts laid end to end."""
+    def of(self, h: np.ndarray, starts: np.ndarray, others: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places, states, hashes of the foreseen words) in texts laid end to
+        end; ``others`` are their contexts (sorted), words and how sure, beside those held."""
         text = np.zeros(len(h), np.int64)
         text[starts[1:]] = 1
         text = np.cumsum(text)
-        context = _contexts(h, starts)
-        held = self.index.find(context.view(np.int64))
-        order = np.lexsort((context, text))  # stable: within a context by place
+        context = _contexts(h, starts).view(np.int64)
+        order = np.argsort(context, kind="stable")  # within a context by place, and so by text
         again = (context[order][1:] == context[order][:-1]) & (text[order][1:] == text[order][:-1])
-        before = np.full(len(h), -1)
-        before[order[1:][again]] = order[:-1][again]
-        own = before >= 0
-        at = np.flatnonzero(own | (held >= 0))
-        guess = np.where(own[at], h[before[at]], self.word[held[at]] if len(self.word) else np.uint64(0))
-        state = np.where(own[at], 0, 16 + 4 * (self.sure[held[at]] if len(self.sure) else 0))
+        state, guess = np.full(len(h), -1), np.zeros(len(h), np.uint64)
+        state[order[1:][again]], guess[order[1:][again]] = 0, h[order[:-1][again]]
+        for find, word, sure in ((self.index.find, self.word, self.sure), (partial(_lookup, others[0]), others[1].view(np.uint64), others[2])):
+            todo = np.flatnonzero(state < 0)
+            place = find(context[todo])
+            todo, place = todo[place >= 0], place[place >= 0]
+            state[todo], guess[todo] = 16 + 4 * sure[place].astype(np.int64), word[place]
+        at = np.flatnonzero(state >= 0)
         # words foreseen since the last miss, or since the text began
         k = np.arange(len(at))
-        hit = guess == h[at]
+        hit = guess[at] == h[at]
         begins = np.append(True, text[at][1:] != text[at][:-1]) if len(at) else hit
         reset = np.where(begins, k, 0)
         reset[1:] = np.maximum(reset[1:], np.where(~hit[:-1], k[1:], 0))
         run = k - np.maximum.accumulate(reset) if len(at) else k
-        return at, state + np.minimum(3, run), guess
-
+        return at, state[at] + np.minimum(3, run), guess[at]
+
+
+def other_contexts(texts: DataFrame, corpus: DataFrame) -> DataFrame:
+    """(chunk, context, word, sure): the contexts of ``corpus`` that stand in the texts
+    of each chunk of ``texts`` (chunk, text)."""
+    sent = texts.sparkSession.sparkContext.broadcast(bitmap(corpus.select(F.col("context").alias("key")), ASKED_BITS))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, found, size = None, [], 0
+        for b in slices(batches, 256):
+            chunks = b.column(0).to_numpy()
+            cuts = np.flatnonzero(np.append(True, chunks[1:] != chunks[:-1]))
+            for x, y in zip(cuts, np.append(cuts[1:], len(chunks))):
+                if found and (chunks[x] != of or size > 4_000_000):
+                    yield asked(of, found)
+                    found, size = [], 0
+                of = chunks[x]
+                need = _contexts(*_laid_end_to_end([_raw(t) for t in b.column(1).slice(x, y - x).to_pylist()]))
+                found.append(need[in_bitmap(sent.value, need)])
+                size += len(found[-1])
+        if found:
+            yield asked(of, found)
+
+    def asked(chunk: int, found: list[np.ndarray]) -> pa.RecordBatch:
+        contexts = np.unique(np.concatenate(found)).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(contexts), chunk, np.int64)), pa.array(contexts)], ["chunk", "context"])
+
+    met = saved(texts.select("chunk", "text").mapInArrow(trimmed(ask), "chunk long, context long")
+                .join(corpus.select("context", "word", "sure"), "context").select("chunk", "context", "word", "sure"), "met")
+    sent.destroy()
+    return met
 
-def escapes(texts: DataFrame, corpus: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-    """Share of words foreseen in each state, over ``texts``."""
-    sent = texts.sparkSession.sparkContext.broadcast(corpus)
 
+def escapes(texts: DataFrame, states: int) -> np.ndarray:
+    """Share of words foreseen in each state, over ``texts`` (uses: of each state how
+    often its word did not follow, and how often it did)."""
     def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total, upper = np.zeros(2 * STATES, np.int64), Foresight(*sent.value)
+        total = np.zeros(2 * states, np.int64)
         for b in batches:
-            for k in range(0, b.num_rows, 128):
-                h, starts = _laid_end_to_end([_raw(t) for t in b.column(0).slice(k, 128).to_pylist()])
-                at, state, guess = upper.of(h, starts)
-                total += np.bincount(2 * state + (guess == h[at]), minlength=2 * STATES)
+            total += b.column(0).flatten().to_numpy().reshape(-1, 2 * states).sum(axis=0)
         return total
 
-    total = dense_sums(texts, count, 2 * STATES, 2 * STATES).reshape(STATES, 2)
-    sent.destroy()
+    total = dense_sums(texts, count, 2 * states, 2 * states).reshape(states, 2)
     return (total[:, 1] + 0.5) / (total.sum(axis=1) + 1)
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """Hashes of words as texts laid end to end have them."""
+    return np.array([_END_HASH[0] if w == END else f[0][0] for w, f in zip(words, hashed_texts(words))] if words else [], np.uint64).view(np.int64)
+
+
 def scores(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens,
     n_known, train_tokens, base_score, score.
@@ -463,81 +533,116 @@ def scores(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
     equally likely below the adaptive contexts.
     """
     spark = docs.sparkSession
+    kind = docs.schema["doc_id"].dataType.simpleString()
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    rows = docs.select(F.struct("doc_id", held_out.alias("held_out")).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    flagged = rows.select("text", (F.lit(training is None) & ~F.col("row.held_out")).alias("taught"))
+    flagged = docs.select(F.struct("doc_id", held_out.alias("held_out")).alias("row"), F.coalesce("text", F.lit("")).alias("text"),
+                          (F.lit(training is None) & ~held_out).alias("taught"))
     if training is not None:
-        flagged = flagged.unionByName(training.select(F.coalesce("text", F.lit("")).alias("text"), F.lit(True).alias("taught")))
-    taught = flagged.where("taught").select("text")
-    counts = saved(word_counts(flagged), "words")
+        flagged = flagged.unionByName(training.select(F.lit(None).cast(flagged.schema["row"].dataType).alias("row"),
+                                                      F.coalesce("text", F.lit("")).alias("text"), F.lit(True).alias("taught")))
+    flagged = saved(flagged.withColumn("uid", F.monotonically_increasing_id()), "texts")
+    texts, size = flagged.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    flagged = flagged.withColumn("chunk", F.expr(f"uid div {max(1, CHUNK_BYTES * texts // max(1, size))}L"))
+    counts = saved(word_counts(flagged.select("text", "taught")), "words")
     known_words = counts.where("n > 0")
     total, kinds = known_words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     least = _at_most(known_words, FREQUENT)
     coded = saved(coded_words(counts), "coded_words")
     frequent = coded.where((F.col("n") >= least) | (F.col("word") == F.lit(END))).toArrow()
-    hashes = np.array([_END_HASH[0] if w == END else hashed_words(w)[0][0] for w in frequent["word"].to_pylist()], np.uint64).view(np.int64)
-    held = (hashes, np.log10(frequent["n"].to_numpy() + 1.0), frequent["log"].to_numpy(), frequent["n"].to_numpy() > 0)
-    corpus = phrases(taught)
-    sure = escapes(taught, corpus)
-    sent = spark.sparkContext.broadcast((held, corpus, np.log10(sure), np.log10(1 - sure)))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (hashes, base_of, log_of, known_of), corpus, log_hit, log_miss = sent.value
-        index, upper = Index(hashes), Foresight(*corpus)
-        for b in batches:
-            at = 0
-            while at < b.num_rows:
-                raws, size = [], 0
-                while at + len(raws) < b.num_rows and len(raws) < 256 and size < 1 << 20:
-                    raws.append(_raw(b.column(1)[at + len(raws)].as_py()))
-                    size += len(raws[-1])
-                found = hashed_texts(raws)
-                sizes = np.array([len(f[0]) + 1 for f in found])
-                starts = np.cumsum(sizes) - sizes
-                h = np.concatenate([x for f in found for x in (f[0], _END_HASH)])
-                place = index.find(h.view(np.int64))
-                common = place >= 0
-                spot, state, guess = upper.of(h, starts)
-                hit = guess == h[spot]
-                # what is foreseen is coded above, the rest below, without the word that was foreseen
-                below = np.ones(len(h), bool)
-                below[spot[hit]] = False
-                log = np.where(common & below, log_of[place], 0.0)
-                other = index.find(guess.view(np.int64))
-                barred = np.where(other >= 0, 10.0 ** log_of[other], 0.0)
-                log[spot] += np.where(hit, log_hit[state], log_miss[state] - np.log10(np.maximum(1e-9, 1 - barred)))
-                base, known = np.where(common, base_of[place], 0.0), common & known_of[place]
-                rare = np.flatnonzero(~common)
-                cuts = np.searchsorted(rare, np.append(starts, len(h)))
-                spelt = [raws[k][x:y] for k, (_, first, last) in enumerate(found)
-                         for i in (rare[cuts[k]:cuts[k + 1]] - starts[k],) for x, y in zip(first[i].tolist(), last[i].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, len(raws)), pa.array(sizes, pa.int64()),
-                     pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)),
-                     pa.array(np.add.reduceat(log, starts)),
-                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(spelt, pa.binary())),
-                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(below[rare]))],
-                    ["row", "n_tokens", "known", "base", "log", "rare", "below"])
-                at += len(raws)
+    held = (np.log10(frequent["n"].to_numpy() + 1.0), frequent["log"].to_numpy(), frequent["n"].to_numpy() > 0)
+    corpus = phrases(flagged.where("taught").select("text"))
+    often = _at_most(corpus, CACHED_PHRASES)
+    got = corpus.where(F.col("n") >= often).toArrow()
+    tables = [Index(_hashes(frequent["word"].to_pylist())), Index(got["context"].to_numpy())]  # built once
+    others = other_contexts(flagged, corpus.where(F.col("n") < often))
+    sent = spark.sparkContext.broadcast(([(t.slots, t.place) for t in tables], held, (got["word"].to_numpy(), got["sure"].to_numpy())))
+
+    def score(texts: pa.Table, met: pa.Table) -> pa.Table:
+        met = met.sort_by("context")
+        others = tuple(met[c].to_numpy() for c in ("context", "word", "sure"))
+        out = pa.Table.from_batches([part for b in texts.to_batches() for part in parts(b, others)])
+        give_back()
+        return out
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = saved(rows.mapInArrow(trimmed(score), f"row struct<doc_id: {kind}, held_out: boolean>, n_tokens long, known long, "
-                                         "base double, log double, rare array<binary>, below array<boolean>")
-                  .withColumn("uid", F.monotonically_increasing_id()), "scored")
+    def parts(b: pa.RecordBatch, others: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        tables, (base_of, log_of, known_of), corpus = sent.value
+        index, upper = Index.again(*tables[0]), Foresight(Index.again(*tables[1]), *corpus)
+        text, at = b["text"], 0
+        while at < b.num_rows:
+            raws, size = [], 0
+            while at + len(raws) < b.num_rows and len(raws) < 256 and size < 1 << 20:
+                raws.append(_raw(text[at + len(raws)].as_py()))
+                size += len(raws[-1])
+            found = hashed_texts(raws)
+            sizes = np.array([len(f[0]) + 1 for f in found])
+            starts = np.cumsum(sizes) - sizes
+            h = np.concatenate([x for f in found for x in (f[0], _END_HASH)])
+            place = index.find(h.view(np.int64))
+            common = place >= 0
+            spot, state, guess = upper.of(h, starts, others)
+            hit = guess == h[spot]
+            # what is foreseen is coded above, the rest below, without the word that was foreseen
+            below = np.ones(len(h), bool)
+            below[spot[hit]] = False
+            log = np.where(common & below, log_of[place], 0.0)
+            other = index.find(guess.view(np.int64))
+            log[spot] -= np.where(hit | (other < 0), 0.0, _left(log_of[other]))
+            cut = np.append(starts, len(h))
+            uses = np.bincount((np.searchsorted(starts, spot, "right") - 1) * 2 * STATES + 2 * state + hit, minlength=len(raws) * 2 * STATES)
+            barred = np.flatnonzero(~hit & (other < 0))
+            base, known = np.where(common, base_of[place], 0.0), common & known_of[place]
+            rare = np.flatnonzero(~common)
+            cuts = np.searchsorted(rare, cut)
+            spelt = [raws[k][x:y] for k, (_, first, last) in enumerate(found)
+                     for i in (rare[cuts[k]:cuts[k + 1]] - starts[k],) for x, y in zip(first[i].tolist(), last[i].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [b["uid"].slice(at, len(raws)), b["taught"].slice(at, len(raws)), b["row"].slice(at, len(raws)), pa.array(sizes, pa.int64()),
+                 pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)),
+                 pa.array(np.add.reduceat(log, starts)),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(raws) + 1) * 2 * STATES, pa.int32()), pa.array(uses, pa.int32())),
+                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(spelt, pa.binary())),
+                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(below[rare])),
+                 pa.ListArray.from_arrays(pa.array(np.searchsorted(spot[barred], cut), pa.int32()), pa.array(guess[barred].view(np.int64)))],
+                ["uid", "taught", "row", "n_tokens", "known", "base", "log", "uses", "rare", "below", "barred"])
+            at += len(raws)
+
+    scored = saved(flagged.groupBy("chunk").cogroup(others.groupBy("chunk")).applyInArrow(
+        score, f"uid long, taught boolean, row struct<doc_id: {kind}, held_out: boolean>, n_tokens long, known long, base double, log double, "
+               "uses array<int>, rare array<binary>, below array<boolean>, barred array<long>"), "scored")
     sent.destroy()
+    sure = escapes(scored.where("taught").select("uses"), STATES)
+    of_use = F.array(*[F.lit(float(x)) for x in np.stack([np.log10(1 - sure), np.log10(sure)], axis=1).reshape(-1)])
+    scored = scored.where("row IS NOT NULL")
+    seldom = coded.where(F.col("n") < least)
     # rare words meet their counts and code lengths
     rare = (scored.select("uid", F.explode(F.arrays_zip("rare", "below")).alias("r"))
             .select("uid", F.col("r.rare").alias("word"), F.col("r.below").cast("int").alias("below"))
-            .join(coded.where(F.col("n") < least), "word")
+            .join(seldom, "word")
             .groupBy("uid").agg(F.sum((F.col("n") > 0).cast("long")).alias("more"), F.sum(F.log10(F.col("n") + 1.0)).alias("more_base"),
                                 F.sum(F.col("below") * F.col("log")).alias("more_log")))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(b.column(0).to_pylist())), pa.array(_left(b.column(1).to_numpy()))], ["hash", "left"])
+
+    # and so do rare words that were foreseen and did not follow
+    barred = (scored.select("uid", F.explode("barred").alias("hash"))
+              .join(seldom.select("word", "log").mapInArrow(trimmed(hashed), "hash long, left double"), "hash")
+              .groupBy("uid").agg(F.sum("left").alias("left")))
     unit = float(np.log10(total + kinds + 1))
-    return (scored.select("uid", "row", "n_tokens", "known", "base", "log").join(rare, "uid", "left")
+    upper_log = F.aggregate(F.zip_with("uses", of_use, lambda n, x: n * x), F.lit(0.0), lambda s, x: s + x)
+    return (scored.select("uid", "row", "n_tokens", "known", "base", (F.col("log") + upper_log).alias("log"))
+            .join(rare, "uid", "left").join(barred, "uid", "left")
             .select("row.doc_id", "row.held_out", "n_tokens",
                     (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
                     F.lit(total).cast("long").alias("train_tokens"),
                     (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * unit).alias("base_score"),
-                    (F.col("log") + F.coalesce("more_log", F.lit(0.0))).alias("score")))
+                    (F.col("log") + F.coalesce("more_log", F.lit(0.0)) - F.coalesce("left", F.lit(0.0))).alias("score")))
+
+
+def _left(log: np.ndarray) -> np.ndarray:
+    """log10 of what a word of log10 probability ``log`` leaves to the others."""
+    return np.log10(np.maximum(1e-9, 1 - 10.0 ** log))
 
 
 def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -185,6 +185,64 @@ def test_ppm_escapes_count_all_training_texts(spark, monkeypatch):
     assert ppm.scores(docs_df(spark, [(1, texts[0], "a")]), training).count() == 1 and counted == [20]
 
 
+def ppm_scores(texts, held):
+    """log10 probability of each text, by counting whole words and their two predecessors."""
+    laid = [[*ppm.tokens(t), ppm.END] for t in texts]
+    taught = [i for i, h in enumerate(held) if not h]
+    n = Counter(w for i in taught for w in laid[i])
+    words = sorted({w for x in laid for w in x})
+    trie = ppm.Trie(*ppm.grams(list(n), np.array(list(n.values()), float)))
+    log = dict(zip(words, trie.log10(words).tolist()))
+    hashed = dict(zip(words, ppm._hashes(words).tolist()))
+    before = lambda x, k: (None, *x[:k])[-2:] if k < 2 else (x[k - 2], x[k - 1])
+    follow: dict[tuple, Counter] = {}
+    for i in taught:
+        for k, w in enumerate(laid[i]):
+            follow.setdefault(before(laid[i], k), Counter())[w] += 1
+    upper = {}
+    for c, seen in follow.items():
+        kept = {w: m for w, m in seen.items() if m >= 3}
+        if kept:
+            top = min(kept, key=lambda w: (-kept[w], hashed[w]))
+            upper[c] = top, min(3, 4 * kept[top] // sum(kept.values()))
+    steps = []
+    for x in laid:
+        own, run, out = {}, 0, []
+        for k, w in enumerate(x):
+            c = before(x, k)
+            guess, state = (own[c], 0) if c in own else (upper[c][0], 16 + 4 * upper[c][1]) if c in upper else (None, None)
+            own[c] = w
+            out.append((w, guess, None if guess is None else state + min(3, run)))
+            if guess is not None:
+                run = run + 1 if guess == w else 0
+        steps.append(out)
+    uses = Counter((s, g == w) for i in taught for w, g, s in steps[i] if g is not None)
+    share = lambda s: (uses[s, True] + 0.5) / (uses[s, True] + uses[s, False] + 1)
+    code = lambda w, g, s: (log[w] if g is None else log10(share(s)) if g == w
+                            else log10(1 - share(s)) - log10(max(1e-9, 1 - 10 ** log[g])) + log[w])
+    return [sum(code(*step) for step in x) for x in steps], len(upper)
+
+
+def test_ppm_holds_every_context_of_two_words(spark, monkeypatch):
+    # what tasks hold is small here, so that contexts, words and foreseen words come by joins
+    for name, most in (("MAX_PHRASES", 4), ("PHRASE_CELLS", 4), ("CACHED_PHRASES", 4), ("FREQUENT", 5), ("CHUNK_BYTES", 700)):
+        monkeypatch.setattr(ppm, name, most, raising=False)
+    g = np.random.default_rng(5)
+    lines = [" ".join(f"{chr(97 + k)}{j}" for j in g.integers(0, 40, 6)) for k in range(12)]
+    texts = [" ".join(lines[j] for j in g.integers(0, 12, 4)) + f" only{i}" for i in range(60)] + ["", "zz", lines[0], lines[0]]
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    want, contexts = ppm_scores(texts, held)
+    assert contexts > 60 and 0 < sum(held) < len(texts)
+    df = docs_df(spark, [(i, t, "a") for i, t in enumerate(texts)]).repartition(3)
+    assert {r.doc_id: r.score for r in ppm.scores(df).collect()} == {i: pytest.approx(x, abs=1e-6) for i, x in enumerate(want)}
+    taught = spark.createDataFrame([(t,) for t, h in zip(texts, held) if not h], "text string")
+    assert ppm.phrases(taught).count() == contexts
+    # one pair of words that many words follow, and one that stands in every text
+    many = spark.createDataFrame([(f"x y u{i} x y z v{i}",) for i in range(50)], "text string")
+    got = ppm.phrases(many).collect()
+    assert sorted((r.n, r.sure) for r in got) == [(50, 3)] * 3
+
+
 def test_quality(spark):
     good = [(i, prose(i, 60) + ".", "a") for i in range(200)]
     bad = [(1000 + i, " ".join(f"W{i}!!" for _ in range(60)), "a") for i in range(60)]
