@@ -23,16 +23,15 @@ what is frequent, the rest is joined.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farsight.llm.shingles import hashed_texts, mixed
+from farsight.llm.shingles import hashed_texts, hashed_words, mixed
 from farsight.llm.util import bitmap, dense_sums, give_back, in_bitmap, slices, table, trimmed
 from farsight.session import saved
 
@@ -53,8 +52,10 @@ ASKED_BITS = 26
 CHUNK_BYTES = 4 << 20
 #: Words whose counts every task holds, at most.
 FREQUENT = 200_000
-#: Words that a counting task keeps, at most.
+#: Words that a counting task keeps, about.
 CACHE = 400_000
+#: A pair of a context and the word after it, with its number, as tasks send it; pairs go in 2**PAIR_BITS parts.
+PAIR, PAIR_BITS = np.dtype([("context", "<u8"), ("word", "<u8"), ("n", "u1")]), 12
 END = b"\n"
 _SYMBOLS = 256
 _END_HASH = np.array([0x0A0A0A0A], np.uint64)
@@ -91,6 +92,7 @@ class Index:
             left = np.ones(len(todo), bool)
             left[won] = False
             todo, at = todo[left], (at[left] + 1) & self.mask
+        self.zero = self._of_zero()
 
     @classmethod
     def again(cls, slots: np.ndarray, place: np.ndarray) -> Index:
@@ -98,8 +100,16 @@ class Index:
         self = cls.__new__(cls)
         self.slots, self.place = slots, place
         self.shift, self.mask = np.uint64(65 - len(slots).bit_length()), len(slots) - 1
+        self.zero = self._of_zero()
         return self
 
+    def _of_zero(self) -> int:
+        """The slot that holds key 0, or -1: any other slot with a 0 is empty."""
+        at = int(self._home(np.zeros(1, np.int64))[0])
+        while self.place[at] >= 0 and self.slots[at] != 0:
+            at = (at + 1) & self.mask
+        return at if self.place[at] >= 0 else -1
+
     def _home(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return (mixed(keys.view(np.uint64)) >> self.shift).astype(np.int64)
@@ -107,13 +117,13 @@ class Index:
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key, or -1."""
         at, out = self._home(keys), np.full(len(keys), -1, np.int64)
-        todo = np.arange(len(keys))
-        while len(todo):
-            place = self.place[at]
-            hit = (self.slots[at] == keys[todo]) & (place >= 0)
-            out[todo[hit]] = place[hit]
-            go = ~hit & (place >= 0)
-            todo, at = todo[go], (at[go] + 1) & self.mask
+        todo, wanted = None, keys
+        while len(at):
+            slot = self.slots[at]
+            same = slot == wanted  # an empty slot says -1 to key 0
+            out[same if todo is None else todo[same]] = self.place[at[same]]
+            go = np.flatnonzero(~same & ((slot != 0) | (at == self.zero)))
+            todo, wanted, at = go if todo is None else todo[go], wanted[go], (at[go] + 1) & self.mask
         return out
 
 
@@ -237,25 +247,40 @@ def _at_most(counts: DataFrame, most: int) -> int:
     return least
 
 
+def _counted(texts: pa.Array, times: int) -> pa.Table:
+    """(word, n): ``times`` what tokens() makes of ``texts``, and the ends."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts)).flatten().value_counts()
+    word, n = found.field(0).cast(pa.binary()), found.field(1)
+    some = pc.not_equal(pc.binary_length(word), 0)
+    return pa.table({"word": pa.concat_arrays([word.filter(some), pa.array([END], pa.binary())]),
+                     "n": np.append(n.filter(some).to_numpy(), len(texts)) * times})
+
+
+def _summed(counts: list[pa.Table]) -> pa.Table:
+    """(word, n) with the sum of n for each word of ``counts``."""
+    sums = pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return pa.table({"word": sums["word"], "n": sums["n_sum"]})
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over ``texts`` (text, taught): how often each word, or the end
     of a text, stands in taught texts; 0 for words of the others alone."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bool, Counter[bytes]] = {True: Counter(), False: Counter()}
+        held, size = [], 0
         for b in slices(batches):
-            for t, taught in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                seen[taught].update(tokens(t))
-                seen[taught][END] += 1
-                for flag, c in seen.items():
-                    if len(c) > CACHE // 2:
-                        yield rows(flag, c)
-                        c.clear()
-        for flag, c in seen.items():
-            if c:
-                yield rows(flag, c)
-
-    def rows(taught: bool, c: Counter[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"word": list(c), "n": list(c.values()) if taught else [0] * len(c)})
+            taught = b.column(1)
+            for text, times in ((b.column(0).filter(taught), 1), (b.column(0).filter(pc.invert(taught)), 0)):
+                if len(text):
+                    held.append(_counted(text, times))
+                    size += held[-1].num_rows
+            if size > 2 * CACHE:
+                held = [_summed(held)]
+                size = held[0].num_rows
+                if size > CACHE // 2:
+                    yield from held[0].to_batches()
+                    held, size = [], 0
+        if held:
+            yield from _summed(held).to_batches()
 
     return texts.mapInArrow(trimmed(count), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -362,6 +387,15 @@ def _pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return context, h, mixed(context + h)
 
 
+def _add_cells(sums: dict[int, np.ndarray], held: dict[int, list[bytes]], within: int) -> None:
+    """Adds to ``sums``, up to MIN_COUNT for each of a part's ``within`` cells, what is ``held`` for
+    the part, all of it at once."""
+    for i, raws in held.items():
+        more = np.bincount(np.frombuffer(b"".join(raws), np.uint16), minlength=within)
+        sums[i] = np.minimum(MIN_COUNT, sums.get(i, 0) + more).astype(np.uint8)
+    held.clear()
+
+
 def _repeated(texts: DataFrame) -> np.ndarray:
     """Bitmap of the cells that MIN_COUNT words or more of ``texts`` fall into: no
     word of another cell follows its context as often.  Its size is fixed."""
@@ -387,10 +421,16 @@ def _repeated(texts: DataFrame) -> np.ndarray:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
+        held: dict[int, list[bytes]] = {}
+        size = 0
         for b in batches:
             for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                more = np.bincount(np.frombuffer(raw, np.uint16), minlength=within)
-                sums[i] = np.minimum(MIN_COUNT, sums.get(i, 0) + more).astype(np.uint8)
+                held.setdefault(i, []).append(raw)
+                size += len(raw)
+                if size > 16 << 20:
+                    _add_cells(sums, held, within)
+                    size = 0
+        _add_cells(sums, held, within)
         if sums:
             yield pa.RecordBatch.from_pydict({"part": pa.array(list(sums), pa.int32()), "cells": [
                 np.packbits(v >= MIN_COUNT, bitorder="little").tobytes() for v in sums.values()]})
@@ -403,6 +443,21 @@ def _repeated(texts: DataFrame) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def _counted_pairs(context: np.ndarray, word: np.ndarray, key: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, word, sum of ``n``, or how often it stands there) of each pair once, in the order of its ``key``."""
+    if not len(key):
+        return context, word, np.zeros(0, np.int64)
+    order = np.argsort(key)
+    for again in (False, True):
+        context_, word_, key_ = context[order], word[order], key[order]
+        new = np.append(True, (context_[1:] != context_[:-1]) | (word_[1:] != word_[:-1]))
+        if again or not (new[1:] & (key_[1:] == key_[:-1])).any():
+            break
+        order = np.lexsort((word, context, key))  # pairs that share a key
+    at = np.flatnonzero(new)
+    return context_[at], word_[at], np.diff(np.append(at, len(key))) if n is None else np.add.reduceat(n[order], at)
+
+
 def phrases(texts: DataFrame) -> DataFrame:
     """Upper contexts of the corpus, all in which a word stands MIN_COUNT times: context
     (hash of the two words before), word (hash of the one that follows most), sure (0 to 3:
@@ -416,17 +471,46 @@ def phrases(texts: DataFrame) -> DataFrame:
                 context, h, key = _pairs(part.column(0).to_pylist())
                 keep = in_bitmap(sent.value, key >> np.uint64(64 - CELL_BITS))
                 held.append(np.stack([context[keep], h[keep], key[keep]]))
-            both = np.concatenate(held, axis=1) if held else np.zeros((3, 0), np.uint64)
-            both = both[:2, np.argsort(both[2])]  # equal pairs have equal keys
-            new = np.ones(both.shape[1], bool)
-            new[1:] = (both[:, 1:] != both[:, :-1]).any(axis=0)
-            at = np.flatnonzero(new)
-            n = np.diff(np.append(at, both.shape[1]))
-            yield pa.RecordBatch.from_arrays([pa.array(both[0, at].view(np.int64)), pa.array(both[1, at].view(np.int64)),
-                                              pa.array(n.astype(np.int64))], ["context", "word", "n"])
-
-    counted = (texts.mapInArrow(trimmed(report), "context long, word long, n long").groupBy("context", "word")
-               .agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT))
+            if held:
+                both = np.concatenate(held, axis=1)
+                held.clear()
+                context, h, n = _counted_pairs(*both)
+                del both
+                times = -(-n // 255)  # a larger number is sent as several
+                pairs = np.zeros(times.sum(), PAIR)
+                pairs["context"], pairs["word"], pairs["n"] = np.repeat(context, times), np.repeat(h, times), 255
+                pairs["n"][np.cumsum(times) - 1] = n - 255 * (times - 1)
+                with np.errstate(over="ignore"):
+                    part = mixed(pairs["context"] + pairs["word"]) >> np.uint64(64 - PAIR_BITS)
+                cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_pydict({"part": pa.array(part[cuts].astype(np.int32)), "pairs": pa.array(
+                    [pairs[x:y].tobytes() for x, y in zip(cuts, np.append(cuts[1:], len(part)))], pa.binary())})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, held, size = None, [], 0
+        for b in batches:
+            for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if i != of and size > 8 << 20:
+                    yield counts(held)
+                    held, size = [], 0
+                of = i
+                held.append(raw)
+                size += len(raw)
+        if held:
+            yield counts(held)
+
+    def counts(held: list[bytes]) -> pa.RecordBatch:
+        pairs = np.frombuffer(b"".join(held), PAIR)
+        context, h = pairs["context"].copy(), pairs["word"].copy()
+        with np.errstate(over="ignore"):
+            context, h, n = _counted_pairs(context, h, mixed(context + h), pairs["n"].astype(np.int64))
+        keep = n >= MIN_COUNT
+        return pa.RecordBatch.from_arrays([pa.array(context[keep].view(np.int64)), pa.array(h[keep].view(np.int64)), pa.array(n[keep])],
+                                          ["context", "word", "n"])
+
+    # whole parts are counted together, a few at a time
+    counted = (texts.mapInArrow(trimmed(report), "part int, pairs binary").repartition("part").sortWithinPartitions("part")
+               .mapInArrow(trimmed(count), "context long, word long, n long"))
     top = (counted.groupBy("context").agg(F.min(F.struct((-F.col("n")).alias("less"), "word")).alias("top"), F.sum("n").alias("n"))
            .select("context", "top.word", F.expr("cast(least(3, (-4 * top.less) div n) AS tinyint)").alias("sure"), "n"))
     top = saved(top, "phrases")
@@ -434,6 +518,17 @@ def phrases(texts: DataFrame) -> DataFrame:
     return top
 
 
+def _equal_together(x: np.ndarray) -> np.ndarray:
+    """Places of ``x`` such that equal numbers stand together, by place: one sort of their
+    upper bits with the places below, and a slower one where unequal numbers share those bits."""
+    bits = np.uint64(len(x).bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    packed = np.sort(x.view(np.uint64) & ~low | np.arange(len(x), dtype=np.uint64))
+    order = (packed & low).astype(np.int64)
+    by, packed = x[order], packed >> bits
+    return np.argsort(x, kind="stable") if ((packed[1:] == packed[:-1]) & (by[1:] != by[:-1])).any() else order
+
+
 #: States of an escape: adaptive or of the corpus, how sure, words foreseen before.
 STATES = 2 * 4 * 4
 
@@ -445,20 +540,20 @@ class Foresight:
     def __init__(self, index: Index, word: np.ndarray, sure: np.ndarray):
         self.index, self.word, self.sure = index, word.view(np.uint64), sure
 
-    def of(self, h: np.ndarray, starts: np.ndarray, others: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def of(self, h: np.ndarray, starts: np.ndarray, others: tuple[Index, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(places, states, hashes of the foreseen words) in texts laid end to
-        end; ``others`` are their contexts (sorted), words and how sure, beside those held."""
+        end; ``others`` are their contexts, words and how sure, beside those held."""
         text = np.zeros(len(h), np.int64)
         text[starts[1:]] = 1
         text = np.cumsum(text)
         context = _contexts(h, starts).view(np.int64)
-        order = np.argsort(context, kind="stable")  # within a context by place, and so by text
+        order = _equal_together(context)  # within a context by place, and so by text
         again = (context[order][1:] == context[order][:-1]) & (text[order][1:] == text[order][:-1])
         state, guess = np.full(len(h), -1), np.zeros(len(h), np.uint64)
         state[order[1:][again]], guess[order[1:][again]] = 0, h[order[:-1][again]]
-        for find, word, sure in ((self.index.find, self.word, self.sure), (partial(_lookup, others[0]), others[1].view(np.uint64), others[2])):
+        for index, word, sure in ((self.index, self.word, self.sure), (others[0], others[1].view(np.uint64), others[2])):
             todo = np.flatnonzero(state < 0)
-            place = find(context[todo])
+            place = index.find(context[todo])
             todo, place = todo[place >= 0], place[place >= 0]
             state[todo], guess[todo] = 16 + 4 * sure[place].astype(np.int64), word[place]
         at = np.flatnonzero(state >= 0)
@@ -518,7 +613,10 @@ def escapes(texts: DataFrame, states: int) -> np.ndarray:
 
 def _hashes(words: list[bytes]) -> np.ndarray:
     """Hashes of words as texts laid end to end have them."""
-    return np.array([_END_HASH[0] if w == END else f[0][0] for w, f in zip(words, hashed_texts(words))] if words else [], np.uint64).view(np.int64)
+    out = np.full(len(words), _END_HASH[0], np.uint64)
+    if words:
+        out[np.fromiter((w != END for w in words), bool, len(words))] = hashed_words(b" ".join(words))[0]
+    return out.view(np.int64)
 
 
 def scores(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
@@ -549,7 +647,8 @@ def scores(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
     least = _at_most(known_words, FREQUENT)
     coded = saved(coded_words(counts), "coded_words")
     frequent = coded.where((F.col("n") >= least) | (F.col("word") == F.lit(END))).toArrow()
-    held = (np.log10(frequent["n"].to_numpy() + 1.0), frequent["log"].to_numpy(), frequent["n"].to_numpy() > 0)
+    log = frequent["log"].to_numpy()
+    held = (np.log10(frequent["n"].to_numpy() + 1.0), log, _left(log), frequent["n"].to_numpy() > 0)
     corpus = phrases(flagged.where("taught").select("text"))
     often = _at_most(corpus, CACHED_PHRASES)
     got = corpus.where(F.col("n") >= often).toArrow()
@@ -558,14 +657,13 @@ def scores(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
     sent = spark.sparkContext.broadcast(([(t.slots, t.place) for t in tables], held, (got["word"].to_numpy(), got["sure"].to_numpy())))
 
     def score(texts: pa.Table, met: pa.Table) -> pa.Table:
-        met = met.sort_by("context")
-        others = tuple(met[c].to_numpy() for c in ("context", "word", "sure"))
+        others = (Index(met["context"].to_numpy()), met["word"].to_numpy(), met["sure"].to_numpy())
         out = pa.Table.from_batches([part for b in texts.to_batches() for part in parts(b, others)])
         give_back()
         return out
 
-    def parts(b: pa.RecordBatch, others: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        tables, (base_of, log_of, known_of), corpus = sent.value
+    def parts(b: pa.RecordBatch, others: tuple[Index, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        tables, (base_of, log_of, left_of, known_of), corpus = sent.value
         index, upper = Index.again(*tables[0]), Foresight(Index.again(*tables[1]), *corpus)
         text, at = b["text"], 0
         while at < b.num_rows:
@@ -586,7 +684,7 @@ def scores(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
             below[spot[hit]] = False
             log = np.where(common & below, log_of[place], 0.0)
             other = index.find(guess.view(np.int64))
-            log[spot] -= np.where(hit | (other < 0), 0.0, _left(log_of[other]))
+            log[spot] -= np.where(hit | (other < 0), 0.0, left_of[other])
             cut = np.append(starts, len(h))
             uses = np.bincount((np.searchsorted(starts, spot, "right") - 1) * 2 * STATES + 2 * state + hit, minlength=len(raws) * 2 * STATES)
             barred = np.flatnonzero(~hit & (other < 0))

@@ -2,12 +2,14 @@
 
 import gzip
 import hashlib
+import itertools
 import zlib
 from collections import Counter
 from math import log10
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,6 +245,59 @@ def test_ppm_holds_every_context_of_two_words(spark, monkeypatch):
     assert sorted((r.n, r.sure) for r in got) == [(50, 3)] * 3
 
 
+def test_ppm_words_are_hashed_and_counted_together(monkeypatch):
+    words = [b"ab", ppm.END, b"b\xc3\xa9", b"x" * 70_000, b"\x00", ppm.END, b"ab"]
+    want = [int(shingles.hashed_texts([w])[0][0][0]) if w != ppm.END else int(ppm._END_HASH[0]) for w in words]
+    monkeypatch.setattr(ppm, "hashed_texts", lambda raws: pytest.fail("a word at a time"))
+    assert ppm._hashes(words).view(np.uint64).tolist() == want and len(ppm._hashes([])) == 0
+    texts = ["", " A b\n\nA", "\x0b\x0cÉ\xa0é\x1cz\r\t", "B\x00 b"]
+    for times in (1, 0):
+        got = ppm._counted(pa.array(texts), times).to_pydict()
+        count = Counter(w for t in texts for w in [*ppm.tokens(t), ppm.END])
+        assert dict(zip(got["word"], got["n"])) == {w: n * times for w, n in count.items()} and len(got["word"]) == len(count)
+    both = ppm._summed([ppm._counted(pa.array(texts), 1), ppm._counted(pa.array(["new a"]), 0)]).to_pydict()
+    assert dict(zip(both["word"], both["n"])) == {**count, b"new": 0}
+
+
+def test_ppm_cells_of_a_part_are_added_at_once(monkeypatch):
+    g = np.random.default_rng(1)
+    cells = g.integers(0, 60, (50, 5)).astype(np.uint16)
+    calls, count = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or count(*a, **k))
+    sums = {7: np.full(64, 1, np.uint8)}
+    ppm._add_cells(sums, {k: [c.tobytes() for c in cells[k::2]] for k in (0, 1)} | {7: [cells[0].tobytes()]}, 64)
+    assert len(calls) == 3
+    for k in (0, 1):
+        assert sums[k].tolist() == np.minimum(3, count(cells[k::2].reshape(-1), minlength=64)).tolist()
+    assert sums[7].tolist() == np.minimum(3, 1 + count(cells[0], minlength=64)).tolist()
+
+
+def test_ppm_pairs_and_places():
+    u = lambda *x: np.array(x, np.uint64)
+    # different pairs may share a key
+    got = ppm._counted_pairs(u(1, 2, 1, 2, 3), u(9, 8, 9, 8, 7), u(5, 5, 5, 5, 4), np.array([1, 2, 3, 4, 5]))
+    assert sorted(zip(*(x.tolist() for x in got))) == [(1, 9, 4), (2, 8, 6), (3, 7, 5)]
+    assert [len(x) for x in ppm._counted_pairs(u(), u(), u())] == [0, 0, 0]
+    # numbers whose upper bits are equal, and some that are not
+    for x in (np.array([8, 9, 8, 9, 10, 8]), np.array([1, 2, 1, -3, 2, 1]) << 40, np.zeros(0, np.int64)):
+        order = ppm._equal_together(x)
+        runs = [list(r) for _, r in itertools.groupby(order.tolist(), key=lambda i: x[i])]
+        assert sorted(order.tolist()) == list(range(len(x))) and len(runs) == len(set(x.tolist())) and all(r == sorted(r) for r in runs)
+    for keys in ([], [0], [3, 0, -5], [3, -5], list(range(-40, 0)) + list(range(1, 60)), list(range(-40, 60))):
+        index = ppm.Index(np.array(keys, np.int64))
+        for i in (index, ppm.Index.again(index.slots, index.place)):
+            assert i.find(np.arange(-70, 70)).tolist() == [keys.index(k) if k in keys else -1 for k in range(-70, 70)]
+
+
+def test_ppm_counts_pairs_beyond_a_byte(spark):
+    texts = spark.createDataFrame([("a b c " * 300,), ("a b d " * 7,), ("a b c " * 300,)], "text string").repartition(2)
+    hashed = dict(zip("abc", ppm._hashes([b"a", b"b", b"c"]).tolist()))
+    # after b c: a each time but at the ends; after b d: a; after c a and d a: b; after a b: c or d
+    assert sorted((r.word, r.n, r.sure) for r in ppm.phrases(texts).collect()) == sorted(
+        [(hashed["c"], 607, 3), (hashed["a"], 598, 3), (hashed["a"], 6, 3), (hashed["b"], 598, 3), (hashed["b"], 6, 3),
+         (hashed["a"], 3, 3), (hashed["b"], 3, 3)])
+
+
 def test_quality(spark):
     good = [(i, prose(i, 60) + ".", "a") for i in range(200)]
     bad = [(1000 + i, " ".join(f"W{i}!!" for _ in range(60)), "a") for i in range(60)]
